@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Beyond this many terms the unrolled expression makes generated code too
-# large to be worth it; the higher-order form is used instead.
-MAX_UNROLLED_DIM = 256
+# Beyond this many terms the unrolled expression costs more in planning and
+# code generation than it saves at run time (measured: 64 terms planned
+# slower than the higher-order form ran); the higher-order form is used.
+MAX_UNROLLED_DIM = 16
 
 
 def _col(c: Column | str) -> Column:

@@ -27,28 +27,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spreadkit.functions.vectors import MAX_UNROLLED_DIM, sqdist
+from spreadkit.functions.vectors import sqdist
 from spreadkit.operators.pairs import PointSetError
-from spreadkit.runtime import durable, fits_broadcast, vector_row_bytes
+from spreadkit.runtime import cached, durable, fits_broadcast, spread, vector_row_bytes
 
 INF = float("inf")
 
 
-def _recent_distance(
-    d2: Column, vec: Column, cs: Column, count: int, dim: int
-) -> Column:
-    """``least(d2, sqdist(vec, c.vec) for c in cs)``; missing centers are NULL and ignored."""
-    if dim <= MAX_UNROLLED_DIM:
-        terms = [d2]
-        for i in range(count):
-            center = F.try_element_at(cs, F.lit(i + 1)).getField("vec")
-            terms.append(sqdist(vec, center, dim))
-        return F.least(*terms) if len(terms) > 1 else d2
-    return F.aggregate(
-        F.coalesce(cs, F.array().cast("array<struct<step:int,id:bigint,vec:array<double>>>")),
-        d2,
-        lambda acc, c: F.least(acc, sqdist(vec, c.getField("vec"))),
-    )
+def _recent_distance(d2: Column, vec: str, centers: list[str], dim: int) -> Column:
+    """``least(d2, sqdist(vec, c) for c in centers)``; a NULL center is ignored."""
+    terms = [d2] + [sqdist(vec, c, dim) for c in centers]
+    return F.least(*terms) if len(terms) > 1 else d2
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+CENTER_SCHEMA = "g bigint, step int, id bigint, vec array<double>, d2 double"
 
 
 def farthest_first(
@@ -56,6 +55,7 @@ def farthest_first(
     k: int,
     group: str | None = None,
     checkpoint_every: int = 8,
+    persist_input: bool = True,
 ) -> DataFrame:
     """Pick up to ``k`` centers per group by farthest-first traversal.
 
@@ -63,83 +63,130 @@ def farthest_first(
     given, that group column. Returns ``[group,] step, id, vec, d2`` where
     ``step`` is 0-based and ``d2`` is the squared distance to the nearest
     earlier center when the point was chosen (NULL for step 0).
+
+    ``persist_input`` keeps the projected points (memory, then disk) for the
+    ``k`` scans, as Spark's own iterative estimators do with their input.
+
+    Where the centers live between rounds depends on their counted size. If
+    all ``k * groups`` of them fit under the broadcast cap they are collected
+    after each round (one small job) and joined back as a local relation,
+    the way Spark's k-means handles its centers. Otherwise each round's
+    centers stay distributed (cached, and checkpointed with the state) and
+    the result is a reliable checkpoint.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     if checkpoint_every < 1:
         raise ValueError("checkpoint_every must be at least 1")
     g = F.col(group) if group else F.lit(0).cast("bigint")
-    pts = points.select(g.alias("g"), "id", "vec")
+    pts = points.select(g.cast("bigint").alias("g"), "id", "vec")
+    if persist_input:
+        pts = cached(spread(pts))
     spark = pts.sparkSession
+    temporary: list[DataFrame] = [pts] if persist_input else []
 
     # Round 0: first center per group plus the statistics, in one scan.
-    first = durable(
+    first = cached(
         pts.groupBy("g").agg(
-            F.min(F.struct("id", "vec")).alias("c"),
+            F.min("id").alias("id"),
+            F.min_by("vec", "id").alias("vec"),
             F.min(F.size("vec")).alias("dmin"),
             F.max(F.size("vec")).alias("dmax"),
         )
     )
-    stats = first.agg(
-        F.count(F.lit(1)).alias("groups"), F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax")
-    ).first()
-    groups = int(stats["groups"])
-    if groups and stats["dmin"] != stats["dmax"]:
-        raise PointSetError(f"points have different dimensions ({stats['dmin']} to {stats['dmax']})")
-    dim = int(stats["dmin"] or 0)
-    rounds = [
-        first.select(
-            "g",
-            F.lit(0).alias("step"),
-            F.col("c.id").alias("id"),
-            F.col("c.vec").alias("vec"),
-            F.lit(None).cast("double").alias("d2"),
-        )
-    ]
-
-    state = pts.withColumn("d2", F.lit(INF))  # distances to centers up to base_step
-    base_step = -1
-    for step in range(1, k if groups else 1):
-        recent = [r for i, r in enumerate(rounds) if i > base_step]
-        recent_df = recent[0]
-        for r in recent[1:]:
-            recent_df = recent_df.unionByName(r)
-        per_group = recent_df.groupBy("g").agg(
-            F.sort_array(F.collect_list(F.struct("step", "id", "vec"))).alias("cs")
-        )
-        if fits_broadcast(spark, groups, vector_row_bytes(dim, 2) * len(recent)):
-            per_group = F.broadcast(per_group)
-        joined = state.join(per_group, "g", "left")
-        chosen = F.coalesce(F.array_contains(F.col("cs.id"), F.col("id")), F.lit(False))
-        updated = joined.filter(~chosen).select(
-            "g", "id", "vec",
-            _recent_distance(F.col("d2"), F.col("vec"), F.col("cs"), len(recent), dim).alias("d2"),
-        )
-        if step % checkpoint_every == 0:
-            state = durable(updated)
-            base_step = step - 1
-            updated = state
-        best = updated.groupBy("g").agg(
-            F.max(F.struct("d2", (-F.col("id")).alias("nid"), "id", "vec")).alias("b")
-        )
-        new = durable(
-            best.select(
-                "g",
-                F.lit(step).alias("step"),
-                F.col("b.id").alias("id"),
-                F.col("b.vec").alias("vec"),
-                F.col("b.d2").alias("d2"),
+    temporary.append(first)
+    try:
+        stats = first.agg(
+            F.count(F.lit(1)).alias("groups"),
+            F.min("dmin").alias("dmin"),
+            F.max("dmax").alias("dmax"),
+        ).first()
+        groups = int(stats["groups"])
+        if groups and stats["dmin"] != stats["dmax"]:
+            raise PointSetError(
+                f"points have different dimensions ({stats['dmin']} to {stats['dmax']})"
             )
+        dim = int(stats["dmin"] or 0)
+        on_driver = fits_broadcast(spark, groups * k, vector_row_bytes(dim, 3))
+        seed = first.select(
+            "g", F.lit(0).alias("step"), "id", "vec", F.lit(None).cast("double").alias("d2")
         )
-        if not new.take(1):
-            break  # every group has run out of points
-        rounds.append(new)
-
-    out = rounds[0]
-    for r in rounds[1:]:
-        out = out.unionByName(r)
+        if on_driver:
+            kept: list = seed.collect()
+            local_recent: list = list(kept)
+        else:
+            settled: DataFrame | None = None  # centers already folded into `state`
+            recent = [seed]
+        state = pts.withColumn("d2", F.lit(INF))
+
+        for step in range(1, k if groups else 1):
+            if on_driver:
+                recent_df = spark.createDataFrame(local_recent, CENTER_SCHEMA)
+                n_recent = len({(r["step"]) for r in local_recent})
+            else:
+                recent_df = _union(recent)
+                n_recent = len(recent)
+            per_group = recent_df.groupBy("g").agg(
+                F.collect_list(F.struct("id", "vec")).alias("cs")
+            )
+            if on_driver or fits_broadcast(spark, groups, vector_row_bytes(dim, 1) * n_recent):
+                per_group = F.broadcast(per_group)
+            joined = state.join(per_group, "g", "left")
+            chosen = F.coalesce(F.array_contains(F.col("cs.id"), F.col("id")), F.lit(False))
+            names = [f"__c{i}" for i in range(n_recent)]
+            widened = joined.filter(~chosen).select(
+                "g", "id", "vec", "d2",
+                *[
+                    F.try_element_at("cs", F.lit(i + 1)).getField("vec").alias(c)
+                    for i, c in enumerate(names)
+                ],
+            )
+            updated = widened.select(
+                "g", "id", "vec", _recent_distance(F.col("d2"), "vec", names, dim).alias("d2")
+            )
+            if step % checkpoint_every == 0:
+                # Fold the recent centers into a durable state and cut lineage.
+                state = durable(updated)
+                updated = state
+                if on_driver:
+                    local_recent = []
+                else:
+                    done = recent if settled is None else [settled] + recent
+                    settled = durable(_union(done))
+                    for r in recent:
+                        r.unpersist()
+                    recent = []
+            order = F.struct("d2", (-F.col("id")).alias("nid"))
+            best = updated.groupBy("g").agg(
+                F.max_by("id", order).alias("id"),
+                F.max_by("vec", order).alias("vec"),
+                F.max("d2").alias("d2"),
+            ).select("g", F.lit(step).alias("step"), "id", "vec", "d2")
+            if on_driver:
+                rows = best.collect()
+                if not rows:
+                    break  # every group has run out of points
+                kept.extend(rows)
+                local_recent.extend(rows)
+            else:
+                new = cached(best)
+                if new.count() == 0:
+                    new.unpersist()
+                    break
+                recent.append(new)
+
+        if on_driver:
+            result = spark.createDataFrame(kept, CENTER_SCHEMA)
+        else:
+            parts = ([settled] if settled is not None else []) + recent
+            result = durable(_union(parts))
+            for r in recent:
+                r.unpersist()
+    finally:
+        for t in temporary:
+            t.unpersist()
     cols = ([F.col("g").alias(group)] if group else []) + ["step", "id", "vec", "d2"]
-    return out.select(*cols)
+    return result.select(*cols)
 
 
 def center_diameter(points: DataFrame, k: int) -> DataFrame:

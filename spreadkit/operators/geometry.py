@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from spreadkit.functions.keys import seeded_rank_key
 from spreadkit.functions.vectors import sqdist
 from spreadkit.operators.pairs import cross_pairs, point_stats, self_pairs
-from spreadkit.runtime import cached, fits_broadcast
+from spreadkit.runtime import cached, fits_broadcast, spread
 
 REFERENCE_SEED = 1242457
 
@@ -66,7 +66,11 @@ def diameter(points: DataFrame, strategy: str = "auto") -> DataFrame:
 def _argmax_from(pts: DataFrame, pivot: list[float], dim: int) -> tuple[int, list[float], float]:
     """Farthest point from ``pivot``: ``(id, vec, squared distance)``; ties to the smaller id."""
     d2 = sqdist("vec", F.array(*[F.lit(float(x)) for x in pivot]), dim)
-    best = pts.agg(F.max(F.struct(d2.alias("d2"), (-F.col("id")).alias("nid"), "id", "vec")).alias("b")).first()["b"]
+    scored = pts.select("id", "vec", d2.alias("d2"))
+    order = F.struct("d2", (-F.col("id")).alias("nid"))
+    best = scored.agg(
+        F.max_by("id", order).alias("id"), F.max_by("vec", order).alias("vec"), F.max("d2").alias("d2")
+    ).first()
     return int(best["id"]), [float(x) for x in best["vec"]], float(best["d2"])
 
 
@@ -84,7 +88,7 @@ def pruned_diameter(points: DataFrame, slack: float = 1e-9) -> DataFrame:
     dimension almost every row is pruned; in high dimension little is, and
     the cost is that of the plain all-pairs plan plus four scans.
     """
-    pts = cached(_points(points))
+    pts = cached(spread(_points(points)))
     try:
         n, dim = point_stats(pts)
         spark = pts.sparkSession

@@ -85,3 +85,16 @@ def cached(df: DataFrame) -> DataFrame:
     loss; callers unpersist when their loop ends.
     """
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give ``df`` at least one partition per core before it is reused.
+
+    A small input read from one file arrives in a handful of partitions and
+    would run every later pass on that many cores; a large input already has
+    more splits than cores and is left alone (no shuffle).
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df
