@@ -22,18 +22,37 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sqdist_sql(a: str, b: str, dim: int) -> str:
+    """SQL text of the unrolled squared distance of two named array columns."""
+    qa, qb = _quoted(a), _quoted(b)
+    terms = [f"({qa}[{i}] - {qb}[{i}]) * ({qa}[{i}] - {qb}[{i}])" for i in range(dim)]
+    return "(" + " + ".join(terms) + ")"
+
+
 def sqdist(a: Column | str, b: Column | str, dim: int | None = None) -> Column:
-    """Squared Euclidean distance of two equal-length double arrays."""
-    a, b = _col(a), _col(b)
+    """Squared Euclidean distance of two equal-length double arrays.
+
+    With two column names and a small known dimension the expression is
+    passed to Spark as one SQL string, which plans in a single call instead
+    of one call per arithmetic node.
+    """
+    if dim == 0:
+        return F.lit(0.0)
     if dim is not None and 0 < dim <= MAX_UNROLLED_DIM:
+        if isinstance(a, str) and isinstance(b, str):
+            return F.expr(sqdist_sql(a, b, dim))
+        a, b = _col(a), _col(b)
         total = None
         for i in range(dim):
             diff = a.getItem(i) - b.getItem(i)
             term = diff * diff
             total = term if total is None else total + term
         return total
-    if dim == 0:
-        return F.lit(0.0)
+    a, b = _col(a), _col(b)
     return F.aggregate(
         F.zip_with(a, b, lambda x, y: (x - y) * (x - y)),
         F.lit(0.0).cast("double"),

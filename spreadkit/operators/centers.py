@@ -48,6 +48,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 CENTER_SCHEMA = "g bigint, step int, id bigint, vec array<double>, d2 double"
+PER_GROUP_SCHEMA = "g bigint, cs array<struct<id:bigint,vec:array<double>>>"
 
 
 def farthest_first(
@@ -112,7 +113,7 @@ def farthest_first(
             "g", F.lit(0).alias("step"), "id", "vec", F.lit(None).cast("double").alias("d2")
         )
         if on_driver:
-            kept: list = seed.collect()
+            kept: list = [tuple(r) for r in seed.collect()]
             local_recent: list = list(kept)
         else:
             settled: DataFrame | None = None  # centers already folded into `state`
@@ -120,17 +121,20 @@ def farthest_first(
         state = pts.withColumn("d2", F.lit(INF))
 
         for step in range(1, k if groups else 1):
+            # A fixed number of center slots keeps every round's plan, and so
+            # its generated code, identical; empty slots are NULL and ignored.
+            n_recent = min(checkpoint_every, k - 1)
             if on_driver:
-                recent_df = spark.createDataFrame(local_recent, CENTER_SCHEMA)
-                n_recent = len({(r["step"]) for r in local_recent})
+                by_group: dict = {}
+                for g_, _, id_, vec_, _ in local_recent:
+                    by_group.setdefault(g_, []).append((id_, vec_))
+                per_group = F.broadcast(spark.createDataFrame(list(by_group.items()), PER_GROUP_SCHEMA))
             else:
-                recent_df = _union(recent)
-                n_recent = len(recent)
-            per_group = recent_df.groupBy("g").agg(
-                F.collect_list(F.struct("id", "vec")).alias("cs")
-            )
-            if on_driver or fits_broadcast(spark, groups, vector_row_bytes(dim, 1) * n_recent):
-                per_group = F.broadcast(per_group)
+                per_group = _union(recent).groupBy("g").agg(
+                    F.collect_list(F.struct("id", "vec")).alias("cs")
+                )
+                if fits_broadcast(spark, groups, vector_row_bytes(dim, 1) * n_recent):
+                    per_group = F.broadcast(per_group)
             joined = state.join(per_group, "g", "left")
             chosen = F.coalesce(F.array_contains(F.col("cs.id"), F.col("id")), F.lit(False))
             names = [f"__c{i}" for i in range(n_recent)]
@@ -161,15 +165,15 @@ def farthest_first(
                 F.max_by("id", order).alias("id"),
                 F.max_by("vec", order).alias("vec"),
                 F.max("d2").alias("d2"),
-            ).select("g", F.lit(step).alias("step"), "id", "vec", "d2")
+            )
             if on_driver:
-                rows = best.collect()
+                rows = [(r["g"], step, r["id"], r["vec"], r["d2"]) for r in best.collect()]
                 if not rows:
                     break  # every group has run out of points
                 kept.extend(rows)
                 local_recent.extend(rows)
             else:
-                new = cached(best)
+                new = cached(best.select("g", F.lit(step).alias("step"), "id", "vec", "d2"))
                 if new.count() == 0:
                     new.unpersist()
                     break

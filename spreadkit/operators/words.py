@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from spreadkit.functions.keys import salt
 from spreadkit.functions.text import tokens, word_length
+from spreadkit.runtime import spread
 
 
 def document_count(docs: DataFrame) -> DataFrame:
@@ -26,8 +27,14 @@ def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per token occurrence: ``doc_id, word``."""
-    return docs.select(F.col(doc_id), F.explode(tokens(text)).alias("word"))
+    """One row per token occurrence: ``doc_id, word``.
+
+    Tokenising is the expensive per-row step; an input with fewer partitions
+    than cores is spread first (a no-op for large inputs).
+    """
+    return spread(docs.select(doc_id, text)).select(
+        F.col(doc_id), F.explode(tokens(text)).alias("word")
+    )
 
 
 def word_count(

@@ -11,7 +11,14 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "spreadkit") -> SparkSession:
+def local_session(
+    cores: int | str = 8,
+    shuffle_partitions: int = 8,
+    app: str = "spreadkit",
+    conf: dict[str, str] | None = None,
+) -> SparkSession:
+    """A ``local[cores]`` session; ``conf`` adds or overrides settings
+    (for example an event log folder when profiling)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -25,6 +32,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
