@@ -29,7 +29,7 @@ from spreadkit.runtime import cached, fits_broadcast
 MAX_CACHED_PAIRS = 200_000_000
 
 
-def _attach(picks: list[tuple[int, int]], points: DataFrame, order: str) -> DataFrame:
+def _attach(picks: list[tuple[int, int]], points: DataFrame) -> DataFrame:
     """``pick, id, vec`` for the chosen ids (at most ``k`` rows)."""
     spark = points.sparkSession
     chosen = spark.createDataFrame(picks, "pick int, id bigint")
@@ -38,59 +38,139 @@ def _attach(picks: list[tuple[int, int]], points: DataFrame, order: str) -> Data
     return points.join(chosen, "id").select("pick", "id", "vec")
 
 
-def greedy_matching(points: DataFrame, k: int, order: str = "id", strategy: str = "auto") -> DataFrame:
+# Up to this many pairs to pick, one global maximum per pick is cheapest;
+# beyond it the locally-dominant rounds need far fewer passes.
+SEQUENTIAL_MAX_PAIRS = 8
+
+
+def _edge_key(row) -> tuple:
+    """Total order of a pair, larger is better: distance, then earlier ends."""
+    return (row["d2"], -row["o_i"], -row["o_j"])
+
+
+def _sequential(pairs: DataFrame, half: int) -> list:
+    """``half`` rounds, each taking the global best pair among unused points."""
+    used: list[int] = []
+    chosen = []
+    for _ in range(half):
+        live = pairs
+        if used:
+            live = pairs.filter(~F.col("id_i").isin(used) & ~F.col("id_j").isin(used))
+        best = live.agg(
+            F.max(
+                F.struct(
+                    "d2",
+                    (-F.col("o_i")).alias("n_i"),
+                    (-F.col("o_j")).alias("n_j"),
+                    "o_i",
+                    "o_j",
+                    "id_i",
+                    "id_j",
+                )
+            ).alias("b")
+        ).first()["b"]
+        chosen.append(best)
+        used.extend([int(best["id_i"]), int(best["id_j"])])
+    return chosen
+
+
+def _dominant(pairs: DataFrame, half: int) -> list:
+    """Rounds of locally dominant pairs, with the same answer as :func:`_sequential`.
+
+    A pair that is the best pair of both its points is in the greedy
+    matching; after taking all of them and removing their points, the next
+    round finds the next ones. Pairs found so far that beat every pair still
+    possible are exactly the top greedy pairs, so the loop stops as soon as
+    ``half`` of them are confirmed. Each round is one pass over the pairs plus
+    an aggregate with one row per point; at most ``half`` pairs per round
+    reach the driver.
+    """
+    found: list = []
+    used: list[int] = []
+    while True:
+        live = pairs
+        if used:
+            live = pairs.filter(~F.col("id_i").isin(used) & ~F.col("id_j").isin(used))
+        key = F.struct(
+            "d2",
+            (-F.col("o_i")).alias("n_i"),
+            (-F.col("o_j")).alias("n_j"),
+            "o_i",
+            "o_j",
+            "id_i",
+            "id_j",
+        )
+        per_point = live.select(F.explode(F.array("id_i", "id_j")).alias("v"), key.alias("e"))
+        best = per_point.groupBy("v").agg(F.max("e").alias("e"))
+        mutual = best.groupBy("e").agg(F.count(F.lit(1)).alias("ends")).filter("ends = 2")
+        top = mutual.orderBy(F.col("e").desc()).limit(half).collect()
+        if not top:
+            break  # fewer than two unused points are left
+        ceiling = _edge_key(top[0]["e"])  # the best pair still possible
+        confirmed = [e for e in found if _edge_key(e) > ceiling]
+        if len(confirmed) >= half:
+            break
+        for row in top:
+            e = row["e"]
+            found.append(e)
+            used.extend([int(e["id_i"]), int(e["id_j"])])
+    found.sort(key=_edge_key, reverse=True)
+    return found[:half]
+
+
+def greedy_matching(
+    points: DataFrame,
+    k: int,
+    order: str = "id",
+    strategy: str = "auto",
+    rounds: str = "auto",
+) -> DataFrame:
     """Up to ``k`` points chosen by greedy matching (M1): ``pick, id, vec``.
 
     ``order`` names a unique numeric column used for tie-breaking and for
-    the order of the picks within a pair (default: the id).
+    the order of the picks within a pair (default: the id). ``strategy``
+    picks the all-pairs plan; ``rounds`` is ``sequential`` (one global
+    maximum per pair), ``dominant`` (locally dominant pairs per round) or
+    ``auto``.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    pts = points.select("id", "vec", F.col(order).alias("__o"))
+    if rounds not in ("auto", "sequential", "dominant"):
+        raise ValueError("rounds must be 'auto', 'sequential' or 'dominant'")
+    pts = points.select("id", "vec", F.col(order).alias("o"))
     spark = pts.sparkSession
     n, dim = point_stats(pts)
     if n == 0:
         return spark.createDataFrame([], "pick int, id bigint, vec array<double>")
     if k >= n:
-        ranked = pts.withColumn("pick", (F.row_number().over(Window.orderBy("__o")) - 1).cast("int"))
+        ranked = pts.withColumn("pick", (F.row_number().over(Window.orderBy("o")) - 1).cast("int"))
         return ranked.select("pick", "id", "vec")
 
-    pairs = self_pairs(pts, n, dim, order="__o", strategy=strategy).select(
-        "id_i", "id_j", "__o_i", "__o_j", sqdist("vec_i", "vec_j", dim).alias("d2")
+    pairs = self_pairs(pts, n, dim, order="o", strategy=strategy).select(
+        "id_i", "id_j", "o_i", "o_j", sqdist("vec_i", "vec_j", dim).alias("d2")
     )
     n_pairs = n * (n - 1) // 2
     keep = n_pairs <= MAX_CACHED_PAIRS
     if keep:
         pairs = cached(pairs)
+    half = k // 2
+    if rounds == "auto":
+        rounds = "sequential" if half <= SEQUENTIAL_MAX_PAIRS else "dominant"
     try:
-        used: list[int] = []
-        picks: list[tuple[int, int]] = []
-        for _ in range(k // 2):
-            live = pairs
-            if used:
-                live = pairs.filter(~F.col("id_i").isin(used) & ~F.col("id_j").isin(used))
-            best = live.agg(
-                F.max(
-                    F.struct(
-                        "d2",
-                        (-F.col("__o_i")).alias("oi"),
-                        (-F.col("__o_j")).alias("oj"),
-                        "id_i",
-                        "id_j",
-                    )
-                ).alias("b")
-            ).first()["b"]
-            for pid in (int(best["id_i"]), int(best["id_j"])):
-                picks.append((len(picks), pid))
-                used.append(pid)
-        if k % 2:
-            rest = pts.filter(~F.col("id").isin(used)) if used else pts
-            first = rest.orderBy("__o").select("id").first()
-            picks.append((len(picks), int(first["id"])))
+        chosen = _sequential(pairs, half) if rounds == "sequential" else _dominant(pairs, half)
     finally:
         if keep:
             pairs.unpersist()
-    return _attach(picks, pts, order)
+    picks: list[tuple[int, int]] = []
+    for e in chosen:
+        picks.append((len(picks), int(e["id_i"])))
+        picks.append((len(picks), int(e["id_j"])))
+    if k % 2:
+        used = [pid for _, pid in picks]
+        rest = pts.filter(~F.col("id").isin(used)) if used else pts
+        first = rest.orderBy("o").select("id").first()
+        picks.append((len(picks), int(first["id"])))
+    return _attach(picks, pts)
 
 
 def coreset(points: DataFrame, k: int, groups: int, group: str | None = None) -> DataFrame:

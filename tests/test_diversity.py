@@ -58,3 +58,20 @@ def test_one_group_two_rounds_equals_matching_on_centers(spark):
     cent = farthest_first(pts, 6).withColumn("pos", F.col("step"))
     want = picks(diversity.greedy_matching(cent.select("id", "vec", "pos"), 6, order="pos"))
     assert picks(diversity.diversify(pts, 6, 1)) == want
+
+
+@pytest.mark.parametrize("k", [2, 3, 7, 12, 25, 40])
+def test_dominant_rounds_equal_sequential(spark, k):
+    pts = tables.embedding_points(spark, SF)
+    seq = picks(diversity.greedy_matching(pts, k, rounds="sequential"))
+    dom = picks(diversity.greedy_matching(pts, k, rounds="dominant"))
+    assert seq == dom and len(set(seq)) == k
+
+
+def test_dominant_rounds_with_ties(make_points):
+    grid = [(i, (i % 3, i // 3)) for i in range(12)]  # many equal distances
+    pts = make_points(grid)
+    for k in (2, 4, 5, 8, 11):
+        seq = picks(diversity.greedy_matching(pts, k, rounds="sequential"))
+        dom = picks(diversity.greedy_matching(pts, k, rounds="dominant"))
+        assert seq == dom
