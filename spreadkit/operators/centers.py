@@ -27,17 +27,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spreadkit.functions.vectors import sqdist
+from spreadkit.functions.vectors import sqdist_sql
 from spreadkit.operators.pairs import PointSetError
 from spreadkit.runtime import cached, durable, fits_broadcast, spread, vector_row_bytes
 
 INF = float("inf")
 
 
-def _recent_distance(d2: Column, vec: str, centers: list[str], dim: int) -> Column:
+# Most arithmetic terms written out in one projection; a larger generated
+# method is no longer compiled by the JIT and runs slower than the
+# higher-order form.
+MAX_UNROLLED_TERMS = 128
+
+
+def _recent_distance(d2: str, vec: str, centers: list[str], dim: int) -> Column:
     """``least(d2, sqdist(vec, c) for c in centers)``; a NULL center is ignored."""
-    terms = [d2] + [sqdist(vec, c, dim) for c in centers]
-    return F.least(*terms) if len(terms) > 1 else d2
+    if not centers:
+        return F.col(d2)
+    unrolled = len(centers) * dim <= MAX_UNROLLED_TERMS
+    terms = [d2] + [sqdist_sql(vec, c, dim if unrolled else None) for c in centers]
+    return F.expr("least(" + ", ".join(terms) + ")")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -136,17 +145,14 @@ def farthest_first(
                 if fits_broadcast(spark, groups, vector_row_bytes(dim, 1) * n_recent):
                     per_group = F.broadcast(per_group)
             joined = state.join(per_group, "g", "left")
-            chosen = F.coalesce(F.array_contains(F.col("cs.id"), F.col("id")), F.lit(False))
+            chosen = F.expr("coalesce(array_contains(cs.id, id), false)")
             names = [f"__c{i}" for i in range(n_recent)]
-            widened = joined.filter(~chosen).select(
+            widened = joined.filter(~chosen).selectExpr(
                 "g", "id", "vec", "d2",
-                *[
-                    F.try_element_at("cs", F.lit(i + 1)).getField("vec").alias(c)
-                    for i, c in enumerate(names)
-                ],
+                *[f"try_element_at(cs, {i + 1}).vec AS {c}" for i, c in enumerate(names)],
             )
             updated = widened.select(
-                "g", "id", "vec", _recent_distance(F.col("d2"), "vec", names, dim).alias("d2")
+                "g", "id", "vec", _recent_distance("d2", "vec", names, dim).alias("d2")
             )
             if step % checkpoint_every == 0:
                 # Fold the recent centers into a durable state and cut lineage.
@@ -160,10 +166,9 @@ def farthest_first(
                     for r in recent:
                         r.unpersist()
                     recent = []
-            order = F.struct("d2", (-F.col("id")).alias("nid"))
             best = updated.groupBy("g").agg(
-                F.max_by("id", order).alias("id"),
-                F.max_by("vec", order).alias("vec"),
+                F.expr("max_by(id, struct(d2, -id))").alias("id"),
+                F.expr("max_by(vec, struct(d2, -id))").alias("vec"),
                 F.max("d2").alias("d2"),
             )
             if on_driver:

@@ -65,7 +65,7 @@ def diameter(points: DataFrame, strategy: str = "auto") -> DataFrame:
 
 def _argmax_from(pts: DataFrame, pivot: list[float], dim: int) -> tuple[int, list[float], float]:
     """Farthest point from ``pivot``: ``(id, vec, squared distance)``; ties to the smaller id."""
-    d2 = sqdist("vec", F.array(*[F.lit(float(x)) for x in pivot]), dim)
+    d2 = sqdist("vec", [float(x) for x in pivot], dim)
     scored = pts.select("id", "vec", d2.alias("d2"))
     order = F.struct("d2", (-F.col("id")).alias("nid"))
     best = scored.agg(
@@ -100,7 +100,7 @@ def pruned_diameter(points: DataFrame, slack: float = 1e-9) -> DataFrame:
         _, _, lb2 = _argmax_from(pts, p1, dim)
         big_r, lb = math.sqrt(r2max), math.sqrt(lb2)
         threshold = (lb - big_r) - slack * (lb + big_r)
-        r = F.sqrt(sqdist("vec", F.array(*[F.lit(x) for x in centroid]), dim))
+        r = F.sqrt(sqdist("vec", centroid, dim))
         survivors = pts.filter(r >= F.lit(threshold)) if threshold > 0 else pts
         survivors = cached(survivors)
         m = survivors.count()
