@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from spreadkit.functions.keys import seeded_rank_key
 from spreadkit.functions.vectors import sqdist
-from spreadkit.operators.pairs import cross_pairs, point_stats, self_pairs
+from spreadkit.operators.pairs import PointSetError, cross_pairs, point_stats, self_pairs
 from spreadkit.runtime import cached, fits_broadcast, spread
 
 REFERENCE_SEED = 1242457
@@ -90,12 +90,20 @@ def pruned_diameter(points: DataFrame, slack: float = 1e-9) -> DataFrame:
     """
     pts = cached(spread(_points(points)))
     try:
-        n, dim = point_stats(pts)
         spark = pts.sparkSession
-        if n == 0:
+        probe = pts.selectExpr("size(vec) AS d").first()
+        if probe is None:
             return spark.createDataFrame([(None,)], "diameter double")
-        means = pts.agg(*[F.avg(F.col("vec").getItem(i)).alias(f"c{i}") for i in range(dim)]).first()
-        centroid = [float(means[f"c{i}"]) for i in range(dim)]
+        # One scan for the size check and the centroid together.
+        stats = pts.agg(
+            F.expr("min(size(vec))").alias("dmin"),
+            F.expr("max(size(vec))").alias("dmax"),
+            *[F.expr(f"avg(vec[{i}])").alias(f"c{i}") for i in range(probe["d"])],
+        ).first()
+        if stats["dmin"] != stats["dmax"]:
+            raise PointSetError(f"points have different dimensions ({stats['dmin']} to {stats['dmax']})")
+        dim = int(stats["dmin"])
+        centroid = [float(stats[f"c{i}"]) for i in range(dim)]
         _, p1, r2max = _argmax_from(pts, centroid, dim)
         _, _, lb2 = _argmax_from(pts, p1, dim)
         big_r, lb = math.sqrt(r2max), math.sqrt(lb2)
