@@ -26,7 +26,24 @@ from pyspark.sql import functions as F
 
 from spreadkit.runtime import fits_broadcast, vector_row_bytes
 
-DEFAULT_BLOCK_ROWS = 2048
+# Largest block: a task then compares at most 16384^2 (about 2.7e8) pairs
+# and buffers one block of the other side.
+MAX_BLOCK_ROWS = 16384
+
+
+def block_count(spark, rows: int, block_rows: int | None = None) -> int:
+    """Number of blocks for the blocked all-pairs plan.
+
+    Enough blocks that the ``B(B+1)/2`` block pairs keep every core busy, and
+    no block above ``MAX_BLOCK_ROWS`` rows. Each row is copied about ``B``
+    times, so ``B`` is kept as small as these two bounds allow.
+    """
+    if block_rows:
+        return max(1, math.ceil(rows / block_rows))
+    parallelism = spark.sparkContext.defaultParallelism
+    by_size = math.ceil(rows / MAX_BLOCK_ROWS)
+    by_cores = math.ceil(math.sqrt(2 * parallelism))
+    return max(1, min(max(by_size, by_cores), max(rows, 1)))
 
 
 class PointSetError(ValueError):
@@ -70,7 +87,7 @@ def self_pairs(
     order: str = "id",
     include_self: bool = False,
     strategy: str = "auto",
-    block_rows: int = DEFAULT_BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Every unordered pair of rows once: columns ``<c>_i`` and ``<c>_j``.
 
@@ -91,7 +108,7 @@ def self_pairs(
             left = left.repartition(parallelism)
         return left.join(F.broadcast(right), before, "inner")
 
-    blocks = max(1, math.ceil(n / max(block_rows, 1)))
+    blocks = block_count(points.sparkSession, n, block_rows)
     last = F.lit(blocks - 1)
     left = left.withColumn("__bi", F.pmod(F.xxhash64(oi), F.lit(blocks)))
     left = left.withColumn("__bj", F.explode(F.sequence(F.col("__bi"), last)))
@@ -116,7 +133,7 @@ def cross_pairs(
     n_right: int,
     dim: int,
     strategy: str = "auto",
-    block_rows: int = DEFAULT_BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Every (left row, right row) pair: columns ``<c>_i`` (left), ``<c>_j`` (right).
 
@@ -137,8 +154,9 @@ def cross_pairs(
         return a.crossJoin(F.broadcast(b))
     if how != "blocked":
         raise ValueError("strategy must be 'auto', 'nested' or 'blocked'")
-    bl = max(1, math.ceil(n_left / max(block_rows, 1)))
-    br = max(1, math.ceil(n_right / max(block_rows, 1)))
+    spark = left.sparkSession
+    bl = block_count(spark, n_left, block_rows)
+    br = block_count(spark, n_right, block_rows)
     key_i = F.xxhash64(*[F.col(c) for c in a.columns[:1]])
     key_j = F.xxhash64(*[F.col(c) for c in b.columns[:1]])
     a = a.withColumn("__bl", F.pmod(key_i, F.lit(bl))).withColumn(

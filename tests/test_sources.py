@@ -60,3 +60,32 @@ def test_points_without_id_follow_line_order(spark):
     df = parse_points(lines(spark, ["1,1", "2,2", "3,3"]).coalesce(1))
     rows = df.orderBy("id").collect()
     assert [r.vec[0] for r in rows] == [1.0, 2.0, 3.0]
+
+
+def test_text_file_source_end_to_end(spark, tmp_path):
+    from spreadkit.operators import counts
+    from spreadkit.sources import read_lines
+
+    path = tmp_path / "pairs.txt"
+    path.write_text("0 cat\n1 dog\n2 cat\n3 bird\n4 cat\n5 dog\n")
+    lines = read_lines(spark, str(path), partitions=2)
+    assert lines.rdd.getNumPartitions() == 2
+    parsed = parse_labelled(lines)
+    got = counts.sorted_by_class(counts.class_count(parsed, strategy="two_round", buckets=2))
+    assert [tuple(r) for r in got.collect()] == [("bird", 1), ("cat", 3), ("dog", 2)]
+    sizes = counts.partition_sizes(lines).collect()
+    assert sorted(r["size"] for r in sizes) == [3, 3]
+
+
+def test_point_file_source(spark, tmp_path):
+    path = tmp_path / "points.csv"
+    path.write_text("0,0\n1,0,\n0,1\n10,0\n0,8\n9,1\n")
+    pts = parse_points(read_lines_one(spark, str(path)))
+    assert pts.count() == 6
+    assert sorted(len(r.vec) for r in pts.collect()) == [2] * 6
+
+
+def read_lines_one(spark, path):
+    from spreadkit.sources import read_lines
+
+    return read_lines(spark, path)
