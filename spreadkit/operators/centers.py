@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spreadkit.functions.vectors import sqdist_sql
-from spreadkit.operators.pairs import PointSetError
+from spreadkit.operators.pairs import bad_vector_sql, check_point_stats
 from spreadkit.runtime import cached, durable, fits_broadcast, spread, vector_row_bytes
 
 INF = float("inf")
@@ -102,6 +102,7 @@ def farthest_first(
             F.min_by("vec", "id").alias("vec"),
             F.min(F.size("vec")).alias("dmin"),
             F.max(F.size("vec")).alias("dmax"),
+            F.expr(f"count_if({bad_vector_sql()})").alias("bad"),
         )
     )
     temporary.append(first)
@@ -110,12 +111,10 @@ def farthest_first(
             F.count(F.lit(1)).alias("groups"),
             F.min("dmin").alias("dmin"),
             F.max("dmax").alias("dmax"),
+            F.sum("bad").alias("bad"),
         ).first()
         groups = int(stats["groups"])
-        if groups and stats["dmin"] != stats["dmax"]:
-            raise PointSetError(
-                f"points have different dimensions ({stats['dmin']} to {stats['dmax']})"
-            )
+        check_point_stats(groups, stats["dmin"], stats["dmax"], int(stats["bad"] or 0))
         dim = int(stats["dmin"] or 0)
         on_driver = fits_broadcast(spark, groups * k, vector_row_bytes(dim, 3))
         seed = first.select(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from spreadkit.functions.keys import seeded_rank_key
 from spreadkit.functions.vectors import sqdist
-from spreadkit.operators.pairs import PointSetError, cross_pairs, point_stats, self_pairs
+from spreadkit.operators.pairs import bad_vector_sql, check_point_stats, cross_pairs, point_stats, self_pairs
 from spreadkit.runtime import cached, fits_broadcast, spread
 
 REFERENCE_SEED = 1242457
@@ -98,10 +98,10 @@ def pruned_diameter(points: DataFrame, slack: float = 1e-9) -> DataFrame:
         stats = pts.agg(
             F.expr("min(size(vec))").alias("dmin"),
             F.expr("max(size(vec))").alias("dmax"),
-            *[F.expr(f"avg(vec[{i}])").alias(f"c{i}") for i in range(probe["d"])],
+            F.expr(f"count_if({bad_vector_sql()})").alias("bad"),
+            *[F.expr(f"avg(vec[{i}])").alias(f"c{i}") for i in range(max(probe["d"] or 0, 0))],
         ).first()
-        if stats["dmin"] != stats["dmax"]:
-            raise PointSetError(f"points have different dimensions ({stats['dmin']} to {stats['dmax']})")
+        check_point_stats(1, stats["dmin"], stats["dmax"], int(stats["bad"] or 0))
         dim = int(stats["dmin"])
         centroid = [float(stats[f"c{i}"]) for i in range(dim)]
         _, p1, r2max = _argmax_from(pts, centroid, dim)

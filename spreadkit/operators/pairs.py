@@ -50,20 +50,35 @@ class PointSetError(ValueError):
     """A point set that cannot be measured (for example mixed dimensions)."""
 
 
+def bad_vector_sql(vec: str = "vec") -> str:
+    """SQL condition for a vector no distance can be computed from."""
+    return (
+        f"`{vec}` IS NULL OR exists(`{vec}`, x -> x IS NULL OR isnan(x) "
+        "OR abs(x) = CAST('Infinity' AS DOUBLE))"
+    )
+
+
+def check_point_stats(n: int, dmin, dmax, bad: int) -> None:
+    """Raise for NULL / non-finite vectors or mixed dimensions."""
+    if bad:
+        raise PointSetError(f"{bad} points have a NULL vector or a non-finite coordinate")
+    if n and dmin != dmax:
+        raise PointSetError(f"points have different dimensions ({dmin} to {dmax})")
+
+
 def point_stats(points: DataFrame, vec: str = "vec") -> tuple[int, int]:
-    """``(n, dim)`` in one pass; raises if rows disagree on the dimension."""
+    """``(n, dim)`` in one pass; raises if rows disagree on the dimension or
+    a vector is NULL or holds a NULL, NaN or infinite coordinate."""
     row = points.agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.size(vec)).alias("dmin"),
         F.max(F.size(vec)).alias("dmax"),
+        F.expr(f"count_if({bad_vector_sql(vec)})").alias("bad"),
     ).first()
     n = int(row["n"])
+    check_point_stats(n, row["dmin"], row["dmax"], int(row["bad"] or 0))
     if n == 0:
         return 0, 0
-    if row["dmin"] != row["dmax"]:
-        raise PointSetError(
-            f"points have different dimensions ({row['dmin']} to {row['dmax']})"
-        )
     return n, int(row["dmin"])
 
 

@@ -110,3 +110,18 @@ def test_duplicate_vectors_are_kept_by_identity(make_points):
     rest = geometry.remove_rows(pts, pts.filter("id = 0"), 1)
     assert sorted(r.id for r in rest.collect()) == [1, 2]
     assert math.isclose(value(geometry.diameter(pts)), 5.0)
+
+
+@pytest.mark.parametrize("vec", [None, [1.0, None], [float("nan"), 1.0], [float("inf"), 0.0]])
+def test_unmeasurable_vectors_raise(spark, vec):
+    from spreadkit.operators import centers
+
+    df = spark.createDataFrame([(0, [0.0, 0.0]), (1, vec), (2, [3.0, 4.0])], "id bigint, vec array<double>")
+    for run in (
+        lambda: geometry.diameter(df).first(),
+        lambda: geometry.diameter(df, strategy="nested").first(),
+        lambda: geometry.avg_pairwise_distance(df).first(),
+        lambda: centers.farthest_first(df, 2).collect(),
+    ):
+        with pytest.raises(PointSetError):
+            run()
