@@ -202,4 +202,4 @@ def center_diameter(points: DataFrame, k: int) -> DataFrame:
     from spreadkit.operators.geometry import diameter
 
     centers = farthest_first(points, k).select("id", "vec")
-    return diameter(centers, strategy="nested")
+    return diameter(centers, strategy="blocked")

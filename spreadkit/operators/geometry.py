@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spreadkit.functions.keys import seeded_rank_key
-from spreadkit.functions.vectors import sqdist
+from spreadkit.functions.vectors import sqdist, sqdist_sql
 from spreadkit.operators.pairs import bad_vector_sql, check_point_stats, cross_pairs, point_stats, self_pairs
 from spreadkit.runtime import cached, fits_broadcast, spread
 
@@ -49,10 +49,9 @@ def _as_diameter(best: DataFrame, n: int) -> DataFrame:
 def diameter(points: DataFrame, strategy: str = "auto") -> DataFrame:
     """Exact maximum pairwise distance (J1), one row ``diameter``.
 
-    ``nested`` / ``blocked`` examine all pairs (see :mod:`pairs`).
-    ``pruned`` first bounds the answer cheaply and only examines the rows
-    that can still be an end of a longer pair; ``auto`` uses it and falls back
-    to the all-pairs plans for what survives.
+    ``blocked`` examines all pairs (see :mod:`pairs`). ``pruned`` first
+    bounds the answer cheaply and only examines the rows that can still be an
+    end of a longer pair; ``auto`` uses it and pairs up what survives.
     """
     pts = _points(points)
     if strategy in ("auto", "pruned"):
@@ -162,11 +161,19 @@ def sample_rest(points: DataFrame, k: int, seed: int = REFERENCE_SEED) -> DataFr
     return remove_rows(pts, sample_points(pts, k, seed), k)
 
 
+# A sample of at most this many coordinates is written into the distance
+# expression as constants; a larger one is paired with the rest by blocks.
+MAX_INLINE_VALUES = 4096
+
+
 def sampled_diameter(points: DataFrame, k: int, seed: int = REFERENCE_SEED) -> DataFrame:
     """Largest distance from a sample of ``k`` points to the other points.
 
     At least half the exact diameter when ``k < n``; NULL when nothing is
-    left outside the sample.
+    left outside the sample. A small sample (``k * dim`` coordinates under
+    ``MAX_INLINE_VALUES``) is collected and compared with every other row in
+    one projection, so no pair rows exist; a larger one goes through the
+    blocked pair plan.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -175,5 +182,13 @@ def sampled_diameter(points: DataFrame, k: int, seed: int = REFERENCE_SEED) -> D
     s = min(k, n)
     sample = sample_points(pts, k, seed)
     rest = remove_rows(pts, sample, s)
-    pairs = cross_pairs(sample, rest, s, max(n - s, 0), dim)
+    if s * max(dim, 1) <= MAX_INLINE_VALUES:
+        anchors = [[float(x) for x in r["vec"]] for r in sample.collect()]
+        if not anchors:
+            return pts.sparkSession.createDataFrame([(None,)], "diameter double")
+        unrolled = len(anchors) * dim <= 128
+        terms = [sqdist_sql("vec", a, dim if unrolled else None) for a in anchors]
+        far = F.expr("greatest(" + ", ".join(terms) + ")") if len(terms) > 1 else F.expr(terms[0])
+        return rest.agg(F.sqrt(F.max(far)).alias("diameter"))
+    pairs = cross_pairs(sample, rest, s, max(n - s, 0))
     return pairs.agg(F.sqrt(F.max(sqdist("vec_i", "vec_j", dim))).alias("diameter"))

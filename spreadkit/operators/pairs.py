@@ -1,17 +1,14 @@
 """All-pairs plans for point sets (the physical side of J1-J3 and M1).
 
-Two plans produce the same rows:
-
-``nested``
-    Broadcast the whole set and run a nested-loop join with a theta
-    condition. Chosen only when the set's counted size is under the broadcast
-    cap; the streamed side is spread over the default parallelism first, so a
-    one-file input does not put every pair into one task.
-``blocked``
-    Hash every row into one of ``B`` blocks and replicate it to the ``B + 1``
-    block pairs ``(bi <= bj)`` it belongs to; an equi-join on the block pair
-    then hands each task ``(n/B)^2`` pairs. Nothing is broadcast and no task
-    sees more than two blocks, whatever ``n`` is.
+Exact diameter, average distance and greedy matching are defined over all
+pairs of points, so their work is quadratic; this module bounds how that
+work is laid out. Every row is hashed into one of ``B`` blocks and
+replicated to the ``B + 1`` block pairs ``(bi <= bj)`` it belongs to; an
+equi-join on the block pair (a shuffled hash join, one block pair per task)
+hands each task at most ``MAX_BLOCK_ROWS^2`` pairs, which the caller's
+partial aggregate consumes inside the same stage. Blocks come from a hash of
+the row's order key, so no block is hot, whatever the data; nothing is
+broadcast and no cross join is planned.
 
 Pairs are unordered and listed once, oriented so that the ``_i`` side comes
 first in the given order column.
@@ -24,7 +21,6 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spreadkit.runtime import fits_broadcast, vector_row_bytes
 
 # Largest block: a task then compares at most 16384^2 (about 2.7e8) pairs
 # and buffers one block of the other side.
@@ -46,6 +42,18 @@ def block_count(spark, rows: int, block_rows: int | None = None) -> int:
     return max(1, min(max(by_size, by_cores), max(rows, 1)))
 
 
+def _task_count(spark, block_pairs: int) -> int:
+    """Partitions for the block-pair join.
+
+    Twice the block pairs, so that hash collisions rarely put two block pairs
+    into one task, but no more than the larger of the shuffle partition
+    setting and four tasks per core; beyond that, block pairs share tasks.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(2 * block_pairs, max(shuffle, 4 * cores)))
+
+
 class PointSetError(ValueError):
     """A point set that cannot be measured (for example mixed dimensions)."""
 
@@ -82,13 +90,9 @@ def point_stats(points: DataFrame, vec: str = "vec") -> tuple[int, int]:
     return n, int(row["dmin"])
 
 
-def choose_strategy(points: DataFrame, n: int, dim: int, strategy: str, extra_cols: int = 2) -> str:
-    if strategy not in ("auto", "nested", "blocked"):
-        raise ValueError("strategy must be 'auto', 'nested' or 'blocked'")
-    if strategy != "auto":
-        return strategy
-    spark = points.sparkSession
-    return "nested" if fits_broadcast(spark, n, vector_row_bytes(dim, extra_cols)) else "blocked"
+def _check_strategy(strategy: str) -> None:
+    if strategy not in ("auto", "blocked"):
+        raise ValueError("strategy must be 'auto' or 'blocked'")
 
 
 def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
@@ -110,26 +114,27 @@ def self_pairs(
     (``<=`` with ``include_self``, which adds each row paired with itself).
     ``n`` and ``dim`` come from :func:`point_stats` and size the plan.
     """
+    _check_strategy(strategy)
     cols = points.columns
-    how = choose_strategy(points, n, dim, strategy, extra_cols=len(cols))
     left = _suffixed(points, "_i")
     right = _suffixed(points, "_j")
     oi, oj = F.col(f"{order}_i"), F.col(f"{order}_j")
     before = (oi <= oj) if include_self else (oi < oj)
 
-    if how == "nested":
-        parallelism = points.sparkSession.sparkContext.defaultParallelism
-        if left.rdd.getNumPartitions() < parallelism:
-            left = left.repartition(parallelism)
-        return left.join(F.broadcast(right), before, "inner")
-
     blocks = block_count(points.sparkSession, n, block_rows)
     last = F.lit(blocks - 1)
     left = left.withColumn("__bi", F.pmod(F.xxhash64(oi), F.lit(blocks)))
     left = left.withColumn("__bj", F.explode(F.sequence(F.col("__bi"), last)))
     right = right.withColumn("__bj", F.pmod(F.xxhash64(oj), F.lit(blocks)))
     right = right.withColumn("__bi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__bj"))))
-    joined = left.join(right, ["__bi", "__bj"], "inner").where(
+    # The work per block pair is quadratic while its shuffle bytes are not:
+    # a fixed partition count keeps adaptive execution from packing many
+    # block pairs into one task. Both sides share the partitioning, so the
+    # join adds no exchange of its own.
+    tasks = _task_count(points.sparkSession, blocks * (blocks + 1) // 2)
+    left = left.repartition(tasks, "__bi", "__bj")
+    right = right.repartition(tasks, "__bi", "__bj")
+    joined = left.join(right.hint("shuffle_hash"), ["__bi", "__bj"], "inner").where(
         (F.col("__bi") < F.col("__bj")) | before
     )
     swap = oi > oj
@@ -146,34 +151,23 @@ def cross_pairs(
     right: DataFrame,
     n_left: int,
     n_right: int,
-    dim: int,
     strategy: str = "auto",
     block_rows: int | None = None,
 ) -> DataFrame:
     """Every (left row, right row) pair: columns ``<c>_i`` (left), ``<c>_j`` (right).
 
-    ``nested`` broadcasts the smaller side when its counted size fits;
-    ``blocked`` hashes both sides into blocks and replicates each left row to
-    every right block and vice versa, then equi-joins on the block pair.
+    Both sides are hashed into blocks by their first column; each left row is
+    replicated to every right block and vice versa, and an equi-join on the
+    block pair gives each task one pair of blocks.
     """
+    _check_strategy(strategy)
     a = _suffixed(left, "_i")
     b = _suffixed(right, "_j")
-    small_rows = min(n_left, n_right)
-    how = strategy
-    if strategy == "auto":
-        fits = fits_broadcast(left.sparkSession, small_rows, vector_row_bytes(dim, len(left.columns)))
-        how = "nested" if fits else "blocked"
-    if how == "nested":
-        if n_left <= n_right:
-            return b.crossJoin(F.broadcast(a)).select(*a.columns, *b.columns)
-        return a.crossJoin(F.broadcast(b))
-    if how != "blocked":
-        raise ValueError("strategy must be 'auto', 'nested' or 'blocked'")
     spark = left.sparkSession
     bl = block_count(spark, n_left, block_rows)
     br = block_count(spark, n_right, block_rows)
-    key_i = F.xxhash64(*[F.col(c) for c in a.columns[:1]])
-    key_j = F.xxhash64(*[F.col(c) for c in b.columns[:1]])
+    key_i = F.xxhash64(F.col(a.columns[0]))
+    key_j = F.xxhash64(F.col(b.columns[0]))
     a = a.withColumn("__bl", F.pmod(key_i, F.lit(bl))).withColumn(
         "__br", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(br - 1).cast("bigint")))
     )
@@ -183,4 +177,7 @@ def cross_pairs(
     cols = [c for c in a.columns if not c.startswith("__")] + [
         c for c in b.columns if not c.startswith("__")
     ]
-    return a.join(b, ["__bl", "__br"], "inner").select(*cols)
+    tasks = _task_count(spark, bl * br)
+    a = a.repartition(tasks, "__bl", "__br")
+    b = b.repartition(tasks, "__bl", "__br")
+    return a.join(b.hint("shuffle_hash"), ["__bl", "__br"], "inner").select(*cols)

@@ -116,7 +116,7 @@ def pairwise_distance(spark, sf):
 
 
 def exact_diameter(spark, sf):
-    return geometry.diameter(tables.embedding_points(spark, sf), strategy="nested").select(
+    return geometry.diameter(tables.embedding_points(spark, sf)).select(
         _r("diameter")
     )
 

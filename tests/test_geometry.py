@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spreadkit.operators import geometry
-from spreadkit.operators.pairs import PointSetError, cross_pairs, point_stats, self_pairs
+from spreadkit.operators.pairs import PointSetError, cross_pairs, point_stats, self_pairs  # noqa: F401
 from spreadkit.sources import tables
 
 from conftest import FIXTURE_C, SF
@@ -16,7 +16,7 @@ def value(df):
     return df.first()[0]
 
 
-@pytest.mark.parametrize("strategy", ["nested", "blocked", "pruned", "auto"])
+@pytest.mark.parametrize("strategy", ["blocked", "pruned", "auto"])
 def test_fixture_c_diameter(make_points, strategy):
     d = value(geometry.diameter(make_points(FIXTURE_C), strategy=strategy))
     assert round(d, 6) == D_C
@@ -43,13 +43,24 @@ def test_blocked_pairs_cover_all_pairs(spark):
         assert agg.c == n * (n - 1) // 2 and agg.m > 0
 
 
-def test_cross_pairs_strategies_agree(spark, make_points):
+def test_cross_pairs_cover_all_pairs(spark, make_points):
     a = make_points(FIXTURE_C[:2])
     b = make_points(FIXTURE_C[2:])
-    nested = cross_pairs(a, b, 2, 4, 2, strategy="nested").select("id_i", "id_j")
-    blocked = cross_pairs(a, b, 2, 4, 2, strategy="blocked", block_rows=1).select("id_i", "id_j")
-    assert sorted(map(tuple, nested.collect())) == sorted(map(tuple, blocked.collect()))
-    assert len(nested.collect()) == 8
+    for block_rows in (None, 1, 3):
+        got = cross_pairs(a, b, 2, 4, block_rows=block_rows).select("id_i", "id_j").collect()
+        assert sorted(map(tuple, got)) == [(i, j) for i in (0, 1) for j in (2, 3, 4, 5)]
+
+
+def test_sampled_diameter_large_sample_uses_pairs(spark):
+    pts = tables.embedding_points(spark, SF)
+    small = value(geometry.sampled_diameter(pts, 60))  # 60 * 64 values: inlined
+    old = geometry.MAX_INLINE_VALUES
+    geometry.MAX_INLINE_VALUES = 0
+    try:
+        paired = value(geometry.sampled_diameter(pts, 60))
+    finally:
+        geometry.MAX_INLINE_VALUES = old
+    assert small == paired
 
 
 def test_pruned_equals_exact_on_lineitem(spark):
@@ -61,12 +72,12 @@ def test_pruned_equals_exact_on_lineitem(spark):
 
 def test_pruned_equals_exact_on_embeddings(spark):
     pts = tables.embedding_points(spark, SF)
-    assert value(geometry.diameter(pts, strategy="pruned")) == value(geometry.diameter(pts, strategy="nested"))
+    assert value(geometry.diameter(pts, strategy="pruned")) == value(geometry.diameter(pts, strategy="blocked"))
 
 
 def test_sampled_diameter_bounds(spark):
     pts = tables.embedding_points(spark, SF)
-    exact = value(geometry.diameter(pts, strategy="nested"))
+    exact = value(geometry.diameter(pts, strategy="blocked"))
     for k in (1, 5, 50):
         approx = value(geometry.sampled_diameter(pts, k))
         assert exact / 2 - 1e-9 <= approx <= exact + 1e-9
@@ -85,11 +96,11 @@ def test_sample_is_exact_size_and_repeatable(spark):
 def test_empty_and_single_point(spark, make_points):
     empty = make_points([])
     assert value(geometry.diameter(empty)) is None
-    assert value(geometry.diameter(empty, strategy="nested")) is None
+    assert value(geometry.diameter(empty, strategy="blocked")) is None
     assert value(geometry.avg_pairwise_distance(empty)) is None
     one = make_points([(9, (1.0, 2.0))])
     assert value(geometry.diameter(one)) == 0.0
-    assert value(geometry.diameter(one, strategy="nested")) == 0.0
+    assert value(geometry.diameter(one, strategy="blocked")) == 0.0
     assert value(geometry.avg_pairwise_distance(one)) is None
     assert value(geometry.sampled_diameter(one, 1)) is None
 
@@ -102,7 +113,7 @@ def test_equal_points_have_zero_diameter(make_points):
 def test_mixed_dimensions_raise(make_points):
     pts = make_points([(0, (1, 1)), (1, (1, 1, 1))])
     with pytest.raises(PointSetError):
-        geometry.diameter(pts, strategy="nested")
+        geometry.diameter(pts, strategy="blocked")
 
 
 def test_duplicate_vectors_are_kept_by_identity(make_points):
@@ -119,7 +130,7 @@ def test_unmeasurable_vectors_raise(spark, vec):
     df = spark.createDataFrame([(0, [0.0, 0.0]), (1, vec), (2, [3.0, 4.0])], "id bigint, vec array<double>")
     for run in (
         lambda: geometry.diameter(df).first(),
-        lambda: geometry.diameter(df, strategy="nested").first(),
+        lambda: geometry.diameter(df, strategy="blocked").first(),
         lambda: geometry.avg_pairwise_distance(df).first(),
         lambda: centers.farthest_first(df, 2).collect(),
     ):
