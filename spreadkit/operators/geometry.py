@@ -19,6 +19,9 @@ from spreadkit.runtime import cached, fits_broadcast, spread
 
 REFERENCE_SEED = 1242457
 
+# ``diameter(strategy="auto")`` prunes up to this dimension.
+PRUNE_MAX_DIM = 16
+
 
 def _points(points: DataFrame) -> DataFrame:
     return points.select("id", "vec")
@@ -51,10 +54,17 @@ def diameter(points: DataFrame, strategy: str = "auto") -> DataFrame:
 
     ``blocked`` examines all pairs (see :mod:`pairs`). ``pruned`` first
     bounds the answer cheaply and only examines the rows that can still be an
-    end of a longer pair; ``auto`` uses it and pairs up what survives.
+    end of a longer pair. ``auto`` prunes up to ``PRUNE_MAX_DIM`` dimensions
+    and pairs everything above.
     """
     pts = _points(points)
-    if strategy in ("auto", "pruned"):
+    if strategy == "auto":
+        # The bound prunes well in low dimension only; distances concentrate
+        # as the dimension grows and the extra scans would buy nothing.
+        probe = pts.selectExpr("size(vec) AS d").first()
+        low = probe is not None and probe["d"] is not None and probe["d"] <= PRUNE_MAX_DIM
+        strategy = "pruned" if low else "blocked"
+    if strategy == "pruned":
         return pruned_diameter(pts)
     n, dim = point_stats(pts)
     if n == 0:
@@ -87,12 +97,13 @@ def pruned_diameter(points: DataFrame, slack: float = 1e-9) -> DataFrame:
     dimension almost every row is pruned; in high dimension little is, and
     the cost is that of the plain all-pairs plan plus four scans.
     """
-    pts = cached(spread(_points(points)))
+    raw = _points(points)
+    spark = raw.sparkSession
+    probe = raw.selectExpr("size(vec) AS d").first()  # one row of the input
+    if probe is None:
+        return spark.createDataFrame([(None,)], "diameter double")
+    pts = cached(spread(raw))
     try:
-        spark = pts.sparkSession
-        probe = pts.selectExpr("size(vec) AS d").first()
-        if probe is None:
-            return spark.createDataFrame([(None,)], "diameter double")
         # One scan for the size check and the centroid together.
         stats = pts.agg(
             F.expr("min(size(vec))").alias("dmin"),
