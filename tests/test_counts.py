@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from spreadkit.functions.keys import bucket
 from spreadkit.operators import counts

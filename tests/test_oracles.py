@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 
 import math
-import os
 
 import duckdb
 import pytest

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from spreadkit.functions.text import tokens
 from spreadkit.operators import words
