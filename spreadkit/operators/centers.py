@@ -96,6 +96,8 @@ def farthest_first(
     temporary: list[DataFrame] = [pts] if persist_input else []
 
     # Round 0: first center per group plus the statistics, in one scan.
+    # A cached plan keeps its shuffle partitioning (adaptive execution does
+    # not coalesce it), so the small per-group result is coalesced first.
     first = cached(
         pts.groupBy("g").agg(
             F.min("id").alias("id"),
@@ -103,7 +105,7 @@ def farthest_first(
             F.min(F.size("vec")).alias("dmin"),
             F.max(F.size("vec")).alias("dmax"),
             F.expr(f"count_if({bad_vector_sql()})").alias("bad"),
-        )
+        ).coalesce(spark.sparkContext.defaultParallelism)
     )
     temporary.append(first)
     try:
@@ -177,7 +179,10 @@ def farthest_first(
                 kept.extend(rows)
                 local_recent.extend(rows)
             else:
-                new = cached(best.select("g", F.lit(step).alias("step"), "id", "vec", "d2"))
+                new = cached(
+                    best.select("g", F.lit(step).alias("step"), "id", "vec", "d2")
+                    .coalesce(spark.sparkContext.defaultParallelism)
+                )
                 if new.count() == 0:
                     new.unpersist()
                     break

@@ -4,11 +4,12 @@ Exact diameter, average distance and greedy matching are defined over all
 pairs of points, so their work is quadratic; this module bounds how that
 work is laid out. Every row is hashed into one of ``B`` blocks and
 replicated to the ``B + 1`` block pairs ``(bi <= bj)`` it belongs to; an
-equi-join on the block pair (a shuffled hash join, one block pair per task)
-hands each task at most ``MAX_BLOCK_ROWS^2`` pairs, which the caller's
-partial aggregate consumes inside the same stage. Blocks come from a hash of
-the row's order key, so no block is hot, whatever the data; nothing is
-broadcast and no cross join is planned.
+equi-join on the block pair hands each task at most ``MAX_BLOCK_ROWS^2``
+pairs, which the caller's partial aggregate consumes inside the same stage.
+Blocks come from a hash of the row's order key, so no block is hot, whatever
+the data. The replicated side is broadcast only when its counted size fits
+the cap; otherwise both sides are shuffled on the block pair. No cross join
+is planned.
 
 Pairs are unordered and listed once, oriented so that the ``_i`` side comes
 first in the given order column.
@@ -21,6 +22,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spreadkit.runtime import fits_broadcast, spread, vector_row_bytes
+
 
 # Largest block: a task then compares at most 16384^2 (about 2.7e8) pairs
 # and buffers one block of the other side.
@@ -43,15 +46,36 @@ def block_count(spark, rows: int, block_rows: int | None = None) -> int:
 
 
 def _task_count(spark, block_pairs: int) -> int:
-    """Partitions for the block-pair join.
+    """Partitions for the shuffled block-pair join.
 
     Twice the block pairs, so that hash collisions rarely put two block pairs
-    into one task, but no more than the larger of the shuffle partition
-    setting and four tasks per core; beyond that, block pairs share tasks.
+    into one task, capped at the larger of the shuffle setting and four tasks
+    per core (beyond that block pairs share tasks). Never below the shuffle
+    setting: Spark raises a two-sided join to it anyway.
     """
     cores = spark.sparkContext.defaultParallelism
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(2 * block_pairs, max(shuffle, 4 * cores)))
+    return max(shuffle, min(2 * block_pairs, 4 * cores))
+
+
+def _join_blocks(probe: DataFrame, build: DataFrame, keys: list[str], build_rows: int,
+                 row_bytes: int, block_pairs: int) -> DataFrame:
+    """Equi-join two block-replicated sides on their block-pair keys.
+
+    If the replicated build side has a counted size under the broadcast cap
+    it is broadcast and the probe side, spread over the cores, needs no
+    shuffle. Otherwise both sides are hash-partitioned on the keys with a
+    fixed task count (adaptive execution would otherwise pack many
+    compute-heavy block pairs into one task) and joined by a shuffled hash
+    join that builds one block per key.
+    """
+    spark = probe.sparkSession
+    if fits_broadcast(spark, build_rows, row_bytes):
+        return spread(probe).join(F.broadcast(build), keys, "inner")
+    tasks = _task_count(spark, block_pairs)
+    probe = probe.repartition(tasks, *keys)
+    build = build.repartition(tasks, *keys)
+    return probe.join(build.hint("shuffle_hash"), keys, "inner")
 
 
 class PointSetError(ValueError):
@@ -127,14 +151,11 @@ def self_pairs(
     left = left.withColumn("__bj", F.explode(F.sequence(F.col("__bi"), last)))
     right = right.withColumn("__bj", F.pmod(F.xxhash64(oj), F.lit(blocks)))
     right = right.withColumn("__bi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__bj"))))
-    # The work per block pair is quadratic while its shuffle bytes are not:
-    # a fixed partition count keeps adaptive execution from packing many
-    # block pairs into one task. Both sides share the partitioning, so the
-    # join adds no exchange of its own.
-    tasks = _task_count(points.sparkSession, blocks * (blocks + 1) // 2)
-    left = left.repartition(tasks, "__bi", "__bj")
-    right = right.repartition(tasks, "__bi", "__bj")
-    joined = left.join(right.hint("shuffle_hash"), ["__bi", "__bj"], "inner").where(
+    # The right side holds each row about (B + 1) / 2 times.
+    joined = _join_blocks(
+        left, right, ["__bi", "__bj"], n * (blocks + 1) // 2 + 1,
+        vector_row_bytes(dim, len(cols)), blocks * (blocks + 1) // 2,
+    ).where(
         (F.col("__bi") < F.col("__bj")) | before
     )
     swap = oi > oj
@@ -151,6 +172,7 @@ def cross_pairs(
     right: DataFrame,
     n_left: int,
     n_right: int,
+    dim: int,
     strategy: str = "auto",
     block_rows: int | None = None,
 ) -> DataFrame:
@@ -158,7 +180,7 @@ def cross_pairs(
 
     Both sides are hashed into blocks by their first column; each left row is
     replicated to every right block and vice versa, and an equi-join on the
-    block pair gives each task one pair of blocks.
+    block pair gives each task one pair of blocks (see :func:`_join_blocks`).
     """
     _check_strategy(strategy)
     a = _suffixed(left, "_i")
@@ -177,7 +199,7 @@ def cross_pairs(
     cols = [c for c in a.columns if not c.startswith("__")] + [
         c for c in b.columns if not c.startswith("__")
     ]
-    tasks = _task_count(spark, bl * br)
-    a = a.repartition(tasks, "__bl", "__br")
-    b = b.repartition(tasks, "__bl", "__br")
-    return a.join(b.hint("shuffle_hash"), ["__bl", "__br"], "inner").select(*cols)
+    joined = _join_blocks(
+        b, a, ["__bl", "__br"], n_left * br, vector_row_bytes(dim, len(left.columns)), bl * br
+    )
+    return joined.select(*cols)

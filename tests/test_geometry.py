@@ -47,7 +47,7 @@ def test_cross_pairs_cover_all_pairs(spark, make_points):
     a = make_points(FIXTURE_C[:2])
     b = make_points(FIXTURE_C[2:])
     for block_rows in (None, 1, 3):
-        got = cross_pairs(a, b, 2, 4, block_rows=block_rows).select("id_i", "id_j").collect()
+        got = cross_pairs(a, b, 2, 4, 2, block_rows=block_rows).select("id_i", "id_j").collect()
         assert sorted(map(tuple, got)) == [(i, j) for i in (0, 1) for j in (2, 3, 4, 5)]
 
 
