@@ -91,7 +91,7 @@ def farthest_first(
     g = F.col(group) if group else F.lit(0).cast("bigint")
     pts = points.select(g.cast("bigint").alias("g"), "id", "vec")
     if persist_input:
-        pts = cached(spread(pts))
+        pts = cached(spread(pts, key="id"))
     spark = pts.sparkSession
     temporary: list[DataFrame] = [pts] if persist_input else []
 

@@ -102,7 +102,7 @@ def pruned_diameter(points: DataFrame, slack: float = 1e-9) -> DataFrame:
     probe = raw.selectExpr("size(vec) AS d").first()  # one row of the input
     if probe is None:
         return spark.createDataFrame([(None,)], "diameter double")
-    pts = cached(spread(raw))
+    pts = cached(spread(raw, key="id"))
     try:
         # One scan for the size check and the centroid together.
         stats = pts.agg(

@@ -59,7 +59,7 @@ def _task_count(spark, block_pairs: int) -> int:
 
 
 def _join_blocks(probe: DataFrame, build: DataFrame, keys: list[str], build_rows: int,
-                 row_bytes: int, block_pairs: int) -> DataFrame:
+                 row_bytes: int, block_pairs: int, probe_key: str) -> DataFrame:
     """Equi-join two block-replicated sides on their block-pair keys.
 
     If the replicated build side has a counted size under the broadcast cap
@@ -71,7 +71,7 @@ def _join_blocks(probe: DataFrame, build: DataFrame, keys: list[str], build_rows
     """
     spark = probe.sparkSession
     if fits_broadcast(spark, build_rows, row_bytes):
-        return spread(probe).join(F.broadcast(build), keys, "inner")
+        return spread(probe, key=probe_key).join(F.broadcast(build), keys, "inner")
     tasks = _task_count(spark, block_pairs)
     probe = probe.repartition(tasks, *keys)
     build = build.repartition(tasks, *keys)
@@ -154,7 +154,7 @@ def self_pairs(
     # The right side holds each row about (B + 1) / 2 times.
     joined = _join_blocks(
         left, right, ["__bi", "__bj"], n * (blocks + 1) // 2 + 1,
-        vector_row_bytes(dim, len(cols)), blocks * (blocks + 1) // 2,
+        vector_row_bytes(dim, len(cols)), blocks * (blocks + 1) // 2, f"{order}_i",
     ).where(
         (F.col("__bi") < F.col("__bj")) | before
     )
@@ -200,6 +200,7 @@ def cross_pairs(
         c for c in b.columns if not c.startswith("__")
     ]
     joined = _join_blocks(
-        b, a, ["__bl", "__br"], n_left * br, vector_row_bytes(dim, len(left.columns)), bl * br
+        b, a, ["__bl", "__br"], n_left * br, vector_row_bytes(dim, len(left.columns)), bl * br,
+        b.columns[0],
     )
     return joined.select(*cols)

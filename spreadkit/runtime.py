@@ -87,14 +87,16 @@ def cached(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Give ``df`` at least one partition per core before it is reused.
 
     A small input read from one file arrives in a handful of partitions and
     would run every later pass on that many cores; a large input already has
-    more splits than cores and is left alone (no shuffle).
+    more splits than cores and is left alone (no shuffle). With a unique
+    ``key`` the rows are hash-partitioned on it, which is deterministic on
+    retry without the per-partition sort that round-robin needs.
     """
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
+        return df.repartition(parallelism, key) if key else df.repartition(parallelism)
     return df
