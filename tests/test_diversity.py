@@ -75,3 +75,13 @@ def test_dominant_rounds_with_ties(make_points):
         seq = picks(diversity.greedy_matching(pts, k, rounds="sequential"))
         dom = picks(diversity.greedy_matching(pts, k, rounds="dominant"))
         assert seq == dom
+
+
+def test_k_must_be_positive(make_points):
+    from spreadkit.operators import geometry
+
+    pts = make_points(FIXTURE_C)
+    for bad in (lambda: diversity.greedy_matching(pts, 0), lambda: geometry.sampled_diameter(pts, 0),
+                lambda: diversity.coreset(pts, 2, 0)):
+        with pytest.raises(ValueError):
+            bad()

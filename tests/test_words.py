@@ -45,3 +45,16 @@ def test_avg_word_length_empty_is_null(spark):
 def test_token_counts(spark):
     d = docs(spark, ["a b", "", "  "])
     assert [r.n_tokens for r in words.token_counts(d).orderBy("doc_id").collect()] == [2, 1, 0]
+
+
+def test_lengths_are_code_points_and_order_is_utf8(spark):
+    from spreadkit.operators import counts
+
+    d = docs(spark, ["\U0001F600a é"])  # a supplementary character, then e-acute
+    counts_ = words.word_count(d)
+    # "\U0001F600a" has 2 code points (3 UTF-16 units), "é" has 1: (2 + 1) div 2 = 1
+    assert words.avg_word_length(counts_).first()["avg_word_length"] == 1
+    ordered = [r["class"] for r in counts.sorted_by_class(
+        spark.createDataFrame([(0, "ｚ"), (1, "\U0001F600"), (2, "z")], "key bigint, class string")
+        .transform(counts.class_count)).collect()]
+    assert ordered == ["z", "ｚ", "\U0001F600"]  # UTF-8 byte order
