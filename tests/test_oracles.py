@@ -35,11 +35,12 @@ def con():
 
 
 ORACLES = entry.oracle_sql()
+QUERIES = entry.QUERIES
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = df.collect()
     if name not in ORACLES:
         assert len(got) >= 1
@@ -58,5 +59,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_but_physical_partitions():
-    missing = set(entry.queries()) - set(ORACLES)
+    missing = set(QUERIES) - set(ORACLES)
     assert missing == {"max_partition_size_physical"}
