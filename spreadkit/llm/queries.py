@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spreadkit.llm.id_planes import write_and_read
+from spreadkit.llm.language import identify
 from spreadkit.llm.packing import pack_documents
+from spreadkit.llm.repetition import quality
+from spreadkit.llm.resampling import resample
 from spreadkit.llm.tables import read
 from spreadkit.llm.token_counts import token_counts
 
@@ -20,12 +23,27 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), rule="drop")
 
 
+def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measures, ``base_failed`` and ``kept`` per document."""
+    return quality(read(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` per piece."""
     pieces = pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), rule="drop", end_id=1)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op6_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_features, log_weight, score, kept`` per document."""
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` per document."""
+    return identify(read(spark, sf_dir, "documents"))
+
+
 def op10_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` per document, from the files read back."""
     docs = write_and_read(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), rule="keep", end_id=0)
@@ -34,6 +52,9 @@ def op10_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_repetition": op3_repetition,
     "op4_packing": op4_packing,
+    "op6_resampling": op6_resampling,
+    "op9_language": op9_language,
     "op10_id_planes": op10_id_planes,
 }
