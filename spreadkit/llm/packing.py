@@ -196,8 +196,7 @@ def pack(histogram: np.ndarray, window: int, first_sequence: int = 0) -> np.ndar
     combos = combinations(histogram, window)
     counts = repeat_counts(combos, histogram)
     for j in np.argsort(-counts, kind="stable"):
-        uses = np.unique(combos[j], return_counts=True)
-        repeats = min([int(counts[j]), *(stock.count[n] // u for n, u in zip(*uses))])
+        repeats = min([int(counts[j]), *(stock.count[n] // combos[j].count(n) for n in set(combos[j]))])
         if repeats > 0:
             fill([(n, n) for n in reversed(combos[j])], repeats)
 
