@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spreadkit.llm.decontamination import decontaminate
 from spreadkit.llm.id_planes import write_and_read
 from spreadkit.llm.language import identify
 from spreadkit.llm.packing import pack_documents
@@ -39,6 +40,11 @@ def op6_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it."""
+    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` per document."""
     return identify(read(spark, sf_dir, "documents"))
@@ -55,6 +61,7 @@ QUERIES = {
     "op3_repetition": op3_repetition,
     "op4_packing": op4_packing,
     "op6_resampling": op6_resampling,
+    "op7_decontamination": op7_decontamination,
     "op9_language": op9_language,
     "op10_id_planes": op10_id_planes,
 }
