@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from spreadkit.llm.decontamination import decontaminate
 from spreadkit.llm.id_planes import write_and_read
 from spreadkit.llm.language import identify
+from spreadkit.llm.ngram_join import ngram_components
 from spreadkit.llm.packing import pack_documents
 from spreadkit.llm.repetition import quality
 from spreadkit.llm.resampling import resample
@@ -24,6 +25,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), rule="drop")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` per document."""
+    return ngram_components(read(spark, sf_dir, "documents"))
+
+
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measures, ``base_failed`` and ``kept`` per document."""
     return quality(read(spark, sf_dir, "documents"))
@@ -58,6 +64,7 @@ def op10_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_ngram_join": op2_ngram_join,
     "op3_repetition": op3_repetition,
     "op4_packing": op4_packing,
     "op6_resampling": op6_resampling,
