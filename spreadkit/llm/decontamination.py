@@ -205,6 +205,24 @@ def decontaminate(
     )
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item is found, all columns as
+    they are."""
+    at = docs.columns.index(text_col)
+    for index in indexes(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                for rows in findings(shared.value, batch.column(at).to_pylist()):
+                    clean[[r[0] for r in rows]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(search, docs.schema)
+    return docs
+
+
 NAMES = [f.split()[0] for f in FOUND.split(", ")]
 
 

@@ -13,6 +13,8 @@ from spreadkit.llm.ngram_join import ngram_components
 from spreadkit.llm.packing import pack_documents
 from spreadkit.llm.repetition import quality
 from spreadkit.llm.resampling import resample
+from spreadkit.llm.secret_scan import scan
+from spreadkit.llm.site_style_tree import extract
 from spreadkit.llm.tables import read
 from spreadkit.llm.token_counts import token_counts
 
@@ -41,6 +43,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op5_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_id, url, text, n_chars`` per page."""
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op6_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_features, log_weight, score, kept`` per document."""
     return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -51,6 +58,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per candidate with the forest's verdict."""
+    return scan(read(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` per document."""
     return identify(read(spark, sf_dir, "documents"))
@@ -67,8 +79,10 @@ QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_repetition": op3_repetition,
     "op4_packing": op4_packing,
+    "op5_site_style_tree": op5_site_style_tree,
     "op6_resampling": op6_resampling,
     "op7_decontamination": op7_decontamination,
+    "op8_secrets": op8_secrets,
     "op9_language": op9_language,
     "op10_id_planes": op10_id_planes,
 }

@@ -27,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from spreadkit.llm.textarrays import IS_SPACE, mix, ragged, span_hashes, text_bytes, windows, words
 
@@ -150,32 +149,41 @@ def _repeated_lines(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.bincount(text, minlength=n) - np.bincount(text[first], minlength=n)
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_cols: list[str] | None = None) -> DataFrame:
-    """``doc_id``, the measures, ``base_failed`` and ``kept`` of each row, with
-    ``keep_cols`` of the input carried along."""
-    carried = keep_cols or []
-    source = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"), *[F.col(f"`{c}`") for c in carried])
-    fields = ["_id bigint", *[f"_{m} bigint" for m in MEASURES]]
-    carried_schema = source.select(*[F.col(f"`{c}`") for c in carried]).schema
+def verdict(measures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``base_failed`` and ``kept`` from the columns ``MEASURES``."""
+    n, repeat, cover, longest = measures[0], measures[4], measures[5], measures[6]
+    failed = (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_WORDS * n)
+    return failed, ~failed & (100 * cover <= MAX_COVERED * n) & (100 * longest <= MAX_LONGEST * n)
+
+
+def judged(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Measures, ``base_failed`` and ``kept`` of a column of texts."""
+    data, offsets = text_bytes(column)
+    parts = [measure(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in windows(offsets, STRETCH_BYTES)]
+    measures = np.concatenate(parts, axis=1) if parts else np.zeros((len(MEASURES), 0), np.int64)
+    return measures, *verdict(measures)
+
+
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, the measures, ``base_failed`` and ``kept`` of each row."""
+    names = ["doc_id", *MEASURES, "base_failed", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["_id", *[f"_{m}" for m in MEASURES], *carried]
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            parts = [measure(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in windows(offsets, STRETCH_BYTES)]
-            if parts:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x) for x in np.concatenate(parts, axis=1)], *batch.columns[2:]], names)
-
-    schema = StructType.fromDDL(", ".join(fields))
-    for field in carried_schema:
-        schema = schema.add(field)
-    judged = source.mapInArrow(run, schema)
-    base = (F.col("_n_words") < MIN_WORDS) | (100 * F.col("_n_repeat_words") > MAX_REPEAT_WORDS * F.col("_n_words"))
-    fine = (100 * F.col("_covered_words") <= MAX_COVERED * F.col("_n_words")) & (
-        100 * F.col("_longest_repeat") <= MAX_LONGEST * F.col("_n_words")
-    )
-    columns = [F.col("_id").alias("doc_id"), *[F.col(f"_{m}").alias(m) for m in MEASURES]]
-    columns += [base.alias("base_failed"), (~base & fine).alias("kept")]
-    if carried:  # the caller's columns, and the verdict under a name of its own
-        return judged.select(*[F.col(f"`{c}`") for c in carried], (~base & fine).alias("_kept"))
-    return judged.select(*columns)
+            measures, failed, kept = judged(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, measures), pa.array(failed), pa.array(kept)], names)
+
+    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    fields = ["doc_id bigint", *[f"{m} bigint" for m in MEASURES], "base_failed boolean", "kept boolean"]
+    return source.mapInArrow(run, ", ".join(fields))
+
+
+def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is kept, all columns as they are."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(judged(batch.column(at))[2]))
+
+    return docs.mapInArrow(run, docs.schema)
