@@ -1,15 +1,15 @@
 """Column expressions used by the operators (all JVM-side built-ins)."""
 
-from spreadkit.functions.keys import bucket, salt, seeded_rank_key
+from spreadkit.functions.keys import bucket, partition_number, salt, seeded_rank
 from spreadkit.functions.text import tokens, word_length
-from spreadkit.functions.vectors import coordinates, distance, sqdist
+from spreadkit.functions.vectors import coordinates, sqdist
 
 __all__ = [
     "bucket",
     "coordinates",
-    "distance",
+    "partition_number",
     "salt",
-    "seeded_rank_key",
+    "seeded_rank",
     "sqdist",
     "tokens",
     "word_length",

@@ -17,6 +17,13 @@ def bucket(key: Column | str, k: int) -> Column:
     return _col(key) % F.lit(k)
 
 
+def partition_number(key: Column | str, k: int) -> Column:
+    """``pmod(key, k)``: a partition number in ``[0, k)``, for negative keys too."""
+    if k < 1:
+        raise ValueError("the number of partitions must be positive")
+    return F.pmod(_col(key), F.lit(k))
+
+
 def salt(k: int, *cols: Column | str) -> Column:
     """Deterministic salt in ``[0, k)`` from a hash of ``cols``.
 
@@ -28,10 +35,12 @@ def salt(k: int, *cols: Column | str) -> Column:
     return F.pmod(F.xxhash64(*[_col(c) for c in cols]), F.lit(k)).cast("int")
 
 
-def seeded_rank_key(seed: int, key: Column | str) -> Column:
-    """Hex MD5 of ``'<seed>:<key>'``: a seeded, order-free ranking key.
+def seeded_rank(seed: int, key: Column | str) -> Column:
+    """The first 60 bits of the MD5 of ``'<seed>:<key>'``, as a bigint: a
+    seeded, order-free rank.
 
-    Sorting by it (then by the key) gives the same uniform sample on every run
-    and on every engine that has ``md5`` and ``concat_ws``.
+    The smallest ranks are the same uniform sample on every run and on every
+    engine that has ``md5``.
     """
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), _col(key).cast("string")))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), _col(key).cast("string")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")

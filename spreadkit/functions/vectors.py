@@ -86,11 +86,6 @@ def sqdist(a: Column | str, b: Column | str | list[float], dim: int | None = Non
     )
 
 
-def distance(a: Column | str, b: Column | str, dim: int | None = None) -> Column:
-    """Euclidean distance."""
-    return F.sqrt(sqdist(a, b, dim))
-
-
 def coordinates(vec: Column | str, dim: int, prefix: str = "x") -> list[Column]:
     """One column per coordinate, named ``x0 .. x{dim-1}``."""
     vec = _col(vec)

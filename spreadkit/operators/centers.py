@@ -5,206 +5,135 @@ Semantics, fixed so that the answer does not depend on partitioning:
 * the first center of a group is its smallest id;
 * each later center is the not-yet-chosen point whose squared distance to
   the nearest chosen center is largest, ties going to the smaller id;
-* a group smaller than ``k`` yields all its points; an empty group nothing.
-
-Plan per round: the centers chosen since the last checkpoint of the state
-are gathered per group into one small array row, joined to the points on the
-group key (broadcast when the counted size fits, a shuffled join otherwise),
-and each point's running minimum distance is updated with plain arithmetic.
-The next center per group is a ``max`` over ``(d2, -id)``, which Spark
-aggregates partially in every task, so only one row per task and group
-crosses the shuffle even if one group holds most of the data.
-
-Every ``checkpoint_every`` rounds the per-point state (``d2``, chosen rows
-removed) is written as a reliable checkpoint, so a round never recomputes
-more than ``checkpoint_every`` distances per point and a lost executor
-replays at most that much. Each round's new centers are written the same
-way; nothing but counts reaches the driver.
+* a group smaller than ``k`` yields all its points; an empty group nothing;
+* a NULL group or id, or an id that occurs twice in a group, is an error.
+
+Every point carries its squared distance to the nearest center so far. A round
+joins the one new center of each group (broadcast when the counted size fits,
+else copied over salts and shuffled), lowers the distances, takes the largest
+per group in a hash aggregate, and the smallest id among the points that have
+it. The new centers are written to the shared folder; nothing but counts and the
+point checks reaches the driver.
+
+The state of a round replaces that of the round before in executor memory. Every
+``checkpoint_every`` rounds ``(g, id, d2)`` is written to the shared folder, the
+previous such table removed, and the state rebuilt from it and the points, which
+bounds what a lost executor makes others compute again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spreadkit.functions.vectors import sqdist_sql
-from spreadkit.operators.pairs import bad_vector_sql, check_point_stats
-from spreadkit.runtime import cached, durable, fits_broadcast, spread, vector_row_bytes
+from spreadkit.functions.vectors import sqdist
+from spreadkit.operators.pairs import check_point_stats, point_checks
+from spreadkit.runtime import cached, fits_broadcast, remove_path, vector_row_bytes, work_path
 
-INF = float("inf")
+CHOSEN = -1.0  # the distance of a point that is a center
+SALTS = 64
 
 
-# Most arithmetic terms written out in one projection; a larger generated
-# method is no longer compiled by the JIT and runs slower than the
-# higher-order form.
-MAX_UNROLLED_TERMS = 128
+class GroupError(ValueError):
+    """Groups or ids that do not identify the points."""
 
 
-def _recent_distance(d2: str, vec: str, centers: list[str], dim: int) -> Column:
-    """``least(d2, sqdist(vec, c) for c in centers)``; a NULL center is ignored."""
-    if not centers:
-        return F.col(d2)
-    unrolled = len(centers) * dim <= MAX_UNROLLED_TERMS
-    terms = [d2] + [sqdist_sql(vec, c, dim if unrolled else None) for c in centers]
-    return F.expr("least(" + ", ".join(terms) + ")")
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-CENTER_SCHEMA = "g bigint, step int, id bigint, vec array<double>, d2 double"
-PER_GROUP_SCHEMA = "g bigint, cs array<struct<id:bigint,vec:array<double>>>"
+def _with_group_row(state: DataFrame, rows: DataFrame, small: bool) -> DataFrame:
+    """Join one row per group to the points of the group."""
+    if small:
+        return state.join(F.broadcast(rows), "g")
+    salted = rows.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = state.withColumn("__salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return own.join(salted, ["g", "__salt"]).drop("__salt")
 
 
 def farthest_first(
-    points: DataFrame,
-    k: int,
-    group: str | None = None,
-    checkpoint_every: int = 8,
-    persist_input: bool = True,
+    points: DataFrame, k: int, group: str | None = None, checkpoint_every: int = 8
 ) -> DataFrame:
     """Pick up to ``k`` centers per group by farthest-first traversal.
 
-    ``points`` has ``id bigint, vec array<double>`` and, if ``group`` is
-    given, that group column. Returns ``[group,] step, id, vec, d2`` where
-    ``step`` is 0-based and ``d2`` is the squared distance to the nearest
-    earlier center when the point was chosen (NULL for step 0).
-
-    ``persist_input`` keeps the projected points (memory, then disk) for the
-    ``k`` scans, as Spark's own iterative estimators do with their input.
-
-    Where the centers live between rounds depends on their counted size. If
-    all ``k * groups`` of them fit under the broadcast cap they are collected
-    after each round (one small job) and joined back as a local relation,
-    the way Spark's k-means handles its centers. Otherwise each round's
-    centers stay distributed (cached, and checkpointed with the state) and
-    the result is a reliable checkpoint.
+    ``points`` has ``id, vec array<double>`` and, if ``group`` is given, that
+    group column. Returns ``[group,] step, id, vec, d2`` where ``step`` is
+    0-based and ``d2`` is the squared distance to the nearest earlier center
+    when the point was chosen (NULL for step 0).
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     if checkpoint_every < 1:
         raise ValueError("checkpoint_every must be at least 1")
-    g = F.col(group) if group else F.lit(0).cast("bigint")
-    pts = points.select(g.cast("bigint").alias("g"), "id", "vec")
-    if persist_input:
-        pts = cached(spread(pts, key="id"))
-    spark = pts.sparkSession
-    temporary: list[DataFrame] = [pts] if persist_input else []
-
-    # Round 0: first center per group plus the statistics, in one scan.
-    # A cached plan keeps its shuffle partitioning (adaptive execution does
-    # not coalesce it), so the small per-group result is coalesced first.
-    first = cached(
-        pts.groupBy("g").agg(
-            F.min("id").alias("id"),
-            F.min_by("vec", "id").alias("vec"),
-            F.min(F.size("vec")).alias("dmin"),
-            F.max(F.size("vec")).alias("dmax"),
-            F.expr(f"count_if({bad_vector_sql()})").alias("bad"),
-        ).coalesce(spark.sparkContext.defaultParallelism)
-    )
-    temporary.append(first)
+    spark = points.sparkSession
+    g = F.col(group) if group else F.lit(0)
+    # by (g, id): the uniqueness check and the checkpoints' join need no other shuffle
+    pts = cached(points.select(g.cast("bigint").alias("g"), "id", "vec").repartition("g", "id"))
+    folder = work_path(spark, "centers")
+    state, saved = pts, None
     try:
-        stats = first.agg(
-            F.count(F.lit(1)).alias("groups"),
-            F.min("dmin").alias("dmin"),
-            F.max("dmax").alias("dmax"),
-            F.sum("bad").alias("bad"),
-        ).first()
-        groups = int(stats["groups"])
-        check_point_stats(groups, stats["dmin"], stats["dmax"], int(stats["bad"] or 0))
-        dim = int(stats["dmin"] or 0)
-        on_driver = fits_broadcast(spark, groups * k, vector_row_bytes(dim, 3))
-        seed = first.select(
-            "g", F.lit(0).alias("step"), "id", "vec", F.lit(None).cast("double").alias("d2")
-        )
-        if on_driver:
-            kept: list = [tuple(r) for r in seed.collect()]
-            local_recent: list = list(kept)
-        else:
-            settled: DataFrame | None = None  # centers already folded into `state`
-            recent = [seed]
-        state = pts.withColumn("d2", F.lit(INF))
-
-        for step in range(1, k if groups else 1):
-            # A fixed number of center slots keeps every round's plan, and so
-            # its generated code, identical; empty slots are NULL and ignored.
-            n_recent = min(checkpoint_every, k - 1)
-            if on_driver:
-                by_group: dict = {}
-                for g_, _, id_, vec_, _ in local_recent:
-                    by_group.setdefault(g_, []).append((id_, vec_))
-                per_group = F.broadcast(spark.createDataFrame(list(by_group.items()), PER_GROUP_SCHEMA))
-            else:
-                per_group = _union(recent).groupBy("g").agg(
-                    F.collect_list(F.struct("id", "vec")).alias("cs")
-                )
-                if fits_broadcast(spark, groups, vector_row_bytes(dim, 1) * n_recent):
-                    per_group = F.broadcast(per_group)
-            joined = state.join(per_group, "g", "left")
-            chosen = F.expr("coalesce(array_contains(cs.id, id), false)")
-            names = [f"__c{i}" for i in range(n_recent)]
-            widened = joined.filter(~chosen).selectExpr(
-                "g", "id", "vec", "d2",
-                *[f"try_element_at(cs, {i + 1}).vec AS {c}" for i, c in enumerate(names)],
+        groups, largest_group, dim = _checked(pts)
+        small = fits_broadcast(spark, groups, vector_row_bytes(dim, 3))
+        schema = pts.select("g", "id", "vec", F.lit(None).cast("double").alias("d2")).schema
+
+        first = pts.groupBy("g").agg(F.min("id").alias("first"))
+        chosen = _with_group_row(pts, first, small).where("id = first")
+        chosen.select("g", "id", "vec", F.lit(None).cast("double").alias("d2")).write.parquet(f"{folder}/step=0")
+        state = pts.withColumn("d2", F.lit(float("inf")))
+        for step in range(1, min(k, largest_group)):  # then every group has run out of points
+            new = spark.read.schema(schema).parquet(f"{folder}/step={step - 1}").select(
+                "g", F.col("id").alias("center"), F.col("vec").alias("cvec")
             )
-            updated = widened.select(
-                "g", "id", "vec", _recent_distance("d2", "vec", names, dim).alias("d2")
+            lowered = _with_group_row(state, new, small).select(
+                "g", "id", "vec",
+                F.when(F.col("id") == F.col("center"), F.lit(CHOSEN))
+                .otherwise(F.least("d2", sqdist("vec", "cvec", dim))).alias("d2"),
             )
-            if step % checkpoint_every == 0:
-                # Fold the recent centers into a durable state and cut lineage.
-                state = durable(updated)
-                updated = state
-                if on_driver:
-                    local_recent = []
-                else:
-                    done = recent if settled is None else [settled] + recent
-                    settled = durable(_union(done))
-                    for r in recent:
-                        r.unpersist()
-                    recent = []
-            best = updated.groupBy("g").agg(
-                F.expr("max_by(id, struct(d2, -id))").alias("id"),
-                F.expr("max_by(vec, struct(d2, -id))").alias("vec"),
-                F.max("d2").alias("d2"),
+            before, state = state, cached(lowered)
+            largest = state.groupBy("g").agg(F.max("d2").alias("largest")).where("largest >= 0")
+            best = _with_group_row(state, largest, small).where("d2 = largest").groupBy("g").agg(
+                F.min("id").alias("id"), F.min_by("vec", "id").alias("vec"), F.max("d2").alias("d2")
             )
-            if on_driver:
-                rows = [(r["g"], step, r["id"], r["vec"], r["d2"]) for r in best.collect()]
-                if not rows:
-                    break  # every group has run out of points
-                kept.extend(rows)
-                local_recent.extend(rows)
-            else:
-                new = cached(
-                    best.select("g", F.lit(step).alias("step"), "id", "vec", "d2")
-                    .coalesce(spark.sparkContext.defaultParallelism)
-                )
-                if new.count() == 0:
-                    new.unpersist()
-                    break
-                recent.append(new)
-
-        if on_driver:
-            result = spark.createDataFrame(kept, CENTER_SCHEMA)
-        else:
-            parts = ([settled] if settled is not None else []) + recent
-            result = durable(_union(parts))
-            for r in recent:
-                r.unpersist()
+            best.write.parquet(f"{folder}/step={step}")
+            if before is not pts:
+                before.unpersist()
+            if step % checkpoint_every == 0:
+                path = work_path(spark, "distances")
+                state.select("g", "id", "d2").write.parquet(path)
+                state.unpersist()
+                distances = spark.read.schema(state.select("g", "id", "d2").schema).parquet(path)
+                state = pts.join(distances, ["g", "id"]).select("g", "id", "vec", "d2")
+                if saved:
+                    remove_path(spark, saved)
+                saved = path
     finally:
-        for t in temporary:
-            t.unpersist()
-    cols = ([F.col("g").alias(group)] if group else []) + ["step", "id", "vec", "d2"]
-    return result.select(*cols)
+        state.unpersist()
+        pts.unpersist()
+        if saved:
+            remove_path(spark, saved)
+    result = spark.read.schema(schema.add("step", T.IntegerType())).parquet(folder)
+    return result.select(*([F.col("g").alias(group)] if group else []), "step", "id", "vec", "d2")
+
+
+def _checked(pts: DataFrame) -> tuple[int, int, int]:
+    """``(groups, points of the largest group, dim)``; raises for points that
+    can't be measured or told apart."""
+    per_id = pts.groupBy("g", "id").agg(*point_checks())  # no shuffle: pts is dealt by (g, id)
+    per_group = per_id.groupBy("g").agg(
+        F.sum("n").alias("n"), F.max("n").alias("most"), F.count_if(F.col("g").isNull() | F.col("id").isNull()).alias("nulls"),
+        F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"), F.sum("bad").alias("bad"),
+    )
+    row = per_group.agg(
+        F.count(F.lit(1)).alias("groups"), F.max("n").alias("n"), F.max("most").alias("most"), F.sum("nulls").alias("nulls"),
+        F.min("dmin").alias("dmin"), F.max("dmax").alias("dmax"), F.sum("bad").alias("bad"),
+    ).first()
+    check_point_stats(row["n"] or 0, row["dmin"], row["dmax"], row["bad"] or 0)
+    if row["nulls"]:
+        raise GroupError("points have a NULL group or id")
+    if (row["most"] or 0) > 1:
+        raise GroupError("an id occurs more than once in a group")
+    return row["groups"], row["n"] or 0, row["dmin"] or 0
 
 
 def center_diameter(points: DataFrame, k: int) -> DataFrame:
     """Exact diameter of the ``k`` farthest-first centers (F2), one row ``diameter``."""
     from spreadkit.operators.geometry import diameter
 
-    centers = farthest_first(points, k).select("id", "vec")
-    return diameter(centers, strategy="blocked")
+    return diameter(farthest_first(points, k).select("id", "vec"))

@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 from spreadkit.functions.keys import bucket
 
 
-def row_count(df: DataFrame, name: str = "n") -> DataFrame:
-    """One row with the number of rows (A1)."""
-    return df.agg(F.count(F.lit(1)).alias(name))
-
-
 def class_count(
     df: DataFrame,
     key: str = "key",
@@ -65,7 +60,7 @@ def partition_sizes(df: DataFrame, by: Column | str | None = None) -> DataFrame:
 
     ``by=None`` profiles the physical Spark partitions (``spark_partition_id``);
     a column or expression gives the reproducible logical form, e.g.
-    ``bucket('key', K)``.
+    ``partition_number('key', K)``.
     """
     if by is None:
         part = F.spark_partition_id()
@@ -78,3 +73,12 @@ def max_partition_size(df: DataFrame, by: Column | str | None = None) -> DataFra
     """Largest partition size (A4), one row ``max_partition_size``."""
     sizes = partition_sizes(df, by)
     return sizes.agg(F.max("size").alias("max_partition_size"))
+
+
+def balance(df: DataFrame) -> DataFrame:
+    """What holds of any balanced redistribution (X1): one row ``partitions,
+    n_rows, balanced``, where ``balanced`` says that no partition has more than
+    twice the mean."""
+    sizes = partition_sizes(df)
+    total = sizes.agg(F.count(F.lit(1)).alias("partitions"), F.sum("size").cast("bigint").alias("n_rows"), F.max("size").alias("most"))
+    return total.select("partitions", "n_rows", (F.col("most") * F.col("partitions") <= 2 * F.col("n_rows")).alias("balanced"))

@@ -18,159 +18,97 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spreadkit.functions.keys import partition_number
 from spreadkit.functions.vectors import sqdist
 from spreadkit.operators.centers import farthest_first
 from spreadkit.operators.geometry import avg_pairwise_distance
 from spreadkit.operators.pairs import point_stats, self_pairs
-from spreadkit.runtime import cached, fits_broadcast
+from spreadkit.runtime import cached, fits_broadcast, stored
 
-# Pair tables up to this many rows are cached once and scanned every round;
-# larger ones are recomputed by the all-pairs plan each round instead.
-MAX_CACHED_PAIRS = 200_000_000
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df.sparkSession, rows, 48) else df
 
-def _attach(picks: list[tuple[int, int]], points: DataFrame) -> DataFrame:
-    """``pick, id, vec`` for the chosen ids (at most ``k`` rows)."""
-    spark = points.sparkSession
-    chosen = spark.createDataFrame(picks, "pick int, id bigint")
-    if fits_broadcast(spark, len(picks), 16):
-        chosen = F.broadcast(chosen)
-    return points.join(chosen, "id").select("pick", "id", "vec")
 
-
-# Up to this many pairs to pick, one global maximum per pick is cheapest;
-# beyond it the locally-dominant rounds need far fewer passes.
-SEQUENTIAL_MAX_PAIRS = 8
-
-
-def _edge_key(row) -> tuple:
+def _edge_key(edge) -> tuple:
     """Total order of a pair, larger is better: distance, then earlier ends."""
-    return (row["d2"], -row["o_i"], -row["o_j"])
+    return (edge["d2"], -edge["o_i"], -edge["o_j"])
 
 
-def _sequential(pairs: DataFrame, half: int) -> list:
-    """``half`` rounds, each taking the global best pair among unused points."""
-    used: list[int] = []
-    chosen = []
-    for _ in range(half):
-        live = pairs
-        if used:
-            live = pairs.filter(~F.col("id_i").isin(used) & ~F.col("id_j").isin(used))
-        best = live.agg(
-            F.max(
-                F.struct(
-                    "d2",
-                    (-F.col("o_i")).alias("n_i"),
-                    (-F.col("o_j")).alias("n_j"),
-                    "o_i",
-                    "o_j",
-                    "id_i",
-                    "id_j",
-                )
-            ).alias("b")
-        ).first()["b"]
-        chosen.append(best)
-        used.extend([int(best["id_i"]), int(best["id_j"])])
-    return chosen
-
-
-def _dominant(pairs: DataFrame, half: int) -> list:
-    """Rounds of locally dominant pairs, with the same answer as :func:`_sequential`.
-
-    A pair that is the best pair of both its points is in the greedy
-    matching; after taking all of them and removing their points, the next
-    round finds the next ones. Pairs found so far that beat every pair still
-    possible are exactly the top greedy pairs, so the loop stops as soon as
-    ``half`` of them are confirmed. Each round is one pass over the pairs plus
-    an aggregate with one row per point; at most ``half`` pairs per round
-    reach the driver.
+def _matching(pairs: DataFrame, half: int, id_type: str) -> list:
+    """The first ``half`` pairs of the greedy matching, by rounds of locally
+    dominant pairs.
+
+    A pair that is the best pair of both its points is in the greedy matching;
+    after taking all of them and removing their points, the next round finds the
+    next ones. Pairs found so far that beat every pair still possible are exactly
+    the top greedy pairs, so the loop stops as soon as ``half`` of them are
+    confirmed. A round is one pass over the pairs plus an aggregate with one row
+    per point; at most ``half`` pairs of it reach the driver.
     """
     found: list = []
-    used: list[int] = []
+    live = pairs
+    edge = F.struct(
+        "d2", (-F.col("o_i")).alias("n_i"), (-F.col("o_j")).alias("n_j"), "o_i", "o_j", "id_i", "id_j"
+    )
     while True:
-        live = pairs
-        if used:
-            live = pairs.filter(~F.col("id_i").isin(used) & ~F.col("id_j").isin(used))
-        key = F.struct(
-            "d2",
-            (-F.col("o_i")).alias("n_i"),
-            (-F.col("o_j")).alias("n_j"),
-            "o_i",
-            "o_j",
-            "id_i",
-            "id_j",
-        )
-        per_point = live.select(F.explode(F.array("id_i", "id_j")).alias("v"), key.alias("e"))
+        per_point = live.select(F.explode(F.array("id_i", "id_j")).alias("v"), edge.alias("e"))
         best = per_point.groupBy("v").agg(F.max("e").alias("e"))
-        mutual = best.groupBy("e").agg(F.count(F.lit(1)).alias("ends")).filter("ends = 2")
-        top = mutual.orderBy(F.col("e").desc()).limit(half).collect()
+        mutual = best.groupBy("e").agg(F.count(F.lit(1)).alias("ends")).where("ends = 2")
+        top = [r["e"] for r in mutual.orderBy(F.col("e").desc()).limit(half).collect()]
         if not top:
             break  # fewer than two unused points are left
-        ceiling = _edge_key(top[0]["e"])  # the best pair still possible
-        confirmed = [e for e in found if _edge_key(e) > ceiling]
+        confirmed = [e for e in found if _edge_key(e) > _edge_key(top[0])]
         if len(confirmed) >= half:
             break
-        for row in top:
-            e = row["e"]
-            found.append(e)
-            used.extend([int(e["id_i"]), int(e["id_j"])])
-    found.sort(key=_edge_key, reverse=True)
-    return found[:half]
-
-
-def greedy_matching(
-    points: DataFrame,
-    k: int,
-    order: str = "id",
-    strategy: str = "auto",
-    rounds: str = "auto",
-) -> DataFrame:
+        found += top
+        ids = [(x,) for e in found for x in (e["id_i"], e["id_j"])]
+        used = pairs.sparkSession.createDataFrame(ids, f"used {id_type}")
+        live = pairs
+        for end in ("id_i", "id_j"):
+            live = live.join(_small(used, len(ids)), F.col(end) == F.col("used"), "left_anti")
+    return sorted(found, key=_edge_key, reverse=True)[:half]
+
+
+def _ranked(pts: DataFrame) -> DataFrame:
+    """``pick, id, vec`` of all points in order: sorted by ranges, numbered within
+    each range, the ranges' sizes (one row each) added up."""
+    ordered = stored(pts.repartitionByRange("o").select("*", F.spark_partition_id().alias("range")), "ranked")
+    sizes = ordered.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("range", before.alias("start"))
+    rank = F.row_number().over(Window.partitionBy("range").orderBy("o")) - 1
+    return ordered.join(starts, "range").select((rank + F.col("start")).cast("int").alias("pick"), "id", "vec")
+
+
+def greedy_matching(points: DataFrame, k: int, order: str = "id") -> DataFrame:
     """Up to ``k`` points chosen by greedy matching (M1): ``pick, id, vec``.
 
-    ``order`` names a unique numeric column used for tie-breaking and for
-    the order of the picks within a pair (default: the id). ``strategy``
-    picks the all-pairs plan; ``rounds`` is ``sequential`` (one global
-    maximum per pair), ``dominant`` (locally dominant pairs per round) or
-    ``auto``.
+    ``order`` names a unique numeric column used for tie-breaking and for the
+    order of the picks within a pair (default: the id). All pairs are compared,
+    so this is for coresets, not for whole tables.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    if rounds not in ("auto", "sequential", "dominant"):
-        raise ValueError("rounds must be 'auto', 'sequential' or 'dominant'")
     pts = points.select("id", "vec", F.col(order).alias("o"))
-    spark = pts.sparkSession
+    spark, id_type = pts.sparkSession, pts.schema["id"].dataType.simpleString()
     n, dim = point_stats(pts)
-    if n == 0:
-        return spark.createDataFrame([], "pick int, id bigint, vec array<double>")
     if k >= n:
-        ranked = pts.withColumn("pick", (F.row_number().over(Window.orderBy("o")) - 1).cast("int"))
-        return ranked.select("pick", "id", "vec")
-
-    pairs = self_pairs(pts, n, dim, order="o", strategy=strategy).select(
-        "id_i", "id_j", "o_i", "o_j", sqdist("vec_i", "vec_j", dim).alias("d2")
+        return _ranked(pts)
+    pairs = cached(
+        self_pairs(pts, n, order="o").select("id_i", "id_j", "o_i", "o_j", sqdist("vec_i", "vec_j", dim).alias("d2"))
     )
-    n_pairs = n * (n - 1) // 2
-    keep = n_pairs <= MAX_CACHED_PAIRS
-    if keep:
-        pairs = cached(pairs)
-    half = k // 2
-    if rounds == "auto":
-        rounds = "sequential" if half <= SEQUENTIAL_MAX_PAIRS else "dominant"
     try:
-        chosen = _sequential(pairs, half) if rounds == "sequential" else _dominant(pairs, half)
+        chosen = _matching(pairs, k // 2, id_type) if k > 1 else []
     finally:
-        if keep:
-            pairs.unpersist()
-    picks: list[tuple[int, int]] = []
-    for e in chosen:
-        picks.append((len(picks), int(e["id_i"])))
-        picks.append((len(picks), int(e["id_j"])))
+        pairs.unpersist()
+    ids = [x for e in chosen for x in (e["id_i"], e["id_j"])]
+    picks = spark.createDataFrame(list(enumerate(ids)), f"pick int, id {id_type}")
     if k % 2:
-        used = [pid for _, pid in picks]
-        rest = pts.filter(~F.col("id").isin(used)) if used else pts
-        first = rest.orderBy("o").select("id").first()
-        picks.append((len(picks), int(first["id"])))
-    return _attach(picks, pts)
+        rest = pts.join(_small(picks.select("id"), len(ids)), "id", "left_anti")
+        first = rest.agg(F.min_by("id", "o").alias("id")).first()["id"]
+        picks = spark.createDataFrame([*enumerate(ids), (len(ids), first)], f"pick int, id {id_type}")
+    return pts.join(_small(picks, len(ids) + 1), "id").select("pick", "id", "vec")
 
 
 def coreset(points: DataFrame, k: int, groups: int, group: str | None = None) -> DataFrame:
@@ -181,7 +119,7 @@ def coreset(points: DataFrame, k: int, groups: int, group: str | None = None) ->
     """
     if groups < 1:
         raise ValueError("the number of groups must be at least 1")
-    g = F.col(group) if group else F.pmod(F.col("id"), F.lit(groups))
+    g = F.col(group) if group else partition_number("id", groups)
     pts = points.select(g.cast("bigint").alias("g"), "id", "vec")
     return farthest_first(pts, k, group="g")
 
@@ -190,8 +128,8 @@ def diversify(points: DataFrame, k: int, groups: int, group: str | None = None)
     """Two-round diversity maximisation (M2): ``pick, id, vec``.
 
     Round 1 is :func:`coreset`; round 2 is :func:`greedy_matching` over the
-    coreset, ordered by ``(g, step)``. The coreset is checkpointed by the
-    farthest-first rounds, so round 2 does not recompute round 1.
+    coreset, ordered by ``(g, step)``. The centers of the rounds are written
+    tables, so round 2 does not recompute round 1.
     """
     core = coreset(points, k, groups, group)
     core = core.withColumn("pos", F.col("g") * F.lit(k) + F.col("step"))

@@ -1,8 +1,8 @@
 """Distances over point sets.
 
-Points are ``id bigint, vec array<double>`` with unique ids; every operator
-checks once that all vectors share one dimension. Scalar answers are one-row
-DataFrames; an empty input gives NULL, never a sentinel value.
+Points are ``id, vec array<double>`` with unique ids; every operator checks once
+that all vectors share one dimension. Scalar answers are one-row DataFrames; an
+empty input gives NULL, never a sentinel value.
 """
 
 from __future__ import annotations
@@ -12,147 +12,156 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spreadkit.functions.keys import seeded_rank_key
-from spreadkit.functions.vectors import sqdist, sqdist_sql
-from spreadkit.operators.pairs import bad_vector_sql, check_point_stats, cross_pairs, point_stats, self_pairs
-from spreadkit.runtime import cached, fits_broadcast, spread
+from spreadkit.functions.keys import seeded_rank
+from spreadkit.functions.vectors import MAX_UNROLLED_DIM, sqdist, sqdist_sql
+from spreadkit.operators.centers import farthest_first
+from spreadkit.operators.pairs import MAX_BLOCK_ROWS, check_point_stats, point_checks, point_stats, self_pairs
+from spreadkit.operators.select import kth_smallest
+from spreadkit.runtime import broadcast_limit, cached, fits_broadcast, vector_row_bytes
 
-REFERENCE_SEED = 1242457
+DEFAULT_SEED = 1242457
 
-# ``diameter(strategy="auto")`` prunes up to this dimension.
-PRUNE_MAX_DIM = 16
+# Centers that cut the set into cells for the exact diameter.
+PIVOTS = 4
+# Relative slack of a bound, above the rounding of a distance.
+SLACK = 1e-9
 
 
 def _points(points: DataFrame) -> DataFrame:
     return points.select("id", "vec")
 
 
-def pairwise(points: DataFrame, squared: bool = False, strategy: str = "auto") -> DataFrame:
-    """``i, j, sqdist`` (or ``distance``) for every pair ``i < j`` by id."""
-    pts = _points(points)
+def distances_to_center(points: DataFrame, group: str, squared: bool = False) -> DataFrame:
+    """``i, j, sqdist`` (or ``distance``): each point ``j`` against the first
+    center ``i`` (smallest id) of its group (P6, P7). One aggregate, one join."""
+    pts = points.select(F.col(group).alias("g"), "id", "vec")
     n, dim = point_stats(pts)
-    pairs = self_pairs(pts, n, dim, strategy=strategy)
-    d2 = sqdist("vec_i", "vec_j", dim)
+    first = pts.groupBy("g").agg(F.min("id").alias("i"), F.min_by("vec", "id").alias("center"))
+    d2 = sqdist("vec", "center", dim)
     value = d2.alias("sqdist") if squared else F.sqrt(d2).alias("distance")
-    return pairs.select(F.col("id_i").alias("i"), F.col("id_j").alias("j"), value)
-
-
-def _max_pair_sqdist(pts: DataFrame, n: int, dim: int, strategy: str) -> DataFrame:
-    pairs = self_pairs(pts, n, dim, strategy=strategy)
-    return pairs.agg(F.max(sqdist("vec_i", "vec_j", dim)).alias("d2"))
+    return pts.join(first, "g").where("id <> i").select("i", F.col("id").alias("j"), value)
 
 
-def _as_diameter(best: DataFrame, n: int) -> DataFrame:
-    d2 = F.col("d2")
-    if n >= 1:  # a single point, or only equal points, has diameter 0
-        d2 = F.coalesce(d2, F.lit(0.0))
-    return best.select(F.sqrt(d2).alias("diameter"))
-
-
-def diameter(points: DataFrame, strategy: str = "auto") -> DataFrame:
+def diameter(points: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     """Exact maximum pairwise distance (J1), one row ``diameter``.
 
-    ``blocked`` examines all pairs (see :mod:`pairs`). ``pruned`` first
-    bounds the answer cheaply and only examines the rows that can still be an
-    end of a longer pair. ``auto`` prunes up to ``PRUNE_MAX_DIM`` dimensions
-    and pairs everything above.
+    1. Farthest-first picks a few pivots; with the centroid they are the only
+       points the driver holds. One scan gives every point's distance to each,
+       and its cell (nearest pivot).
+    2. The largest distance from a pivot is a lower bound ``low``.
+    3. A point can be an end of a longer pair only if its distance to the
+       centroid plus the largest such distance reaches ``low``, and, for some
+       cell, its distance to the cell's pivot plus the cell's radius does.
+       Radii shrink with the survivors, so this is repeated while it helps.
+    4. Survivors are paired cell by cell, only over cells whose bound reaches
+       ``low``; a large cell is split by hash. Pairs come from an equi-join.
+
+    Exact for any data. Where distances concentrate (high dimension) nothing is
+    pruned and step 4 compares all pairs in blocks: the definition's own work.
     """
     pts = _points(points)
-    if strategy == "auto":
-        # The bound prunes well in low dimension only; distances concentrate
-        # as the dimension grows and the extra scans would buy nothing.
-        probe = pts.selectExpr("size(vec) AS d").first()
-        low = probe is not None and probe["d"] is not None and probe["d"] <= PRUNE_MAX_DIM
-        strategy = "pruned" if low else "blocked"
-    if strategy == "pruned":
-        return pruned_diameter(pts)
-    n, dim = point_stats(pts)
-    if n == 0:
-        return pts.sparkSession.createDataFrame([(None,)], "diameter double")
-    return _as_diameter(_max_pair_sqdist(pts, n, dim, strategy), n)
-
-
-def _argmax_from(pts: DataFrame, pivot: list[float], dim: int) -> tuple[int, list[float], float]:
-    """Farthest point from ``pivot``: ``(id, vec, squared distance)``; ties to the smaller id."""
-    d2 = sqdist("vec", [float(x) for x in pivot], dim)
-    scored = pts.select("id", "vec", d2.alias("d2"))
-    order = F.struct("d2", (-F.col("id")).alias("nid"))
-    best = scored.agg(
-        F.max_by("id", order).alias("id"), F.max_by("vec", order).alias("vec"), F.max("d2").alias("d2")
-    ).first()
-    return int(best["id"]), [float(x) for x in best["vec"]], float(best["d2"])
-
-
-def pruned_diameter(points: DataFrame, slack: float = 1e-9) -> DataFrame:
-    """Exact diameter with a pruning pass (J1, ``pruned``).
-
-    1. ``c`` = centroid; ``r(x) = |x - c|``, ``R = max r``.
-    2. Lower bound ``LB = |p1 - p2|``: ``p1`` farthest from ``c``, ``p2``
-       farthest from ``p1``.
-    3. Any pair with ``|x - y| >= LB`` has ``r(x) + r(y) >= LB``, hence
-       ``r(x) >= LB - R``: only those rows (with a relative slack for
-       rounding) are paired, by the all-pairs plan their count allows.
-
-    The driver holds only the centroid, two points and scalars. In low
-    dimension almost every row is pruned; in high dimension little is, and
-    the cost is that of the plain all-pairs plan plus four scans.
-    """
-    raw = _points(points)
-    spark = raw.sparkSession
-    probe = raw.selectExpr("size(vec) AS d").first()  # one row of the input
-    if probe is None:
+    spark = pts.sparkSession
+    centers = [[float(x) for x in r["vec"]] for r in farthest_first(pts, pivots).orderBy("step").collect()]
+    if not centers:
         return spark.createDataFrame([(None,)], "diameter double")
-    pts = cached(spread(raw, key="id"))
+    dim = len(centers[0])
+    means = pts.agg(*[F.expr(f"avg(get(vec, {i}))").alias(f"c{i}") for i in range(dim)]).first()
+    centroid = [float(x) for x in means]
+    unrolled = dim if dim * (len(centers) + 1) <= MAX_UNROLLED_DIM else None
+    d = [f"sqrt({sqdist_sql('vec', c, unrolled)})" for c in centers]
+    scored = pts.selectExpr(
+        "id", "vec", f"array({', '.join(d)}) AS d", f"sqrt({sqdist_sql('vec', centroid, unrolled)}) AS r"
+    ).selectExpr("*", "cast(array_position(d, array_min(d)) - 1 AS int) AS cell")
+    alive, low = cached(scored), None
     try:
-        # One scan for the size check and the centroid together.
-        stats = pts.agg(
-            F.expr("min(size(vec))").alias("dmin"),
-            F.expr("max(size(vec))").alias("dmax"),
-            F.expr(f"count_if({bad_vector_sql()})").alias("bad"),
-            *[F.expr(f"avg(vec[{i}])").alias(f"c{i}") for i in range(max(probe["d"] or 0, 0))],
-        ).first()
-        check_point_stats(1, stats["dmin"], stats["dmax"], int(stats["bad"] or 0))
-        dim = int(stats["dmin"])
-        centroid = [float(stats[f"c{i}"]) for i in range(dim)]
-        _, p1, r2max = _argmax_from(pts, centroid, dim)
-        _, _, lb2 = _argmax_from(pts, p1, dim)
-        big_r, lb = math.sqrt(r2max), math.sqrt(lb2)
-        threshold = (lb - big_r) - slack * (lb + big_r)
-        r = F.sqrt(sqdist("vec", centroid, dim))
-        survivors = pts.filter(r >= F.lit(threshold)) if threshold > 0 else pts
-        survivors = cached(survivors)
-        m = survivors.count()
-        best = _max_pair_sqdist(survivors, m, dim, "auto").first()["d2"]
-        survivors.unpersist()
-        d2 = max(lb2, best if best is not None else 0.0)
-        return spark.createDataFrame([(math.sqrt(float(d2)),)], "diameter double")
+        while True:
+            cells = alive.groupBy("cell").agg(
+                F.count(F.lit(1)).alias("n"), F.max(F.array_min("d")).alias("radius"),
+                F.max(F.array_max("d")).alias("far"), F.max("r").alias("r"),
+            ).collect()  # one row per pivot at most
+            low = max(c["far"] for c in cells) if low is None else low
+            least = low * (1 - SLACK)
+            radius = {c["cell"]: c["radius"] for c in cells}
+            reach = " OR ".join(f"d[{j}] + {radius[j]!r}D >= {least!r}D" for j in sorted(radius))
+            left = alive.where(F.expr(f"r + {max(c['r'] for c in cells)!r}D >= {least!r}D AND ({reach})"))
+            kept, before = cached(left), sum(c["n"] for c in cells)
+            after = kept.count()
+            alive.unpersist()
+            alive = kept
+            if after > before // 2 or after < 2:
+                break
+        best = _longest_between_cells(alive, least, dim) if after > 1 else None
+        return spark.createDataFrame([(max(low, math.sqrt(best) if best is not None else 0.0),)], "diameter double")
     finally:
-        pts.unpersist()
-
-
-def avg_pairwise_distance(points: DataFrame, strategy: str = "auto") -> DataFrame:
-    """Mean distance over pairs ``i < j`` (J3), one row ``avg_distance``.
+        alive.unpersist()
+
+
+def _longest_between_cells(alive: DataFrame, least: float, dim: int) -> float | None:
+    """Largest squared distance of a pair whose cells and own distances allow
+    one of at least ``least``."""
+    cells = {r["cell"]: r for r in alive.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max(F.array_min("d")).alias("radius")).collect()}
+    parts = {j: math.ceil(r["n"] / MAX_BLOCK_ROWS) for j, r in cells.items()}
+    own = alive.withColumn("part", F.pmod(F.xxhash64("id"), _by_cell(parts)).cast("int"))
+    # a point goes to every part of each cell it may have a partner in
+    targets = F.array_compact(F.array(*[
+        F.when(F.expr(f"d[{j}] + {cells[j]['radius']!r}D >= {least!r}D"), F.lit(j)) for j in sorted(cells)
+    ]))
+    sent = own.select("id", "vec", "cell", "part", F.explode(targets).alias("to"))
+    sent = sent.select("*", F.explode(F.sequence(F.lit(0), _by_cell(parts, "to") - 1)).alias("to_part"))
+    left = sent.where("struct(cell, part) <= struct(to, to_part)").selectExpr(
+        "id AS id_i", "vec AS vec_i", "cell AS a", "part AS pa", "to AS b", "to_part AS pb"
+    )
+    right = sent.where("struct(to, to_part) <= struct(cell, part)").selectExpr(
+        "id AS id_j", "vec AS vec_j", "to AS a", "to_part AS pa", "cell AS b", "part AS pb"
+    )
+    pairs = left.join(right, ["a", "pa", "b", "pb"]).where("struct(a, pa) < struct(b, pb) OR id_i < id_j")
+    return pairs.agg(F.max(sqdist("vec_i", "vec_j", dim)).alias("d2")).first()["d2"]
+
+
+def _by_cell(values: dict[int, int], cell: str = "cell"):
+    return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col(cell))
+
+
+def avg_pairwise_distance(points: DataFrame) -> DataFrame:
+    """Mean distance over pairs ``i < j`` of a small set (J3), one row
+    ``avg_distance``: coresets and solutions, as all pairs are compared.
 
     NULL for fewer than two points (the reference divides 0 by 0).
     """
     pts = _points(points)
     n, dim = point_stats(pts)
-    if n < 2:
-        return pts.sparkSession.createDataFrame([(None,)], "avg_distance double")
-    pairs = self_pairs(pts, n, dim, strategy=strategy)
-    return pairs.agg(F.avg(F.sqrt(sqdist("vec_i", "vec_j", dim))).alias("avg_distance"))
+    return self_pairs(pts, n).agg(F.avg(F.sqrt(sqdist("vec_i", "vec_j", dim))).alias("avg_distance"))
 
 
-def sample_points(points: DataFrame, k: int, seed: int = REFERENCE_SEED) -> DataFrame:
+def _sampled(points: DataFrame, k: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The sample and the other rows: two filters on one hash border."""
+    if k < 0:
+        raise ValueError("k must not be negative")
+    pts = _points(points).withColumn("__h", seeded_rank(seed, "id"))
+    n = pts.count()
+    if k == 0 or n == 0:
+        return pts.where("false").drop("__h"), pts.drop("__h")
+    if k >= n:
+        return pts.drop("__h"), pts.where("false").drop("__h")
+    border, rest = kth_smallest(pts.select("__h"), "__h", k, bits=60)
+    # rows with equal hashes (hardly ever more than one) go by id
+    last = pts.where(F.col("__h") == border).select("id").orderBy("id").limit(rest).agg(F.max("id")).first()[0]
+    inside = (F.col("__h") < border) | ((F.col("__h") == border) & (F.col("id") <= F.lit(last)))
+    return pts.where(inside).drop("__h"), pts.where(~inside).drop("__h")
+
+
+def sample_points(points: DataFrame, k: int, seed: int = DEFAULT_SEED) -> DataFrame:
     """Exactly ``min(k, n)`` rows without replacement, repeatable.
 
-    Rows are ranked by ``md5('<seed>:<id>')`` then id; the plan is a
-    distributed top-k (each task keeps its best k rows).
+    Rows are ranked by 60 bits of ``md5('<seed>:<id>')``, then by id. The rank's
+    border is found by counting, so the sample is a filter, for any ``k``.
     """
-    if k < 0:
-        raise ValueError("k must not be negative")
-    pts = _points(points)
-    return pts.orderBy(seeded_rank_key(seed, "id"), F.col("id")).limit(k)
+    return _sampled(points, k, seed)[0]
+
+
+def sample_rest(points: DataFrame, k: int, seed: int = DEFAULT_SEED) -> DataFrame:
+    """The rows not drawn by :func:`sample_points` (J4 after R1)."""
+    return _sampled(points, k, seed)[1]
 
 
 def remove_rows(points: DataFrame, removed: DataFrame, n_removed: int) -> DataFrame:
@@ -166,40 +175,31 @@ def remove_rows(points: DataFrame, removed: DataFrame, n_removed: int) -> DataFr
     return points.join(ids, "id", "left_anti")
 
 
-def sample_rest(points: DataFrame, k: int, seed: int = REFERENCE_SEED) -> DataFrame:
-    """The rows not drawn by :func:`sample_points` (J4 after R1)."""
-    pts = _points(points)
-    return remove_rows(pts, sample_points(pts, k, seed), k)
-
-
-# A sample of at most this many coordinates is written into the distance
-# expression as constants; a larger one is paired with the rest by blocks.
-MAX_INLINE_VALUES = 4096
-
-
-def sampled_diameter(points: DataFrame, k: int, seed: int = REFERENCE_SEED) -> DataFrame:
+def sampled_diameter(points: DataFrame, k: int, seed: int = DEFAULT_SEED) -> DataFrame:
     """Largest distance from a sample of ``k`` points to the other points.
 
-    At least half the exact diameter when ``k < n``; NULL when nothing is
-    left outside the sample. A small sample (``k * dim`` coordinates under
-    ``MAX_INLINE_VALUES``) is collected and compared with every other row in
-    one projection, so no pair rows exist; a larger one goes through the
-    blocked pair plan.
+    At least half the exact diameter when ``k < n``; NULL when nothing is left
+    outside the sample. The sample is broadcast in blocks under the broadcast
+    cap and every other row is compared with a block in one projection, so no
+    pair rows exist and the other rows are never copied.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     pts = _points(points)
-    n, dim = point_stats(pts)
-    s = min(k, n)
-    sample = sample_points(pts, k, seed)
-    rest = remove_rows(pts, sample, s)
-    if s * max(dim, 1) <= MAX_INLINE_VALUES:
-        anchors = [[float(x) for x in r["vec"]] for r in sample.collect()]
-        if not anchors:
-            return pts.sparkSession.createDataFrame([(None,)], "diameter double")
-        unrolled = len(anchors) * dim <= 128
-        terms = [sqdist_sql("vec", a, dim if unrolled else None) for a in anchors]
-        far = F.expr("greatest(" + ", ".join(terms) + ")") if len(terms) > 1 else F.expr(terms[0])
-        return rest.agg(F.sqrt(F.max(far)).alias("diameter"))
-    pairs = cross_pairs(sample, rest, s, max(n - s, 0), dim)
-    return pairs.agg(F.sqrt(F.max(sqdist("vec_i", "vec_j", dim))).alias("diameter"))
+    stats = pts.agg(*point_checks()).first()
+    check_point_stats(stats["n"], stats["dmin"], stats["dmax"], stats["bad"])
+    sample, rest = _sampled(pts, k, seed)
+    size = min(k, stats["n"]) * vector_row_bytes(stats["dmin"] or 0, 0)
+    blocks = max(1, math.ceil(size / broadcast_limit(pts.sparkSession)))
+    anchors = sample.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list("vec").alias("anchors"))
+    far = F.expr(
+        "array_max(transform(anchors, c -> aggregate(zip_with(vec, c, (x, y) -> (x - y) * (x - y)), 0D, (s, t) -> s + t)))"
+    )
+    parts = []
+    for b in range(blocks):
+        own = F.broadcast(anchors.where(F.col("block") == b).select(F.lit(0).alias("__k"), "anchors"))
+        parts.append(rest.withColumn("__k", F.lit(0)).join(own, "__k").agg(F.max(far).alias("d2")))
+    best = parts[0]
+    for p in parts[1:]:
+        best = best.unionByName(p)
+    return best.agg(F.sqrt(F.max("d2")).alias("diameter"))

@@ -1,83 +1,23 @@
-"""All-pairs plans for point sets (the physical side of J1-J3 and M1).
-
-Exact diameter, average distance and greedy matching are defined over all
-pairs of points, so their work is quadratic; this module bounds how that
-work is laid out. Every row is hashed into one of ``B`` blocks and
-replicated to the ``B + 1`` block pairs ``(bi <= bj)`` it belongs to; an
-equi-join on the block pair hands each task at most ``MAX_BLOCK_ROWS^2``
-pairs, which the caller's partial aggregate consumes inside the same stage.
-Blocks come from a hash of the row's order key, so no block is hot, whatever
-the data. The replicated side is broadcast only when its counted size fits
-the cap; otherwise both sides are shuffled on the block pair. No cross join
-is planned.
-
-Pairs are unordered and listed once, oriented so that the ``_i`` side comes
-first in the given order column.
+"""Point-set checks, and all pairs of a small set.
+
+Average distance and greedy matching are defined over all pairs; they are meant
+for coresets and solutions, whose size does not follow the input. Rows are
+hashed into blocks and copied to the block pairs they belong to, so the pairs
+come from an equi-join on the block pair and no task holds more than one pair of
+blocks at a time.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spreadkit.runtime import fits_broadcast, spread, vector_row_bytes
-
-
-# Largest block: a task then compares at most 16384^2 (about 2.7e8) pairs
-# and buffers one block of the other side.
+# Rows of a block: one pair of blocks is at most 2.7e8 pairs.
 MAX_BLOCK_ROWS = 16384
 
 
-def block_count(spark, rows: int, block_rows: int | None = None) -> int:
-    """Number of blocks for the blocked all-pairs plan.
-
-    Enough blocks that the ``B(B+1)/2`` block pairs keep every core busy, and
-    no block above ``MAX_BLOCK_ROWS`` rows. Each row is copied about ``B``
-    times, so ``B`` is kept as small as these two bounds allow.
-    """
-    if block_rows:
-        return max(1, math.ceil(rows / block_rows))
-    parallelism = spark.sparkContext.defaultParallelism
-    by_size = math.ceil(rows / MAX_BLOCK_ROWS)
-    by_cores = math.ceil(math.sqrt(2 * parallelism))
-    return max(1, min(max(by_size, by_cores), max(rows, 1)))
-
-
-def _task_count(spark, block_pairs: int) -> int:
-    """Partitions for the shuffled block-pair join.
-
-    Twice the block pairs, so that hash collisions rarely put two block pairs
-    into one task, capped at the larger of the shuffle setting and four tasks
-    per core (beyond that block pairs share tasks). Never below the shuffle
-    setting: Spark raises a two-sided join to it anyway.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(shuffle, min(2 * block_pairs, 4 * cores))
-
-
-def _join_blocks(probe: DataFrame, build: DataFrame, keys: list[str], build_rows: int,
-                 row_bytes: int, block_pairs: int, probe_key: str) -> DataFrame:
-    """Equi-join two block-replicated sides on their block-pair keys.
-
-    If the replicated build side has a counted size under the broadcast cap
-    it is broadcast and the probe side, spread over the cores, needs no
-    shuffle. Otherwise both sides are hash-partitioned on the keys with a
-    fixed task count (adaptive execution would otherwise pack many
-    compute-heavy block pairs into one task) and joined by a shuffled hash
-    join that builds one block per key.
-    """
-    spark = probe.sparkSession
-    if fits_broadcast(spark, build_rows, row_bytes):
-        return spread(probe, key=probe_key).join(F.broadcast(build), keys, "inner")
-    tasks = _task_count(spark, block_pairs)
-    probe = probe.repartition(tasks, *keys)
-    build = build.repartition(tasks, *keys)
-    return probe.join(build.hint("shuffle_hash"), keys, "inner")
-
-
 class PointSetError(ValueError):
     """A point set that cannot be measured (for example mixed dimensions)."""
 
@@ -90,6 +30,16 @@ def bad_vector_sql(vec: str = "vec") -> str:
     )
 
 
+def point_checks(vec: str = "vec") -> list[Column]:
+    """Aggregates ``n, dmin, dmax, bad`` that :func:`check_point_stats` reads."""
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.size(vec)).alias("dmin"),
+        F.max(F.size(vec)).alias("dmax"),
+        F.expr(f"count_if({bad_vector_sql(vec)})").alias("bad"),
+    ]
+
+
 def check_point_stats(n: int, dmin, dmax, bad: int) -> None:
     """Raise for NULL / non-finite vectors or mixed dimensions."""
     if bad:
@@ -101,106 +51,25 @@ def check_point_stats(n: int, dmin, dmax, bad: int) -> None:
 def point_stats(points: DataFrame, vec: str = "vec") -> tuple[int, int]:
     """``(n, dim)`` in one pass; raises if rows disagree on the dimension or
     a vector is NULL or holds a NULL, NaN or infinite coordinate."""
-    row = points.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.size(vec)).alias("dmin"),
-        F.max(F.size(vec)).alias("dmax"),
-        F.expr(f"count_if({bad_vector_sql(vec)})").alias("bad"),
-    ).first()
-    n = int(row["n"])
-    check_point_stats(n, row["dmin"], row["dmax"], int(row["bad"] or 0))
-    if n == 0:
-        return 0, 0
-    return n, int(row["dmin"])
-
-
-def _check_strategy(strategy: str) -> None:
-    if strategy not in ("auto", "blocked"):
-        raise ValueError("strategy must be 'auto' or 'blocked'")
-
-
-def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
-    return df.select([F.col(c).alias(f"{c}{suffix}") for c in df.columns])
-
-
-def self_pairs(
-    points: DataFrame,
-    n: int,
-    dim: int,
-    order: str = "id",
-    include_self: bool = False,
-    strategy: str = "auto",
-    block_rows: int | None = None,
-) -> DataFrame:
-    """Every unordered pair of rows once: columns ``<c>_i`` and ``<c>_j``.
-
-    ``order`` must be unique per row; the pair satisfies ``order_i < order_j``
-    (``<=`` with ``include_self``, which adds each row paired with itself).
-    ``n`` and ``dim`` come from :func:`point_stats` and size the plan.
-    """
-    _check_strategy(strategy)
-    cols = points.columns
-    left = _suffixed(points, "_i")
-    right = _suffixed(points, "_j")
-    oi, oj = F.col(f"{order}_i"), F.col(f"{order}_j")
-    before = (oi <= oj) if include_self else (oi < oj)
-
-    blocks = block_count(points.sparkSession, n, block_rows)
-    last = F.lit(blocks - 1)
-    left = left.withColumn("__bi", F.pmod(F.xxhash64(oi), F.lit(blocks)))
-    left = left.withColumn("__bj", F.explode(F.sequence(F.col("__bi"), last)))
-    right = right.withColumn("__bj", F.pmod(F.xxhash64(oj), F.lit(blocks)))
-    right = right.withColumn("__bi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__bj"))))
-    # The right side holds each row about (B + 1) / 2 times.
-    joined = _join_blocks(
-        left, right, ["__bi", "__bj"], n * (blocks + 1) // 2 + 1,
-        vector_row_bytes(dim, len(cols)), blocks * (blocks + 1) // 2, f"{order}_i",
-    ).where(
-        (F.col("__bi") < F.col("__bj")) | before
-    )
-    swap = oi > oj
-    out = []
-    for c in cols:
-        ci, cj = F.col(f"{c}_i"), F.col(f"{c}_j")
-        out.append(F.when(swap, cj).otherwise(ci).alias(f"{c}_i"))
-        out.append(F.when(swap, ci).otherwise(cj).alias(f"{c}_j"))
-    return joined.select(*out)
-
-
-def cross_pairs(
-    left: DataFrame,
-    right: DataFrame,
-    n_left: int,
-    n_right: int,
-    dim: int,
-    strategy: str = "auto",
-    block_rows: int | None = None,
-) -> DataFrame:
-    """Every (left row, right row) pair: columns ``<c>_i`` (left), ``<c>_j`` (right).
-
-    Both sides are hashed into blocks by their first column; each left row is
-    replicated to every right block and vice versa, and an equi-join on the
-    block pair gives each task one pair of blocks (see :func:`_join_blocks`).
-    """
-    _check_strategy(strategy)
-    a = _suffixed(left, "_i")
-    b = _suffixed(right, "_j")
-    spark = left.sparkSession
-    bl = block_count(spark, n_left, block_rows)
-    br = block_count(spark, n_right, block_rows)
-    key_i = F.xxhash64(F.col(a.columns[0]))
-    key_j = F.xxhash64(F.col(b.columns[0]))
-    a = a.withColumn("__bl", F.pmod(key_i, F.lit(bl))).withColumn(
-        "__br", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(br - 1).cast("bigint")))
+    row = points.agg(*point_checks(vec)).first()
+    check_point_stats(row["n"], row["dmin"], row["dmax"], row["bad"])
+    return row["n"], row["dmin"] or 0
+
+
+def self_pairs(points: DataFrame, n: int, order: str = "id", block_rows: int = MAX_BLOCK_ROWS) -> DataFrame:
+    """Every unordered pair of rows once: columns ``<c>_i`` and ``<c>_j`` with
+    ``order_i < order_j``; ``order`` is unique per row."""
+    blocks = max(1, math.ceil(n / block_rows))
+    block = F.pmod(F.xxhash64(F.col(order)), F.lit(blocks)).cast("int")
+    side = points.withColumn("__b", block)
+    left = side.select(
+        *[F.col(c).alias(f"{c}_i") for c in points.columns], F.col("__b").alias("__bi"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("__bj"),
     )
-    b = b.withColumn("__br", F.pmod(key_j, F.lit(br))).withColumn(
-        "__bl", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bl - 1).cast("bigint")))
-    )
-    cols = [c for c in a.columns if not c.startswith("__")] + [
-        c for c in b.columns if not c.startswith("__")
-    ]
-    joined = _join_blocks(
-        b, a, ["__bl", "__br"], n_left * br, vector_row_bytes(dim, len(left.columns)), bl * br,
-        b.columns[0],
+    right = side.select(
+        *[F.col(c).alias(f"{c}_j") for c in points.columns], F.col("__b").alias("__bj"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("__bi"),
     )
-    return joined.select(*cols)
+    # the pair's earlier row stands on the left, whichever block it is in
+    joined = left.join(right, ["__bi", "__bj"]).where(F.col(f"{order}_i") < F.col(f"{order}_j"))
+    return joined.drop("__bi", "__bj")

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from spreadkit.functions.keys import salt
 from spreadkit.functions.text import tokens, word_length
-from spreadkit.runtime import spread
 
 
 def document_count(docs: DataFrame) -> DataFrame:
@@ -21,20 +20,31 @@ def document_count(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count(F.lit(1)).alias("n_docs"))
 
 
+def line_count(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One row ``n_lines, n_chars``: line records and the characters in them."""
+    return lines(docs, text).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("text")).cast("bigint").alias("n_chars")
+    )
+
+
 def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_tokens`` per document; no shuffle."""
     return docs.select(F.col(doc_id), F.size(tokens(text)).cast("bigint").alias("n_tokens"))
 
 
 def words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per token occurrence: ``doc_id, word``.
+    """One row per token occurrence: ``doc_id, word`` (P3); no shuffle."""
+    return docs.select(F.col(doc_id), F.explode(tokens(text)).alias("word"))
 
-    Tokenising is the expensive per-row step; an input with fewer partitions
-    than cores is spread first (a no-op for large inputs).
+
+def lines(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Line records (S1): every line of every text is a document of its own.
+
+    Lines end at ``\\r\\n``, ``\\n`` or ``\\r``, as in a text-file source; the
+    last one needs no end, and an empty text has no line.
     """
-    return spread(docs.select(doc_id, text)).select(
-        F.col(doc_id), F.explode(tokens(text)).alias("word")
-    )
+    parts = F.split(F.regexp_replace(text, r"(\r\n|\n|\r)\z", ""), r"\r\n|\n|\r", -1)
+    return docs.where(F.col(text) != "").select(F.explode(parts).alias("text"))
 
 
 def word_count(
@@ -51,10 +61,11 @@ def word_count(
     ``salted``: first ``groupBy(salt, word)`` with a salt derived from
     ``(doc_id, word)``, then ``groupBy(word)``; two exchanges.
     """
-    occ = words(docs, doc_id, text)
     if strategy in ("direct", "partition"):
+        occ = docs.select(F.explode(tokens(text)).alias("word"))
         return occ.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
     if strategy == "salted":
+        occ = words(docs, doc_id, text)
         round1 = occ.groupBy(salt(salts, F.col(doc_id), F.col("word")).alias("salt"), "word").agg(
             F.count(F.lit(1)).alias("cnt")
         )

@@ -9,14 +9,15 @@ argmax decisions agree bit for bit.
 
 from __future__ import annotations
 
-from spreadkit.plans.queries import K, L, PICKS, SEED
+from spreadkit.plans.queries import K, L, LARGE_SAMPLE, MANY_GROUP_PICKS, MANY_PICKS, ODD_PICKS, PICKS, SEED
 
 EMBEDDING_DIM = 64
 LINEITEM_DIM = 4
 
 EMBEDDING_POINTS = "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"
 LINEITEM_ID = (
-    "CAST((((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 8 + l_linenumber) AS BIGINT)"
+    "CAST(CAST(l_orderkey AS HUGEINT) * 1000000000000000000000 + CAST(l_partkey AS HUGEINT) * 1000000000000 "
+    "+ CAST(l_suppkey AS HUGEINT) * 1000 + l_linenumber * 100 + CAST(l_quantity AS HUGEINT) AS DECIMAL(38,0))"
 )
 LINEITEM_POINTS = (
     f"SELECT {LINEITEM_ID} AS id, "
@@ -28,6 +29,11 @@ TOKENS = (
     "WHEN rtrim(text, ' ') = '' THEN CAST([] AS VARCHAR[]) "
     "ELSE string_split(rtrim(text, ' '), ' ') END"
 )
+# lines end at \\r\\n, \\n or \\r; the last needs no end
+LINES = (
+    "SELECT unnest(string_split(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), "
+    "'\\n\\z', ''), chr(10))) AS text FROM documents WHERE text <> ''"
+)
 WORDS = f"SELECT unnest({TOKENS}) AS w FROM documents"
 
 
@@ -67,8 +73,16 @@ ff(step, g, id, v, d2, c) AS (
 SELECT g, step, id, v FROM ff WHERE c"""
 
 
-def greedy_sql(points_with_order: str, dim: int, k: int) -> str:
-    """Recursive greedy matching for even ``k`` over ``id, v, o`` rows: ``pick, id``."""
+def greedy_sql(points_with_order: str, dim: int, k: int, n: int | None = None) -> str:
+    """Recursive greedy matching over ``id, v, o`` rows: ``pick, id``. With
+    ``n`` (the number of rows) at most ``k`` it is all rows in order."""
+    if n is not None and k >= n:
+        return f"SELECT row_number() OVER (ORDER BY o) - 1 AS pick, id FROM ({points_with_order})"
+    odd = f"""
+UNION ALL
+SELECT {k - 1} AS pick, id FROM (
+  SELECT id FROM pts WHERE NOT list_contains((SELECT used FROM gm ORDER BY t DESC LIMIT 1), id) ORDER BY o LIMIT 1
+) r""" if k % 2 else ""
     return f"""
 WITH RECURSIVE pts AS ({points_with_order}),
 e AS (SELECT a.id AS i, b.id AS j, a.o AS oi, b.o AS oj, {sq('a.v', 'b.v', dim)} AS d
@@ -83,11 +97,11 @@ gm(t, used, i, j) AS (
 )
 SELECT 2 * t AS pick, i AS id FROM gm
 UNION ALL
-SELECT 2 * t + 1 AS pick, j AS id FROM gm"""
+SELECT 2 * t + 1 AS pick, j AS id FROM gm{odd}"""
 
 
 def diversity_sql(points: str, dim: int, k: int, groups: int) -> str:
-    core = farthest_first_sql(points, dim, k, group=f"id % {groups}")
+    core = farthest_first_sql(points, dim, k, group=f"CAST(id % {groups} AS BIGINT)")
     ordered = f"SELECT id, v, g * {k} + step AS o FROM ({core})"
     return greedy_sql(ordered, dim, k)
 
@@ -103,13 +117,26 @@ def _oracles() -> dict[str, str]:
     emb, li = EMBEDDING_POINTS, LINEITEM_POINTS
     class_counts = 'SELECT event_type AS "class", count(*) AS cnt FROM events GROUP BY 1'
     word_counts = f"SELECT w AS word, count(*) AS cnt FROM ({WORDS}) GROUP BY 1"
-    sample = (
-        f"SELECT id FROM ({emb}) ORDER BY md5(concat_ws(':', '{SEED}', CAST(id AS VARCHAR))), id "
-        f"LIMIT {PICKS}"
+
+    def drawn(points: str, k: int) -> str:
+        rank = f"substr(md5(concat_ws(':', '{SEED}', CAST(id AS VARCHAR))), 1, 15)"
+        return f"SELECT id FROM ({points}) ORDER BY {rank}, id LIMIT {k}"
+
+    sample = drawn(emb, PICKS)
+    core = f"SELECT id, v, id AS o FROM ({farthest_first_sql(emb, EMBEDDING_DIM, PICKS, f'id % {L}')})"
+    to_center = (
+        f"WITH p AS (SELECT id, v, id % {L} AS g FROM ({emb})), "
+        "c AS (SELECT g, min(id) AS i, arg_min(v, id) AS cv FROM p GROUP BY g) "
+        f"SELECT i, id AS j, {sq('v', 'cv', EMBEDDING_DIM)} AS d2 FROM p JOIN c USING (g) WHERE id <> i"
     )
     ff = farthest_first_sql(emb, EMBEDDING_DIM, PICKS)
     return {
         "read_labelled": 'SELECT event_id AS key, event_type AS "class" FROM events',
+        "read_labelled_permissive": (
+            "SELECT count(*) FILTER (WHERE event_id % 7 <> 0) AS n_read, "
+            "CAST(sum(event_id) FILTER (WHERE event_id % 7 <> 0) AS BIGINT) AS key_sum, "
+            "count(*) FILTER (WHERE event_id % 7 = 0) AS n_rejected FROM events"
+        ),
         "read_points": (
             f"SELECT {LINEITEM_ID} AS id, l_quantity AS x0, l_extendedprice AS x1, "
             "l_discount AS x2, l_tax AS x3 FROM lineitem"
@@ -124,11 +151,18 @@ def _oracles() -> dict[str, str]:
         ),
         "max_partition_size": (
             f"SELECT max(c) AS max_partition_size FROM "
-            f"(SELECT event_id % {K} AS b, count(*) AS c FROM events GROUP BY 1)"
+            f"(SELECT (event_id % {K} + {K}) % {K} AS b, count(*) AS c FROM events GROUP BY 1)"
+        ),
+        "max_partition_size_physical": (
+            f"SELECT CAST({K} AS BIGINT) AS partitions, count(*) AS n_rows, true AS balanced FROM events"
+        ),
+        "document_lines": (
+            f"SELECT count(*) AS n_lines, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM ({LINES})"
         ),
         "document_count": "SELECT count(*) AS n_docs FROM documents",
         "tokenize": f"SELECT doc_id, CAST(len({TOKENS}) AS BIGINT) AS n_tokens FROM documents",
         "word_count": word_counts,
+        "word_count_lines": f"SELECT unnest({TOKENS}) AS word, count(*) AS cnt FROM ({LINES}) GROUP BY 1",
         "word_count_salted": word_counts,
         "word_count_partition": word_counts,
         "distinct_word_count": f"SELECT count(DISTINCT w) AS n_words FROM ({WORDS})",
@@ -136,12 +170,8 @@ def _oracles() -> dict[str, str]:
             f"SELECT CAST(sum(length(w)) // count(*) AS BIGINT) AS avg_word_length "
             f"FROM (SELECT DISTINCT w FROM ({WORDS}))"
         ),
-        "pairwise_sqdist": (
-            f"SELECT i, j, round(d2, 6) AS sqdist FROM ({pairs_sql(emb, EMBEDDING_DIM)})"
-        ),
-        "pairwise_distance": (
-            f"SELECT i, j, round(sqrt(d2), 6) AS distance FROM ({pairs_sql(emb, EMBEDDING_DIM)})"
-        ),
+        "pairwise_sqdist": f"SELECT i, j, round(d2, 6) AS sqdist FROM ({to_center})",
+        "pairwise_distance": f"SELECT i, j, round(sqrt(d2), 6) AS distance FROM ({to_center})",
         "exact_diameter": (
             f"SELECT round(sqrt(max(d2)), 6) AS diameter FROM ({pairs_sql(emb, EMBEDDING_DIM, '<=')})"
         ),
@@ -152,9 +182,10 @@ def _oracles() -> dict[str, str]:
             f"SELECT round(sqrt(max(d2)), 6) AS diameter FROM ({pairs_sql(li, LINEITEM_DIM, '<=')})"
         ),
         "avg_pairwise_distance": (
-            f"SELECT round(avg(sqrt(d2)), 6) AS avg_distance FROM ({pairs_sql(emb, EMBEDDING_DIM)})"
+            f"SELECT round(avg(sqrt(d2)), 6) AS avg_distance FROM ({pairs_sql(core, EMBEDDING_DIM)})"
         ),
         "sample_k": sample,
+        "sample_k_large": drawn(li, LARGE_SAMPLE),
         "sample_rest": f"SELECT id FROM ({emb}) WHERE id NOT IN ({sample})",
         "sampled_diameter": (
             f"WITH p AS ({emb}), s AS (SELECT p.* FROM p WHERE id IN ({sample})), "
@@ -163,6 +194,7 @@ def _oracles() -> dict[str, str]:
             f"FROM s CROSS JOIN r"
         ),
         "farthest_first": f"SELECT step, id FROM ({ff})",
+        "farthest_first_k20": f"SELECT step, id FROM ({farthest_first_sql(emb, EMBEDDING_DIM, MANY_PICKS)})",
         "center_diameter": (
             f"WITH c AS ({ff}) SELECT round(sqrt(max({sq('a.v', 'b.v', EMBEDDING_DIM)})), 6) "
             f"AS diameter FROM c a JOIN c b ON a.id <= b.id"
@@ -171,9 +203,15 @@ def _oracles() -> dict[str, str]:
             f"SELECT g, step, id FROM ({farthest_first_sql(emb, EMBEDDING_DIM, PICKS, f'id % {L}')})"
         ),
         "coreset_lineitem": (
-            f"SELECT g, step, id FROM ({farthest_first_sql(li, LINEITEM_DIM, PICKS, f'id % {L}')})"
+            f"SELECT g, step, id FROM ({farthest_first_sql(li, LINEITEM_DIM, PICKS, f'CAST(id % {L} AS BIGINT)')})"
+        ),
+        "coreset_lineitem_k12": (
+            "SELECT g, step, id FROM "
+            f"({farthest_first_sql(li, LINEITEM_DIM, MANY_GROUP_PICKS, f'CAST(id % {L} AS BIGINT)')})"
         ),
-        "greedy_matching": greedy_sql(f"SELECT id, v, id AS o FROM ({emb})", EMBEDDING_DIM, PICKS),
+        "greedy_matching": greedy_sql(core, EMBEDDING_DIM, PICKS),
+        "greedy_matching_odd": greedy_sql(core, EMBEDDING_DIM, ODD_PICKS),
+        "greedy_matching_all": greedy_sql(core, EMBEDDING_DIM, PICKS * L, PICKS * L),
         "diversity_mapreduce": diversity_sql(emb, EMBEDDING_DIM, PICKS, L),
         "diversity_mapreduce_lineitem": diversity_sql(li, LINEITEM_DIM, PICKS, L),
         "diversity_value": avg_distance_of(

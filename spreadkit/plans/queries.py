@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spreadkit.functions.keys import bucket
+from spreadkit.functions.keys import partition_number
 from spreadkit.operators import centers, counts, diversity, geometry, words
 from spreadkit.sources import tables
 from spreadkit.sources.labelled import parse_labelled
@@ -23,7 +23,11 @@ from spreadkit.functions.vectors import coordinates
 K = 8  # buckets / salts / partitions for the count programs
 L = 4  # groups for the two-round diversity plan
 PICKS = 6  # k: centers per group and size of the diverse set
-SEED = geometry.REFERENCE_SEED
+MANY_PICKS = 20  # past the rounds between two checkpoints
+MANY_GROUP_PICKS = 12
+ODD_PICKS = 5
+LARGE_SAMPLE = 1000
+SEED = geometry.DEFAULT_SEED
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +42,16 @@ def read_labelled(spark, sf):
     return parse_labelled(tables.labelled_lines(spark, sf))
 
 
+def read_labelled_permissive(spark, sf):
+    """Every seventh line lacks its class: what is read, and what is left out."""
+    lines = tables.labelled_lines_with_gaps(spark, sf)
+    good = parse_labelled(lines, mode="permissive").agg(
+        F.count(F.lit(1)).alias("n_read"), F.sum("key").cast("bigint").alias("key_sum")
+    )
+    bad = parse_labelled(lines, mode="rejected").agg(F.count(F.lit(1)).alias("n_rejected"))
+    return good.withColumn("one", F.lit(1)).join(bad.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 def read_points(spark, sf):
     pts = parse_points(tables.lineitem_lines(spark, sf), id_col="id")
     return pts.select("id", *coordinates("vec", len(tables.LINEITEM_COORDINATES)))
@@ -66,17 +80,21 @@ def most_frequent_returnflag(spark, sf):
 
 
 def max_partition_size(spark, sf):
-    return counts.max_partition_size(tables.labelled(spark, sf), by=bucket("key", K))
+    return counts.max_partition_size(tables.labelled(spark, sf), by=partition_number("key", K))
 
 
 def max_partition_size_physical(spark, sf):
-    return counts.max_partition_size(tables.labelled(spark, sf).repartition(K))
+    return counts.balance(tables.labelled(spark, sf).repartition(K))
 
 
 def document_count(spark, sf):
     return words.document_count(tables.documents(spark, sf))
 
 
+def document_lines(spark, sf):
+    return words.line_count(tables.documents(spark, sf))
+
+
 # -- words -------------------------------------------------------------------
 
 def tokenize(spark, sf):
@@ -87,6 +105,10 @@ def word_count(spark, sf):
     return words.word_count(tables.documents(spark, sf))
 
 
+def word_count_lines(spark, sf):
+    return words.word_count(words.lines(tables.documents(spark, sf)))
+
+
 def word_count_salted(spark, sf):
     return words.word_count(tables.documents(spark, sf), strategy="salted", salts=K)
 
@@ -106,43 +128,44 @@ def avg_word_length(spark, sf):
 # -- distances ---------------------------------------------------------------
 
 def pairwise_sqdist(spark, sf):
-    return geometry.pairwise(tables.embedding_points(spark, sf), squared=True).select(
-        "i", "j", _r("sqdist")
-    )
+    return geometry.distances_to_center(_grouped(spark, sf), "g", squared=True).select("i", "j", _r("sqdist"))
 
 
 def pairwise_distance(spark, sf):
-    return geometry.pairwise(tables.embedding_points(spark, sf)).select("i", "j", _r("distance"))
+    return geometry.distances_to_center(_grouped(spark, sf), "g").select("i", "j", _r("distance"))
+
+
+def _grouped(spark, sf):
+    return tables.embedding_points(spark, sf).withColumn("g", partition_number("id", L))
 
 
 def exact_diameter(spark, sf):
-    return geometry.diameter(tables.embedding_points(spark, sf)).select(
-        _r("diameter")
-    )
+    return geometry.diameter(tables.embedding_points(spark, sf)).select(_r("diameter"))
 
 
 def exact_diameter_blocked(spark, sf):
-    return geometry.diameter(tables.embedding_points(spark, sf), strategy="blocked").select(
-        _r("diameter")
-    )
+    """One pivot: the set is one cell, split by hash."""
+    return geometry.diameter(tables.embedding_points(spark, sf), pivots=1).select(_r("diameter"))
 
 
 def exact_diameter_pruned(spark, sf):
-    return geometry.diameter(tables.lineitem_points(spark, sf), strategy="pruned").select(
-        _r("diameter")
-    )
+    return geometry.diameter(tables.lineitem_points(spark, sf)).select(_r("diameter"))
 
 
 def avg_pairwise_distance(spark, sf):
-    return geometry.avg_pairwise_distance(tables.embedding_points(spark, sf)).select(
-        _r("avg_distance")
-    )
+    """Over the coreset: the average is a measure of small sets."""
+    core = diversity.coreset(tables.embedding_points(spark, sf), PICKS, L)
+    return geometry.avg_pairwise_distance(core).select(_r("avg_distance"))
 
 
 def sample_k(spark, sf):
     return geometry.sample_points(tables.embedding_points(spark, sf), PICKS, SEED).select("id")
 
 
+def sample_k_large(spark, sf):
+    return geometry.sample_points(tables.lineitem_points(spark, sf), LARGE_SAMPLE, SEED).select("id")
+
+
 def sample_rest(spark, sf):
     return geometry.sample_rest(tables.embedding_points(spark, sf), PICKS, SEED).select("id")
 
@@ -159,6 +182,10 @@ def farthest_first(spark, sf):
     return centers.farthest_first(tables.embedding_points(spark, sf), PICKS).select("step", "id")
 
 
+def farthest_first_k20(spark, sf):
+    return centers.farthest_first(tables.embedding_points(spark, sf), MANY_PICKS).select("step", "id")
+
+
 def center_diameter(spark, sf):
     return centers.center_diameter(tables.embedding_points(spark, sf), PICKS).select(
         _r("diameter")
@@ -177,12 +204,28 @@ def coreset_lineitem(spark, sf):
     )
 
 
-def greedy_matching(spark, sf):
-    return diversity.greedy_matching(tables.embedding_points(spark, sf), PICKS).select(
-        "pick", "id"
+def coreset_lineitem_k12(spark, sf):
+    return diversity.coreset(tables.lineitem_points(spark, sf), MANY_GROUP_PICKS, L).select(
+        "g", "step", "id"
     )
 
 
+def _core(spark, sf):
+    return diversity.coreset(tables.embedding_points(spark, sf), PICKS, L)
+
+
+def greedy_matching(spark, sf):
+    return diversity.greedy_matching(_core(spark, sf), PICKS).select("pick", "id")
+
+
+def greedy_matching_odd(spark, sf):
+    return diversity.greedy_matching(_core(spark, sf), ODD_PICKS).select("pick", "id")
+
+
+def greedy_matching_all(spark, sf):
+    return diversity.greedy_matching(_core(spark, sf), PICKS * L).select("pick", "id")
+
+
 def diversity_mapreduce(spark, sf):
     return diversity.diversify(tables.embedding_points(spark, sf), PICKS, L).select("pick", "id")
 
@@ -207,6 +250,7 @@ QUERIES: dict[str, Builder] = {
     f.__name__: f
     for f in [
         read_labelled,
+        read_labelled_permissive,
         read_points,
         class_count,
         class_count_two_round,
@@ -216,8 +260,10 @@ QUERIES: dict[str, Builder] = {
         max_partition_size,
         max_partition_size_physical,
         document_count,
+        document_lines,
         tokenize,
         word_count,
+        word_count_lines,
         word_count_salted,
         word_count_partition,
         distinct_word_count,
@@ -229,13 +275,18 @@ QUERIES: dict[str, Builder] = {
         exact_diameter_pruned,
         avg_pairwise_distance,
         sample_k,
+        sample_k_large,
         sample_rest,
         sampled_diameter,
         farthest_first,
+        farthest_first_k20,
         center_diameter,
         coreset,
         coreset_lineitem,
+        coreset_lineitem_k12,
         greedy_matching,
+        greedy_matching_odd,
+        greedy_matching_all,
         diversity_mapreduce,
         diversity_mapreduce_lineitem,
         diversity_value,

@@ -2,14 +2,15 @@
 
 Three concerns live here and nowhere else:
 
-* where iterative operators cut lineage (``spark.checkpoint.dir``),
+* the shared folder for written tables (``spark.checkpoint.dir``),
 * how large a side may be before it is no longer broadcast,
-* how an intermediate result is made durable between rounds.
+* what an iterative operator keeps in executor memory between rounds.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -63,19 +64,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and return a copy backed by a reliable checkpoint.
+def _filesystem(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def work_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, removed when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    files, hadoop = _filesystem(spark, path)
+    files.deleteOnExit(hadoop)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    files, hadoop = _filesystem(spark, path)
+    files.delete(hadoop, True)
 
-    The data is persisted first so that writing the checkpoint reads the cache
-    instead of recomputing the plan; the cache is released afterwards. The
-    result survives executor loss and carries no lineage.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as Parquet into the shared folder and read it back:
+    computed in one pass, no lineage, safe when executors are lost."""
+    path = work_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cached(df: DataFrame) -> DataFrame:
@@ -85,18 +97,3 @@ def cached(df: DataFrame) -> DataFrame:
     loss; callers unpersist when their loop ends.
     """
     return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Give ``df`` at least one partition per core before it is reused.
-
-    A small input read from one file arrives in a handful of partitions and
-    would run every later pass on that many cores; a large input already has
-    more splits than cores and is left alone (no shuffle). With a unique
-    ``key`` the rows are hash-partitioned on it, which is deterministic on
-    retry without the per-partition sort that round-robin needs.
-    """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism, key) if key else df.repartition(parallelism)
-    return df

@@ -10,15 +10,17 @@ from spreadkit.functions.text import tokens
 _INTEGER = r"^[+-]?[0-9]+$"
 
 
-def _check(df: DataFrame, valid: Column, what: str, line: Column, mode: str) -> DataFrame:
-    """Keep valid rows; in strict mode a bad row fails the job.
-
-    The check is a filter, so column pruning cannot remove it.
-    """
+def check_lines(df: DataFrame, valid: Column, what: str, line: Column, mode: str) -> DataFrame:
+    """``strict`` (the default everywhere): a bad row fails the job; the check is
+    a filter, so column pruning cannot remove it. ``permissive``: the valid rows.
+    ``rejected``: the rows that ``permissive`` leaves out, for counting or keeping."""
+    valid = F.coalesce(valid, F.lit(False))
     if mode == "permissive":
         return df.filter(valid)
+    if mode == "rejected":
+        return df.filter(~valid)
     if mode != "strict":
-        raise ValueError("mode must be 'strict' or 'permissive'")
+        raise ValueError("mode must be 'strict', 'permissive' or 'rejected'")
     message = F.concat(F.lit(f"malformed {what} line: '"), F.coalesce(line, F.lit("NULL")), F.lit("'"))
     return df.filter(F.when(valid, F.lit(True)).otherwise(F.raise_error(message)))
 
@@ -29,7 +31,8 @@ def parse_labelled(lines: DataFrame, line: str = "value", mode: str = "strict")
     The line is split on single spaces with trailing empty tokens dropped; the
     first token must be an integer, the second is the class (possibly empty,
     as in ``"5  x"``), further tokens are ignored. Keys are read as 64-bit
-    integers, so keys beyond the 32-bit range are accepted.
+    integers, so keys beyond the 32-bit range are accepted. With ``mode``
+    ``rejected`` the result is the malformed lines, as they are.
     """
     toks = tokens(F.col(line))
     staged = lines.withColumn("__tok", toks)
@@ -41,7 +44,9 @@ def parse_labelled(lines: DataFrame, line: str = "value", mode: str = "strict")
         & key_text.rlike(_INTEGER)
         & key.isNotNull()
     )
-    checked = _check(staged, valid, "labelled", F.col(line), mode)
+    checked = check_lines(staged, valid, "labelled", F.col(line), mode)
+    if mode == "rejected":
+        return checked.select(*lines.columns)
     others = [c for c in lines.columns if c != line]
     return checked.select(
         *others,

@@ -6,24 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spreadkit.sources.labelled import _check
+from spreadkit.sources.labelled import check_lines
 
 VECTOR = T.ArrayType(T.DoubleType())
 
 
 def parse_points(
     lines: DataFrame,
+    id_col: str,
     line: str = "value",
-    id_col: str | None = None,
     mode: str = "strict",
 ) -> DataFrame:
-    """Parse ``"1.5,2,3"`` into ``id bigint, vec array<double>``.
+    """Parse ``"1.5,2,3"`` into ``id, vec array<double>``; the lines bring the id.
 
     Trailing commas are dropped (``"1,2,"`` is ``(1, 2)``); an empty line, an
     empty inner field, a non-number or a non-finite value (``NaN``,
-    ``Infinity``) is malformed: an error in strict mode, dropped in permissive
-    mode. Without ``id_col`` the id is ``monotonically_increasing_id()``,
-    which follows line order within a fixed input layout.
+    ``Infinity``) is malformed: an error in strict mode, left out in permissive
+    mode and the whole result in mode ``rejected``.
     """
     text = F.regexp_replace(F.col(line), r",+$", "")
     parts = F.split(text, ",", -1)
@@ -34,9 +33,10 @@ def parse_points(
         lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))),
     )
     valid = F.col(line).isNotNull() & (F.trim(text) != F.lit("")) & ~bad_value
-    checked = _check(staged, valid, "point", F.col(line), mode)
-    ident = F.col(id_col).cast("bigint") if id_col else F.monotonically_increasing_id()
-    return checked.select(ident.alias("id"), F.col("__v").alias("vec"))
+    checked = check_lines(staged, valid, "point", F.col(line), mode)
+    if mode == "rejected":
+        return checked.select(*lines.columns)
+    return checked.select(F.col(id_col).alias("id"), F.col("__v").alias("vec"))
 
 
 def points_from_columns(df: DataFrame, id_expr, columns: list[str]) -> DataFrame:

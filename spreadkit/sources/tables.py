@@ -7,6 +7,8 @@ is the one given in FIXTURES.md.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,13 @@ def labelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.concat_ws(" ", "event_id", "event_type").alias("value"))
 
 
+def labelled_lines_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`labelled_lines`, but every seventh event has lost its class."""
+    events = table(spark, sf_dir, "events")
+    cls = F.when(F.pmod("event_id", F.lit(7)) != 0, F.col("event_type"))
+    return events.select(F.concat_ws(" ", "event_id", cls).alias("value"))
+
+
 def returnflags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``key, class`` from ``lineitem`` with ``l_returnflag`` as the class."""
     li = table(spark, sf_dir, "lineitem")
@@ -50,12 +59,20 @@ def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Room for each part of a lineitem's identity: 10^9 parts and suppliers (scale
+# factor 5,000 and 100,000), 10 line numbers, quantities to 99; 17 digits are
+# left for the order.
+ID = "decimal(38,0)"
+
+
 def lineitem_id() -> Column:
-    """Unique row id of ``lineitem`` (the pair orderkey/linenumber is not unique)."""
+    """Unique row id of ``lineitem``: its four keys and the quantity side by side
+    in one decimal number (in this data two rows may share all four keys)."""
+    room = lambda c, power: F.col(c).cast("decimal(17,0)") * F.lit(Decimal(10**power))
     return (
-        ((F.col("l_orderkey") * 100000 + F.col("l_partkey")) * 10000 + F.col("l_suppkey")) * 8
-        + F.col("l_linenumber")
-    ).cast("bigint")
+        room("l_orderkey", 21) + room("l_partkey", 12) + room("l_suppkey", 3) + room("l_linenumber", 2)
+        + F.col("l_quantity").cast("decimal(2,0)")
+    ).cast(ID)
 
 
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,10 @@
-"""The count operators on a streaming text source.
+"""A streaming text-line source.
 
-The reference reads bounded files only; nothing here adds an operator. The
-parsers and aggregates of :mod:`spreadkit.sources` and
-:mod:`spreadkit.operators` are plain DataFrame transformations, so they apply
-unchanged to a ``readStream`` source and run as incremental aggregations.
+The reference reads bounded files only, so there is no streaming operator. The
+parsers and count operators are plain DataFrame transformations and take the
+lines of this source as they are, as incremental aggregations.
 """
 
-from spreadkit.streaming.text import read_lines_stream, running_class_counts, running_word_counts
+from spreadkit.streaming.text import read_lines_stream
 
-__all__ = ["read_lines_stream", "running_class_counts", "running_word_counts"]
+__all__ = ["read_lines_stream"]

@@ -1,33 +1,13 @@
-"""Streaming forms of the text-line source and the count operators."""
+"""The text-line source (S1) on a stream of files."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from spreadkit.functions.text import tokens
-from spreadkit.operators import counts
-from spreadkit.sources.labelled import parse_labelled
 
 
 def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """``value string`` per line of every new file in ``path`` (S1, streaming)."""
+    """``value string`` per line of every new file in ``path``."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)
-
-
-def running_class_counts(lines: DataFrame, mode: str = "permissive") -> DataFrame:
-    """``class, cnt`` over all labelled lines seen so far (S2 then A3).
-
-    Run with output mode ``complete`` or ``update``; the state holds one row
-    per class.
-    """
-    return counts.class_count(parse_labelled(lines, mode=mode))
-
-
-def running_word_counts(lines: DataFrame) -> DataFrame:
-    """``word, cnt`` over all lines seen so far, one line being one document."""
-    words = lines.select(F.explode(tokens("value")).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))

@@ -1,7 +1,11 @@
+import os
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from spreadkit.operators import centers, diversity
-from spreadkit.runtime import BROADCAST_CONF
+from spreadkit.runtime import BROADCAST_CONF, ensure_checkpoint_dir
 from spreadkit.sources import tables
 
 from conftest import FIXTURE_C, SF
@@ -49,25 +53,38 @@ def test_empty_group_and_small_group(spark, make_points):
     assert centers.farthest_first(make_points([]), 3).count() == 0
 
 
-def test_distributed_path_and_checkpoints_agree(spark):
-    pts = tables.lineitem_points(spark, SF)
-    base = sorted(map(tuple, diversity.coreset(pts, 6, 4).select("g", "step", "id").collect()))
-    every = sorted(
-        map(tuple, centers.farthest_first(
-            pts.selectExpr("pmod(id, 4) AS g", "id", "vec"), 6, group="g", checkpoint_every=2
-        ).select("g", "step", "id").collect())
-    )
-    assert every == base
+def test_checkpoints_and_salted_centers_agree(spark):
+    pts = tables.lineitem_points(spark, SF).withColumn("g", F.expr("cast(pmod(id, 4) as bigint)"))
+    rows = lambda df: sorted(map(tuple, df.select("g", "step", "id").collect()))
+    base = rows(centers.farthest_first(pts, 6, group="g"))
+    assert rows(centers.farthest_first(pts, 6, group="g", checkpoint_every=2)) == base
     old = spark.conf.get(BROADCAST_CONF, None)
-    spark.conf.set(BROADCAST_CONF, "64")  # nothing fits: centers stay distributed
+    spark.conf.set(BROADCAST_CONF, "64")  # nothing fits: centers are salted and shuffled
     try:
-        dist = diversity.coreset(pts, 6, 4).select("g", "step", "id").collect()
+        assert rows(centers.farthest_first(pts, 6, group="g", checkpoint_every=3)) == base
     finally:
-        if old is None:
-            spark.conf.unset(BROADCAST_CONF)
-        else:
-            spark.conf.set(BROADCAST_CONF, old)
-    assert sorted(map(tuple, dist)) == base
+        spark.conf.unset(BROADCAST_CONF) if old is None else spark.conf.set(BROADCAST_CONF, old)
+
+
+def test_no_table_of_distances_is_left(spark, make_points):
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    rng = random.Random(4)
+    pts = make_points([(i, (rng.random(), rng.random())) for i in range(200)])
+    assert centers.farthest_first(pts, 20, checkpoint_every=4).count() == 20
+    assert not [x for x in os.listdir(folder) if x.startswith("distances-")]
+
+
+def test_null_group_and_repeated_id_raise(spark):
+    rows = [(None, 1, [0.0]), (None, 2, [1.0]), (0, 3, [2.0])]
+    with pytest.raises(centers.GroupError):
+        centers.farthest_first(spark.createDataFrame(rows, "g bigint, id bigint, vec array<double>"), 3, group="g")
+    rows = [(0, 1, [0.0]), (0, 2, [1.0]), (0, 2, [2.0])]
+    with pytest.raises(centers.GroupError):
+        centers.farthest_first(spark.createDataFrame(rows, "g bigint, id bigint, vec array<double>"), 3, group="g")
+    # one id in two groups is two points
+    rows = [(0, 1, [0.0]), (1, 1, [1.0])]
+    got = centers.farthest_first(spark.createDataFrame(rows, "g bigint, id bigint, vec array<double>"), 3, group="g")
+    assert sorted((r.g, r.id) for r in got.collect()) == [(0, 1), (1, 1)]
 
 
 def test_independent_of_input_order(spark):

@@ -1,5 +1,5 @@
 
-from spreadkit.functions.keys import bucket
+from spreadkit.functions.keys import bucket, partition_number
 from spreadkit.operators import counts
 from spreadkit.sources import tables
 
@@ -45,10 +45,20 @@ def test_bucket_sign_follows_dividend(spark):
 
 
 def test_max_partition_size_logical(spark):
-    df = counts.max_partition_size(pairs(spark, FIXTURE_A), by=bucket("key", 2))
+    df = counts.max_partition_size(pairs(spark, FIXTURE_A), by=partition_number("key", 2))
     assert df.first()["max_partition_size"] == 3
 
 
+def test_max_partition_size_of_negative_keys(spark):
+    df = pairs(spark, [(-9, "x"), (-1, "x"), (7, "x"), (15, "x")])
+    assert counts.max_partition_size(df, by=partition_number("key", 8)).first()["max_partition_size"] == 4
+
+
+def test_balance_of_a_redistribution(spark):
+    row = counts.balance(tables.labelled(spark, SF).repartition(8)).first()
+    assert (row.partitions, row.n_rows, row.balanced) == (8, 1000, True)
+
+
 def test_partition_sizes_physical_cover_all_rows(spark):
     src = tables.labelled(spark, SF).repartition(8)
     sizes = counts.partition_sizes(src).collect()

@@ -60,21 +60,37 @@ def test_one_group_two_rounds_equals_matching_on_centers(spark):
     assert picks(diversity.diversify(pts, 6, 1)) == want
 
 
-@pytest.mark.parametrize("k", [2, 3, 7, 12, 25, 40])
-def test_dominant_rounds_equal_sequential(spark, k):
-    pts = tables.embedding_points(spark, SF)
-    seq = picks(diversity.greedy_matching(pts, k, rounds="sequential"))
-    dom = picks(diversity.greedy_matching(pts, k, rounds="dominant"))
-    assert seq == dom and len(set(seq)) == k
-
-
-def test_dominant_rounds_with_ties(make_points):
-    grid = [(i, (i % 3, i // 3)) for i in range(12)]  # many equal distances
-    pts = make_points(grid)
-    for k in (2, 4, 5, 8, 11):
-        seq = picks(diversity.greedy_matching(pts, k, rounds="sequential"))
-        dom = picks(diversity.greedy_matching(pts, k, rounds="dominant"))
-        assert seq == dom
+def sequential(points, k):
+    """The definition: take the best pair among unused points, again and again."""
+    pts = sorted((r.id, list(r.vec)) for r in points.collect())
+    edges = sorted(
+        (-sum((x - y) ** 2 for x, y in zip(p[1], q[1])), p[0], q[0]) for i, p in enumerate(pts) for q in pts[i + 1 :]
+    )
+    out = []
+    for _, i, j in edges:
+        if len(out) < k - 1 and i not in out and j not in out:
+            out += [i, j]
+    return out + ([next(p for p, _ in pts if p not in out)] if k % 2 else [])
+
+
+@pytest.mark.parametrize("k", [2, 3, 12, 25, 59])
+def test_rounds_equal_sequential(spark, k):
+    pts = tables.embedding_points(spark, SF).where("id < 60")
+    got = picks(diversity.greedy_matching(pts, k))
+    assert got == sequential(pts, k) and len(set(got)) == k
+
+
+def test_rounds_with_ties(make_points):
+    pts = make_points([(i, (i % 3, i // 3)) for i in range(12)])  # many equal distances
+    for k in (2, 5, 11):
+        assert picks(diversity.greedy_matching(pts, k)) == sequential(pts, k)
+
+
+def test_all_points_come_in_order(spark):
+    pts = tables.embedding_points(spark, SF).repartition(7)
+    want = sorted(r.id for r in pts.collect())
+    assert picks(diversity.greedy_matching(pts, len(want))) == want
+    assert picks(diversity.greedy_matching(pts, len(want) + 5)) == want
 
 
 def test_k_must_be_positive(make_points):

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from spreadkit.operators import geometry
-from spreadkit.operators.pairs import PointSetError, cross_pairs, point_stats, self_pairs  # noqa: F401
+from spreadkit.operators.pairs import PointSetError, point_stats, self_pairs
+from spreadkit.operators.select import kth_smallest
+from spreadkit.runtime import BROADCAST_CONF
 from spreadkit.sources import tables
 
 from conftest import FIXTURE_C, SF
@@ -16,68 +18,67 @@ def value(df):
     return df.first()[0]
 
 
-@pytest.mark.parametrize("strategy", ["blocked", "pruned", "auto"])
-def test_fixture_c_diameter(make_points, strategy):
-    d = value(geometry.diameter(make_points(FIXTURE_C), strategy=strategy))
-    assert round(d, 6) == D_C
+@pytest.mark.parametrize("pivots", [1, 2, 6, 9])
+def test_fixture_c_diameter(make_points, pivots):
+    assert round(value(geometry.diameter(make_points(FIXTURE_C), pivots)), 6) == D_C
 
 
 def test_fixture_c_average(make_points):
     assert round(value(geometry.avg_pairwise_distance(make_points(FIXTURE_C))), 6) == 7.151080
 
 
-def test_pairwise_lists_each_pair_once(make_points):
-    pts = make_points(FIXTURE_C)
-    rows = geometry.pairwise(pts, squared=True).collect()
-    assert len(rows) == 15 and all(r.i < r.j for r in rows)
-    blocked = geometry.pairwise(pts, squared=True, strategy="blocked")
-    assert sorted(map(tuple, rows)) == sorted(map(tuple, blocked.collect()))
+def test_distances_to_the_first_center(make_points):
+    pts = make_points(FIXTURE_C).withColumn("g", F.col("id") % 2)
+    rows = geometry.distances_to_center(pts, "g", squared=True).collect()
+    assert sorted(map(tuple, rows)) == [(0, 2, 1.0), (0, 4, 64.0), (1, 3, 81.0), (1, 5, 65.0)]
 
 
 def test_blocked_pairs_cover_all_pairs(spark):
     pts = tables.embedding_points(spark, SF)
-    n, dim = point_stats(pts)
-    for block_rows in (1, 7, 100, 10_000):
-        pairs = self_pairs(pts, n, dim, strategy="blocked", block_rows=block_rows)
+    n, _ = point_stats(pts)
+    for block_rows in (30, 100, 10_000):
+        pairs = self_pairs(pts, n, block_rows=block_rows)
         agg = pairs.agg(F.count(F.lit(1)).alias("c"), F.min(F.col("id_j") - F.col("id_i")).alias("m")).first()
         assert agg.c == n * (n - 1) // 2 and agg.m > 0
 
 
-def test_cross_pairs_cover_all_pairs(spark, make_points):
-    a = make_points(FIXTURE_C[:2])
-    b = make_points(FIXTURE_C[2:])
-    for block_rows in (None, 1, 3):
-        got = cross_pairs(a, b, 2, 4, 2, block_rows=block_rows).select("id_i", "id_j").collect()
-        assert sorted(map(tuple, got)) == [(i, j) for i in (0, 1) for j in (2, 3, 4, 5)]
-
-
-def test_sampled_diameter_large_sample_uses_pairs(spark):
+def test_sampled_diameter_in_blocks(spark):
     pts = tables.embedding_points(spark, SF)
-    small = value(geometry.sampled_diameter(pts, 60))  # 60 * 64 values: inlined
-    old = geometry.MAX_INLINE_VALUES
-    geometry.MAX_INLINE_VALUES = 0
+    whole = value(geometry.sampled_diameter(pts, 60))
+    spark.conf.set(BROADCAST_CONF, "8000")  # five blocks
     try:
-        paired = value(geometry.sampled_diameter(pts, 60))
+        assert value(geometry.sampled_diameter(pts, 60)) == whole
     finally:
-        geometry.MAX_INLINE_VALUES = old
-    assert small == paired
+        spark.conf.unset(BROADCAST_CONF)
 
 
-def test_pruned_equals_exact_on_lineitem(spark):
-    pts = tables.lineitem_points(spark, SF)
-    pruned = value(geometry.diameter(pts, strategy="pruned"))
-    exact = value(geometry.diameter(pts, strategy="blocked"))
-    assert pruned == exact
+def brute_diameter(points):
+    pts = [list(r.vec) for r in points.collect()]
+    return max(math.dist(p, q) for p in pts for q in pts)
 
 
-def test_pruned_equals_exact_on_embeddings(spark):
-    pts = tables.embedding_points(spark, SF)
-    assert value(geometry.diameter(pts, strategy="pruned")) == value(geometry.diameter(pts, strategy="blocked"))
+@pytest.mark.parametrize("pivots", [1, 4])
+@pytest.mark.parametrize("block_rows", [16, 16384])
+def test_diameter_equals_all_pairs(spark, monkeypatch, pivots, block_rows):
+    monkeypatch.setattr(geometry, "MAX_BLOCK_ROWS", block_rows)
+    pts = tables.embedding_points(spark, SF).where("id < 120")
+    assert math.isclose(value(geometry.diameter(pts, pivots)), brute_diameter(pts), rel_tol=1e-12)
+    flat = tables.lineitem_points(spark, SF).limit(600)
+    assert math.isclose(value(geometry.diameter(flat, pivots)), brute_diameter(flat), rel_tol=1e-12)
+
+
+def test_kth_smallest_with_ties_and_negative_values(spark):
+    values = [5, -3, 5, 0, -(2**62), 2**62, 5, 7, -3]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    ordered = sorted(values)
+    for k in range(1, len(values) + 1):
+        found, rest = kth_smallest(df, "v", k)
+        assert found == ordered[k - 1] and rest == k - ordered.index(found)
 
 
 def test_sampled_diameter_bounds(spark):
     pts = tables.embedding_points(spark, SF)
-    exact = value(geometry.diameter(pts, strategy="blocked"))
+    exact = value(geometry.diameter(pts, 1))
     for k in (1, 5, 50):
         approx = value(geometry.sampled_diameter(pts, k))
         assert exact / 2 - 1e-9 <= approx <= exact + 1e-9
@@ -96,11 +97,11 @@ def test_sample_is_exact_size_and_repeatable(spark):
 def test_empty_and_single_point(spark, make_points):
     empty = make_points([])
     assert value(geometry.diameter(empty)) is None
-    assert value(geometry.diameter(empty, strategy="blocked")) is None
+    assert value(geometry.diameter(empty, 1)) is None
     assert value(geometry.avg_pairwise_distance(empty)) is None
     one = make_points([(9, (1.0, 2.0))])
     assert value(geometry.diameter(one)) == 0.0
-    assert value(geometry.diameter(one, strategy="blocked")) == 0.0
+    assert value(geometry.diameter(one, 1)) == 0.0
     assert value(geometry.avg_pairwise_distance(one)) is None
     assert value(geometry.sampled_diameter(one, 1)) is None
 
@@ -113,7 +114,7 @@ def test_equal_points_have_zero_diameter(make_points):
 def test_mixed_dimensions_raise(make_points):
     pts = make_points([(0, (1, 1)), (1, (1, 1, 1))])
     with pytest.raises(PointSetError):
-        geometry.diameter(pts, strategy="blocked")
+        geometry.diameter(pts, 1)
 
 
 def test_duplicate_vectors_are_kept_by_identity(make_points):
@@ -130,7 +131,7 @@ def test_unmeasurable_vectors_raise(spark, vec):
     df = spark.createDataFrame([(0, [0.0, 0.0]), (1, vec), (2, [3.0, 4.0])], "id bigint, vec array<double>")
     for run in (
         lambda: geometry.diameter(df).first(),
-        lambda: geometry.diameter(df, strategy="blocked").first(),
+        lambda: geometry.sampled_diameter(df, 1).first(),
         lambda: geometry.avg_pairwise_distance(df).first(),
         lambda: centers.farthest_first(df, 2).collect(),
     ):

@@ -42,9 +42,6 @@ QUERIES = entry.QUERIES
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF)
     got = df.collect()
-    if name not in ORACLES:
-        assert len(got) >= 1
-        return
     res = con.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]
     want = res.fetchall()
@@ -58,6 +55,5 @@ def test_entry_smoke(spark):
     assert df.count() == 6
 
 
-def test_every_query_has_oracle_but_physical_partitions():
-    missing = set(QUERIES) - set(ORACLES)
-    assert missing == {"max_partition_size_physical"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) <= set(ORACLES)

@@ -1,10 +1,8 @@
-from pyspark.sql import functions as F
+import os
 
-from spreadkit.operators.pairs import point_stats, self_pairs
-from spreadkit.runtime import durable, ensure_checkpoint_dir, fits_broadcast, BROADCAST_CONF
-from spreadkit.sources import tables
+from pyspark.sql import functions as F
 
-from conftest import SF
+from spreadkit.runtime import BROADCAST_CONF, ensure_checkpoint_dir, fits_broadcast, remove_path, stored, work_path
 
 
 def test_checkpoint_dir_is_read_from_the_session(spark):
@@ -13,12 +11,20 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     assert ensure_checkpoint_dir(spark) == folder  # never replaced once set
 
 
-def test_durable_cuts_lineage(spark):
+def test_stored_cuts_lineage(spark):
     df = spark.range(100).withColumn("x", F.col("id") * 2).groupBy((F.col("id") % 3).alias("k")).count()
-    out = durable(df)
+    out = stored(df, "test")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "Aggregate" not in plan  # read back from the checkpoint, not recomputed
+    assert "Aggregate" not in plan  # read back, not recomputed
+
+
+def test_remove_path(spark):
+    path = work_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert os.path.exists(path.removeprefix("file:"))
+    remove_path(spark, path)
+    assert not os.path.exists(path.removeprefix("file:"))
 
 
 def test_broadcast_cap_is_configurable(spark):
@@ -31,16 +37,3 @@ def test_broadcast_cap_is_configurable(spark):
             spark.conf.unset(BROADCAST_CONF)
         else:
             spark.conf.set(BROADCAST_CONF, old)
-
-
-def test_small_pair_tables_stay_small_under_default_shuffle_setting(spark):
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "200")
-    try:
-        pts = tables.embedding_points(spark, SF).limit(40)
-        n, d = point_stats(pts)
-        pairs = self_pairs(pts, n, d)
-        assert pairs.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
-        assert pairs.count() == n * (n - 1) // 2
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)

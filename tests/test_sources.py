@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import PySparkException
 
-from spreadkit.sources import parse_labelled, parse_points
+from spreadkit.sources import parse_labelled, parse_points, read_lines
 
 
 def lines(spark, values):
@@ -56,15 +56,28 @@ def test_points_permissive(spark):
     assert [r.id for r in parse_points(df, id_col="id", mode="permissive").collect()] == [0]
 
 
-def test_points_without_id_follow_line_order(spark):
-    df = parse_points(lines(spark, ["1,1", "2,2", "3,3"]).coalesce(1))
-    rows = df.orderBy("id").collect()
-    assert [r.vec[0] for r in rows] == [1.0, 2.0, 3.0]
+def test_rejected_lines_are_kept(spark):
+    df = lines(spark, ["1 a", "x cat", "5", "", None])
+    assert sorted(str(r.value) for r in parse_labelled(df, mode="rejected").collect()) == ["", "5", "None", "x cat"]
+    pts = spark.createDataFrame([(0, "1,2"), (1, ""), (2, None)], "id bigint, value string")
+    assert [r.id for r in parse_points(pts, id_col="id", mode="rejected").orderBy("id").collect()] == [1, 2]
+
+
+def test_lineitem_id_has_room_at_scale_factor_1000(spark):
+    """Neighbouring and extreme keys give distinct ids that do not overflow."""
+    from itertools import product
+
+    from spreadkit.sources.tables import lineitem_id
+
+    edge = lambda top: [1, 2, top - 1, top]
+    rows = list(product(edge(6 * 10**9), edge(2 * 10**8), edge(10**7), [1, 7], [1.0, 50.0]))
+    df = spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double")
+    got = [r.id for r in df.select(lineitem_id().alias("id")).collect()]
+    assert None not in got and len(set(got)) == len(rows)
 
 
 def test_text_file_source_end_to_end(spark, tmp_path):
     from spreadkit.operators import counts
-    from spreadkit.sources import read_lines
 
     path = tmp_path / "pairs.txt"
     path.write_text("0 cat\n1 dog\n2 cat\n3 bird\n4 cat\n5 dog\n")
@@ -80,12 +93,7 @@ def test_text_file_source_end_to_end(spark, tmp_path):
 def test_point_file_source(spark, tmp_path):
     path = tmp_path / "points.csv"
     path.write_text("0,0\n1,0,\n0,1\n10,0\n0,8\n9,1\n")
-    pts = parse_points(read_lines_one(spark, str(path)))
+    numbered = read_lines(spark, str(path)).selectExpr("value", "row_number() over (order by value) as id")
+    pts = parse_points(numbered, id_col="id")
     assert pts.count() == 6
     assert sorted(len(r.vec) for r in pts.collect()) == [2] * 6
-
-
-def read_lines_one(spark, path):
-    from spreadkit.sources import read_lines
-
-    return read_lines(spark, path)

@@ -1,6 +1,8 @@
 import os
 
-from spreadkit.streaming import read_lines_stream, running_class_counts, running_word_counts
+from spreadkit.operators import counts, words
+from spreadkit.sources import parse_labelled
+from spreadkit.streaming import read_lines_stream
 
 
 def _write(folder, name, lines):
@@ -25,7 +27,7 @@ def test_streaming_class_counts(spark, tmp_path):
     src.mkdir()
     _write(src, "a.txt", ["0 cat", "1 dog", "2 cat", "bad line"])
     _write(src, "b.txt", ["3 bird", "4 cat", "5 dog"])
-    got = _run(spark, running_class_counts(read_lines_stream(spark, str(src), 1)),
+    got = _run(spark, counts.class_count(parse_labelled(read_lines_stream(spark, str(src), 1), mode="permissive")),
                "class_counts_stream", str(tmp_path / "ck1"))
     assert got == {"bird": 1, "cat": 3, "dog": 2}
 
@@ -34,6 +36,6 @@ def test_streaming_word_counts(spark, tmp_path):
     src = tmp_path / "docs"
     src.mkdir()
     _write(src, "a.txt", ["a bb a", "ccc bb "])
-    got = _run(spark, running_word_counts(read_lines_stream(spark, str(src))),
+    got = _run(spark, words.word_count(read_lines_stream(spark, str(src)), text="value"),
                "word_counts_stream", str(tmp_path / "ck2"))
     assert got == {"a": 2, "bb": 2, "ccc": 1}

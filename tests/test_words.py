@@ -58,3 +58,10 @@ def test_lengths_are_code_points_and_order_is_utf8(spark):
         spark.createDataFrame([(0, "ｚ"), (1, "\U0001F600"), (2, "z")], "key bigint, class string")
         .transform(counts.class_count)).collect()]
     assert ordered == ["z", "ｚ", "\U0001F600"]  # UTF-8 byte order
+
+
+def test_lines_are_documents(spark):
+    d = docs(spark, ["a b\nc", "x\r\ny\rz\n", "", "\n", "q\n\nr"])
+    got = sorted(r.text for r in words.lines(d).collect())
+    assert got == sorted(["a b", "c", "x", "y", "z", "", "q", "", "r"])
+    assert words.line_count(d).first()["n_lines"] == 9
