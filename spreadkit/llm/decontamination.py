@@ -55,7 +55,7 @@ def normalised(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     letter = _LETTER[data]
     keep = letter.copy()
     keep[1:] |= letter[:-1]
-    ends = np.cumsum([len(t) for t in lowered])
+    ends = np.cumsum([len(t) for t in lowered], dtype=np.int64)
     sums = np.concatenate([[0], np.cumsum(keep)])
     return np.where(letter, data, 0x20)[keep].astype(np.uint8), np.concatenate([[0], sums[ends]])
 

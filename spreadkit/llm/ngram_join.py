@@ -283,5 +283,5 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", te
     """The rows of ``docs`` that name their component, all columns as they are.
     Rows with a null id stay, as do all rows of a doc_id that stays."""
     found = ngram_components(docs, percent, id_col, text_col)
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(gone, id_col, "left_anti")

@@ -135,6 +135,8 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _repeated_lines(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Lines with a word that equal an earlier line of their text."""
     n = len(offsets) - 1
+    if not len(data):
+        return np.zeros(n, np.int64)
     breaks = np.flatnonzero(data == 0x0A)
     starts = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
     starts = starts[starts < len(data)]

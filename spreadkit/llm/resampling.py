@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from spreadkit.llm.tables import stored
 from spreadkit.llm.textarrays import LOWER, mix, span_hashes, text_bytes, windows, words
+from spreadkit.operators.select import kth_smallest
 
 BUCKETS = 10_000
 TARGET_SAMPLE = 100_000
@@ -91,22 +92,6 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", tex
     return source.mapInArrow(weigh, "doc_id bigint, n_features bigint, log_weight double")
 
 
-def kth(df: DataFrame, column: str, k: int) -> tuple[int, int]:
-    """The k-th largest value of a bigint column, and how many of the rows that
-    equal it are among the k largest. Exact; counts 16-bit digits from the top."""
-    prefix = 0
-    for shift in (48, 32, 16, 0):
-        rows = df if shift == 48 else df.where(F.shiftright(column, shift + 16) == prefix)
-        digit = F.shiftright(column, shift)
-        counts = rows.groupBy(digit.alias("d")).count().collect()  # 65,536 rows at most
-        for r in sorted(counts, key=lambda r: -r.d):
-            if r["count"] >= k:
-                prefix = r.d
-                break
-            k -= r["count"]
-    return prefix, k
-
-
 def resample(
     docs: DataFrame,
     labels: DataFrame,
@@ -122,9 +107,9 @@ def resample(
     )
     total, wanted = rated.agg(F.count("*"), F.count_if("wanted")).first()
     sample = (
-        rated.where("wanted").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(TARGET_SAMPLE).select("id")
+        rated.where("wanted").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(TARGET_SAMPLE).select(F.col("id").alias(id_col))
     )
-    target = docs.join(F.broadcast(sample), F.col(id_col) == F.col("id"), "left_semi")
+    target = docs.select(id_col, text_col).join(F.broadcast(sample), id_col, "left_semi")
     ratios = log_ratios(feature_counts(target, text_col), feature_counts(docs, text_col))
 
     unit = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + 0.5) / float(1 << 53)
@@ -139,9 +124,9 @@ def resample(
     if k >= n:
         kept = F.col("units").isNotNull()
     elif k > 0:
-        border, ties = kth(eligible, "units", k)
-        at_border = eligible.where(F.col("units") == border).select((-F.col("doc_id")).alias("key"))
-        last = -kth(at_border, "key", ties)[0]
+        down, ties = kth_smallest(eligible.select((-F.col("units")).alias("key")), "key", k)
+        border = -down
+        last, _ = kth_smallest(eligible.where(F.col("units") == border), "doc_id", ties)
         kept = (F.col("units") > border) | ((F.col("units") == border) & (F.col("doc_id") <= last))
     return scored.select(
         "doc_id", "n_features", "log_weight", (F.col("units") / float(1 << _UNITS)).alias("score"),

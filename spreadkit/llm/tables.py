@@ -1,4 +1,4 @@
-"""Reading the given tables, and tables written between steps of a job."""
+"""Reading the given tables, and giving this package to the Python workers."""
 
 from __future__ import annotations
 
@@ -10,7 +10,9 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 import spreadkit
-from spreadkit.runtime import ensure_checkpoint_dir
+from spreadkit.runtime import stored, work_path
+
+__all__ = ["read", "ship_package", "stored", "work_path"]
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -34,20 +36,3 @@ def ship_package(spark: SparkSession) -> None:
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def work_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder (``spark.checkpoint.dir``), removed when
-    the application ends."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as Parquet into the shared folder and read it back:
-    computed in one pass, no lineage, safe when executors are lost."""
-    path = work_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
