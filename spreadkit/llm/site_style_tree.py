@@ -16,8 +16,8 @@ with an ``article`` or ``main`` element keep only what is in it.
 
 Equal pages of a host are merged as one page, since a copied article says nothing
 about the site. A branch needs ``MIN_PAGES`` pages to be judged, and what a page
-would lose to low importance is put back if it is over half of its main text:
-then the host repeats an article, not a frame.
+would lose to low importance is put back if it is over four fifths of its main
+text: then the host repeats an article, not a frame.
 
 Counts of branches are aggregated by (host, branch, feature), partly before the
 shuffle, so a host with a third of all pages is spread over all tasks; pages are
@@ -58,7 +58,7 @@ def main_text(blocks: list[Block], low: set[int]) -> str:
     if any(b.main for b in own):
         own = [b for b in own if b.main]
     kept = [b for b in own if not low.intersection(b.chain)]
-    if 2 * sum(len(b.text) for b in kept) < sum(len(b.text) for b in own):
+    if 5 * sum(len(b.text) for b in kept) < sum(len(b.text) for b in own):
         kept = own
     return "\n".join(b.text for b in kept)
 
