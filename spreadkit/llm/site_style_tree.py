@@ -20,8 +20,9 @@ would lose to low importance is put back if it is over four fifths of its main
 text: then the host repeats an article, not a frame.
 
 Counts of branches are aggregated by (host, branch, feature), partly before the
-shuffle, so a host with a third of all pages is spread over all tasks; pages are
-joined only with their host's list of low branches.
+shuffle, so a host with a third of all pages is spread over all tasks. Pages are
+joined only with their host's list of low branches: the lists are counted, and
+broadcast if they fit the cap, so that no html moves; else both sides are salted.
 
 Null and empty html give an empty text. Pages without a url share one nameless
 host. Repeated page ids are separate pages.
@@ -37,10 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spreadkit.llm.dom import Block, read
+from spreadkit.llm.tables import stored
+from spreadkit.runtime import fits_broadcast
 
 MIN_PAGES = 4
 LOW_IMPORTANCE = 0.3
 PRESENTATION_SHARE = 0.1
+SALTS = 64
 
 _FEATURES = "host string, fingerprint bigint, branches array<bigint>, kinds array<int>, features array<bigint>"
 
@@ -109,10 +113,18 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
         host_of(url_col).alias("host"),
     )
-    low = (
+    low = stored(
         style_trees(source.select("host", "html")).where(F.col("importance") < LOW_IMPORTANCE)
-        .groupBy("host").agg(F.collect_list("branch").alias("low"))  # branches of one site's frame
+        .groupBy("host").agg(F.collect_list("branch").alias("low")),  # branches of one site's frame
+        "low-branches",
     )
+    size = low.agg(F.coalesce(F.sum(F.octet_length("host") + 8 * F.size("low") + 64), F.lit(0))).first()[0]
+    if fits_broadcast(pages.sparkSession, 1, size):
+        joined = source.join(F.broadcast(low), "host", "left")
+    else:
+        salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        salted = source.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+        joined = salted.join(low.withColumn("salt", F.explode(salts)), ["host", "salt"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,6 +133,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
-    return source.join(low, "host", "left").select("page_id", "url", "html", "low").mapInArrow(
+    return joined.select("page_id", "url", "html", "low").mapInArrow(
         cut, "page_id bigint, url string, text string, n_chars bigint"
     )
