@@ -3,9 +3,11 @@
 Two generative models of a text are bags of hashed word uni- and bigrams: the
 target model counts the features of texts labelled as wanted, the raw model
 those of all texts. A text's log importance weight is the sum over its features
-of log p_target - log p_raw (both smoothed). Adding independent Gumbel noise and
-taking the k largest sums draws k texts without replacement in proportion to
-their weights. The noise is a hash of doc_id and a seed, so a draw repeats.
+of log p_target - log p_raw (both smoothed). A text of the target sample is left
+out of the target model that weighs it, or its own rare words would speak for it.
+Adding independent Gumbel noise and taking the k largest sums draws k texts
+without replacement in proportion to their weights. The noise is a hash of doc_id
+and a seed, so a draw repeats.
 
 k is a share of the rows: by default the share of wanted texts among the
 labelled ones. The k-th largest score is found exactly by counting 16-bit digits
@@ -13,7 +15,8 @@ of it over all rows (four passes over the small scored table, at most 65,536
 counts each on the driver); ties at the border are taken by ascending doc_id.
 
 The target model reads the texts of at most ``TARGET_SAMPLE`` wanted ids, the
-smallest by hash; everything else covers all rows. Null and empty texts have no
+smallest by hash; everything else covers all rows. Rows that share a wanted id
+are all in the sample. Null and empty texts have no
 feature and weight 0. Rows with one id and one score share their fate; a null id
 never gets in. Labels that contradict each other count as not wanted. Without a
 wanted text all weights are 0 and the draw is uniform.
@@ -32,7 +35,7 @@ from spreadkit.llm.tables import stored
 from spreadkit.llm.textarrays import LOWER, mix, span_hashes, text_bytes, windows, words
 from spreadkit.operators.select import kth_smallest
 
-BUCKETS = 10_000
+BUCKETS = 1 << 16
 TARGET_SAMPLE = 100_000
 SEED = 41
 _UNITS = 20  # binary digits of a score behind the point
@@ -69,23 +72,42 @@ def feature_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """log p_target - log p_raw of every bucket; 0 if there is no target."""
     p, q = (target + 1) / (target.sum() + BUCKETS), (raw + 1) / (raw.sum() + BUCKETS)
     return np.log(p) - np.log(q) if target.sum() else np.zeros(BUCKETS)
 
 
-def log_weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_features, log_weight``."""
-    model = docs.sparkSession.sparkContext.broadcast(ratios)
+def correction(buckets: np.ndarray, text: np.ndarray, target: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What each text's log weight changes by when its ``n`` features are taken
+    out of the target model."""
+    pairs, own = np.unique(text * np.int64(BUCKETS) + buckets, return_counts=True)
+    text, count = pairs // BUCKETS, target[pairs % BUCKETS]
+    total = target.sum()
+    change = own * (np.log(count - own + 1) - np.log(count + 1))
+    return np.bincount(text, weights=change, minlength=len(n)) - n * (np.log(total - n + BUCKETS) - np.log(total + BUCKETS))
+
+
+def log_weights(
+    docs: DataFrame, target: np.ndarray, raw: np.ndarray, sample: np.ndarray, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, n_features, log_weight``; ``sample`` are the ids whose texts the
+    target counts hold."""
+    model = docs.sparkSession.sparkContext.broadcast((target, log_ratios(target, raw), sample))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, ratios, sample = model.value
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
+            ids = batch.column(0).fill_null(-1).to_numpy()
+            inside = np.isin(ids, sample) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             n, w = np.zeros(len(offsets) - 1, np.int64), np.zeros(len(offsets) - 1)
             for i, j in windows(offsets):
                 lo = offsets[i]
                 buckets, text = features(data[lo : offsets[j]], offsets[i : j + 1] - lo)
                 n[i:j] = np.bincount(text, minlength=j - i)
-                w[i:j] = np.bincount(text, weights=model.value[buckets], minlength=j - i)
+                w[i:j] = np.bincount(text, weights=ratios[buckets], minlength=j - i)
+                own = inside[i:j][text]
+                w[i:j] += correction(buckets[own], text[own], target, np.where(inside[i:j], n[i:j], 0))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(w)], ["doc_id", "n_features", "log_weight"])
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -110,12 +132,13 @@ def resample(
         rated.where("wanted").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(TARGET_SAMPLE).select(F.col("id").alias(id_col))
     )
     target = docs.select(id_col, text_col).join(F.broadcast(sample), id_col, "left_semi")
-    ratios = log_ratios(feature_counts(target, text_col), feature_counts(docs, text_col))
+    ids = np.sort(np.array([r[0] for r in sample.collect()], np.int64))  # TARGET_SAMPLE at most
+    models = feature_counts(target, text_col), feature_counts(docs, text_col)
 
     unit = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + 0.5) / float(1 << 53)
     score = F.floor((F.col("log_weight") - F.log(-F.log(unit))) * float(1 << _UNITS)).cast("bigint")
     scored = stored(
-        log_weights(docs, ratios, id_col, text_col).withColumn("units", F.when(F.col("doc_id").isNotNull(), score)), "scored"
+        log_weights(docs, *models, ids, id_col, text_col).withColumn("units", F.when(F.col("doc_id").isNotNull(), score)), "scored"
     )
     eligible = scored.where("units is not null")
     n = eligible.count()

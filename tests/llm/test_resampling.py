@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spreadkit.llm import queries
-from spreadkit.llm.resampling import BUCKETS, feature_counts, features, log_ratios, log_weights, resample
+from spreadkit.llm.resampling import BUCKETS, feature_counts, features, log_weights, resample
 from spreadkit.llm.textarrays import text_bytes
 
 from support import ODD, SF, WORD, docs, empty
@@ -34,15 +34,16 @@ def test_weights_equal_the_definition(spark):
     texts = ["good text here", "good text", "spam spam spam", None, "good spam"]
     df = docs(spark, texts)
     target, raw = feature_counts(df.where("doc_id < 2")), feature_counts(df)
-    ratios = log_ratios(target, raw)
     p, q = Counter(), Counter()
     for i, bag in enumerate(bags(texts)):
         q += bag
         p += bag if i < 2 else Counter()
-    for r in log_weights(df, ratios).collect():
+    for r in log_weights(df, target, raw, np.array([0, 1])).collect():
+        bag = bags(texts)[r.doc_id]
+        others = p - bag if r.doc_id < 2 else p  # its own counts don't speak for it
         want = sum(
-            n * (math.log((p[b] + 1) / (sum(p.values()) + BUCKETS)) - math.log((q[b] + 1) / (sum(q.values()) + BUCKETS)))
-            for b, n in bags(texts)[r.doc_id].items()
+            n * (math.log((others[b] + 1) / (others.total() + BUCKETS)) - math.log((q[b] + 1) / (q.total() + BUCKETS)))
+            for b, n in bag.items()
         )
         assert math.isclose(r.log_weight, want, abs_tol=1e-9)
 
