@@ -1,3 +1,77 @@
-"""DuckDB SQL for the registered queries that SQL can express on whole tables."""
+"""DuckDB SQL for the registered queries that SQL can express on whole tables.
 
-ORACLES: dict[str, str] = {}
+Tokenizer ids, DOM trees, hashed models, edit distances and random vectors have
+no SQL form; those queries are tested in ``tests/llm``.
+"""
+
+from __future__ import annotations
+
+from spreadkit.llm.ngram_join import PERCENT
+from spreadkit.llm.repetition import MAX_COVERED, MAX_LONGEST, MAX_REPEAT_WORDS, MIN_REPEAT, MIN_WORDS
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _leads(words: int) -> str:
+    return ", ".join(f"lead(w, {k}) OVER o AS w{k}" for k in range(1, words))
+
+
+def _repeated(words: int) -> str:
+    """Whether the window of so many words from here occurs twice in the text."""
+    columns = ", ".join(["w", *[f"w{k}" for k in range(1, words)]])
+    return f"w{words - 1} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, {columns}) > 1"
+
+
+def _covered(flag: str, words: int) -> str:
+    return f"bool_or({flag}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {words - 1} PRECEDING AND CURRENT ROW)"
+
+
+# The longest repeat: equal windows at i < j lie on the diagonal j - i, and a run
+# of so many of them in a row is a repeat that is longer by the window less one.
+REPETITION = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS ws FROM d),
+p AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM l),
+g AS (SELECT *, {_leads(MIN_REPEAT)} FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+f AS (SELECT *, {_repeated(3)} AS r3, {_repeated(MIN_REPEAT)} AS r5 FROM g),
+c AS (SELECT *, {_covered('r3', 3)} AS c3, {_covered('r5', MIN_REPEAT)} AS c5 FROM f),
+m AS (SELECT doc_id, count(*) AS n_words, sum(length(w)) AS word_chars, count(*) FILTER (WHERE c3) AS n_repeat_words,
+             count(*) FILTER (WHERE c5) AS covered_words FROM c GROUP BY doc_id),
+pairs AS (SELECT a.doc_id, b.i - a.i AS diagonal, a.i - row_number() OVER (PARTITION BY a.doc_id, b.i - a.i ORDER BY a.i) AS run
+          FROM f a JOIN f b ON a.doc_id = b.doc_id AND a.i < b.i AND a.r5 AND b.r5
+          {' '.join(f'AND a.{c} = b.{c}' for c in ['w', *[f'w{k}' for k in range(1, MIN_REPEAT)]])}),
+runs AS (SELECT doc_id, count(*) + {MIN_REPEAT - 1} AS n FROM pairs GROUP BY doc_id, diagonal, run),
+longest AS (SELECT doc_id, max(n) AS longest_repeat FROM runs GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+        WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id),
+t AS (SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+             CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+             CAST(coalesce(covered_words, 0) AS BIGINT) AS covered_words,
+             CAST(coalesce(longest_repeat, 0) AS BIGINT) AS longest_repeat
+      FROM d LEFT JOIN m USING (doc_id) LEFT JOIN longest USING (doc_id) LEFT JOIN dup USING (doc_id)),
+v AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_WORDS} * n_words AS base_failed FROM t)
+SELECT *, NOT base_failed AND 100 * covered_words <= {MAX_COVERED} * n_words
+          AND 100 * longest_repeat <= {MAX_LONGEST} * n_words AS kept FROM v"""
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+NGRAM_JOIN = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{WORD}') AS ws
+  FROM documents),
+p AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM l),
+g AS (SELECT doc_id, w, {_leads(5)} FROM p WHERE n >= 5 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT DISTINCT doc_id, concat_ws(' ', w, w1, w2, w3, w4) AS s FROM g WHERE w4 IS NOT NULL
+      UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM l WHERE len(ws) BETWEEN 1 AND 4),
+size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN size x ON a = x.doc_id JOIN size y ON b = y.doc_id
+          WHERE 100 * c >= {PERCENT} * (x.n + y.n - c)),
+reach AS (SELECT a AS doc_id, b AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(other), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY d.doc_id, size.n"""
+
+ORACLES: dict[str, str] = {"op2_ngram_join": NGRAM_JOIN, "op3_repetition": REPETITION}
