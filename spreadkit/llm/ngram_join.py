@@ -41,6 +41,7 @@ from spreadkit.llm.components import components
 from spreadkit.llm.count_rtree import CountRTree, count_vector, least_overlap
 from spreadkit.llm.tables import stored
 from spreadkit.llm.textarrays import LOWER, mix, span_hashes, text_bytes, windows, words
+from spreadkit.runtime import fits_broadcast
 
 NGRAM = 5
 PERCENT = 80
@@ -151,9 +152,17 @@ def signatures(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame
     return docs.mapInArrow(sign, "doc_id bigint, n bigint, f1 bigint, f2 bigint, prefix array<bigint>")
 
 
+def needed(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
+    """``docs`` without those that a join on ``ids`` (``most`` of them at most)
+    will drop anyway, if the ids are few enough to broadcast."""
+    if not fits_broadcast(docs.sparkSession, most, 16):
+        return docs
+    return docs.join(F.broadcast(ids.select(F.col(ids.columns[0]).alias("doc_id")).distinct()), "doc_id", "left_semi")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar: the count vectors' bound first,
-    then the sets themselves."""
+    """The pairs ``a, b`` (a written table) whose sets are similar: the count
+    vectors' bound first, then the sets themselves."""
 
     def similar(x: np.ndarray, y: np.ndarray) -> bool:
         need = least_overlap(len(x), len(y), percent)
@@ -166,6 +175,8 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             good = [len(x) > 0 and len(y) > 0 and similar(x, y) for x, y in zip(shingle_sets(batch.column(2)), shingle_sets(batch.column(3)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    ends = pairs.select("a").unionAll(pairs.select(F.col("b").alias("a")))
+    docs = needed(docs, ends, 2 * pairs.count())
     one = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     two = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
@@ -182,47 +193,55 @@ def candidates(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["id", "vector"])
 
     points = docs.mapInArrow(vectors, "id bigint, vector binary")
-    own_chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
+    home = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    everywhere = F.sequence(F.lit(0), F.col("chunks") - 1)
     placed = members.join(points, "id").select(
-        "block", "id", "n", "label", "vector", "minority", own_chunk.alias("home"),
-        F.explode(F.when(F.col("minority"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(own_chunk))).alias("chunk"),
+        "block", "id", "n", "label", "vector", "minority", home.alias("home"),
+        F.explode(F.when(F.col("minority"), everywhere).otherwise(F.array(home))).alias("chunk"),
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches):
-            vectors = [np.frombuffer(v, "<u4").astype(np.int32) for v in group["vector"]]
-            n, label = np.array(group["n"], np.int64), np.array(group["label"], np.int64)
-            ids = np.array(group["id"], np.int64)
-            home = np.array(group["home"]) == group["chunk"][0]
-            asked = np.flatnonzero(np.array(group["minority"]))
-            indexed = np.flatnonzero(home)
-            tree = CountRTree([vectors[k] for k in indexed], n[indexed], label[indexed])
+        tree, ids, key = None, None, None
+        for own, rows in chunk_parts(batches):
+            vectors = [np.frombuffer(v, "<u4").astype(np.int32) for v in rows["vector"]]
+            n, label = np.array(rows["n"], np.int64), np.array(rows["label"], np.int64)
+            here, asked = np.array(rows["id"], np.int64), np.flatnonzero(rows["minority"])
+            if own[:2] != key:
+                tree, ids, key = None, None, own[:2]
+            if own[2]:  # the chunk's own classes come first: at most about CHUNK
+                tree, ids = CountRTree(vectors, n, label), here
+            if tree is None:
+                continue
             for q, p in tree.search([vectors[k] for k in asked], n[asked], label[asked], percent):
-                x, y = ids[asked[q]], ids[indexed[p]]
+                x, y = here[asked[q]], ids[p]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
-    ordered = placed.repartition(F.col("block"), F.col("chunk")).sortWithinPartitions("block", "chunk")
+    ordered = (
+        placed.withColumn("own", F.col("home") == F.col("chunk")).repartition(F.col("block"), F.col("chunk"))
+        .sortWithinPartitions("block", "chunk", F.desc("own"))
+    )
     return ordered.mapInArrow(search, "a bigint, b bigint").where("a < b").distinct()
 
 
-def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-    """Rows of consecutive equal (block, chunk), across batches."""
-    held: dict[str, list] | None = None
+def chunk_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, dict[str, list]]]:
+    """``(block, chunk, own)`` and rows, from rows in that order: the own classes
+    of a chunk in one part, those that are sent to it in parts of ``CHUNK``."""
+    key, held = None, None
     for batch in batches:
-        rows = batch.to_pydict()
-        block, chunk = np.array(rows["block"], np.int64), np.array(rows["chunk"], np.int64)
-        cuts = np.flatnonzero((block[1:] != block[:-1]) | (chunk[1:] != chunk[:-1])) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)]):
-            part = {k: v[a:b] for k, v in rows.items()}
-            if held and (held["block"][0], held["chunk"][0]) == (part["block"][0], part["chunk"][0]):
-                for k, v in part.items():
-                    held[k] += v
-            else:
-                if held:
-                    yield held
-                held = part
+        if not batch.num_rows:
+            continue
+        rows = batch.select(["id", "n", "label", "vector", "minority"])
+        marks = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "chunk", "own")]
+        cuts = np.flatnonzero(np.logical_or.reduce([m[1:] != m[:-1] for m in marks])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            part, now = rows.slice(a, b - a).to_pydict(), tuple(m[a].item() for m in marks)
+            if held and (now != key or (not key[2] and len(held["id"]) >= CHUNK)):
+                yield key, held
+                held = None
+            key = now
+            held = {k: held[k] + v for k, v in part.items()} if held else part
     if held:
-        yield held
+        yield key, held
 
 
 def ngram_components(
@@ -235,17 +254,19 @@ def ngram_components(
         F.min("doc_id").alias("id"), F.first("prefix").alias("prefix")
     )
     tokens = classes.select(F.explode("prefix").alias("tok"), "id", "n")
-    names = tokens.groupBy("tok").agg(F.min(F.struct("id", "n")).alias("name"), F.count("*").alias("c")).where("c > 1")
+    names = tokens.groupBy("tok").agg(
+        F.min("id").alias("block"), F.min_by("n", "id").alias("block_n"), F.count("*").alias("c")
+    ).where("c > 1").drop("c")
     blocks = stored(
-        tokens.join(names, "tok").where("id != name.id")
-        .groupBy(F.col("name.id").alias("block"), F.col("name.n").alias("block_n"), "id", "n").agg(F.count("*").alias("shared")),
+        tokens.join(names, "tok").where("id != block").groupBy("block", "block_n", "id", "n").agg(F.count("*").alias("shared")),
         "blocks",
     )
 
     # one comparison a class, with the name it shares most shingles with
     near = blocks.where(f"100 * least(n, block_n) >= {percent} * greatest(n, block_n)")
     best = near.groupBy("id").agg(F.max(F.struct("shared", (-F.col("block")).alias("minus"))).alias("best"))
-    first = stored(verified(best.select((-F.col("best.minus")).alias("a"), F.col("id").alias("b")), source, percent), "links")
+    stars = stored(best.select((-F.col("best.minus")).alias("a"), F.col("id").alias("b")), "stars")
+    first = stored(verified(stars, source, percent), "links")
     labels = components(first)
 
     # blocks with more than one label
@@ -270,9 +291,12 @@ def ngram_components(
     links = first.unionByName(verified(pairs, source, percent))
     final = components(links)
 
-    named = classes.select("f1", "f2", "n", "id").join(final, "id", "left").select(
-        "f1", "f2", "n", F.coalesce("label", "id").alias("label")
-    )
+    named = stored(
+        classes.select("f1", "f2", "n", "id").join(final, "id", "left").select(
+            "f1", "f2", "n", F.coalesce("label", "id").alias("label")
+        ),
+        "named",
+    )  # written, so that the join below can split a class of many copies
     return signed.drop("prefix").join(named, ["f1", "f2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"),
