@@ -15,7 +15,7 @@ def components(links: DataFrame) -> DataFrame:
     halves the remaining paths. Nothing but the number of changes reaches the
     driver; each round is written to the shared folder."""
     both = stored(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("label")), "labels")
+    labels = both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("label"))
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
         lower = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("low"))
