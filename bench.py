@@ -31,6 +31,10 @@ HEADLINE = {
     "exact_diameter": Q.exact_diameter,
     "avg_pairwise_distance": Q.avg_pairwise_distance,
     "greedy_matching": Q.greedy_matching,
+    "sampled_diameter": Q.sampled_diameter,
+    "farthest_first": Q.farthest_first,
+    "farthest_first_k20": Q.farthest_first_k20,
+    "center_diameter": Q.center_diameter,
 }
 
 

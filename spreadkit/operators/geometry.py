@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from spreadkit.functions.keys import seeded_rank
 from spreadkit.functions.vectors import MAX_UNROLLED_DIM, sqdist, sqdist_sql
-from spreadkit.operators.centers import farthest_first
 from spreadkit.operators.pairs import MAX_BLOCK_ROWS, check_point_stats, point_checks, point_stats, self_pairs
 from spreadkit.operators.select import kth_smallest
 from spreadkit.runtime import broadcast_limit, cached, fits_broadcast, vector_row_bytes
@@ -42,12 +41,19 @@ def distances_to_center(points: DataFrame, group: str, squared: bool = False) ->
     return pts.join(first, "g").where("id <> i").select("i", F.col("id").alias("j"), value)
 
 
+def _farthest(pts: DataFrame, d2: str) -> list[float]:
+    """A point with the largest ``d2`` (the smallest id among them): a top-1, in
+    which each task keeps its best row."""
+    row = pts.select("vec", "id", F.expr(d2).alias("d2")).orderBy(F.desc("d2"), "id").limit(1).first()
+    return [float(x) for x in row["vec"]]
+
+
 def diameter(points: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     """Exact maximum pairwise distance (J1), one row ``diameter``.
 
-    1. Farthest-first picks a few pivots; with the centroid they are the only
-       points the driver holds. One scan gives every point's distance to each,
-       and its cell (nearest pivot).
+    1. A few pivots, from the centroid on always the point farthest from those
+       so far; they are the only points the driver holds. One scan gives every
+       point's distance to each, and its cell (nearest pivot).
     2. The largest distance from a pivot is a lower bound ``low``.
     3. A point can be an end of a longer pair only if its distance to the
        centroid plus the largest such distance reaches ``low``, and, for some
@@ -59,52 +65,71 @@ def diameter(points: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     Exact for any data. Where distances concentrate (high dimension) nothing is
     pruned and step 4 compares all pairs in blocks: the definition's own work.
     """
-    pts = _points(points)
-    spark = pts.sparkSession
-    centers = [[float(x) for x in r["vec"]] for r in farthest_first(pts, pivots).orderBy("step").collect()]
-    if not centers:
+    source = _points(points)
+    spark = source.sparkSession
+    probe = source.selectExpr("size(vec) AS d").first()
+    if probe is None:
         return spark.createDataFrame([(None,)], "diameter double")
-    dim = len(centers[0])
-    means = pts.agg(*[F.expr(f"avg(get(vec, {i}))").alias(f"c{i}") for i in range(dim)]).first()
-    centroid = [float(x) for x in means]
-    unrolled = dim if dim * (len(centers) + 1) <= MAX_UNROLLED_DIM else None
+    pts = cached(source)
+    try:
+        means = [F.expr(f"avg(get(vec, {i}))").alias(f"c{i}") for i in range(max(probe["d"] or 0, 0))]
+        stats = pts.agg(*point_checks(), *means).first()
+        check_point_stats(stats["n"], stats["dmin"], stats["dmax"], stats["bad"])
+        dim = stats["dmin"]
+        centroid = [float(stats[f"c{i}"]) for i in range(dim)]
+        unrolled = dim if dim * (pivots + 1) <= MAX_UNROLLED_DIM else None
+        centers = [_farthest(pts, sqdist_sql("vec", centroid, unrolled))]
+        while len(centers) < pivots:
+            d2 = [sqdist_sql("vec", c, unrolled) for c in centers]
+            centers.append(_farthest(pts, f"least({', '.join(d2)})" if len(d2) > 1 else d2[0]))
+        return _diameter(pts, centers, centroid, dim, unrolled)
+    finally:
+        pts.unpersist()
+
+
+def _diameter(pts: DataFrame, centers: list, centroid: list, dim: int, unrolled: int | None) -> DataFrame:
+    spark = pts.sparkSession
     d = [f"sqrt({sqdist_sql('vec', c, unrolled)})" for c in centers]
     scored = pts.selectExpr(
         "id", "vec", f"array({', '.join(d)}) AS d", f"sqrt({sqdist_sql('vec', centroid, unrolled)}) AS r"
     ).selectExpr("*", "cast(array_position(d, array_min(d)) - 1 AS int) AS cell")
-    alive, low = cached(scored), None
+    alive = cached(scored)
     try:
+        cells = _cells(alive)
+        low = max(c["far"] for c in cells.values())
+        least = low * (1 - SLACK)
         while True:
-            cells = alive.groupBy("cell").agg(
-                F.count(F.lit(1)).alias("n"), F.max(F.array_min("d")).alias("radius"),
-                F.max(F.array_max("d")).alias("far"), F.max("r").alias("r"),
-            ).collect()  # one row per pivot at most
-            low = max(c["far"] for c in cells) if low is None else low
-            least = low * (1 - SLACK)
-            radius = {c["cell"]: c["radius"] for c in cells}
-            reach = " OR ".join(f"d[{j}] + {radius[j]!r}D >= {least!r}D" for j in sorted(radius))
-            left = alive.where(F.expr(f"r + {max(c['r'] for c in cells)!r}D >= {least!r}D AND ({reach})"))
-            kept, before = cached(left), sum(c["n"] for c in cells)
-            after = kept.count()
+            reach = " OR ".join(f"d[{j}] + {c['radius']!r}D >= {least!r}D" for j, c in cells.items())
+            widest = max(c["r"] for c in cells.values())
+            kept = cached(alive.where(F.expr(f"r + {widest!r}D >= {least!r}D AND ({reach})")))
+            before, cells = sum(c["n"] for c in cells.values()), _cells(kept)
             alive.unpersist()
-            alive = kept
+            alive, after = kept, sum(c["n"] for c in cells.values())
             if after > before // 2 or after < 2:
                 break
-        best = _longest_between_cells(alive, least, dim) if after > 1 else None
+        best = _longest_between_cells(alive, cells, least, dim) if after > 1 else None
         return spark.createDataFrame([(max(low, math.sqrt(best) if best is not None else 0.0),)], "diameter double")
     finally:
         alive.unpersist()
 
 
-def _longest_between_cells(alive: DataFrame, least: float, dim: int) -> float | None:
+def _cells(alive: DataFrame) -> dict[int, dict]:
+    """Size, radius and reach of every cell: at most one row per pivot."""
+    rows = alive.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.array_min("d")).alias("radius"), F.max(F.array_max("d")).alias("far"),
+        F.max("r").alias("r"),
+    ).collect()
+    return {r["cell"]: r.asDict() for r in sorted(rows, key=lambda r: r["cell"])}
+
+
+def _longest_between_cells(alive: DataFrame, cells: dict[int, dict], least: float, dim: int) -> float | None:
     """Largest squared distance of a pair whose cells and own distances allow
     one of at least ``least``."""
-    cells = {r["cell"]: r for r in alive.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max(F.array_min("d")).alias("radius")).collect()}
-    parts = {j: math.ceil(r["n"] / MAX_BLOCK_ROWS) for j, r in cells.items()}
+    parts = {j: math.ceil(c["n"] / MAX_BLOCK_ROWS) for j, c in cells.items()}
     own = alive.withColumn("part", F.pmod(F.xxhash64("id"), _by_cell(parts)).cast("int"))
     # a point goes to every part of each cell it may have a partner in
     targets = F.array_compact(F.array(*[
-        F.when(F.expr(f"d[{j}] + {cells[j]['radius']!r}D >= {least!r}D"), F.lit(j)) for j in sorted(cells)
+        F.when(F.expr(f"d[{j}] + {c['radius']!r}D >= {least!r}D"), F.lit(j)) for j, c in cells.items()
     ]))
     sent = own.select("id", "vec", "cell", "part", F.explode(targets).alias("to"))
     sent = sent.select("*", F.explode(F.sequence(F.lit(0), _by_cell(parts, "to") - 1)).alias("to_part"))
