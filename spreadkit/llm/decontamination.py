@@ -36,9 +36,9 @@ from spreadkit.llm.textarrays import mix, ragged, windows
 
 Q = 12
 EDIT_PERCENT = 5
-WINDOW = 128
+WINDOW = 80
 BAND = 16
-INDEX_BYTES = 8 << 20
+INDEX_BYTES = 2 << 20
 STRETCH_BYTES = 1 << 20
 _FILTER_BITS = 22
 
@@ -94,8 +94,8 @@ class Index:
         n = self.size - Q + 1
         keys = all_grams[ragged(self.low, n)]
         order = np.argsort(keys, kind="stable")
-        self.window = np.repeat(np.arange(len(self.low)), n)[order]
-        self.place = ragged(np.zeros(len(n), np.int64), n)[order]
+        self.window = np.repeat(np.arange(len(self.low), dtype=np.int32), n)[order]
+        self.place = ragged(np.zeros(len(n), np.int64), n)[order].astype(np.int32)
         self.keys, self.begins, self.counts = np.unique(keys[order], return_index=True, return_counts=True)
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
         self.seen[(self.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
@@ -132,7 +132,7 @@ class Index:
         if not len(own):
             return
         width = int(band.max()) + 2
-        key = (own * len(self.low) + window) * width + band + 1
+        key = (own * np.int64(len(self.low)) + window) * width + band + 1
         found, hits = np.unique(key, return_counts=True)
         window = found // width % len(self.low)
         found, window = found[hits >= self.bound[window]], window[hits >= self.bound[window]]

@@ -32,6 +32,7 @@ MAX_LANGUAGES = 4096
 STRETCH_CHARS = 1 << 20
 _DENSE_CODES = 1 << 21
 _GROUP_CELLS = 1 << 21
+_SLICE = 1 << 14
 SPACE = 0x20
 
 
@@ -97,17 +98,18 @@ def bundles(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarr
             chars += len(texts[j] or "")
             j += 1
         letters, distinct, of, place = trigrams(texts[i:j])
-        vectors = trigram_vectors(letters, distinct)
         counts = np.bincount(of, minlength=j - i)
         out = np.zeros((j - i, DIMENSIONS), np.float32)
-        width = max(1, len(distinct))
-        group = max(1, _GROUP_CELLS // width)
-        edges = np.concatenate([[0], np.cumsum(counts)])
-        for a in range(0, j - i, group):
-            b = min(j - i, a + group)
-            s = slice(edges[a], edges[b])
-            cells = np.bincount((of[s] - a) * width + place[s], minlength=(b - a) * width)
-            out[a:b] = cells.reshape(b - a, width).astype(np.float32)[:, : len(distinct)] @ vectors
+        for lo in range(0, len(distinct), _SLICE):  # a bounded number of vectors at a time
+            own = distinct[lo : lo + _SLICE]
+            inside = (place >= lo) & (place < lo + _SLICE)
+            vectors, text, cell = trigram_vectors(letters, own), of[inside], place[inside] - lo
+            group = max(1, _GROUP_CELLS // len(own))
+            edges = np.searchsorted(text, np.arange(0, j - i + group, group))
+            for g, a in enumerate(range(0, j - i, group)):
+                b, s = min(j - i, a + group), slice(edges[g], edges[g + 1])
+                cells = np.bincount((text[s] - a) * len(own) + cell[s], minlength=(b - a) * len(own))
+                out[a:b] += cells.reshape(b - a, len(own)).astype(np.float32) @ vectors
         yield i, counts, out
         i = j
 

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from spreadkit.llm import queries
+from spreadkit.llm import language, queries
 from spreadkit.llm.language import DIMENSIONS, bundles, identify, learn, letter_vector, predict
 
 from support import ODD, SF, docs, empty
@@ -29,7 +29,9 @@ def test_bundles_equal_brute_force():
             assert n == want[0] and np.array_equal(v, want[1])
 
 
-def test_many_letters_take_the_other_path():
+def test_many_letters_take_the_other_path(monkeypatch):
+    monkeypatch.setattr(language, "_SLICE", 100)
+    monkeypatch.setattr(language, "_GROUP_CELLS", 300)
     texts = ["".join(chr(0x4E00 + (i * 7 + k) % 400) for k in range(60)) for i in range(30)]
     (_, counts, vectors), = bundles(texts)
     for t, n, v in zip(texts[::10], counts[::10], vectors[::10]):
