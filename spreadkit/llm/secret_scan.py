@@ -11,9 +11,11 @@ are counted in stretches of text, and a stretch passes on words seen at least
 ``WORD_LEAST`` times, whose sums rank the dictionary.
 
 The forest is trained on labelled findings: given ones (``doc_id, start,
-label``), or else those that a strict rule can label: 1 for a mixed value that is
-assigned to a credential's name, 0 for candidates without a digit, numbers, parts
-of paths, and values next to words for checksums and revisions. At most
+label``), or else those that a strict rule can label: 1 for a value that is
+assigned to a credential's name and mixed, quoted or of mixed case; 0, only where
+no credential's name stands before it, for candidates without a digit, numbers,
+parts of paths (several word-like segments, or an address or path around it), and
+values next to words for checksums and revisions. Both labels weigh the same. At most
 ``SAMPLE`` findings of each label train it, the smallest by hash; with one label
 only there is nothing to learn and the rule decides alone.
 
@@ -64,6 +66,12 @@ HARMLESS = frozenset(
     "sha sha1 sha256 md5 checksum hash commit revision rev digest etag uuid guid id build version isbn phone tel card "
     "example sample test dummy placeholder".split()
 )
+_SUFFIX = ("password", "passwd", "pwd", "passphrase", "secret", "token", "apikey", "credential", "credentials")
+_SEGMENT = re.compile(r"[A-Z]?[a-z]{2,}")
+# original case before a candidate: an address, a path or a domain that it continues
+_PLACE = re.compile(r"://[^\s\"'<>=]*$|(?:^|[\s\"'`(<=])(?:~|\.{1,2})?/[^\s\"'<>=]*$|[\\/@]$|(?:^|[^A-Za-z0-9])[a-z-]{1,20}\.$")
+_EXTENSION = re.compile(r"[.\\/@]?\.[a-z][a-z0-9]{0,4}(?![A-Za-z0-9_.-])|[\\/@][A-Za-z0-9]")
+_ASSIGNED = re.compile(r"(?:[=:]|[=:]>|[=:]\s*(?:bearer|basic|token))[\s\"'`]*$")
 FEATURES = [
     "length", "digits", "transitions", "pair_log", "dictionary", "distinct", "path", "assigned", "quoted", "credential",
     "harmless", "hexadecimal",
@@ -163,11 +171,12 @@ def describe(data: np.ndarray, lo: int, hi: int, start: int, end: int, corpus: S
     if len(corpus.automaton()):
         for stop, size in corpus.automaton().iter(value):
             known[stop - size + 1 : stop + 1] = True
-    before = LOWER[data[max(lo, start - _CONTEXT) : start]].tobytes().decode("latin-1")
+    raw = data[max(lo, start - _CONTEXT) : start].tobytes().decode("latin-1")
+    before = raw.lower()
     after = data[end : min(hi, end + 8)].tobytes().decode("latin-1")
     near = re.findall(r"[a-z0-9_]+", before)[-3:]
-    joint = before.rstrip("\"'` ")[-1:]
-    path = value.count("/") + (before[-1:] in ("/", "\\", ".", "@")) + bool(re.match(r"[\\.@][a-z0-9]", after.lower()))
+    segments = sum(_SEGMENT.fullmatch(x) is not None for x in body.tobytes().decode("latin-1").split("/"))
+    path = segments * (segments > 1) + (_PLACE.search(raw) is not None) + (_EXTENSION.match(after) is not None)
     return [
         float(n),
         float((kinds == 3).mean()),
@@ -176,23 +185,27 @@ def describe(data: np.ndarray, lo: int, hi: int, start: int, end: int, corpus: S
         float(known.mean()),
         len(set(value)) / n,
         float(path),
-        float(joint in ("=", ":")),
+        float(_ASSIGNED.search(before) is not None),
         float(before[-1:] in ("\"", "'", "`")),
-        float(any(w in CREDENTIAL for w in near)),
+        float(any(credential_name(w) for w in near)),
         float(any(w in HARMLESS for w in near)),
         float(re.fullmatch(r"[0-9a-f]+", value) is not None),
     ]
 
 
+def credential_name(name: str) -> bool:
+    """Whether a lower-case name, or a part of it, names a credential."""
+    return name in CREDENTIAL or name.endswith(_SUFFIX) or any(x in CREDENTIAL for x in re.split("[^a-z0-9]+", name))
+
+
 def rule(x: list[float]) -> int | None:
-    """The strict label of a candidate, if it has one."""
+    """The strict label of a candidate, if it has one. A value assigned to a
+    credential's name is never labelled 0."""
     f = dict(zip(FEATURES, x))
-    mixed = 0 < f["digits"] < 1 and f["transitions"] > 0.15
-    if mixed and f["assigned"] and f["credential"] and not f["path"]:
-        return 1
-    if not f["digits"] or f["digits"] == 1 or f["path"] or f["harmless"]:
-        return 0
-    return None
+    if f["credential"]:
+        shaped = f["digits"] < 1 and f["transitions"] > 0.15 if f["digits"] else f["quoted"] or f["transitions"] > 0
+        return 1 if f["assigned"] and shaped else None
+    return 0 if not f["digits"] or f["digits"] == 1 or f["path"] or f["harmless"] else None
 
 
 def described(column: pa.Array, corpus: Statistics) -> Iterator[tuple[int, int, int, str, list[float]]]:
@@ -250,10 +263,12 @@ def train(found: DataFrame, findings: DataFrame | None = None) -> Forest:
     order = [F.xxhash64("value", F.lit(SEED)), F.col("doc_id"), F.col("start")]
     samples = [labelled.where(F.col("label") == v).orderBy(*order).limit(SAMPLE) for v in (0, 1)]
     rows = stored(samples[0].unionByName(samples[1]).select("label", *FEATURES), "labelled")
-    if rows.select("label").distinct().count() < 2:
+    sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(sizes) < 2:
         return Forest([])
-    assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("label", "features")
-    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(assembled.coalesce(1))
+    weight = F.when(F.col("label") == 1, sizes[0] / sizes[1]).otherwise(1.0).alias("weight")
+    assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("label", "features", weight)
+    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight").fit(assembled.coalesce(1))
 
     def tree(node):
         if node.subtreeDepth() == 0:

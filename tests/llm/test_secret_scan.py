@@ -102,3 +102,22 @@ def test_features_of_a_candidate(spark):
     one, two = (dict(zip(FEATURES, r[4])) for r in rows)
     assert (one["assigned"], one["quoted"], one["credential"], one["hexadecimal"], one["path"]) == (1, 1, 1, 1, 0)
     assert two["path"] >= 1 and two["dictionary"] > one["dictionary"] and one["transitions"] == 1.0
+
+
+def base64(rng, n=40):
+    return "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n - 1)) + "/"
+
+
+def secrets_of(spark, texts):
+    return {(r.doc_id, r.value) for r in scan(docs(spark, texts)).collect() if r.is_secret}
+
+
+def test_slashes_and_missing_digits_do_not_hide_secrets(spark):
+    rng = random.Random(9)
+    keys = [base64(rng)[::-1] for _ in range(20)] + ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzzzzzzzzz"]
+    plain = ["QwertyAsdfZxcvBnmPoiu", "correcthorsebatterystaple", "kLmNoPqRsTuVwXyZaBcD"]
+    planted = [f'aws_secret_access_key = "{k}" and so on' for k in keys] + [f'password="{p}" and so on' for p in plain]
+    texts = corpus(rng, 40) + planted
+    got = secrets_of(spark, texts)
+    assert {d for d, _ in got} == {i for i in range(len(texts)) if i >= 120 or i % 3 == 0}
+    assert {v for d, v in got if d >= 120} == {*keys, *plain}
