@@ -7,8 +7,9 @@ dictionary coverage (by frequent words of the corpus), its distinct characters,
 whether it looks like part of a path, and its neighbouring words.
 
 The corpus statistics come from all texts: byte pairs are counted exactly; words
-are counted in stretches of text, and a stretch passes on words seen at least
-``WORD_LEAST`` times, whose sums rank the dictionary.
+of 4 to 12 letters too, in dictionaries that a task passes on when they hold
+``WORDS_HELD`` words; the sums over all tasks rank the corpus dictionary, so it
+does not depend on partitions or batches.
 
 The forest is trained on labelled findings: given ones (``doc_id, start,
 label``), or else those that a strict rule can label: 1 for a value that is
@@ -41,7 +42,7 @@ from spreadkit.llm.tables import stored
 from spreadkit.llm.textarrays import LOWER, span_hashes, text_bytes, windows, words
 
 MIN_LENGTH = 16
-WORD_LEAST = 8
+WORDS_HELD = 1 << 18
 DICTIONARY = 5000
 SAMPLE = 20_000
 TREES, DEPTH, SEED = 20, 6, 13
@@ -115,16 +116,16 @@ def statistics(docs: DataFrame, text_col: str = "text") -> Statistics:
                 own = LOWER[data[lo : offsets[j]]]
                 pairs += np.bincount(own[:-1].astype(np.int32) << 8 | own[1:], minlength=1 << 16)
                 starts, ends, _ = words(own, offsets[i : j + 1] - lo)
-                fit = (ends - starts >= 4) & (ends - starts <= 12)
+                other = np.concatenate([[0], np.cumsum(_KIND[own] != 1)])
+                fit = (ends - starts >= 4) & (ends - starts <= 12) & (other[ends] == other[starts])
                 starts, ends = starts[fit], ends[fit]
                 _, first, n = np.unique(span_hashes(own, starts, ends), return_index=True, return_counts=True)
-                for k in np.flatnonzero(n >= WORD_LEAST).tolist():
-                    word = own[starts[first[k]] : ends[first[k]]].tobytes()
-                    if word.isalpha():
-                        found[word] = found.get(word, 0) + int(n[k])
-            if len(found) > 1 << 18:
-                yield _counts({}, found)
-                found = {}
+                raw = own.tobytes()
+                for a, b, c in zip(starts[first].tolist(), ends[first].tolist(), n.tolist()):
+                    found[raw[a:b]] = found.get(raw[a:b], 0) + c
+                if len(found) > WORDS_HELD:
+                    yield _counts({}, found)
+                    found = {}
         yield _counts(dict(enumerate(pairs.tolist())), found)
 
     parts = stored(docs.select(F.col(text_col).alias("text")).mapInArrow(count, "pair int, word binary, n bigint"), "statistics")

@@ -3,7 +3,7 @@ import re
 
 import pyarrow as pa
 
-from spreadkit.llm import queries
+from spreadkit.llm import queries, secret_scan
 from spreadkit.llm.secret_scan import FEATURES, REDACTED, Forest, candidates, described, redact, rule, scan, spans, statistics
 from spreadkit.llm.textarrays import text_bytes
 
@@ -121,3 +121,11 @@ def test_slashes_and_missing_digits_do_not_hide_secrets(spark):
     got = secrets_of(spark, texts)
     assert {d for d, _ in got} == {i for i in range(len(texts)) if i >= 120 or i % 3 == 0}
     assert {v for d, v in got if d >= 120} == {*keys, *plain}
+
+
+def test_dictionary_does_not_depend_on_partitions(spark, monkeypatch):
+    texts = [f"rareword {''.join(random.Random(i).choices('abcdefgh', k=7))} filler filler" for i in range(40)]
+    one, many = (statistics(docs(spark, texts).repartition(n)) for n in (1, 40))
+    assert one.dictionary == many.dictionary and one.dictionary[:2] == [b"filler", b"rareword"] and len(one.dictionary) == 42
+    monkeypatch.setattr(secret_scan, "WORDS_HELD", 3)
+    assert statistics(docs(spark, texts).repartition(2)).dictionary == one.dictionary
