@@ -1,6 +1,9 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-A candidate is a run of at least ``MIN_LENGTH`` characters ``[A-Za-z0-9+/=_-]``.
+A candidate is a run of at least ``MIN_LENGTH`` characters ``[A-Za-z0-9+/=_-]``, or,
+whatever its length and characters, the whole quoted or white-space-delimited value
+that follows a credential's name and ``=`` or ``:`` (or a scheme such as Bearer), or
+the password in an address ``scheme://user:password@host``.
 Its features are its length, its character transitions (changes of character
 class, and the mean log probability of its byte pairs under the corpus), its
 dictionary coverage (by frequent words of the corpus), its distinct characters,
@@ -72,10 +75,19 @@ _SEGMENT = re.compile(r"[A-Z]?[a-z]{2,}")
 # original case before a candidate: an address, a path or a domain that it continues
 _PLACE = re.compile(r"://[^\s\"'<>=]*$|(?:^|[\s\"'`(<=])(?:~|\.{1,2})?/[^\s\"'<>=]*$|[\\/@]$|(?:^|[^A-Za-z0-9])[a-z-]{1,20}\.$")
 _EXTENSION = re.compile(r"[.\\/@]?\.[a-z][a-z0-9]{0,4}(?![A-Za-z0-9_.-])|[\\/@][A-Za-z0-9]")
+# a value after its separator, as it stands in quotes or up to white space
+_VALUE = re.compile(
+    rb"(?:=>|:=|=(?!=)|:(?![:=]))[ \t]*(?:(?:bearer|basic|token)[ \t]+)?"
+    rb"(?:\"([^\"\r\n]+)\"|'([^'\r\n]+)'|`([^`\r\n]+)`|([^\s]+))",
+    re.I,
+)
+_USERINFO = re.compile(rb"://[^\s/:@\"'<>]*:([^\s/\"'<>]+)@")
+_NAME = re.compile(r"([A-Za-z0-9_.-]+)\\?[\"'`]?[ \t]*$")
+_NEXT = re.compile(rb"[&,;][\w-]+[=:]|</")  # the value ends before another name or a closing tag
 _ASSIGNED = re.compile(r"(?:[=:]|[=:]>|[=:]\s*(?:bearer|basic|token))[\s\"'`]*$")
 FEATURES = [
     "length", "digits", "transitions", "pair_log", "dictionary", "distinct", "path", "assigned", "quoted", "credential",
-    "harmless", "hexadecimal",
+    "harmless", "hexadecimal", "spaces",
 ]
 _COLUMNS = ["doc_id", "start", "stop", "value", "label", *FEATURES]
 CANDIDATES = "doc_id bigint, start bigint, stop bigint, value string, label int, " + ", ".join(f"{f} double" for f in FEATURES)
@@ -159,9 +171,54 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
     long_ = ends - starts >= MIN_LENGTH
     starts, ends = starts[long_], ends[long_]
+    own = assigned(data, offsets)
+    if own:
+        # assigned values are whole; what is left of the runs around them stays a run
+        pieces, at = list(own), 0
+        for lo, hi in zip(starts.tolist(), ends.tolist()):
+            while at < len(own) and own[at][1] <= lo:
+                at += 1
+            k = at
+            while k < len(own) and own[k][0] < hi:
+                pieces += [(lo, own[k][0])] * (own[k][0] - lo >= MIN_LENGTH)
+                lo = own[k][1]
+                k += 1
+            pieces += [(lo, hi)] * (hi - lo >= MIN_LENGTH)
+        starts, ends = np.array(sorted(pieces), np.int64).T
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def assigned(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of the values assigned to a credential's name and of
+    passwords in addresses, in order."""
+    raw, out = data.tobytes(), []
+    sites = np.flatnonzero((data == ord("=")) | (data == ord(":")))
+    texts = np.searchsorted(offsets, sites, "right") - 1
+    for at, lo, hi in zip(sites.tolist(), offsets[texts].tolist(), offsets[texts + 1].tolist()):
+        if out and at < out[-1][1]:
+            continue
+        found = _USERINFO.match(raw, at, hi)
+        if found:
+            out.append(found.span(1))
+            continue
+        name = _NAME.search(raw[max(lo, at - _CONTEXT) : at].decode("latin-1"))
+        if not name or not credential_name(name[1].lower()) or raw[at : at + 3] == b"://":
+            continue
+        found = _VALUE.match(raw, at, hi)
+        if not found:
+            continue
+        start, end = found.span(found.lastindex)
+        if found.lastindex == 4:
+            value = found[4]
+            after = _NEXT.search(value, 1)
+            value = value[: after.start()] if after else value
+            start += len(value) - len(value.lstrip(b"\\\"'`([{<"))
+            end = start + len(value.lstrip(b"\\\"'`([{<").rstrip(b"\\\"'`)]}>.,;:"))
+        if start < end:
+            out.append((start, end))
+    return out
+
+
 def describe(data: np.ndarray, lo: int, hi: int, start: int, end: int, corpus: Statistics) -> list[float]:
     """The features of one candidate in the text ``[lo, hi)``."""
     body = data[start:end]
@@ -176,21 +233,24 @@ def describe(data: np.ndarray, lo: int, hi: int, start: int, end: int, corpus: S
     before = raw.lower()
     after = data[end : min(hi, end + 8)].tobytes().decode("latin-1")
     near = re.findall(r"[a-z0-9_]+", before)[-3:]
+    account = after[:1] == "@" and re.search(r"://[^\s/@]*:$", before) is not None
     segments = sum(_SEGMENT.fullmatch(x) is not None for x in body.tobytes().decode("latin-1").split("/"))
-    path = segments * (segments > 1) + (_PLACE.search(raw) is not None) + (_EXTENSION.match(after) is not None)
+    path = segments * (segments > 1) 
+    path += 0 if account else (_PLACE.search(raw) is not None) + (_EXTENSION.match(after) is not None)
     return [
         float(n),
         float((kinds == 3).mean()),
-        float((kinds[1:] != kinds[:-1]).mean()),
-        float(corpus.pair_log[lower[:-1], lower[1:]].mean()),
+        float((kinds[1:] != kinds[:-1]).mean()) if n > 1 else 0.0,
+        float(corpus.pair_log[lower[:-1], lower[1:]].mean()) if n > 1 else 0.0,
         float(known.mean()),
         len(set(value)) / n,
         float(path),
         float(_ASSIGNED.search(before) is not None),
         float(before[-1:] in ("\"", "'", "`")),
-        float(any(credential_name(w) for w in near)),
+        float(account or any(credential_name(w) for w in near)),
         float(any(w in HARMLESS for w in near)),
         float(re.fullmatch(r"[0-9a-f]+", value) is not None),
+        float(len(value.split()) - 1),
     ]
 
 
@@ -204,7 +264,7 @@ def rule(x: list[float]) -> int | None:
     credential's name is never labelled 0."""
     f = dict(zip(FEATURES, x))
     if f["credential"]:
-        shaped = f["digits"] < 1 and f["transitions"] > 0.15 if f["digits"] else f["quoted"] or f["transitions"] > 0
+        shaped = f["digits"] < 1 and f["transitions"] > 0.15 if f["digits"] else f["transitions"] > 0 or f["quoted"] and not f["spaces"]
         return 1 if f["assigned"] and shaped else None
     return 0 if not f["digits"] or f["digits"] == 1 or f["path"] or f["harmless"] else None
 

@@ -129,3 +129,23 @@ def test_dictionary_does_not_depend_on_partitions(spark, monkeypatch):
     assert one.dictionary == many.dictionary and one.dictionary[:2] == [b"filler", b"rareword"] and len(one.dictionary) == 42
     monkeypatch.setattr(secret_scan, "WORDS_HELD", 3)
     assert statistics(docs(spark, texts).repartition(2)).dictionary == one.dictionary
+
+
+def test_short_and_broken_values_are_scored(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dBjftJeZ4CVPmB92K27uhbUJU1p1r/wW1g"
+    values = {
+        'password = "hunter2x"': "hunter2x", "pwd: pa$$w0rd!7, then": "pa$$w0rd!7", "DB_PASSWORD=S3cr.et@Home! x": "S3cr.et@Home!",
+        "see postgres://bob:q9!xY7@db.host/name": "q9!xY7", f"Authorization: Bearer {jwt} ok": jwt, f"token={jwt}&user=bob": jwt,
+        "{'clientSecret': 'Ab3-dE9+fG'}": "Ab3-dE9+fG", "password=abcdef1234567890abcd": "abcdef1234567890abcd",
+    }
+    texts = corpus(random.Random(11), 40) + list(values)
+    got = {(d, v) for d, v in secrets_of(spark, texts) if d >= 120}
+    assert got == {(120 + i, v) for i, v in enumerate(values.values())}
+    assert redact(docs(spark, texts)).where("doc_id = 124").first().text == f"Authorization: Bearer {REDACTED} ok"
+
+
+def test_assigned_values_stay_in_their_text():
+    texts = ["password=", "Sup3r.S3cret", "x token: é!1é; y", "a == b, see http://x.y/z and 10:30", "key='a b' secret:=`c1`"]
+    data, offsets = text_bytes(pa.array(texts))
+    starts, ends, own = spans(data, offsets)
+    assert [(data[s:e].tobytes().decode(), int(t)) for s, e, t in zip(starts, ends, own)] == [("é!1é", 2), ("a b", 4), ("c1", 4)]
