@@ -1,12 +1,16 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Benchmark items and texts are lower-cased, every run of characters other than
-letters and digits becomes one space, and items are cut into overlapping windows
-(a short item is one window). A window of m characters that occurs in a text with
-at most k edits shares at least m - q + 1 - k * q q-grams with that place, on
-diagonals (text position minus window position) that differ by at most k. So:
-
-1. The q-grams of all windows form a sorted index, which is broadcast.
+letters and digits becomes one space, and items are cut into two families of
+overlapping windows (a short item is one window): ``WINDOW`` long and half
+overlapping, and ``EXCERPT - STRIDE + 1`` long, one every ``STRIDE``, so that any
+verbatim excerpt of ``EXCERPT`` bytes holds a whole window, however it lies. A
+window of m characters that occurs in a text with at most k edits shares at least
+m - q + 1 - k * q q-grams with that place, on diagonals (text position minus window
+position) that differ by at most k. So:
+
+1. The q-grams of all items form a sorted index, which is broadcast. The windows
+   around a q-gram are two ranges, found by its position.
 2. Each q-gram of a text that is in the index is a hit on a diagonal. Diagonals
    are cut into bands that overlap by the edit budget, so some band holds all
    hits of an occurrence. Hits are counted by text, window and band.
@@ -17,16 +21,17 @@ Every text is searched whole. The index takes ``INDEX_BYTES`` of benchmark text
 at a time; a larger benchmark is searched in blocks of that size. Positions are
 UTF-8 bytes of the normalised text.
 
-Null and empty texts have no findings, nor have items shorter than q (any text
-may hold them). Items with equal texts are found separately; rows with equal or
-null doc_id are searched one by one and their findings on one item merged under
-that id.
+Null and empty texts have no findings. Items shorter than q are found where they
+stand word for word, without edits. Items with equal texts are found separately;
+rows with equal or null doc_id are searched one by one and their findings on one
+item merged under that id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,6 +42,7 @@ from spreadkit.llm.textarrays import mix, ragged, windows
 Q = 12
 EDIT_PERCENT = 5
 WINDOW = 80
+EXCERPT, STRIDE = 64, 8
 BAND = 16
 INDEX_BYTES = 2 << 20
 STRETCH_BYTES = 1 << 20
@@ -60,6 +66,11 @@ def normalised(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(letter, data, 0x20)[keep].astype(np.uint8), np.concatenate([[0], sums[ends]])
 
 
+def _cut(lo: int, hi: int, size: int, step: int) -> list[tuple[int, int]]:
+    """Windows of ``[lo, hi)``, the last at its end."""
+    return [(b, b + size) for b in [*range(lo, hi - size, step), hi - size]] if hi - lo > size else [(lo, hi)]
+
+
 def grams(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the Q = 12 bytes from each position."""
     if len(data) < Q:
@@ -73,35 +84,65 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         data, offsets = normalised([t for _, t in items])
-        lows, highs, owner = [], [], []
-        for i, (lo, hi) in enumerate(zip(offsets[:-1], offsets[1:] - 1)):
+        families: list[list[tuple[int, int, int]]] = [[], [], []]
+        for i, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), (offsets[1:] - 1).tolist())):
             if hi - lo < Q:
+                lo += bool(hi > lo and data[lo] == 0x20)
+                families[2] += [(lo, hi, i)] * (hi > lo)
                 continue
-            step = WINDOW // 2
-            begins = [*range(lo, hi - WINDOW, step), hi - WINDOW] if hi - lo > WINDOW else [lo]
-            lows += begins
-            highs += [min(b + WINDOW, hi) for b in begins]
-            owner += [i] * len(begins)
+            families[0] += [(a, b, i) for a, b in _cut(lo, hi, WINDOW, WINDOW // 2)]
+            if hi - lo > EXCERPT - STRIDE + 1:
+                families[1] += [(a, b, i) for a, b in _cut(lo, hi, EXCERPT - STRIDE + 1, STRIDE)]
+        lows, highs, owner = np.array([x for f in families for x in f], np.int64).reshape(-1, 3).T
         self.data = data
-        self.low, self.size = np.array(lows, np.int64), np.array(highs, np.int64) - np.array(lows, np.int64)
+        self.low, self.high, self.size = lows, highs, highs - lows
+        self.edges = np.cumsum([0, *map(len, families)])
         self.item = np.array([items[i][0] for i in owner], object)
-        self.windows = np.bincount(owner, minlength=len(items))[owner] if owner else np.zeros(0, np.int64)
-        self.owner = np.array(owner, np.int64)
+        self.windows = np.bincount(owner, minlength=len(items))[owner] if len(owner) else np.zeros(0, np.int64)
+        self.owner = owner
         # the budget leaves at least one shared q-gram
-        self.budget = np.minimum(self.size * EDIT_PERCENT // 100, (self.size - Q) // Q)
+        self.budget = np.maximum(np.minimum(self.size * EDIT_PERCENT // 100, (self.size - Q) // Q), 0)
         self.bound = self.size - Q + 1 - self.budget * Q
-        all_grams = grams(data)
-        n = self.size - Q + 1
-        keys = all_grams[ragged(self.low, n)]
-        order = np.argsort(keys, kind="stable")
-        self.window = np.repeat(np.arange(len(self.low), dtype=np.int32), n)[order]
-        self.place = ragged(np.zeros(len(n), np.int64), n)[order].astype(np.int32)
-        self.keys, self.begins, self.counts = np.unique(keys[order], return_index=True, return_counts=True)
+        keys = grams(data)
+        many = sum(n for _, n in self._around(np.arange(len(keys))))
+        place = np.flatnonzero(many)
+        order = np.argsort(keys[place], kind="stable")
+        self.place = place[order].astype(np.int32)
+        self.keys, self.begins, self.places = np.unique(keys[self.place], return_index=True, return_counts=True)
+        self.counts = np.add.reduceat(many[self.place], self.begins) if len(self.begins) else np.zeros(0, np.int64)
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
         self.seen[(self.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+        self.words: dict[str, list[int]] = {}  # short items between spaces
+        for w in range(self.edges[2], self.edges[3]):
+            word = " " + data[self.low[w] : self.high[w]].tobytes().decode("latin-1") + " "
+            self.words.setdefault(word, []).append(w)
+
+    def _around(self, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """First window and number of windows of each family around the q-grams
+        at ``place``."""
+        for a, b in zip(self.edges[:2], self.edges[1:3]):
+            first = np.searchsorted(self.high[a:b], place + Q)
+            yield a + first, np.maximum(np.searchsorted(self.low[a:b], place, "right") - first, 0)
+
+    def _short(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        own = ahocorasick.Automaton()
+        for word in self.words:
+            own.add_word(word, word)
+        own.make_automaton()
+        hits = []
+        for last, word in own.iter(" " + data.tobytes().decode("latin-1")):
+            stop = last - 1  # the last character is the space at this position
+            start = stop - len(word) + 2
+            text = int(np.searchsorted(offsets, start, "right")) - 1
+            if stop < offsets[text + 1]:
+                hits += [(text, w, start - offsets[text], stop - offsets[text], 0) for w in self.words[word]]
+        if hits:
+            yield tuple(np.array(hits, np.int64).T)
 
     def search(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """Occurrences: text, window, first and last position, edits."""
+        if self.words:
+            yield from self._short(data, offsets)
         if not len(self.keys) or len(data) < Q:
             return
         hashes = grams(data)
@@ -120,11 +161,14 @@ class Index:
             yield from self._bands(data, offsets, at[s], slot[s], text[s])
 
     def _bands(self, data, offsets, at, slot, text) -> Iterator[tuple[np.ndarray, ...]]:
-        n = self.counts[slot]
-        entry = ragged(self.begins[slot], n)
-        window, own = self.window[entry], np.repeat(text, n)
+        n = self.places[slot]
+        place, own = self.place[ragged(self.begins[slot], n)].astype(np.int64), np.repeat(text, n)
         # positions from the start of the text; the shift keeps diagonals positive
-        diagonal = np.repeat(at - offsets[:-1][text], n) - self.place[entry] + WINDOW
+        shift = np.repeat(at - offsets[:-1][text], n) - place + WINDOW
+        around = list(self._around(place))
+        window = np.concatenate([ragged(first, n) for first, n in around])
+        own, shift = (np.concatenate([np.repeat(x, n) for _, n in around]) for x in (own, shift))
+        diagonal = shift + self.low[window]
         band, rest = diagonal // BAND, diagonal % BAND
         also = rest < self.budget[window]
         own, window = np.concatenate([own, own[also]]), np.concatenate([window, window[also]])

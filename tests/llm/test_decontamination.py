@@ -85,3 +85,18 @@ def test_nulls_clashes_and_empty(spark):
     assert clean.columns == df.columns and sorted(r.doc_id for r in clean.collect()) == list(range(len(ODD)))
     assert decontaminate(df, bench.where("item_id > 9")).collect() == []
     assert keep_clean(empty(spark), bench).collect() == []
+
+
+def test_excerpts_of_the_least_length_at_any_alignment(spark):
+    item = bytes(normalised([benchmark(spark).orderBy("item_id").first().text])[0][:-1]).decode("ascii")
+    index = Index([(1, item)])
+    n = decontamination.EXCERPT
+    texts = [f"0123 {item[a : a + n]} 4567" for a in range(len(item) - n + 1)]
+    assert len(texts) > 100 and {r[0] for rows in findings(index, texts) for r in rows} == set(range(len(texts)))
+
+
+def test_short_items_are_matched_exactly(spark):
+    index = Index([(1, "Tom & Ann"), (2, "x7"), (3, "?")])
+    texts = ["so tom, ann came", "tommy ann", "X7", "ax7", "tom", "ann x", "7", None, "tom ann"]
+    got = {(r[0], r[1], r[2], r[3]) for rows in findings(index, texts) for r in rows}
+    assert got == {(0, 1, 3, 10), (2, 2, 0, 2), (8, 1, 0, 7)}
