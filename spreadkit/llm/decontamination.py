@@ -1,7 +1,7 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Benchmark items and texts are lower-cased, every run of characters other than
-letters and digits becomes one space, and items are cut into two families of
+letters, marks and digits (by Unicode category) becomes one space, and items are cut into two families of
 overlapping windows (a short item is one window): ``WINDOW`` long and half
 overlapping, and ``EXCERPT - STRIDE + 1`` long, one every ``STRIDE``, so that any
 verbatim excerpt of ``EXCERPT`` bytes holds a whole window, however it lies. A
@@ -18,18 +18,24 @@ position) that differ by at most k. So:
    window against any substring on the band's diagonals, at most k edits.
 
 Every text is searched whole. The index takes ``INDEX_BYTES`` of benchmark text
-at a time; a larger benchmark is searched in blocks of that size. Positions are
-UTF-8 bytes of the normalised text.
+at a time; a larger benchmark is searched in blocks of that size. Positions, edits
+and q-grams are in code points of the normalised text; only the lengths of windows
+are measured in UTF-8 bytes, so that scripts of wide characters get windows of as
+much content. The q-grams are of code points folded to a byte each, which can only
+add hits; the alignment compares whole code points.
 
 Null and empty texts have no findings. Items shorter than q are found where they
-stand word for word, without edits. Items with equal texts are found separately;
+stand word for word, without edits (anywhere in the text if they have q bytes or a
+script without spaces). Items with equal texts are found separately;
 rows with equal or null doc_id are searched one by one and their findings on one
 item merged under that id.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -48,31 +54,53 @@ INDEX_BYTES = 2 << 20
 STRETCH_BYTES = 1 << 20
 _FILTER_BITS = 22
 
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-
 FOUND = "doc_id bigint, item_id bigint, start bigint, stop bigint, edits bigint, windows bigint, matched bigint"
 
 
-def normalised(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of the normalised texts, each with a space at its end."""
-    lowered = [(t or "").lower().encode("utf-8", "replace") + b" " for t in texts]
-    data = np.frombuffer(b"".join(lowered), np.uint8)
-    letter = _LETTER[data]
+@lru_cache
+def _letters() -> np.ndarray:
+    """Whether a code point is a letter, mark or digit."""
+    return np.fromiter((unicodedata.category(chr(c))[0] in "LMN" for c in range(0x110000)), bool, 0x110000)
+
+
+def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points and offsets of the normalised texts, each with a space at its end."""
+    lowered = [(t or "").lower() + " " for t in texts]
+    data = np.frombuffer("".join(lowered).encode("utf-32-le", "replace"), "<u4")
+    letter = _letters()[data]
     keep = letter.copy()
     keep[1:] |= letter[:-1]
     ends = np.cumsum([len(t) for t in lowered], dtype=np.int64)
     sums = np.concatenate([[0], np.cumsum(keep)])
-    return np.where(letter, data, 0x20)[keep].astype(np.uint8), np.concatenate([[0], sums[ends]])
+    return np.where(letter, data, 0x20)[keep].astype(np.uint32), np.concatenate([[0], sums[ends]])
+
+
+def folded(points: np.ndarray) -> np.ndarray:
+    """A byte for each code point; ASCII stays."""
+    return np.where(points < 0x80, points, points & 0x7F | 0x80).astype(np.uint8)
+
+
+def normalised(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    points, offsets = code_points(texts)
+    return folded(points), offsets
+
+
+def _cut(at: np.ndarray, lo: int, hi: int, size: int, step: int) -> list[tuple[int, int]]:
+    """Windows of ``[lo, hi)``, the last at its end; ``at`` are positions in bytes."""
+    if at[hi] - at[lo] <= size:
+        return [(lo, hi)]
+    begins = np.array([*range(at[lo], at[hi] - size, step), at[hi] - size])
+    ends = np.searchsorted(at, begins + size, "right") - 1
+    return sorted(set(zip(np.searchsorted(at, begins).tolist(), ends.tolist())))
 
 
-def _cut(lo: int, hi: int, size: int, step: int) -> list[tuple[int, int]]:
-    """Windows of ``[lo, hi)``, the last at its end."""
-    return [(b, b + size) for b in [*range(lo, hi - size, step), hi - size]] if hi - lo > size else [(lo, hi)]
+def _spaced(point: int) -> bool:
+    """Whether a letter's script sets spaces between words."""
+    return point < 0x0E00 or 0x1100 <= point < 0x1780 or 0x1800 <= point < 0x2E80 or 0xAC00 <= point < 0xD800
 
 
 def grams(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the Q = 12 bytes from each position."""
+    """A 64-bit hash of the Q = 12 folded code points from each position."""
     if len(data) < Q:
         return np.zeros(0, np.uint64)
     eight = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,)).copy()
@@ -83,18 +111,21 @@ class Index:
     """The windows of some items, and their q-grams in order of hash."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        data, offsets = normalised([t for _, t in items])
+        points, offsets = code_points([t for _, t in items])
+        data = folded(points)
+        width = 1 + sum((points >= c).astype(np.int64) for c in (0x80, 0x800, 0x10000))
+        at = np.concatenate([[0], np.cumsum(width)])
         families: list[list[tuple[int, int, int]]] = [[], [], []]
         for i, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), (offsets[1:] - 1).tolist())):
             if hi - lo < Q:
                 lo += bool(hi > lo and data[lo] == 0x20)
                 families[2] += [(lo, hi, i)] * (hi > lo)
                 continue
-            families[0] += [(a, b, i) for a, b in _cut(lo, hi, WINDOW, WINDOW // 2)]
-            if hi - lo > EXCERPT - STRIDE + 1:
-                families[1] += [(a, b, i) for a, b in _cut(lo, hi, EXCERPT - STRIDE + 1, STRIDE)]
+            families[0] += [(a, b, i) for a, b in _cut(at, lo, hi, WINDOW, WINDOW // 2)]
+            if at[hi] - at[lo] > EXCERPT - STRIDE + 1:
+                families[1] += [(a, b, i) for a, b in _cut(at, lo, hi, EXCERPT - STRIDE + 1, STRIDE)]
         lows, highs, owner = np.array([x for f in families for x in f], np.int64).reshape(-1, 3).T
-        self.data = data
+        self.data, self.points = data, points
         self.low, self.high, self.size = lows, highs, highs - lows
         self.edges = np.cumsum([0, *map(len, families)])
         self.item = np.array([items[i][0] for i in owner], object)
@@ -112,10 +143,12 @@ class Index:
         self.counts = np.add.reduceat(many[self.place], self.begins) if len(self.begins) else np.zeros(0, np.int64)
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
         self.seen[(self.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-        self.words: dict[str, list[int]] = {}  # short items between spaces
+        # short items, with a space where a word has to begin or end
+        self.words: dict[str, list[tuple[int, bool]]] = {}
         for w in range(self.edges[2], self.edges[3]):
-            word = " " + data[self.low[w] : self.high[w]].tobytes().decode("latin-1") + " "
-            self.words.setdefault(word, []).append(w)
+            lo, hi = self.low[w], self.high[w]
+            spaces = [" " if at[hi] - at[lo] < Q and _spaced(points[k]) else "" for k in (lo, hi - 1)]
+            self.words.setdefault(data[lo:hi].tobytes().decode("latin-1").join(spaces), []).append((w, spaces[1] == " "))
 
     def _around(self, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """First window and number of windows of each family around the q-grams
@@ -124,25 +157,30 @@ class Index:
             first = np.searchsorted(self.high[a:b], place + Q)
             yield a + first, np.maximum(np.searchsorted(self.low[a:b], place, "right") - first, 0)
 
-    def _short(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    def _short(self, data: np.ndarray, offsets: np.ndarray, exact: tuple) -> Iterator[tuple[np.ndarray, ...]]:
         own = ahocorasick.Automaton()
         for word in self.words:
             own.add_word(word, word)
         own.make_automaton()
         hits = []
         for last, word in own.iter(" " + data.tobytes().decode("latin-1")):
-            stop = last - 1  # the last character is the space at this position
-            start = stop - len(word) + 2
-            text = int(np.searchsorted(offsets, start, "right")) - 1
-            if stop < offsets[text + 1]:
-                hits += [(text, w, start - offsets[text], stop - offsets[text], 0) for w in self.words[word]]
+            for w, space in self.words[word]:
+                stop = last - space
+                start = stop - int(self.size[w])
+                text = int(np.searchsorted(offsets, start, "right")) - 1
+                if stop < offsets[text + 1] and np.array_equal(exact[1][start:stop], exact[0][self.low[w] : self.high[w]]):
+                    hits.append((text, w, start - offsets[text], stop - offsets[text], 0))
         if hits:
             yield tuple(np.array(hits, np.int64).T)
 
-    def search(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        """Occurrences: text, window, first and last position, edits."""
+    def search(
+        self, data: np.ndarray, offsets: np.ndarray, points: np.ndarray | None = None
+    ) -> Iterator[tuple[np.ndarray, ...]]:
+        """Occurrences: text, window, first and last position, edits; without
+        the code points of the texts, of folded ones."""
+        exact = (self.data, data) if points is None else (self.points, points)
         if self.words:
-            yield from self._short(data, offsets)
+            yield from self._short(data, offsets, exact)
         if not len(self.keys) or len(data) < Q:
             return
         hashes = grams(data)
@@ -158,9 +196,9 @@ class Index:
         weight = np.concatenate([[0], np.cumsum(self.counts[slot])])[edges]
         for a, b in windows(weight, 1 << 21):
             s = slice(edges[a], edges[b])
-            yield from self._bands(data, offsets, at[s], slot[s], text[s])
+            yield from self._bands(exact, offsets, at[s], slot[s], text[s])
 
-    def _bands(self, data, offsets, at, slot, text) -> Iterator[tuple[np.ndarray, ...]]:
+    def _bands(self, exact, offsets, at, slot, text) -> Iterator[tuple[np.ndarray, ...]]:
         n = self.places[slot]
         place, own = self.place[ragged(self.begins[slot], n)].astype(np.int64), np.repeat(text, n)
         # positions from the start of the text; the shift keeps diagonals positive
@@ -183,12 +221,13 @@ class Index:
         own, band = found // width // len(self.low), found % width - 1
         for i in range(0, len(own), 4096):
             s = slice(i, i + 4096)
-            yield from self._verify(data, offsets, own[s], window[s], band[s])
+            yield from self._verify(exact, offsets, own[s], window[s], band[s])
 
-    def _verify(self, data, offsets, own, window, band) -> Iterator[tuple[np.ndarray, ...]]:
+    def _verify(self, exact, offsets, own, window, band) -> Iterator[tuple[np.ndarray, ...]]:
         """Banded alignment of many bands at once: column x of row r is the
-        least number of edits between the window's first r bytes and a piece of
+        least number of edits between the window's first r code points and a piece of
         text that ends on diagonal x of the band."""
+        pattern, data = exact
         most = int(self.budget[window].max(initial=0))
         # an occurrence's path strays at most the budget from its hits
         first = band * BAND - WINDOW - most
@@ -201,12 +240,12 @@ class Index:
         low, high = offsets[:-1][own], offsets[1:][own] - 1
         far = np.int32(1 << 20)
         for r in range(int(size.max(initial=0))):
-            spot = (low + first + r)[:, None] + column  # the text byte that row r + 1 pairs on each diagonal
+            spot = (low + first + r)[:, None] + column  # the code point that row r + 1 pairs on each diagonal
             real = (spot >= low[:, None]) & (spot < high[:, None])
-            letter = self.data[np.minimum(self.low[window] + r, len(self.data) - 1)][:, None]
+            letter = pattern[np.minimum(self.low[window] + r, len(pattern) - 1)][:, None]
             equal = real & (data[np.clip(spot, 0, len(data) - 1)] == letter)
             step = np.where(equal, cost, cost + 1)
-            step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)  # a window byte without partner
+            step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)  # a code point of the window without partner
             step = np.where(real | (spot == low[:, None] - 1), step, np.minimum(step, far))
             cost = np.minimum(np.minimum.accumulate(step - column, axis=1) + column, far)
             done = size == r + 1
@@ -291,9 +330,9 @@ def findings(index: Index, texts: list[str | None]) -> Iterator[list[tuple]]:
         while j < len(texts) and (j == i or size < STRETCH_BYTES):
             size += len(texts[j] or "")
             j += 1
-        data, offsets = normalised(texts[i:j])
+        points, offsets = code_points(texts[i:j])
         merged: dict[tuple[int, int], list] = {}
-        for found in index.search(data, offsets):
+        for found in index.search(folded(points), offsets, points):
             for text, window, start, stop, edits in zip(*(x.tolist() for x in found)):
                 row = merged.setdefault((text, index.owner[window]), [start, stop, edits, window, set()])
                 row[:3] = min(row[0], start), max(row[1], stop), min(row[2], edits)

@@ -100,3 +100,16 @@ def test_short_items_are_matched_exactly(spark):
     texts = ["so tom, ann came", "tommy ann", "X7", "ax7", "tom", "ann x", "7", None, "tom ann"]
     got = {(r[0], r[1], r[2], r[3]) for rows in findings(index, texts) for r in rows}
     assert got == {(0, 1, 3, 10), (2, 2, 0, 2), (8, 1, 0, 7)}
+
+
+def test_unicode_punctuation_and_code_points():
+    item = "The quick brown fox doesn't jump over the lazy dog - near the river bank; it sleeps (mostly) all day in the sun"
+    russian = "съешь же ещё этих мягких французских булок да выпей чаю"
+    chinese = "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏"
+    index = Index([(1, item), (2, russian), (3, chinese), (4, "你好")])
+    found = lambda text: {r[1] for rows in findings(index, [text]) for r in rows}
+    assert found(item.replace(" ", "\u00a0").replace("'", "\u2019").replace("-", "\u2014").replace("(", "\uff08")) == {1}
+    assert found(russian.replace("ш", "щ").replace("п", "Ж", 1)) == {2}  # two edits of 5 % of 55
+    assert found(chinese[:9] + "狗" + chinese[10:]) == {3} and found("我說你好嗎") == {4} and found("你好"[::-1]) == set()
+    # folded alike, yet other letters
+    assert found("".join(chr(ord(c) + 128) for c in chinese)) == set()
