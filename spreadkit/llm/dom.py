@@ -15,7 +15,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_NAME = re.compile(r"[a-z]+")
+_SEPARATOR = re.compile(r"[-_0-9]+")
 
 # fixed values: HTML element groups
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,6 +42,10 @@ SIDE_NAMES = frozenset(
     "masthead comment comments disqus reply replies share sharing social related recommended widget toolbar pagination "
     "pager login search complementary contentinfo".split()
 )
+# names of what holds articles beside the page's own
+OTHERS = frozenset("comment comments disqus reply replies related recommended".split())
+HEAD_TAGS = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+UNNAMED = frozenset("html body h1 h2 h3 h4 h5 h6".split())  # side by their tag at most
 MAIN_TAGS = frozenset(("article", "main"))
 ANCESTORS = 8
 
@@ -52,6 +56,8 @@ class Element:
     key: int  # the branch: a hash of the names from the root down
     side: bool
     main: bool
+    number: int = 0
+    named: frozenset[str] = frozenset()  # its names of a side element
     children: list[str] = field(default_factory=list)
 
 
@@ -63,13 +69,18 @@ class Block:
     main: bool
 
 
-def read(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
+def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block], list[tuple[int, int]]]:
     """Blocks of text in page order, and for each element its branch and a hash
-    of its children's names (its presentation)."""
+    of its children's names (its presentation). A name makes a side element only
+    as a whole, and not of an element that holds an article or main (the numbers
+    ``holders``); what is called comments or related may, if the page has an
+    article or main of its own."""
     stack = [Element("#", 0, False, False)]
     blocks: list[Block] = []
     styles: list[tuple[int, int]] = []
     pieces: list[str] = []
+    held: dict[int, frozenset[str]] = {}  # named side elements around an article or main
+    number, outside = 0, False
 
     def flush() -> None:
         if pieces:
@@ -93,6 +104,8 @@ def read(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
         if m.start() < at:
             continue
         if m.start() > at:
+            if stack[-1].tag == "head" and page[at : m.start()].strip():
+                close(len(stack) - 1)
             pieces.append(page[at : m.start()])
         at = m.end()
         tag = m[2] or m[5]
@@ -108,6 +121,8 @@ def read(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
                 if tag in BLOCK:
                     flush()
             continue
+        if stack[-1].tag == "head" and tag not in HEAD_TAGS:
+            close(len(stack) - 1)
         if tag in BLOCK:
             flush()
             if tag != "html":
@@ -126,13 +141,30 @@ def read(page: str) -> tuple[list[Block], list[tuple[int, int]]]:
             at = len(page) if end < 0 else end
             continue
         key = xxhash.xxh64_intdigest(label, seed=top.key & 0xFFFFFFFF) >> 1
-        side = top.side or tag in SIDE_TAGS or any(x in SIDE_NAMES for n in names for x in _NAME.findall(n))
-        stack.append(Element(tag, key, side, top.main or tag in MAIN_TAGS))
+        number += 1
+        named = frozenset() if tag in UNNAMED or tag in MAIN_TAGS or number in holders else _side_names(names)
+        side = top.side or tag in SIDE_TAGS or bool(named)
+        if tag in MAIN_TAGS:
+            outside |= not side
+            held.update((e.number, e.named) for e in stack if e.named)
+        stack.append(Element(tag, key, side, top.main or tag in MAIN_TAGS, number, named))
     if at < len(page):
+        if stack[-1].tag == "head" and page[at:].strip():
+            close(len(stack) - 1)
         pieces.append(page[at:])
     flush()
     close(1)
-    return blocks, styles
+    found = frozenset(n for n, names in held.items() if not (outside and names <= OTHERS))
+    return read(page, holders | found) if found else (blocks, styles)
+
+
+def _side_names(names: list[str]) -> frozenset[str]:
+    """Pieces of the names that say in all their pieces that they are no main text."""
+    out: set[str] = set()
+    for name in names:
+        pieces = {x for x in _SEPARATOR.split(name) if x}
+        out |= pieces if pieces <= SIDE_NAMES else set()
+    return frozenset(out)
 
 
 def _names(attributes: str) -> list[str]:

@@ -116,3 +116,16 @@ def test_nulls_repeats_clashes_and_empty(spark):
     got = sorted((r.page_id or 0, r.text, r.n_chars) for r in extract(df).collect())
     assert got == [(0, "", 0), (1, "a", 1), (1, "a", 1), (1, "b", 1), (2, "", 0)]
     assert extract(pages(spark, [])).collect() == []
+
+
+def test_names_of_a_whole_page_are_no_side():
+    story = "<article><h2 id='related-work'>Work</h2><h2 class='search'>Found</h2><p>Body of it.</p></article>"
+    for page in [
+        f"<body class='has-sidebar'>{story}</body>", f"<body class='search'>{story}", f"<div class='content-with-sidebar'>{story}</div>",
+        f"<body class='comments-open'><div class='widget'><div id='banner'>{story}</div></div></body>",
+        f"<html><head><title>t</title><meta charset='utf-8'><div>{story}</div></html>",
+        f"{story}<div class='comments'><article>First!</article></div>",
+    ]:
+        assert text_of(page) == "Work\nFound\nBody of it.", page
+    assert text_of("<head><title>t</title>Plain text of it") == "Plain text of it"
+    assert text_of("<div class='related'><article>Only one.</article></div>") == "Only one."
