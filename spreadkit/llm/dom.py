@@ -20,6 +20,7 @@ _SEPARATOR = re.compile(r"[-_0-9]+")
 # fixed values: HTML element groups
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
+_RAW_END = {tag: re.compile("</" + tag, re.I | re.A) for tag in RAW}  # on the page itself: lower() can change its length
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search "
@@ -99,7 +100,7 @@ def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block],
             styles.append((top.key, xxhash.xxh64_intdigest("/".join(top.children)) >> 1))
             stack.pop()
 
-    at, lower = 0, None
+    at = 0
     for m in _TOKEN.finditer(page):
         if m.start() < at:
             continue
@@ -136,9 +137,8 @@ def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block],
                 pieces.append(" ")
             continue
         if tag in RAW:
-            lower = page.lower() if lower is None else lower
-            end = lower.find("</" + tag, at)
-            at = len(page) if end < 0 else end
+            end = _RAW_END[tag].search(page, at)
+            at = end.start() if end else len(page)
             continue
         key = xxhash.xxh64_intdigest(label, seed=top.key & 0xFFFFFFFF) >> 1
         number += 1

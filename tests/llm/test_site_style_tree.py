@@ -129,3 +129,8 @@ def test_names_of_a_whole_page_are_no_side():
         assert text_of(page) == "Work\nFound\nBody of it.", page
     assert text_of("<head><title>t</title>Plain text of it") == "Plain text of it"
     assert text_of("<div class='related'><article>Only one.</article></div>") == "Only one."
+
+
+def test_raw_elements_end_where_they_end():
+    page = "<body>" + "<p>\u0130stanbul</p>" * 20 + "<SCRIPT>var x='<p>';</Script><article><p>Haber.</p></article>"
+    assert text_of(page) == "Haber."
