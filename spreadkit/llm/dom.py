@@ -56,7 +56,7 @@ class Element:
     tag: str
     key: int  # the branch: a hash of the names from the root down
     side: bool
-    main: bool
+    main: int  # number of the outermost article or main around it, or 0
     number: int = 0
     named: frozenset[str] = frozenset()  # its names of a side element
     children: list[str] = field(default_factory=list)
@@ -67,7 +67,7 @@ class Block:
     text: str
     chain: tuple[int, ...]  # keys of the nearest elements, outermost first
     side: bool
-    main: bool
+    main: int
 
 
 def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block], list[tuple[int, int]]]:
@@ -76,7 +76,7 @@ def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block],
     as a whole, and not of an element that holds an article or main (the numbers
     ``holders``); what is called comments or related may, if the page has an
     article or main of its own."""
-    stack = [Element("#", 0, False, False)]
+    stack = [Element("#", 0, False, 0)]
     blocks: list[Block] = []
     styles: list[tuple[int, int]] = []
     pieces: list[str] = []
@@ -147,7 +147,7 @@ def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block],
         if tag in MAIN_TAGS:
             outside |= not side
             held.update((e.number, e.named) for e in stack if e.named)
-        stack.append(Element(tag, key, side, top.main or tag in MAIN_TAGS, number, named))
+        stack.append(Element(tag, key, side, top.main or number * (tag in MAIN_TAGS), number, named))
     if at < len(page):
         if stack[-1].tag == "head" and page[at:].strip():
             close(len(stack) - 1)

@@ -11,13 +11,16 @@ root down). For every branch of a host the tree holds
 and the branch's importance combines the two. Content that a host repeats on
 every page has importance near 0, text of its own on each page near 1. Branches
 of low importance are removed from each page, as are elements that say
-themselves that they are no main text (menus, forms, adverts and so on); pages
-with an ``article`` or ``main`` element keep only what is in it.
+themselves that they are no main text (menus, forms, adverts and so on). An
+``article`` or ``main`` element is evidence for what is in it: other text of the
+page then stays only if its own branch has high importance, or if several articles
+together hold less text than stands outside them (teasers).
 
 Equal pages of a host are merged as one page, since a copied article says nothing
-about the site. A branch needs ``MIN_PAGES`` pages to be judged, and what a page
-would lose to low importance is put back if it is over four fifths of its main
-text: then the host repeats an article, not a frame.
+about the site. A branch needs ``MIN_PAGES`` pages to be judged. A host may repeat
+articles, not only its frame: a low branch with long texts of its own
+(``LONG_TEXT``) in two or more versions is put back, with short ones beside it that
+vary too (headings); one in a single version only on pages that would keep nothing.
 
 Counts of branches are aggregated by (host, branch, feature), partly before the
 shuffle, so a host with a third of all pages is spread over all tasks. Pages are
@@ -43,32 +46,44 @@ from spreadkit.runtime import fits_broadcast
 
 MIN_PAGES = 4
 LOW_IMPORTANCE = 0.3
+HIGH_IMPORTANCE = 0.7
 PRESENTATION_SHARE = 0.1
+LONG_TEXT = 200
 SALTS = 64
 
 _FEATURES = "host string, fingerprint bigint, branches array<bigint>, kinds array<int>, features array<bigint>"
 
 
 def features(blocks: list[Block], styles: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """Distinct (branch, kind, feature) of a page; kind 0 content, 1 presentation."""
+    """Distinct (branch, kind, feature) of a page; kind 0 content, 1 presentation,
+    2 long content of the branch itself."""
     out = {(key, 0, xxhash.xxh64_intdigest(b.text) >> 1) for b in blocks for key in b.chain}
+    out.update((b.chain[-1], 2, xxhash.xxh64_intdigest(b.text) >> 1) for b in blocks if len(b.text) >= LONG_TEXT)
     out.update((key, 1, style) for key, style in styles)
     return sorted(out)
 
 
-def main_text(blocks: list[Block], low: set[int]) -> str:
+def main_text(
+    blocks: list[Block], low: set[int], high: set[int] = frozenset(), copied: set[int] = frozenset(),
+    varied: set[int] = frozenset(), single: set[int] = frozenset(),
+) -> str:
     """Blocks of the page outside side elements and low branches."""
     own = [b for b in blocks if not b.side]
-    if any(b.main for b in own):
-        own = [b for b in own if b.main]
-    kept = [b for b in own if not low.intersection(b.chain)]
-    if 5 * sum(len(b.text) for b in kept) < sum(len(b.text) for b in own):
-        kept = own
+    parts = {b.main for b in own if b.main}
+    back = copied | varied if any(b.chain[-1] in copied for b in own) else frozenset()
+    kept = [b for b in own if not low.intersection(b.chain) or b.chain[-1] in back]
+    if parts:
+        inside = sum(len(b.text) for b in own if b.main)
+        outside = sum(len(b.text) for b in kept if not b.main)
+        if len(parts) == 1 or outside <= inside:
+            kept = [b for b in kept if b.main or b.chain[-1] in high]
+    kept = kept or [b for b in own if b.chain[-1] in single] or [b for b in own if b.main] or own
     return "\n".join(b.text for b in kept)
 
 
 def style_trees(pages: DataFrame) -> DataFrame:
-    """``host, branch, pages, importance`` from ``host, html``."""
+    """``host, branch, pages, importance`` and what tells copied articles, from
+    ``host, html``."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,12 +109,16 @@ def style_trees(pages: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("kind") == 1, F.col("c") * F.log("c"))).alias("styled"),
         F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("texts"),
         F.sum(F.when(F.col("kind") == 0, F.col("c") * F.log("c"))).alias("repeated"),
+        F.sum(F.when(F.col("kind") == 2, 1).otherwise(0)).alias("long_texts"),
+        F.sum(F.when(F.col("kind") == 2, F.col("c")).otherwise(0)).alias("long_seen"),
     )
     log_pages = F.log("pages")
     content = 1 - F.least(F.col("repeated") / F.col("texts") / log_pages, F.lit(1.0))
     presentation = 1 - F.col("styled") / F.col("pages") / log_pages
     importance = (1 - PRESENTATION_SHARE) * content + PRESENTATION_SHARE * presentation
-    return total.where(f"pages >= {MIN_PAGES} and texts > 0").select("host", "branch", "pages", importance.alias("importance"))
+    return total.where(f"pages >= {MIN_PAGES} and texts > 0").select(
+        "host", "branch", "pages", importance.alias("importance"), content.alias("content"), "long_texts", "long_seen"
+    )
 
 
 def host_of(url: str):
@@ -113,12 +132,20 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
         host_of(url_col).alias("host"),
     )
+    is_low, is_long = F.col("importance") < LOW_IMPORTANCE, 2 * F.col("long_seen") >= F.col("pages")
+    roles = {
+        "low": is_low,
+        "high": F.col("importance") >= HIGH_IMPORTANCE,
+        "copied": is_low & is_long & (F.col("long_texts") > 1),
+        "varied": is_low & ~is_long & (F.col("content") > 0.01),
+        "single": is_low & is_long & (F.col("long_texts") == 1),
+    }
     low = stored(
-        style_trees(source.select("host", "html")).where(F.col("importance") < LOW_IMPORTANCE)
-        .groupBy("host").agg(F.collect_list("branch").alias("low")),  # branches of one site's frame
-        "low-branches",
+        style_trees(source.select("host", "html")).where(roles["low"] | roles["high"])
+        .groupBy("host").agg(*[F.collect_list(F.when(x, F.col("branch"))).alias(k) for k, x in roles.items()]),
+        "judged-branches",
     )
-    size = low.agg(F.coalesce(F.sum(F.octet_length("host") + 8 * F.size("low") + 64), F.lit(0))).first()[0]
+    size = low.agg(F.coalesce(F.sum(F.octet_length("host") + sum(8 * F.size(k) for k in roles) + 128), F.lit(0))).first()[0]
     if fits_broadcast(pages.sparkSession, 1, size):
         joined = source.join(F.broadcast(low), "host", "left")
     else:
@@ -128,11 +155,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lows = batch.column(3).to_pylist()
-            texts = [main_text(read(p or "")[0], set(x or ())) for p, x in zip(batch.column(2).to_pylist(), lows)]
+            lists = zip(*[c.to_pylist() for c in batch.columns[3:]])
+            texts = [
+                main_text(read(p or "")[0], *[set(x or ()) for x in own]) for p, own in zip(batch.column(2).to_pylist(), lists)
+            ]
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
-    return joined.select("page_id", "url", "html", "low").mapInArrow(
+    return joined.select("page_id", "url", "html", *roles).mapInArrow(
         cut, "page_id bigint, url string, text string, n_chars bigint"
     )

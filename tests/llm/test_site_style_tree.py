@@ -134,3 +134,26 @@ def test_names_of_a_whole_page_are_no_side():
 def test_raw_elements_end_where_they_end():
     page = "<body>" + "<p>\u0130stanbul</p>" * 20 + "<SCRIPT>var x='<p>';</Script><article><p>Haber.</p></article>"
     assert text_of(page) == "Haber."
+
+
+def test_teasers_do_not_replace_the_text(spark):
+    cards = "<div class='x3'><article>Card one.</article><article>Card two.</article></div>"
+    rows = [(i, f"http://h.example/{i}", f"<body><div id='content'><p>Story {i} is told here at length {i * 7}.</p></div>{cards}") for i in range(12)]
+    assert all(r.text.startswith(f"Story {r.page_id} is") for r in extract(pages(spark, rows)).collect())
+    one = [(i, u, h.replace("<article>Card two.</article>", "")) for i, u, h in rows]
+    assert all(r.text.startswith(f"Story {r.page_id} is") for r in extract(pages(spark, one)).collect())
+
+
+def test_a_long_frame_does_not_come_back(spark):
+    notice = "<div class='x1'>" + "Read this notice of the house before you go on. " * 12 + "</div>"
+    got = {r.page_id: r.text for r in extract(pages(spark, site(12, notice))).collect()}
+    assert got == {i: f"Story {i} opens so {i * 7}.\nIt ends {i}." for i in range(12)}
+
+
+def test_copied_articles_are_put_back(spark):
+    def page(i):
+        a = i % 3
+        return f"<div class='x1'>Menu of it</div><div class='x2'><h3>Title {a}</h3><p>{f'Copied story {a}. ' * 20}</p></div><i>v{i}</i>"
+
+    got = {r.page_id: r.text for r in extract(pages(spark, [(i, "http://h.example/", page(i)) for i in range(300)])).collect()}
+    assert all(f"Title {i % 3}\nCopied story {i % 3}." in t and "Menu" not in t for i, t in got.items())
