@@ -105,7 +105,9 @@ def write_ids(
 
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # by the text too: rows of one id, or of none, need not share a task
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = source.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(chunks, CHUNKS).write.option("compression", "none").parquet(f"{path}/chunks")
 
     own = spark.read.schema(CHUNKS).parquet(f"{path}/chunks").select(*INDEX)

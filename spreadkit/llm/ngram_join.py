@@ -41,6 +41,7 @@ from spreadkit.llm.components import components
 from spreadkit.llm.count_rtree import CountRTree, count_vector, least_overlap
 from spreadkit.llm.tables import stored
 from spreadkit.llm.textarrays import LOWER, mix, span_hashes, text_bytes, windows, words
+from spreadkit.llm.workers import lean
 from spreadkit.runtime import fits_broadcast
 
 NGRAM = 5
@@ -108,7 +109,7 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
         if held:
             yield repeated()
 
-    counts = stored(docs.select("text").mapInArrow(count, "tok bigint, n bigint").groupBy("tok").agg(F.sum("n").alias("n")), "counts")
+    counts = stored(docs.select("text").mapInArrow(lean(count), "tok bigint, n bigint").groupBy("tok").agg(F.sum("n").alias("n")), "counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     border = max(FREQUENT_LEAST, total // FREQUENT_LIMIT + 1)
     rows = counts.where(F.col("n") >= border).select("tok").toArrow()
@@ -149,7 +150,7 @@ def signatures(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame
                 ["doc_id", "n", "f1", "f2", "prefix"],
             )
 
-    return docs.mapInArrow(sign, "doc_id bigint, n bigint, f1 bigint, f2 bigint, prefix array<bigint>")
+    return docs.mapInArrow(lean(sign), "doc_id bigint, n bigint, f1 bigint, f2 bigint, prefix array<bigint>")
 
 
 def needed(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
@@ -180,7 +181,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     one = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     two = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(check, "a bigint, b bigint")
+    return both.mapInArrow(lean(check), "a bigint, b bigint")
 
 
 def candidates(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -192,7 +193,7 @@ def candidates(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             own = [count_vector(s).astype("<u4").tobytes() for s in shingle_sets(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["id", "vector"])
 
-    points = docs.mapInArrow(vectors, "id bigint, vector binary")
+    points = docs.mapInArrow(lean(vectors), "id bigint, vector binary")
     home = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     everywhere = F.sequence(F.lit(0), F.col("chunks") - 1)
     placed = members.join(points, "id").select(
@@ -220,7 +221,7 @@ def candidates(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
         placed.withColumn("own", F.col("home") == F.col("chunk")).repartition(F.col("block"), F.col("chunk"))
         .sortWithinPartitions("block", "chunk", F.desc("own"))
     )
-    return ordered.mapInArrow(search, "a bigint, b bigint").where("a < b").distinct()
+    return ordered.mapInArrow(lean(search), "a bigint, b bigint").where("a < b").distinct()
 
 
 def chunk_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, dict[str, list]]]:

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spreadkit.llm.textarrays import IS_SPACE, mix, ragged, span_hashes, text_bytes, windows, words
+from spreadkit.llm.workers import lean
 
 MIN_WORDS = 50
 MAX_REPEAT_WORDS = 50  # percent of the words in repeated 3-word windows
@@ -177,7 +178,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     fields = ["doc_id bigint", *[f"{m} bigint" for m in MEASURES], "base_failed boolean", "kept boolean"]
-    return source.mapInArrow(run, ", ".join(fields))
+    return source.mapInArrow(lean(run), ", ".join(fields))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -188,4 +189,4 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(judged(batch.column(at))[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -2,10 +2,9 @@
 
 The operators of this package work on Arrow batches: the texts of a batch are
 one run of UTF-8 bytes plus offsets, and words, tokens or q-grams are pairs of
-positions in that run. A span's hash is a difference of prefix sums of a
-polynomial over random byte values, so hashing every span of a batch is a few
-passes of numpy over its bytes. Spans are hashed window by window, which bounds
-the temporary arrays whatever the length of a text.
+positions in that run. A span is hashed eight bytes at a time, each piece folded
+into the state by a non-linear mixer; all spans of a block take their k-th piece
+in one pass of numpy. Long spans go to xxhash one by one.
 """
 
 from __future__ import annotations
@@ -14,13 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
-WINDOW_BYTES = 1 << 20
-
-_rng = np.random.default_rng(20240517)
-_BYTE_VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_LONG_SPAN = 256
+_BLOCK_SPANS = 1 << 18
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+# bytes of a piece that belong to the span, by how many are left
+_LEFT = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 # ASCII white space: \x20 and \x09-\x0D, as in the word rule [^\x20\x09-\x0D]+
 IS_SPACE = np.zeros(256, bool)
@@ -30,16 +29,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
-_POWERS = powers(_BASE, WINDOW_BYTES + 1)
-_INVERSE_POWERS = powers(_BASE_INVERSE, WINDOW_BYTES + 1)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: spreads every input bit over the word."""
     x = x ^ (x >> np.uint64(30))
@@ -83,36 +72,54 @@ def first_to_last(offsets: np.ndarray) -> np.ndarray:
     return offsets[1:][offsets[:-1] < offsets[1:]] - 1
 
 
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position on as one integer, zeros behind the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span ``[start, end)``; starts ascend, spans don't
-    overlap. Equal bytes give equal hashes, in any batch and process. A span
-    longer than a window is hashed in window-long pieces whose hashes are
-    folded in order."""
-    out = np.zeros(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        lo = int(starts[i])
-        j = int(np.searchsorted(ends, lo + WINDOW_BYTES, "right"))
-        if j <= i:
-            out[i] = _long_span(data, lo, int(ends[i]))
-            i += 1
-            continue
-        s, e = starts[i:j] - lo, ends[i:j] - lo
-        sums = np.zeros(int(e[-1]) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUE[data[lo : lo + int(e[-1])]] * _POWERS[: int(e[-1])], out=sums[1:])
-        out[i:j] = mix((sums[e] - sums[s]) * _INVERSE_POWERS[s] + (e - s).astype(np.uint64) * _BASE)
-        i = j
+    """A 64-bit hash of each span ``[start, end)``, of its bytes and its length.
+    Equal bytes give equal hashes, in any batch and process."""
+    pieces = eights(data)
+    out = np.empty(len(starts), np.uint64)
+    for i in range(0, len(starts), _BLOCK_SPANS):
+        at, left = starts[i : i + _BLOCK_SPANS], ends[i : i + _BLOCK_SPANS] - starts[i : i + _BLOCK_SPANS]
+        state = mix(left.astype(np.uint64) * _SEED + _SEED)
+        long_ = np.flatnonzero(left > _LONG_SPAN)
+        for k in long_:
+            digest = np.uint64(xxhash.xxh3_64_intdigest(data[at[k] : at[k] + left[k]].tobytes()))
+            state[k] = mix((state[k] ^ digest).reshape(1))[0]
+        whole = np.arange(len(at)) if not len(long_) else np.flatnonzero(left <= _LONG_SPAN)
+        at, left = at[whole], left[whole]
+        while len(whole):
+            piece = pieces[at] & _LEFT[np.minimum(left, 8)]
+            state[whole] = mix(state[whole] ^ piece)
+            more = left > 8
+            whole, at, left = whole[more], at[more] + 8, left[more] - 8
+        out[i : i + len(state)] = state
     return out
 
 
-def _long_span(data: np.ndarray, lo: int, hi: int) -> np.uint64:
-    state = np.uint64(hi - lo)
-    with np.errstate(over="ignore"):
-        for at in range(lo, hi, WINDOW_BYTES):
-            piece = data[at : min(hi, at + WINDOW_BYTES)]
-            total = np.add.reduce(_BYTE_VALUE[piece] * _POWERS[: len(piece)])
-            state = mix(np.array([state * _BASE + total], np.uint64))[0]
-    return state
+def same_spans(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+    other: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray,
+) -> np.ndarray:
+    """Whether each span of ``data`` has the bytes of its span of ``other``."""
+    same = (ends - starts) == (other_ends - other_starts)
+    pieces, others = eights(data), eights(other)
+    row = np.flatnonzero(same)
+    long_ = row[(ends - starts)[row] > _LONG_SPAN]
+    for k in long_:
+        same[k] = np.array_equal(data[starts[k] : ends[k]], other[other_starts[k] : other_ends[k]])
+    row = row[(ends - starts)[row] <= _LONG_SPAN]
+    at, at_other, left = starts[row], other_starts[row], (ends - starts)[row]
+    while len(row):
+        equal = ((pieces[at] ^ others[at_other]) & _LEFT[np.minimum(left, 8)]) == 0
+        same[row[~equal]] = False
+        more = equal & (left > 8)
+        row, at, at_other, left = row[more], at[more] + 8, at_other[more] + 8, left[more] - 8
+    return same
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

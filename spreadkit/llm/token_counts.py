@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 
 from spreadkit.llm.textarrays import text_bytes
 from spreadkit.llm.units import UnitEncoder
+from spreadkit.llm.workers import held
 
 WINDOW_TOKENS = 2048
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str, rule: str, lengths_only: bool) -> UnitEncoder:
     """One per worker process, so its cache of units lives on between tasks."""
-    return UnitEncoder(path, rule, lengths_only)
+    return held(("units", path, rule, lengths_only), lambda: UnitEncoder(path, rule, lengths_only))
 
 
 @lru_cache(maxsize=1)

@@ -11,11 +11,12 @@ pre-token and no added token of the vocabulary crosses.
   behind a byte that can't end a Unicode space, since a run of white space is
   one pre-token.
 
-Distinct units of a stretch of text are found by 64-bit hash (with the length
-mixed in), encoded together by the tokenizers library, and kept in a bounded
-cache for the next stretch. The separator between units in one call is an added
-token, which the library always splits off first; units that hold part of an
-added token are encoded one by one.
+Distinct units of a stretch of text are found by 64-bit hash, encoded together by
+the tokenizers library, and kept with their bytes in a cache of bounded size for
+the next stretch. Bytes decide: a unit whose hash is that of other bytes is
+encoded on its own. The separator between units in one call is an added token,
+which the library always splits off first; units that hold part of an added token
+are encoded one by one.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ import os
 
 import numpy as np
 
-from spreadkit.llm.textarrays import IS_SPACE, ragged, span_hashes, windows, words
+from spreadkit.llm.textarrays import IS_SPACE, ragged, same_spans, span_hashes, windows, words
 
-CACHE_UNITS = 1_500_000
+CACHE_BYTES = 64 << 20
 STRETCH_BYTES = 2 << 20
 _PIECE_BYTES = 1 << 10
 
@@ -79,10 +80,14 @@ class UnitEncoder:
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.slots = np.zeros(0, np.int64)
-        self.counts = np.zeros(0, np.int64)
-        self.begins = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.slots = np.zeros(0, np.int32)
+        # by slot: the unit's bytes in body, its ids in flat
+        self.body, self.flat = np.zeros(0, np.uint8), np.zeros(0, np.uint32)
+        self.body_ends, self.counts, self.begins = np.zeros((3, 0), np.int32)
+
+    def _cache_bytes(self) -> int:
+        held = (self.keys, self.slots, self.body, self.flat, self.body_ends, self.counts, self.begins)
+        return sum(x.nbytes for x in held)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (none if ``lengths_only``) and each text's
@@ -94,7 +99,7 @@ class UnitEncoder:
             # a long text is taken in stretches of whole units
             for a, b in windows(np.append(starts, ends[-1:]), STRETCH_BYTES) if len(starts) else ():
                 slots = self._slots(data[lo : offsets[j]], starts[a:b], ends[a:b])
-                n = self.counts[slots]
+                n = self.counts[slots].astype(np.int64)
                 counts[i:j] += np.bincount(text[a:b], weights=n, minlength=j - i).astype(np.int64)
                 if not self.lengths_only:
                     ids.append(self.flat[ragged(self.begins[slots], n)])
@@ -102,24 +107,38 @@ class UnitEncoder:
 
     def _slots(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         distinct, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) > CACHE_UNITS:
+        if self._cache_bytes() > CACHE_BYTES:
             self._forget()
         at = np.minimum(np.searchsorted(self.keys, distinct), max(len(self.keys) - 1, 0))
         known = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
         new = first[~known]
         if len(new):
-            flat, counts = self._library(data, starts[new], ends[new])
-            slots = len(self.counts) + np.arange(len(new))
-            begins = len(self.flat) + np.cumsum(counts) - counts
-            self.counts = np.concatenate([self.counts, counts])
-            self.begins = np.concatenate([self.begins, begins])
-            if not self.lengths_only:
-                self.flat = np.concatenate([self.flat, flat])
+            slots = self._add(data, starts[new], ends[new])
             into = np.searchsorted(self.keys, distinct[~known])
             self.keys = np.insert(self.keys, into, distinct[~known])
             self.slots = np.insert(self.slots, into, slots)
             at = np.searchsorted(self.keys, distinct)
-        return self.slots[at][back]
+        of = self.slots[at][back]
+        lengths = np.diff(self.body_ends, prepend=np.int32(0))
+        held_ends = self.body_ends[of].astype(np.int64)
+        same = same_spans(data, starts, ends, self.body, held_ends - lengths[of], held_ends)
+        if not same.all():  # another unit has this hash
+            odd = np.flatnonzero(~same)
+            of[odd] = self._add(data, starts[odd], ends[odd])
+        return of
+
+    def _add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Encode units and keep them; their slots."""
+        flat, counts = self._library(data, starts, ends)
+        slots = len(self.counts) + np.arange(len(starts), dtype=np.int32)
+        lengths, held = ends - starts, len(self.body)
+        self.body = np.concatenate([self.body, data[ragged(starts, lengths)]])
+        self.body_ends = np.concatenate([self.body_ends, (held + np.cumsum(lengths)).astype(np.int32)])
+        self.begins = np.concatenate([self.begins, (len(self.flat) + np.cumsum(counts) - counts).astype(np.int32)])
+        self.counts = np.concatenate([self.counts, counts.astype(np.int32)])
+        if not self.lengths_only:
+            self.flat = np.concatenate([self.flat, flat])
+        return slots
 
     def _library(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and numbers of ids of the units, straight from the library."""

@@ -26,3 +26,10 @@ def empty(spark):
 
 
 ODD = [None, "", " ", "\n\n", "a", "  lead", "trail \n", "é ß  x　y", "<|endoftext|> a<|endoftext|>b", "\x1c \x00 z"]
+
+
+def thue_morse(n, letters):
+    """The word of length ``n`` over two letters, and its complement: equal under
+    any polynomial hash modulo 2^64 from 1024 letters on."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return ["".join(letters[b ^ flip] for b in bits) for flip in (0, 1)]

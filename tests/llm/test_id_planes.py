@@ -8,7 +8,7 @@ from spreadkit.llm import queries
 from spreadkit.llm.id_planes import BLOCK_IDS, from_planes, read_ids, to_planes, write_and_read, write_ids
 from spreadkit.llm.tables import work_path
 
-from support import ODD, SF, docs, empty
+from support import ODD, SF, docs, empty, thue_morse
 from test_token_counts import library
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,3 +51,21 @@ def test_odd_texts_null_and_repeated_ids_and_empty(spark):
     assert sorted(r.n_tokens for r in rows) == want
     assert [r.start for r in rows] == np.cumsum([0, *[r.n_tokens for r in rows]])[:-1].tolist()
     assert write_and_read(empty(spark), PATH).collect() == []
+
+
+def test_words_that_collide_under_polynomial_hashes(spark):
+    texts = thue_morse(1024, "ab")
+    rows = write_and_read(docs(spark, texts), PATH).orderBy("doc_id").collect()
+    assert [np.frombuffer(r.ids, "<u4")[:-1].tolist() for r in rows] == library("byte_bpe_50k.json", texts)
+
+
+def test_rows_of_one_id_spread_over_tasks(spark):
+    df = docs(spark, [f"text {i} of many" for i in range(4000)]).selectExpr("cast(null as bigint) AS doc_id", "text")
+    path = work_path(spark, "planes")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_ids(df, path, PATH)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert spark.read.parquet(f"{path}/index").select("shard").distinct().count() > 1
+    assert read_ids(spark, path).count() == 4000

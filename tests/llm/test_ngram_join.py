@@ -9,7 +9,7 @@ from spreadkit.llm.components import components
 from spreadkit.llm.count_rtree import CountRTree, count_vector, least_overlap
 from spreadkit.llm.ngram_join import keep_one, ngram_components
 
-from support import ODD, SF, WORD, docs, empty
+from support import ODD, SF, WORD, docs, empty, thue_morse
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -134,3 +134,12 @@ def test_components_of_paths_and_stars(spark):
     got = {r.id: r.label for r in components(df).collect()}
     assert got == {**{i: 100 for i in range(100, 131)}, 7: 7, **{k: 7 for k in range(50, 60)}, 3: 3, 4: 3, 9: 9}
     assert components(df.where("a < 0")).collect() == []
+
+
+def test_texts_of_colliding_words_do_not_link(spark):
+    """Words that agree under any polynomial hash modulo 2^64 are different words."""
+    texts = [" ".join([w, *"abcdefg"]) for n in (1024, 65_536) for w in thue_morse(n, "ex")]
+    texts += [" ".join(thue_morse(1024, "pq")[k] for k in bits) for bits in ([0] * 6, [1] * 6)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_components(docs(spark, texts)).collect()}
+    assert got == brute(dict(enumerate(texts)))
+    assert [got[k][1] for k in range(len(texts))] == list(range(len(texts)))

@@ -8,7 +8,7 @@ from spreadkit.llm import queries
 from spreadkit.llm.repetition import judged, keep_good, measure, quality
 from spreadkit.llm.textarrays import text_bytes
 
-from support import ODD, SF, WORD, docs, empty
+from support import ODD, SF, WORD, docs, empty, thue_morse
 
 
 def brute(text):
@@ -86,3 +86,10 @@ def test_keep_good_keeps_rows_as_they_are(spark):
     assert got.columns == df.columns
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.where("doc_id in (0, 3)").collect()))
     assert keep_good(empty(spark)).collect() == [] and quality(empty(spark)).collect() == []
+
+
+def test_words_that_collide_under_polynomial_hashes():
+    for n in (64, 1024, 65_536):
+        x, y = thue_morse(n, "ex")
+        texts = [f"{x} q r {y} q r", f"{x}\n{y}", f"{x} q r {x} q r", f"{x}\n{x}"]
+        assert measured(texts) == [brute(t) for t in texts]

@@ -7,11 +7,12 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from spreadkit.llm import queries
-from spreadkit.llm.textarrays import WINDOW_BYTES, span_hashes, text_bytes, windows, words
+from spreadkit.llm import units
+from spreadkit.llm.textarrays import same_spans, span_hashes, text_bytes, windows, words
 from spreadkit.llm.token_counts import token_counts
 from spreadkit.llm.units import UnitEncoder
 
-from support import ODD, SF, WORD, docs, empty
+from support import ODD, SF, WORD, docs, empty, thue_morse
 
 RULES = [("word_bpe_49k.json", "drop"), ("byte_bpe_50k.json", "keep")]
 EXTRA = ["don't I'LL we've  123 4", "a\n\n b", "ΑΣ ΣΑΣ É́ x ́y", "a\x85 b", "x  y", "a<|endof <|endoftext|> <|end", "<| |>"]
@@ -52,7 +53,7 @@ def library_of(name, texts):
 
 
 def test_words_and_hashes():
-    texts = ODD + ["x" * (WINDOW_BYTES + 7) + " " + "x" * (WINDOW_BYTES + 7) + " " + "x" * (WINDOW_BYTES + 6)]
+    texts = ODD + ["x" * (4103) + " " + "x" * (4103) + " " + "x" * (4102)]
     data, offsets = text_bytes(pa.array(texts))
     starts, ends, own = words(data, offsets)
     got = [data[a:b].tobytes().decode() for a, b in zip(starts, ends)]
@@ -63,6 +64,40 @@ def test_words_and_hashes():
     assert [w for w in windows(np.array([0, 0, 5, 30, 31]), 6)] == [(0, 2), (2, 3), (3, 4)]
 
 
+@pytest.mark.parametrize("name,rule", RULES)
+def test_words_that_collide_under_polynomial_hashes(name, rule):
+    texts = [w for n in (64, 1024, 65_536) for w in thue_morse(n, "ex")]
+    ids, counts = UnitEncoder(public_tokenizers.path(name), rule).encode(*text_bytes(pa.array(texts)))
+    want = library(name, texts)
+    assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
+def test_bytes_decide_when_hashes_agree(monkeypatch):
+    """With a hash of few values, cached and fresh units still get their own ids."""
+    monkeypatch.setattr(units, "span_hashes", lambda data, starts, ends: ((ends - starts) % 3).astype(np.uint64))
+    own = UnitEncoder(public_tokenizers.path("word_bpe_49k.json"), "drop")
+    for texts in (["one two three four", "five six seven one"], ["eight two nine five", "x" * 700 + " " + "y" * 700]):
+        ids, _ = own.encode(*text_bytes(pa.array(texts)))
+        assert ids.tolist() == [i for x in library("word_bpe_49k.json", texts) for i in x]
+
+
+def test_cache_stays_within_its_bytes(monkeypatch):
+    monkeypatch.setattr(units, "CACHE_BYTES", 20_000)
+    own = UnitEncoder(public_tokenizers.path("word_bpe_49k.json"), "drop")
+    for k in range(8):
+        texts = [" ".join(f"w{k}x{i}" for i in range(300))]
+        ids, _ = own.encode(*text_bytes(pa.array(texts)))
+        assert ids.tolist() == library("word_bpe_49k.json", texts)[0] and own._cache_bytes() < 60_000
+
+
+def test_same_spans():
+    data, offsets = text_bytes(pa.array(["abcdefgh", "abcdefgi", "abcdefgh", "a" * 300, "a" * 299 + "b", "a" * 300, ""]))
+    s, e = offsets[:-1], offsets[1:]
+    pairs = [(0, 1), (0, 2), (3, 4), (3, 5), (0, 6), (6, 6)]
+    a, b = np.array(pairs).T
+    assert same_spans(data, s[a], e[a], data, s[b], e[b]).tolist() == [False, True, False, True, False, True]
+
+
 def test_query_counts_every_document(spark):
     got = {r.doc_id: r for r in queries.op1_token_counts(spark, SF).collect()}
     rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
