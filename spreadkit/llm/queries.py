@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spreadkit.llm.decontamination import decontaminate
+from spreadkit.llm.hidden_markov import score_texts
 from spreadkit.llm.id_planes import write_and_read
 from spreadkit.llm.language import identify
 from spreadkit.llm.ngram_join import ngram_components
@@ -74,6 +75,11 @@ def op10_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per document."""
+    return score_texts(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_join": op2_ngram_join,
@@ -85,4 +91,5 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_language": op9_language,
     "op10_id_planes": op10_id_planes,
+    "op12_hidden_markov": op12_hidden_markov,
 }
