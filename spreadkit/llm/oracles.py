@@ -6,6 +6,7 @@ no SQL form; those queries are tested in ``tests/llm``.
 
 from __future__ import annotations
 
+from spreadkit.llm.collocations import ABSORB_PERCENT, LEAST, MOST_WORDS, PER_MILLE, TOP
 from spreadkit.llm.ngram_join import PERCENT
 from spreadkit.llm.repetition import MAX_COVERED, MAX_LONGEST, MAX_REPEAT_WORDS, MIN_REPEAT, MIN_WORDS
 
@@ -74,4 +75,28 @@ reach AS (SELECT a AS doc_id, b AS other FROM links UNION SELECT r.doc_id, l.b F
 SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(other), d.doc_id)) AS component_id
 FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY d.doc_id, size.n"""
 
-ORACLES: dict[str, str] = {"op2_ngram_join": NGRAM_JOIN, "op3_repetition": REPETITION}
+COLLOCATIONS = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+s AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+k AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, {MOST_WORDS + 1}) r(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase, count(*) AS f FROM k
+      GROUP BY ALL HAVING count(*) >= {LEAST}),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cut AS (SELECT lang, k, phrase, a, ws, unnest(range(1, k)) AS j FROM c),
+scored AS (SELECT cut.lang, cut.k, cut.phrase, a, j, l.f AS l, r.f AS r, n,
+                  CAST(({PER_MILLE}::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+           FROM cut JOIN f l ON l.lang = cut.lang AND l.k = j AND l.phrase = array_to_string(ws[1 : j], ' ')
+           JOIN f r ON r.lang = cut.lang AND r.k = cut.k - j AND r.phrase = array_to_string(ws[j + 1 : cut.k], ' ')
+           JOIN s ON s.lang = cut.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_ AS (SELECT lang, len, array_to_string(ws[b : b + len - 1], ' ') AS phrase, max(a) AS longer
+           FROM (SELECT lang, ws, a, k, len, unnest(range(1, k - len + 2)) AS b FROM c, range(2, {MOST_WORDS}) r(len) WHERE len < k)
+           GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN inner_ i ON i.lang = best.lang AND i.len = best.k AND i.phrase = best.phrase
+         WHERE longer IS NULL OR 100 * longer::HUGEINT < {ABSORB_PERCENT} * a::HUGEINT)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= {TOP}"""
+
+ORACLES: dict[str, str] = {"op13_collocations": COLLOCATIONS, "op2_ngram_join": NGRAM_JOIN, "op3_repetition": REPETITION}

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spreadkit.llm.collocations import collocations
 from spreadkit.llm.decontamination import decontaminate
 from spreadkit.llm.hidden_markov import score_texts
 from spreadkit.llm.id_planes import write_and_read
@@ -80,6 +81,11 @@ def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lang, rank, phrase, a, l, r, n, score``: the first phrases of each language."""
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_join": op2_ngram_join,
@@ -92,4 +98,5 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_id_planes": op10_id_planes,
     "op12_hidden_markov": op12_hidden_markov,
+    "op13_collocations": op13_collocations,
 }
