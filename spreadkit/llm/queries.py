@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spreadkit.llm.alignment import align
 from spreadkit.llm.collocations import collocations
 from spreadkit.llm.decontamination import decontaminate
 from spreadkit.llm.hidden_markov import score_texts
@@ -22,6 +23,7 @@ from spreadkit.llm.token_counts import token_counts
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +78,12 @@ def op10_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` per document."""
+    docs = read(spark, sf_dir, "documents")
+    return align(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per document."""
     return score_texts(read(spark, sf_dir, "documents"))
@@ -97,6 +105,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_language": op9_language,
     "op10_id_planes": op10_id_planes,
+    "op11_alignment": op11_alignment,
     "op12_hidden_markov": op12_hidden_markov,
     "op13_collocations": op13_collocations,
 }
