@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from spreadkit.functions.keys import seeded_rank
 from spreadkit.functions.vectors import MAX_UNROLLED_DIM, sqdist, sqdist_sql
+from spreadkit.operators import metric_tree
+from spreadkit.operators.metric_tree import SLACK
 from spreadkit.operators.pairs import MAX_BLOCK_ROWS, check_point_stats, point_checks, point_stats, self_pairs
 from spreadkit.operators.select import kth_smallest
 from spreadkit.runtime import broadcast_limit, cached, fits_broadcast, vector_row_bytes
@@ -22,8 +24,8 @@ DEFAULT_SEED = 1242457
 
 # Centers that cut the set into cells for the exact diameter.
 PIVOTS = 4
-# Relative slack of a bound, above the rounding of a distance.
-SLACK = 1e-9
+# Survivors of the pivots' bounds from which a tree pays for its jobs.
+TREE_ROWS = 4096
 
 
 def _points(points: DataFrame) -> DataFrame:
@@ -48,7 +50,9 @@ def _farthest(pts: DataFrame, d2: str) -> list[float]:
     return [float(x) for x in row["vec"]]
 
 
-def diameter(points: DataFrame, pivots: int = PIVOTS) -> DataFrame:
+def diameter(
+    points: DataFrame, pivots: int = PIVOTS, tree_rows: int = TREE_ROWS, leaf_rows: int = metric_tree.LEAF_ROWS
+) -> DataFrame:
     """Exact maximum pairwise distance (J1), one row ``diameter``.
 
     1. A few pivots, from the centroid on always the point farthest from those
@@ -59,11 +63,13 @@ def diameter(points: DataFrame, pivots: int = PIVOTS) -> DataFrame:
        centroid plus the largest such distance reaches ``low``, and, for some
        cell, its distance to the cell's pivot plus the cell's radius does.
        Radii shrink with the survivors, so this is repeated while it helps.
-    4. Survivors are paired cell by cell, only over cells whose bound reaches
-       ``low``; a large cell is split by hash. Pairs come from an equi-join.
+    4. More than ``tree_rows`` survivors go into a tree of balls, which is
+       searched pair of nodes by pair of nodes (see ``metric_tree``). Fewer are
+       paired cell by cell, only over cells whose bound reaches ``low``; a large
+       cell is split by hash, and pairs come from an equi-join.
 
-    Exact for any data. Where distances concentrate (high dimension) nothing is
-    pruned and step 4 compares all pairs in blocks: the definition's own work.
+    Exact for any data. Where distances concentrate (random points in high
+    dimension) no bound helps and all pairs are compared: the definition's own work.
     """
     source = _points(points)
     spark = source.sparkSession
@@ -82,12 +88,14 @@ def diameter(points: DataFrame, pivots: int = PIVOTS) -> DataFrame:
         while len(centers) < pivots:
             d2 = [sqdist_sql("vec", c, unrolled) for c in centers]
             centers.append(_farthest(pts, f"least({', '.join(d2)})" if len(d2) > 1 else d2[0]))
-        return _diameter(pts, centers, centroid, dim, unrolled)
+        return _diameter(pts, centers, centroid, dim, unrolled, tree_rows, leaf_rows)
     finally:
         pts.unpersist()
 
 
-def _diameter(pts: DataFrame, centers: list, centroid: list, dim: int, unrolled: int | None) -> DataFrame:
+def _diameter(
+    pts: DataFrame, centers: list, centroid: list, dim: int, unrolled: int | None, tree_rows: int, leaf_rows: int
+) -> DataFrame:
     spark = pts.sparkSession
     d = [f"sqrt({sqdist_sql('vec', c, unrolled)})" for c in centers]
     scored = pts.selectExpr(
@@ -107,6 +115,9 @@ def _diameter(pts: DataFrame, centers: list, centroid: list, dim: int, unrolled:
             alive, after = kept, sum(c["n"] for c in cells.values())
             if after > before // 2 or after < 2:
                 break
+        if after > max(tree_rows, 1):
+            low, _ = metric_tree.farthest_pair(alive.select("id", "vec"), dim, low, leaf_rows)
+            return spark.createDataFrame([(low,)], "diameter double")
         best = _longest_between_cells(alive, cells, least, dim) if after > 1 else None
         return spark.createDataFrame([(max(low, math.sqrt(best) if best is not None else 0.0),)], "diameter double")
     finally:

@@ -1,0 +1,112 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from spreadkit.operators import geometry, metric_tree
+from spreadkit.operators.metric_tree import build, farthest_pair, longest
+from spreadkit.runtime import BROADCAST_CONF
+from spreadkit.sources import tables
+
+from conftest import FIXTURE_C, SF
+
+
+def brute(rows):
+    return max((math.dist(a, b) for _, a in rows for _, b in rows), default=0.0)
+
+
+def clustered(n, dim, clusters, seed, spread=0.05):
+    """Points in tight clusters, as embeddings of groups of like texts are."""
+    rng = random.Random(seed)
+    middles = [[rng.gauss(0, 1) for _ in range(dim)] for _ in range(clusters)]
+    return [(i, [x + rng.gauss(0, spread) for x in rng.choice(middles)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("leaf_rows", [1, 2, 100])
+def test_fixture_c(make_points, leaf_rows):
+    assert math.isclose(farthest_pair(make_points(FIXTURE_C), 2, leaf_rows=leaf_rows)[0], brute(FIXTURE_C))
+
+
+def test_tree_holds_every_point_inside_its_ball(make_points):
+    rows = clustered(400, 5, 9, 1)
+    tree = build(make_points(rows), 5, leaf_rows=20, fanout=4)
+    members = tree.members.collect()
+    nodes = {r.node: r for level in tree.nodes for r in level.collect()}
+    leaves = {k: r for k, r in nodes.items() if r.leaf}
+    assert len(nodes) == tree.n_nodes and all(r.n <= 20 for r in leaves.values())
+    places = {k for k, r in leaves.items() if r.radius == 0}
+    assert len({m.id for m in members if m.id is not None}) == 400 - sum(leaves[k].n for k in places)
+    assert sum(m.id is None for m in members) == len(places)
+    for m in members:
+        at = leaves[m.leaf]
+        assert math.isclose(m.r, math.dist(m.vec, at.center), abs_tol=1e-12) and m.r <= at.radius
+    for r in nodes.values():  # children share out their parent's points
+        if not r.leaf:
+            assert sum(c.n for c in nodes.values() if c.parent == r.node) == r.n
+
+
+def test_clustered_points_in_64_dimensions_are_pruned(make_points):
+    rows = clustered(3000, 64, 25, 2)
+    distance, compared = farthest_pair(make_points(rows), 64, leaf_rows=64)
+    assert math.isclose(distance, brute(rows[::7] + _ends(rows)), rel_tol=1e-12)
+    assert compared < 3000 * 2999 // 2 // 20
+
+
+def _ends(rows):
+    """Both ends of the farthest pair, by comparing all pairs with numpy."""
+    import numpy as np
+
+    x = np.array([v for _, v in rows])
+    sq = (x * x).sum(axis=1)
+    d2 = sq[:, None] + sq[None, :] - 2 * x @ x.T
+    i, j = np.unravel_index(d2.argmax(), d2.shape)
+    return [rows[i], rows[j]]
+
+
+def test_random_points_in_64_dimensions_compare_at_most_all_pairs(make_points):
+    rng = random.Random(3)
+    rows = [(i, [rng.random() for _ in range(64)]) for i in range(300)]
+    distance, compared = farthest_pair(make_points(rows), 64, leaf_rows=16)
+    assert math.isclose(distance, brute(rows), rel_tol=1e-12) and compared <= 300 * 299 // 2
+
+
+def test_a_third_of_the_points_in_one_place(make_points):
+    rows = [(i, [1.0, 2.0]) for i in range(100)] + [(100 + i, [math.cos(i), math.sin(i)]) for i in range(200)]
+    distance, compared = farthest_pair(make_points(rows), 2, leaf_rows=4)
+    assert math.isclose(distance, brute(rows)) and compared < 5000
+
+
+def test_all_points_equal(make_points):
+    assert farthest_pair(make_points([(i, (3, 4)) for i in range(50)]), 2, leaf_rows=4) == (0.0, 0)
+
+
+def test_a_known_lower_bound_prunes(make_points):
+    rows = clustered(500, 8, 5, 4)
+    tree = build(make_points(rows), 8, leaf_rows=16)
+    best, compared = longest(tree)
+    again, fewer = longest(tree, best)
+    assert again == best and fewer <= compared
+    assert longest(tree, best * 2) == (best * 2, 0)
+
+
+def test_without_broadcasts(spark, make_points):
+    rows = clustered(300, 4, 6, 5)
+    spark.conf.set(BROADCAST_CONF, "0")
+    try:
+        assert math.isclose(farthest_pair(make_points(rows), 4, leaf_rows=16)[0], brute(rows))
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
+
+
+@pytest.mark.parametrize("pivots", [1, 4])
+def test_diameter_by_the_tree_equals_the_other_way(spark, pivots):
+    for pts in (tables.embedding_points(spark, SF), tables.lineitem_points(spark, SF)):
+        by_cells = geometry.diameter(pts, pivots).first()[0]
+        by_tree = geometry.diameter(pts, pivots, tree_rows=0, leaf_rows=32).first()[0]
+        assert math.isclose(by_cells, by_tree, rel_tol=1e-12)
+
+
+def test_decimal_and_negative_ids(spark):
+    pts = spark.range(40).select((F.col("id") - 20).cast("decimal(38,0)").alias("id"), F.array(F.col("id").cast("double"), F.lit(0.0)).alias("vec"))
+    assert metric_tree.farthest_pair(pts, 2, leaf_rows=3)[0] == 39.0
