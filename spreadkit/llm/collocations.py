@@ -15,10 +15,14 @@ exact; the search ends when no phrase has reached the threshold in the last cycl
   filter before ``t`` has both its subphrases and the one a cycle earlier had not;
   each phrase is so counted once on each shard, whatever the filter's mistakes.
   A mistake can only let a phrase be counted that is too rare anyway.
-* Counts leave a scan as rows ``lang, key, n``; a key is the phrase's words as 64-bit
-  hashes. They are shuffled by key, so no task holds a language.
-* A phrase with a total of ``least`` has ``least / SHARDS`` in some shard. Only keys
-  with that many in one scan are summed over the scans.
+* The shards hold words as 64-bit hashes (the last bit says whether the piece goes
+  on), so texts are cut into words once, not once a scan. A phrase is the row of
+  its words' hashes.
+* A task's counts leave it as blocks of phrases, dealt by a hash of the phrase into
+  buckets of bounded size; a bucket's blocks are merged by sorting. No task holds
+  a language.
+* A phrase with a total of ``least`` has ``least / SHARDS`` in some scan. Only phrases
+  that may have (a second filter) become rows that are summed over the scans.
 
 Frequent phrases stay distributed. Cuts, containment and ranks are joins and
 aggregates; a language's first rows are taken in two steps over salts.
@@ -50,11 +54,14 @@ TOP = 2000
 PER_MILLE = 1000
 ABSORB_PERCENT = 100
 SHARDS = 3
-# the filter's size follows the text's bytes between these numbers of bits
+# a filter's size follows the number of words between these numbers of bits
 FILTER_BITS = (1 << 20, 1 << 28)
 PROBES = 4
+BUCKET_WORDS = 1 << 21
 SALTS = 32
-_STRETCH = 2 << 20
+_STRETCH = 1 << 20
+_ROW_WORDS = 1 << 16
+_HELD_BYTES = 24 << 20
 _P = np.uint64(0x9FB21C651E98DF25)
 
 _APART = np.zeros(256, bool)
@@ -62,7 +69,9 @@ _APART[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 _INSIDE = ~_APART
 _INSIDE[[0x20, 0x09]] = False
 
-COUNTS = "lang string, key binary, word binary, n bigint"
+_GOES_ON = np.uint64(1)
+TOKENS = "lang string, n bigint, words binary"
+BLOCKS = "bucket bigint, lang string, length int, keys binary, counts binary"
 
 
 def pieces_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,160 +112,289 @@ def probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
         yield (hashes + np.uint64(k) * step) & np.uint64(bits - 1)
 
 
-def holds(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether the filter (unsigned 64-bit words) may have each hash."""
-    out = np.ones(len(hashes), bool)
-    for at in probes(hashes, 64 * len(filter_)):
-        out &= (filter_[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+def holds(filters: list[np.ndarray], hashes: np.ndarray) -> list[np.ndarray]:
+    """For each filter (unsigned 64-bit words, of one size) whether it may have
+    each hash."""
+    out = [np.ones(len(hashes), bool) for _ in filters]
+    for at in probes(hashes, 64 * len(filters[0])):
+        word, bit = (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+        for own, filter_ in zip(out, filters):
+            own &= (filter_[word] & bit) > 0
     return out
 
 
-def active(
-    filter_: np.ndarray | None, seed: np.uint64, words: np.ndarray, joined: np.ndarray, most: int
-) -> list[np.ndarray]:
+def to_count(filters: list[np.ndarray], seed: np.uint64, words: np.ndarray, joined: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each length from 2 the places where a phrase starts whose subphrases
-    the filter has."""
-    out = []
+    the first filter has, and not the second (if there is one) too."""
+    reached = [np.append(x, False) for x in holds(filters, prints(seed, [words]))]
     at = np.flatnonzero(joined)
-    if filter_ is None:
-        return [at[:0]] * (most - 1)
-    single = holds(filter_, prints(seed, [words]))
-    at = at[single[at] & single[at + 1]]
     for length in range(2, most + 1):
-        out.append(at)
-        if length < most:
-            # a longer phrase starts where this one and the next both have reached
-            reached = np.zeros(len(words) + 1, bool)
-            reached[at[holds(filter_, prints(seed, [words[at + k] for k in range(length)]))]] = True
-            at = at[reached[at] & reached[at + 1] & joined[at + length - 1]]
-    return out
+        at = at[reached[0][at] & reached[0][at + 1]]
+        done = reached[1][at] & reached[1][at + 1] if len(filters) > 1 else np.zeros(len(at), bool)
+        yield length, at[~done]
+        if length < most and len(at):
+            # a longer phrase starts where this one and the next were counted and
+            # have reached; the earlier filter is read as it was in its own scan
+            found = holds(filters, prints(seed, [words[at + k] for k in range(length)]))
+            reached = [np.zeros(len(words) + 1, bool) for _ in filters]
+            for own, yes, counted in zip(reached, found, (np.ones(len(at), bool), done)):
+                own[at[yes & counted]] = True
+            at = at[joined[at + length - 1]]
+
+
+def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows of word hashes in the order of their prints, those, and how
+    often each occurs (or the sums of ``counts``)."""
+    own = prints(np.uint64(0), list(keys.T))
+    order = np.argsort(own)
+    own, keys = own[order], keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = (own[1:] != own[:-1]) | (keys[1:] != keys[:-1]).any(axis=1)
+    first = np.flatnonzero(fresh)
+    n = np.diff(np.append(first, len(keys))) if counts is None else np.add.reduceat(counts[order], first)
+    return keys[first], own[first], n.astype(np.int64)
 
 
-def phrase_counts(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct phrases as rows of little-endian word hashes, and their numbers."""
-    order = np.argsort(prints(np.uint64(0), columns))
-    rows = np.stack([c[order] for c in columns], axis=1)
-    fresh = np.ones(len(rows), bool)
-    fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
-    first = np.flatnonzero(fresh)
-    return rows[first], np.diff(np.append(first, len(rows)))
+# ------------------------------------------------------------------- shards
+
+
+def tokenised(source: DataFrame) -> DataFrame:
+    """``lang, n, words``: the words of texts, in rows of some thousands that end
+    where a piece ends."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, own, starts, ends, joined in _cut(batches):
+            words = span_hashes(own, starts, ends) & ~_GOES_ON | joined
+            stops = np.flatnonzero(~joined) + 1  # the last word ends a piece
+            edges = [0]
+            while edges[-1] < len(words):
+                far, near = np.searchsorted(stops, [edges[-1] + _ROW_WORDS, edges[-1]], "right")
+                edges.append(int(stops[max(far - 1, near)]))
+            body = [words[a:b].astype("<u8").tobytes() for a, b in zip(edges, edges[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(body)), pa.array(np.diff(edges).astype(np.int64)), pa.array(body, pa.binary())],
+                ["lang", "n", "words"],
+            )
 
-def scan(shard: DataFrame, now: np.ndarray | None, before: np.ndarray | None, first_cycle: bool, most: int) -> DataFrame:
-    """Counts of one shard: ``lang, key, word, n`` (word: null for phrases)."""
-    shared = shard.sparkSession.sparkContext.broadcast((now, before))
+    return source.mapInArrow(lean(run), TOKENS)
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Stretches of texts of one language: bytes, words, and whether a piece goes on."""
+    for batch in batches:
+        langs = np.array(batch.column(0).to_pylist(), object)
+        for lang in sorted(set(langs)):
+            data, offsets = text_bytes(batch.column(1).filter(pa.array(langs == lang)))
+            for i, j in windows(offsets, _STRETCH):
+                own = LOWER[data[offsets[i] : offsets[j]]]
+                starts, ends, joined = pieces_words(own, offsets[i : j + 1] - offsets[i])
+                if len(starts):
+                    yield lang, own, starts, ends, joined
+
+
+def scan(shard: DataFrame, now: np.ndarray, before: np.ndarray | None, first_cycle: bool, most: int, buckets: int) -> DataFrame:
+    """Counts of one shard: ``lang, length, keys, counts``, blocks of phrases; each
+    phrase is in one block of one row."""
+    filters = [now] if before is None or not before.any() else [now, before]
+    shared = shard.sparkSession.sparkContext.broadcast(filters)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_, earlier = shared.value
+        own, held, size = shared.value, {}, 0
+        longer = own[0].any()
         for batch in batches:
-            langs = np.array(batch.column(0).to_pylist(), object)
-            for lang in sorted(set(langs)):
-                data, offsets = text_bytes(batch.column(1).filter(pa.array(langs == lang)))
-                for i, j in windows(offsets, _STRETCH):
-                    own = LOWER[data[offsets[i] : offsets[j]]]
-                    starts, ends, joined = pieces_words(own, offsets[i : j + 1] - offsets[i])
-                    if len(starts):
-                        yield from _counted(lang, own, starts, ends, joined, filter_, earlier)
-
-    def _counted(lang, own, starts, ends, joined, filter_, earlier) -> Iterator[pa.RecordBatch]:
-        words, seed = span_hashes(own, starts, ends), lang_seed(lang)
-        if first_cycle:
-            keys, first, n = np.unique(words, return_index=True, return_counts=True)
-            offsets = np.concatenate([[0], np.cumsum((ends - starts)[first])]).astype(np.int32)
-            body = own[ragged(starts[first], (ends - starts)[first])]
-            text = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
-            yield _rows(lang, keys[:, None], text, n)
-        if filter_ is None:
-            return
-        counted = active(earlier, seed, words, joined, most)
-        for length, (at, done) in enumerate(zip(active(filter_, seed, words, joined, most), counted), 2):
-            if earlier is not None:
-                at = np.setdiff1d(at, done, assume_unique=True)
-            if len(at):
-                keys, n = phrase_counts([words[at + k] for k in range(length)])
-                yield _rows(lang, keys, pa.nulls(len(keys), pa.binary()), n)
-
-    def _rows(lang: str, keys: np.ndarray, text: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-        size = 8 * keys.shape[1]
-        offsets = (np.arange(len(keys) + 1) * size).astype(np.int32)
-        body = pa.py_buffer(np.ascontiguousarray(keys, "<u8"))
-        key = pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(offsets), body])
+            body, offsets = text_bytes(batch.column(1))
+            for lang, a, b in zip(batch.column(0).to_pylist(), offsets, offsets[1:]):
+                words = body[a:b].view("<u8")
+                joined = (words & _GOES_ON).astype(bool)
+                words = words & ~_GOES_ON
+                if first_cycle:
+                    held.setdefault((lang, 1), []).append(words[:, None])
+                    size += words.nbytes
+                if longer:
+                    for length, at in to_count(own, lang_seed(lang), words, joined, most):
+                        if len(at):
+                            held.setdefault((lang, length), []).append(words[at[:, None] + np.arange(length)])
+                            size += 8 * length * len(at)
+                if size > _HELD_BYTES:
+                    yield from _blocks(held, buckets)
+                    held, size = {}, 0
+        yield from _blocks(held, buckets)
+
+    blocks = shard.select("lang", "words").mapInArrow(lean(count), BLOCKS)
+    dealt = blocks.repartition("bucket").sortWithinPartitions("bucket", "lang", "length")
+    return dealt.mapInArrow(lean(_merged), "lang string, length int, keys binary, counts binary")
+
+
+def _blocks(held: dict, buckets: int) -> Iterator[pa.RecordBatch]:
+    for (lang, length), rows in sorted(held.items()):
+        keys, own, n = summed(np.concatenate(rows))
+        bucket = (own >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)  # rises with the print
+        edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+        some = np.flatnonzero(np.diff(edges))
+        spans = [(edges[k], edges[k + 1]) for k in some]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(some.astype(np.int64)), pa.array([lang] * len(some)), pa.array(np.full(len(some), length, np.int32)),
+                pa.array([keys[a:b].astype("<u8").tobytes() for a, b in spans], pa.binary()),
+                pa.array([n[a:b].astype("<i8").tobytes() for a, b in spans], pa.binary()),
+            ],
+            ["bucket", "lang", "length", "keys", "counts"],
+        )
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of one bucket, language and length as one."""
+    key, held = None, []
+
+    def row() -> pa.RecordBatch:
+        keys, _, n = summed(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
+        body = [keys.astype("<u8").tobytes()], [n.astype("<i8").tobytes()]
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(keys)), key, text, pa.array(n.astype(np.int64))], ["lang", "key", "word", "n"]
+            [pa.array([key[1]]), pa.array([key[2]], pa.int32()), *[pa.array(x, pa.binary()) for x in body]],
+            ["lang", "length", "keys", "counts"],
         )
 
-    return shard.mapInArrow(lean(count), COUNTS).groupBy("lang", "key", "word").agg(F.sum("n").alias("n"))
+    for batch in batches:
+        for r in batch.to_pylist():
+            own = (r["bucket"], r["lang"], r["length"])
+            if held and own != key:
+                yield row()
+                held = []
+            key = own
+            held.append((np.frombuffer(r["keys"], "<u8").reshape(-1, r["length"]), np.frombuffer(r["counts"], "<i8")))
+    if held:
+        yield row()
+
+
+# ------------------------------------------------------------------ filters
 
 
-def summed(parts: list[DataFrame], least: int, shards: int) -> DataFrame:
-    """``lang, key, n``: keys with ``least`` or more in all ``parts``. Only keys with
-    their share in one part are summed (a total has it in at least one of as many
-    parts as there are shards, the only ones that count it)."""
-    rows = reduce(DataFrame.unionByName, parts).select("lang", "key", "n")
-    heavy = rows.where(F.col("n") >= -(-least // shards)).select("lang", "key").distinct()
-    # keys of at most five words, and a language's name
-    if fits_broadcast(rows.sparkSession, heavy.count(), 96):
-        heavy = F.broadcast(heavy)
-    kept = rows.join(heavy, ["lang", "key"], "left_semi")
-    return kept.groupBy("lang", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+def _own_prints(lang: str, keys: np.ndarray) -> np.ndarray:
+    return prints(lang_seed(lang), [np.ascontiguousarray(keys[:, k]) for k in range(keys.shape[1])])
 
 
-def set_bits(filter_: np.ndarray, found: DataFrame, most: int) -> np.ndarray:
-    """The filter with the phrases of ``found`` that can begin longer ones. Tasks
-    send words of the filter, of which there are a bounded number."""
-    words = len(filter_)
+def _as_bits(rows: DataFrame, hashes, size: int) -> np.ndarray:
+    """A filter of ``size`` words with the prints that ``hashes`` finds in batches of
+    ``rows``. Tasks send words of the filter, of which there are a bounded number."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(words, np.uint64)
+        own = np.zeros(size, np.uint64)
         for batch in batches:
-            langs = np.array(batch.column(0).to_pylist(), object)
-            data, offsets = text_bytes(batch.column(1))
-            lengths = np.diff(offsets) // 8
-            for lang in sorted(set(langs)):
-                for length in range(1, most):
-                    at = np.flatnonzero((langs == lang) & (lengths == length))
-                    keys = data[ragged(offsets[at], lengths[at] * 8)].view("<u8").reshape(-1, length)
-                    hashes = prints(lang_seed(lang), [np.ascontiguousarray(keys[:, k]) for k in range(length)])
-                    for place in probes(hashes, 64 * words):
-                        np.bitwise_or.at(own, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+            for some in hashes(batch):
+                for place in probes(some, 64 * size):
+                    np.bitwise_or.at(own, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
         at = np.flatnonzero(own)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(own[at].view(np.int64))], ["at", "bits"])
 
-    rows = found.mapInArrow(lean(bits), "at bigint, bits bigint").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = filter_.copy()
-    out[rows.column("at").to_numpy()] |= rows.column("bits").to_numpy().view(np.uint64)
+    sent = rows.mapInArrow(lean(bits), "at bigint, bits bigint").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(size, np.uint64)
+    out[sent.column("at").to_numpy()] = sent.column("bits").to_numpy().view(np.uint64)
     return out
 
 
-def frequent_phrases(docs: DataFrame, least: int, most: int, shards: int, lang_col: str, text_col: str) -> tuple[DataFrame, list[DataFrame]]:
+def _block_rows(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    for r in batch.to_pylist():
+        yield r["lang"], np.frombuffer(r["keys"], "<u8").reshape(-1, r["length"]), np.frombuffer(r["counts"], "<i8")
+
+
+def heavy_bits(part: DataFrame, least: int, size: int) -> np.ndarray:
+    """The phrases that one scan counts ``least`` times."""
+
+    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for lang, keys, n in _block_rows(batch):
+            yield _own_prints(lang, keys[n >= least])
+
+    return _as_bits(part, hashes, size)
+
+
+def key_bits(found: DataFrame, size: int) -> np.ndarray:
+    """The phrases of ``found`` (``lang, key, ...``)."""
+
+    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        langs = np.array(batch.column(0).to_pylist(), object)
+        data, offsets = text_bytes(batch.column(1))
+        lengths = np.diff(offsets) // 8
+        for lang in sorted(set(langs)):
+            for length in np.unique(lengths[langs == lang]):
+                at = np.flatnonzero((langs == lang) & (lengths == length))
+                yield _own_prints(lang, data[ragged(offsets[at], lengths[at] * 8)].view("<u8").reshape(-1, length))
+
+    return _as_bits(found.select("lang", "key"), hashes, size)
+
+
+def totals(parts: list[DataFrame], heavy: np.ndarray, least: int) -> DataFrame:
+    """``lang, key, n``: the phrases with ``least`` or more in all ``parts``, of those
+    that ``heavy`` may have (all, if each has its share in one part)."""
+    rows = reduce(DataFrame.unionByName, parts)
+    shared = rows.sparkSession.sparkContext.broadcast(heavy)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, keys, n in _block_rows(batch):
+                at = np.flatnonzero(holds([shared.value], _own_prints(lang, keys))[0])
+                if len(at):
+                    body = keys[at].astype("<u8").tobytes()
+                    offsets = (np.arange(len(at) + 1) * 8 * keys.shape[1]).astype(np.int32)
+                    key = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), key, pa.array(n[at])], ["lang", "key", "n"])
+
+    picked = rows.mapInArrow(lean(pick), "lang string, key binary, n bigint")
+    return picked.groupBy("lang", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+# ----------------------------------------------------------------- counting
+
+
+def frequent_phrases(source: DataFrame, least: int, most: int, shards: int) -> tuple[DataFrame, DataFrame, int]:
     """``lang, key, n`` of all phrases of up to ``most`` words with ``least``
-    occurrences, and the tables of the scans."""
-    spark = docs.sparkSession
+    occurrences, all words of each language, and the size of a filter."""
+    spark = source.sparkSession
     path = work_path(spark, "shards")
-    source = docs.where(F.col(text_col).isNotNull()).select(
-        F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text")
-    )
-    dealt = source.withColumn("shard", F.floor(F.rand(20240611) * shards).cast("int"))
-    dealt.write.option("compression", "zstd").partitionBy("shard").parquet(path)
-    rows = spark.read.schema("lang string, text string, shard int").parquet(path)
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = 1 << min(max(int(size // 32).bit_length(), FILTER_BITS[0].bit_length() - 1), FILTER_BITS[1].bit_length() - 1)
+    dealt = tokenised(source).withColumn("shard", F.floor(F.rand(20240611) * shards).cast("int"))
+    dealt.write.option("compression", "none").partitionBy("shard").parquet(path)
+    rows = spark.read.schema(f"{TOKENS}, shard int").parquet(path)
+    sizes = stored(rows.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
+    words = sizes.agg(F.sum("n")).first()[0] or 0
+    low, high = (x.bit_length() - 1 for x in FILTER_BITS)
+    size = (1 << min(max((words // 16).bit_length(), low), high)) // 64
+    buckets = max(32, words // BUCKET_WORDS + 1)
 
     # filters[t]: the phrases that had reached the threshold before scan t
-    filters, parts = [np.zeros(bits // 64, np.uint64)], []
+    filters, parts, heavy = [np.zeros(size, np.uint64)], [], []
     while True:
         t = len(parts)
-        now, earlier = filters[t], filters[t - shards] if t >= shards else None
-        if t >= shards and np.array_equal(now, earlier):
+        now, before = filters[t], filters[t - shards] if t >= shards else None
+        if t >= shards and np.array_equal(now, before):
             break
-        counted = scan(
-            rows.where(F.col("shard") == t % shards).select("lang", "text"), now if now.any() else None,
-            earlier if earlier is not None and earlier.any() else None, t < shards, most,
-        )
-        parts.append(stored(counted, "scan"))
-        filters.append(set_bits(now, summed(parts[-shards:], least, shards), most))
-        filters[:-shards - 1] = [None] * len(filters[:-shards - 1])
-    return stored(summed(parts, least, shards), "frequent"), parts[:shards]
+        shard = rows.where(F.col("shard") == t % shards)
+        parts.append(stored(scan(shard, now, before, t < shards, most, buckets), "scan"))
+        heavy.append(heavy_bits(parts[-1], -(-least // shards), size))
+        window = totals(parts[-shards:], np.bitwise_or.reduce(heavy[-shards:]), least)
+        filters.append(now | key_bits(window.where(f"octet_length(key) < {8 * most}"), size))
+        if t >= shards:
+            filters[t - shards] = None
+    return stored(totals(parts, np.bitwise_or.reduce(heavy), least), "frequent"), sizes, size
+
+
+def spelled(source: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``lang, part, word``: the words of the hashes in ``wanted`` (``lang, part``)."""
+    shared = source.sparkSession.sparkContext.broadcast(key_bits(wanted.select("lang", F.col("part").alias("key")), size))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, own, starts, ends, _ in _cut(batches):
+            words, first = np.unique(span_hashes(own, starts, ends) & ~_GOES_ON, return_index=True)
+            at = holds([shared.value], prints(lang_seed(lang), [words]))[0]
+            words, first = words[at], first[at]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * len(words), pa.string()), pa.array([w.astype("<u8").tobytes() for w in words], pa.binary()),
+                    pa.array([own[starts[k] : ends[k]].tobytes().decode() for k in first], pa.string()),
+                ],
+                ["lang", "part", "word"],
+            )
+
+    rows = source.mapInArrow(lean(run), "lang string, part binary, word string").distinct()
+    return rows.join(wanted, ["lang", "part"], "left_semi").groupBy("lang", "part").agg(F.min("word").alias("word"))
 
 
 def _words_of(key: str) -> F.Column:
@@ -276,9 +414,10 @@ def collocations(
     """``lang, rank, phrase, a, l, r, n, score``: each language's first ``top``
     phrases of 2 to ``most`` words that occur ``least`` times or more."""
     spark = docs.sparkSession
-    found, scans = frequent_phrases(docs, least, most, shards, lang_col, text_col)
-    words = reduce(DataFrame.unionByName, scans).where("word IS NOT NULL")
-    sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    source = docs.where(F.col(text_col).isNotNull()).select(
+        F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text")
+    )
+    found, sizes, size = frequent_phrases(source, least, most, shards)
     phrases = found.where("octet_length(key) >= 16").withColumnRenamed("n", "a")
 
     # every cut, scored
@@ -286,7 +425,6 @@ def collocations(
         "*", F.expr("substring(key, 1, 8 * k) AS head"), F.expr("substring(key, 8 * k + 1, octet_length(key) - 8 * k) AS tail")
     )
     half = lambda own, name: found.select("lang", F.col("key").alias(own), F.col("n").alias(name))
-    sizes = stored(sizes, "sizes")
     if fits_broadcast(spark, sizes.count(), 64):
         sizes = F.broadcast(sizes)
     wide = lambda c: f"cast({c} AS decimal(38, 0))"
@@ -308,15 +446,13 @@ def collocations(
         F.col("longer").isNull() | (100 * F.col("longer").cast("decimal(38,0)") < ABSORB_PERCENT * F.col("a").cast("decimal(38,0)"))
     ).drop("longer")
 
-    text = words.select("lang", F.col("key").alias("part"), F.col("word").cast("string").alias("word")).join(
-        found.where("octet_length(key) = 8").select("lang", F.col("key").alias("part")), ["lang", "part"], "left_semi"
-    ).groupBy("lang", "part").agg(F.min("word").alias("word"))
-    spelled = (
-        kept.select("lang", "key", F.posexplode(_words_of("key")).alias("pos", "part")).join(text, ["lang", "part"])
-        .groupBy("lang", "key").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("w"))
-        .select("lang", "key", F.expr("array_join(transform(w, x -> x.word), ' ') AS phrase"))
-    )
-    rows = kept.join(spelled, ["lang", "key"])
+    kept = stored(kept, "kept")
+    parts = kept.select("lang", "key", F.posexplode(_words_of("key")).alias("pos", "part"))
+    text = spelled(source, stored(parts.select("lang", "part").distinct(), "parts"), size)
+    phrase = parts.join(text, ["lang", "part"]).groupBy("lang", "key").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("w")
+    ).select("lang", "key", F.expr("array_join(transform(w, x -> x.word), ' ') AS phrase"))
+    rows = kept.join(phrase, ["lang", "key"])
 
     order = [F.desc("score"), F.desc("a"), "phrase"]
     salted = Window.partitionBy("lang", F.pmod(F.xxhash64("key"), F.lit(SALTS))).orderBy(*order)
