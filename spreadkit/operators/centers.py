@@ -28,26 +28,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spreadkit.functions.vectors import sqdist
-from spreadkit.operators.pairs import check_point_stats, point_checks
+from spreadkit.operators.pairs import check_point_stats, point_checks, with_group_row
 from spreadkit.runtime import cached, fits_broadcast, remove_path, vector_row_bytes, work_path
 
 CHOSEN = -1.0  # the distance of a point that is a center
-SALTS = 64
 
 
 class GroupError(ValueError):
     """Groups or ids that do not identify the points."""
 
 
-def _with_group_row(state: DataFrame, rows: DataFrame, small: bool) -> DataFrame:
-    """Join one row per group to the points of the group."""
-    if small:
-        return state.join(F.broadcast(rows), "g")
-    salted = rows.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    own = state.withColumn("__salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    return own.join(salted, ["g", "__salt"]).drop("__salt")
-
-
 def farthest_first(
     points: DataFrame, k: int, group: str | None = None, checkpoint_every: int = 8
 ) -> DataFrame:
@@ -74,21 +64,21 @@ def farthest_first(
         schema = pts.select("g", "id", "vec", F.lit(None).cast("double").alias("d2")).schema
 
         first = pts.groupBy("g").agg(F.min("id").alias("first"))
-        chosen = _with_group_row(pts, first, small).where("id = first")
+        chosen = with_group_row(pts, first, small).where("id = first")
         chosen.select("g", "id", "vec", F.lit(None).cast("double").alias("d2")).write.parquet(f"{folder}/step=0")
         state = pts.withColumn("d2", F.lit(float("inf")))
         for step in range(1, min(k, largest_group)):  # then every group has run out of points
             new = spark.read.schema(schema).parquet(f"{folder}/step={step - 1}").select(
                 "g", F.col("id").alias("center"), F.col("vec").alias("cvec")
             )
-            lowered = _with_group_row(state, new, small).select(
+            lowered = with_group_row(state, new, small).select(
                 "g", "id", "vec",
                 F.when(F.col("id") == F.col("center"), F.lit(CHOSEN))
                 .otherwise(F.least("d2", sqdist("vec", "cvec", dim))).alias("d2"),
             )
             before, state = state, cached(lowered)
             largest = state.groupBy("g").agg(F.max("d2").alias("largest")).where("largest >= 0")
-            best = _with_group_row(state, largest, small).where("d2 = largest").groupBy("g").agg(
+            best = with_group_row(state, largest, small).where("d2 = largest").groupBy("g").agg(
                 F.min("id").alias("id"), F.min_by("vec", "id").alias("vec"), F.max("d2").alias("d2")
             )
             best.write.parquet(f"{folder}/step={step}")

@@ -16,14 +16,21 @@ from spreadkit.functions.keys import seeded_rank
 from spreadkit.functions.vectors import MAX_UNROLLED_DIM, sqdist, sqdist_sql
 from spreadkit.operators import metric_tree
 from spreadkit.operators.metric_tree import SLACK
-from spreadkit.operators.pairs import MAX_BLOCK_ROWS, check_point_stats, point_checks, point_stats, self_pairs
+from spreadkit.operators.pairs import (
+    MAX_BLOCK_ROWS, PointSetError, bad_vector_sql, check_point_stats, point_checks, point_stats, self_pairs, with_group_row,
+)
 from spreadkit.operators.select import kth_smallest
-from spreadkit.runtime import broadcast_limit, cached, fits_broadcast, vector_row_bytes
+from spreadkit.runtime import broadcast_limit, cached, fits_broadcast, stored, vector_row_bytes
 
 DEFAULT_SEED = 1242457
 
 # Centers that cut the set into cells for the exact diameter.
 PIVOTS = 4
+# Points of a sample that bound its distances (J2), and sizes up to which its
+# ranks are sorted on the driver.
+SAMPLE_PIVOTS = 2
+DRIVER_RANKS = 1 << 16
+RANK_RANGE = 1 << 60
 # Survivors of the pivots' bounds from which a tree pays for its jobs.
 TREE_ROWS = 4096
 
@@ -34,13 +41,16 @@ def _points(points: DataFrame) -> DataFrame:
 
 def distances_to_center(points: DataFrame, group: str, squared: bool = False) -> DataFrame:
     """``i, j, sqdist`` (or ``distance``): each point ``j`` against the first
-    center ``i`` (smallest id) of its group (P6, P7). One aggregate, one join."""
+    center ``i`` (smallest id) of its group (P6, P7). The centers are broadcast if
+    they fit, else copied over salts, so a large group is many tasks' work."""
     pts = points.select(F.col(group).alias("g"), "id", "vec")
     n, dim = point_stats(pts)
     first = pts.groupBy("g").agg(F.min("id").alias("i"), F.min_by("vec", "id").alias("center"))
     d2 = sqdist("vec", "center", dim)
     value = d2.alias("sqdist") if squared else F.sqrt(d2).alias("distance")
-    return pts.join(first, "g").where("id <> i").select("i", F.col("id").alias("j"), value)
+    groups = pts.agg(F.approx_count_distinct("g").alias("n")).first()["n"]
+    small = fits_broadcast(points.sparkSession, 2 * groups, vector_row_bytes(dim, 3))  # an estimate: twice, to be sure
+    return with_group_row(pts, first, small).where("id <> i").select("i", F.col("id").alias("j"), value)
 
 
 def _farthest(pts: DataFrame, d2: str) -> list[float]:
@@ -169,35 +179,56 @@ def avg_pairwise_distance(points: DataFrame) -> DataFrame:
     return self_pairs(pts, n).agg(F.avg(F.sqrt(sqdist("vec_i", "vec_j", dim))).alias("avg_distance"))
 
 
-def _sampled(points: DataFrame, k: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """The sample and the other rows: two filters on one hash border."""
+def _sampled(pts: DataFrame, n: int, k: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sample, the other rows, and of the latter those next to the border (a
+    written table of some ``8 * sqrt(k)`` rows; none if all rows are drawn).
+
+    Ranks are uniform, so about ``k`` rows and a margin have a rank below
+    ``(k + margin) / n`` of their range: one scan writes those, and the border is
+    found in them. Should they be fewer than ``k`` (a chance far below 10^-9, or ids
+    that repeat), the border is found by counting over all rows.
+    """
     if k < 0:
         raise ValueError("k must not be negative")
-    pts = _points(points).withColumn("__h", seeded_rank(seed, "id"))
-    n = pts.count()
+    ranked = pts.withColumn("__h", seeded_rank(seed, "id"))
     if k == 0 or n == 0:
-        return pts.where("false").drop("__h"), pts.drop("__h")
+        return pts.where("false"), pts, pts.where("false")
     if k >= n:
-        return pts.drop("__h"), pts.where("false").drop("__h")
-    border, rest = kth_smallest(pts.select("__h"), "__h", k, bits=60)
+        return pts, pts.where("false"), pts.where("false")
+    top = min(RANK_RANGE, (k + 8 * math.isqrt(k) + 64) * RANK_RANGE // n)
+    near = stored(ranked.where(F.col("__h") < top), "near") if top < RANK_RANGE else ranked
+    found = near.count() if top < RANK_RANGE else n
+    if found < k:
+        near, found = ranked, n
+    border, rest = _border(near, found, k)
     # rows with equal hashes (hardly ever more than one) go by id
-    last = pts.where(F.col("__h") == border).select("id").orderBy("id").limit(rest).agg(F.max("id")).first()[0]
+    last = near.where(F.col("__h") == border).select("id").orderBy("id").limit(rest).agg(F.max("id")).first()[0]
     inside = (F.col("__h") < border) | ((F.col("__h") == border) & (F.col("id") <= F.lit(last)))
-    return pts.where(inside).drop("__h"), pts.where(~inside).drop("__h")
+    return near.where(inside).drop("__h"), ranked.where(~inside).drop("__h"), near.where(~inside).drop("__h")
+
+
+def _border(near: DataFrame, n: int, k: int) -> tuple[int, int]:
+    """The k-th smallest rank and how many rows that have it are drawn."""
+    if n > DRIVER_RANKS:
+        return kth_smallest(near.select("__h"), "__h", k, bits=60)
+    ranks = sorted(near.select("__h").toArrow().column(0).to_pylist())
+    return ranks[k - 1], k - ranks.index(ranks[k - 1])
 
 
 def sample_points(points: DataFrame, k: int, seed: int = DEFAULT_SEED) -> DataFrame:
     """Exactly ``min(k, n)`` rows without replacement, repeatable.
 
-    Rows are ranked by 60 bits of ``md5('<seed>:<id>')``, then by id. The rank's
-    border is found by counting, so the sample is a filter, for any ``k``.
+    Rows are ranked by 60 bits of ``md5('<seed>:<id>')``, then by id. One count and
+    one scan of the rows, which ranks each once, for any ``k`` (see ``_sampled``).
     """
-    return _sampled(points, k, seed)[0]
+    pts = _points(points)
+    return _sampled(pts, pts.count(), k, seed)[0]
 
 
 def sample_rest(points: DataFrame, k: int, seed: int = DEFAULT_SEED) -> DataFrame:
     """The rows not drawn by :func:`sample_points` (J4 after R1)."""
-    return _sampled(points, k, seed)[1]
+    pts = _points(points)
+    return _sampled(pts, pts.count(), k, seed)[1]
 
 
 def remove_rows(points: DataFrame, removed: DataFrame, n_removed: int) -> DataFrame:
@@ -212,30 +243,78 @@ def remove_rows(points: DataFrame, removed: DataFrame, n_removed: int) -> DataFr
 
 
 def sampled_diameter(points: DataFrame, k: int, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Largest distance from a sample of ``k`` points to the other points.
+    """Largest distance from a sample of ``k`` points to the other points (J2), one
+    row ``diameter``.
 
     At least half the exact diameter when ``k < n``; NULL when nothing is left
-    outside the sample. The sample is broadcast in blocks under the broadcast
-    cap and every other row is compared with a block in one projection, so no
-    pair rows exist and the other rows are never copied.
+    outside the sample.
+    """
+    best, _, _ = sampled_search(points, k, seed)
+    return points.sparkSession.createDataFrame([(best,)], "diameter double")
+
+
+def sampled_search(points: DataFrame, k: int, seed: int = DEFAULT_SEED) -> tuple[float | None, int, int]:
+    """``(distance, rows, rows compared with the whole sample)``.
+
+    Two scans: one draws the sample, one measures the other rows. A few points of
+    the sample are pivots, each with the largest distance ``reach`` of a sample
+    point from it. A row is at most ``distance to pivot + reach`` from any sample
+    point, so if that does not pass the best distance known so far (of the rows
+    next to the sample's border, which the first scan brought along), only its
+    distances to the pivots count. The sample is broadcast in blocks under the
+    cap, rows are not copied, and no pair is a row.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     pts = _points(points)
-    stats = pts.agg(*point_checks()).first()
+    n = pts.count()
+    sample, rest, near = _sampled(pts, n, k, seed)
+    stats = sample.agg(*point_checks()).first()
     check_point_stats(stats["n"], stats["dmin"], stats["dmax"], stats["bad"])
-    sample, rest = _sampled(pts, k, seed)
-    size = min(k, stats["n"]) * vector_row_bytes(stats["dmin"] or 0, 0)
+    if k >= n:
+        return None, 0, 0
+    dim = stats["dmin"]
+    unrolled = dim if dim * SAMPLE_PIVOTS <= MAX_UNROLLED_DIM else None
+    pivots, reach = _spread(sample, min(SAMPLE_PIVOTS, k), unrolled)
+    # a row that can't be measured has no distance, and is reported below
+    sound = f"size(vec) = {dim} AND NOT ({bad_vector_sql()})"
+    to_pivot = [f"CASE WHEN {sound} THEN sqrt({sqdist_sql('vec', p, unrolled)}) END" for p in pivots]
+    low = near.where(F.expr(sound)).agg(F.max(F.greatest(*map(F.expr, to_pivot), F.lit(0.0)))).first()[0] or 0.0
+    bound = [f"d[{j}] + {r!r}D" for j, r in enumerate(reach)]
+    can_win = f"least({', '.join(bound)}, double('Infinity')) * {1 + SLACK!r}D > {low!r}D"
+    measured = rest.select("vec", F.expr(f"array({', '.join(to_pivot)})").alias("d")).select(
+        "vec", "d", F.expr(f"d[0] IS NOT NULL AND {can_win}").alias("open")
+    )
+
+    size = min(k, n) * vector_row_bytes(dim, 0)
     blocks = max(1, math.ceil(size / broadcast_limit(pts.sparkSession)))
     anchors = sample.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list("vec").alias("anchors"))
-    far = F.expr(
-        "array_max(transform(anchors, c -> aggregate(zip_with(vec, c, (x, y) -> (x - y) * (x - y)), 0D, (s, t) -> s + t)))"
+    far = (
+        "CASE WHEN open THEN sqrt(array_max(transform(anchors, c -> "
+        "aggregate(zip_with(vec, c, (x, y) -> (x - y) * (x - y)), 0D, (s, t) -> s + t)))) ELSE array_max(d) END"
     )
-    parts = []
+    best, compared = None, 0
     for b in range(blocks):
         own = F.broadcast(anchors.where(F.col("block") == b).select(F.lit(0).alias("__k"), "anchors"))
-        parts.append(rest.withColumn("__k", F.lit(0)).join(own, "__k").agg(F.max(far).alias("d2")))
-    best = parts[0]
-    for p in parts[1:]:
-        best = best.unionByName(p)
-    return best.agg(F.sqrt(F.max("d2")).alias("diameter"))
+        row = measured.withColumn("__k", F.lit(0)).join(own, "__k").agg(
+            F.max(F.expr(far)).alias("best"), F.count_if("open").alias("open"), *point_checks()
+        ).first()
+        check_point_stats(row["n"], row["dmin"], row["dmax"], row["bad"])
+        if row["n"] and row["dmin"] != dim:
+            raise PointSetError("points have different dimensions")
+        best = max(x for x in (best, row["best"]) if x is not None) if row["n"] else best
+        compared += row["open"]
+    return best, n - min(k, n), compared
+
+
+def _spread(sample: DataFrame, pivots: int, unrolled: int | None) -> tuple[list, list]:
+    """A few points of the sample, each far from those before, and the largest
+    distance of a sample point from each."""
+    centers = [[float(x) for x in sample.orderBy("id").first()["vec"]]]
+    reach = []
+    while True:
+        d2 = [sqdist_sql("vec", c, unrolled) for c in centers]
+        reach.append(math.sqrt(sample.agg(F.max(F.expr(d2[-1]))).first()[0]))
+        if len(centers) == pivots:
+            return centers, reach
+        centers.append(_farthest(sample, f"least({', '.join(d2)})" if len(d2) > 1 else d2[0]))

@@ -1,4 +1,4 @@
-"""Point-set checks, and all pairs of a small set.
+"""Point-set checks, rows of groups, and all pairs of a small set.
 
 Average distance and greedy matching are defined over all pairs; they are meant
 for coresets and solutions, whose size does not follow the input. Rows are
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 # Rows of a block: one pair of blocks is at most 2.7e8 pairs.
 MAX_BLOCK_ROWS = 16384
+# Copies of a group's row when it can't be broadcast.
+SALTS = 64
 
 
 class PointSetError(ValueError):
@@ -73,3 +75,12 @@ def self_pairs(points: DataFrame, n: int, order: str = "id", block_rows: int = M
     # the pair's earlier row stands on the left, whichever block it is in
     joined = left.join(right, ["__bi", "__bj"]).where(F.col(f"{order}_i") < F.col(f"{order}_j"))
     return joined.drop("__bi", "__bj")
+
+
+def with_group_row(state: DataFrame, rows: DataFrame, small: bool) -> DataFrame:
+    """Join one row per group to the points of the group."""
+    if small:
+        return state.join(F.broadcast(rows), "g")
+    salted = rows.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = state.withColumn("__salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return own.join(salted, ["g", "__salt"]).drop("__salt")

@@ -141,6 +141,17 @@ def _oracles() -> dict[str, str]:
             f"SELECT {LINEITEM_ID} AS id, l_quantity AS x0, l_extendedprice AS x1, "
             "l_discount AS x2, l_tax AS x3 FROM lineitem"
         ),
+        "read_points_file": (
+            "SELECT row_number() OVER (ORDER BY l_quantity, l_extendedprice, l_discount, l_tax) - 1 AS id, "
+            "l_quantity AS x0, l_extendedprice AS x1, l_discount AS x2, l_tax AS x3 FROM lineitem"
+        ),
+        "document_lines_file": f"SELECT row_number() OVER (ORDER BY text) - 1 AS line_id, md5(text) AS digest FROM ({LINES})",
+        "word_count_file": f"SELECT unnest({TOKENS}) AS word, count(*) AS cnt FROM ({LINES}) GROUP BY 1",
+        "class_count_file": class_counts,
+        "exact_partition_sizes": (
+            f"SELECT CAST(p AS INTEGER) AS partition, n // {K} + CAST(p < n % {K} AS BIGINT) AS size "
+            f"FROM (SELECT count(*) AS n FROM events), range({K}) r(p)"
+        ),
         "class_count": class_counts,
         "class_count_two_round": class_counts,
         "class_count_sorted": class_counts + ' ORDER BY "class"',
@@ -178,6 +189,9 @@ def _oracles() -> dict[str, str]:
         "exact_diameter_blocked": (
             f"SELECT round(sqrt(max(d2)), 6) AS diameter FROM ({pairs_sql(emb, EMBEDDING_DIM, '<=')})"
         ),
+        "exact_diameter_tree": (
+            f"SELECT round(sqrt(max(d2)), 6) AS diameter FROM ({pairs_sql(emb, EMBEDDING_DIM, '<=')})"
+        ),
         "exact_diameter_pruned": (
             f"SELECT round(sqrt(max(d2)), 6) AS diameter FROM ({pairs_sql(li, LINEITEM_DIM, '<=')})"
         ),

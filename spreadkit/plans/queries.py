@@ -17,7 +17,9 @@ from spreadkit.operators import centers, counts, diversity, geometry, words
 from spreadkit.sources import tables
 from spreadkit.sources.labelled import parse_labelled
 from spreadkit.sources.points import parse_points
+from spreadkit.sources.text import numbered_lines, read_lines
 from spreadkit.functions.vectors import coordinates
+from spreadkit.runtime import work_path
 
 # Fixed parameters of the registered queries.
 K = 8  # buckets / salts / partitions for the count programs
@@ -27,6 +29,7 @@ MANY_PICKS = 20  # past the rounds between two checkpoints
 MANY_GROUP_PICKS = 12
 ODD_PICKS = 5
 LARGE_SAMPLE = 1000
+SMALL_LEAF = 64
 SEED = geometry.DEFAULT_SEED
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +60,39 @@ def read_points(spark, sf):
     return pts.select("id", *coordinates("vec", len(tables.LINEITEM_COORDINATES)))
 
 
+def _written(lines, label):
+    """A folder of text files that hold the rows of ``value`` in order."""
+    path = work_path(lines.sparkSession, label)
+    lines.write.text(path)
+    return path
+
+
+def read_points_file(spark, sf):
+    """Points from text files that hold no ids: a line's number is its id."""
+    columns = tables.LINEITEM_COORDINATES
+    lines = tables.lineitem_lines(spark, sf, sort=True).select("value")
+    pts = parse_points(numbered_lines(spark, _written(lines, "points")), id_col="line_id")
+    return pts.select("id", *coordinates("vec", len(columns)))
+
+
+def document_lines_file(spark, sf):
+    """Every line of a text file, with its number."""
+    lines = words.lines(tables.documents(spark, sf)).select(F.col("text").alias("value")).orderBy("value")
+    numbered = numbered_lines(spark, _written(lines, "lines"))
+    return numbered.select("line_id", F.md5("value").alias("digest"))
+
+
+def word_count_file(spark, sf):
+    lines = words.lines(tables.documents(spark, sf)).select(F.col("text").alias("value"))
+    read = read_lines(spark, _written(lines, "words"), partitions=K)
+    return words.word_count(read.select(F.col("value").alias("text")))
+
+
+def class_count_file(spark, sf):
+    lines = tables.labelled_lines(spark, sf)
+    return counts.class_count(parse_labelled(read_lines(spark, _written(lines, "labelled"))))
+
+
 # -- counts ------------------------------------------------------------------
 
 def class_count(spark, sf):
@@ -87,6 +123,10 @@ def max_partition_size_physical(spark, sf):
     return counts.balance(tables.labelled(spark, sf).repartition(K))
 
 
+def exact_partition_sizes(spark, sf):
+    return counts.partition_sizes(counts.exact_split(tables.labelled(spark, sf), K))
+
+
 def document_count(spark, sf):
     return words.document_count(tables.documents(spark, sf))
 
@@ -148,6 +188,12 @@ def exact_diameter_blocked(spark, sf):
     return geometry.diameter(tables.embedding_points(spark, sf), pivots=1).select(_r("diameter"))
 
 
+def exact_diameter_tree(spark, sf):
+    """The tree of balls for all points, however few."""
+    pts = tables.embedding_points(spark, sf)
+    return geometry.diameter(pts, tree_rows=0, leaf_rows=SMALL_LEAF).select(_r("diameter"))
+
+
 def exact_diameter_pruned(spark, sf):
     return geometry.diameter(tables.lineitem_points(spark, sf)).select(_r("diameter"))
 
@@ -252,6 +298,10 @@ QUERIES: dict[str, Builder] = {
         read_labelled,
         read_labelled_permissive,
         read_points,
+        read_points_file,
+        document_lines_file,
+        word_count_file,
+        class_count_file,
         class_count,
         class_count_two_round,
         class_count_sorted,
@@ -259,6 +309,7 @@ QUERIES: dict[str, Builder] = {
         most_frequent_returnflag,
         max_partition_size,
         max_partition_size_physical,
+        exact_partition_sizes,
         document_count,
         document_lines,
         tokenize,
@@ -272,6 +323,7 @@ QUERIES: dict[str, Builder] = {
         pairwise_distance,
         exact_diameter,
         exact_diameter_blocked,
+        exact_diameter_tree,
         exact_diameter_pruned,
         avg_pairwise_distance,
         sample_k,

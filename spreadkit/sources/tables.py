@@ -81,9 +81,11 @@ def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points_from_columns(li, lineitem_id(), LINEITEM_COORDINATES)
 
 
-def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` rendered as ``"q,p,d,t"`` lines, with the row id alongside."""
+def lineitem_lines(spark: SparkSession, sf_dir: str, sort: bool = False) -> DataFrame:
+    """``lineitem`` rendered as ``"q,p,d,t"`` lines, with the row id alongside;
+    ``sort`` orders them by their numbers."""
     li = table(spark, sf_dir, "lineitem")
+    li = li.orderBy(*LINEITEM_COORDINATES) if sort else li
     return li.select(
         lineitem_id().alias("id"),
         F.concat_ws(",", *[F.col(c).cast("string") for c in LINEITEM_COORDINATES]).alias("value"),

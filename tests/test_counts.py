@@ -1,3 +1,5 @@
+import pytest
+
 
 from spreadkit.functions.keys import bucket, partition_number
 from spreadkit.operators import counts
@@ -71,3 +73,14 @@ def test_empty_input_gives_no_class(spark):
     assert counts.class_count(empty).count() == 0
     assert counts.most_frequent(counts.class_count(empty)).count() == 0
     assert counts.max_partition_size(empty).first()[0] is None
+
+
+@pytest.mark.parametrize("n,k", [(0, 3), (1, 4), (10, 3), (1000, 7), (64, 8)])
+def test_exact_split_differs_by_one_at_most(spark, n, k):
+    from spreadkit.operators.counts import exact_split, partition_sizes
+
+    df = spark.range(n, numPartitions=5).selectExpr("id", "'same' AS class")
+    split = exact_split(df, k)
+    sizes = sorted(r["size"] for r in partition_sizes(split).collect())
+    assert sum(sizes) == n and sorted(r.id for r in split.collect()) == list(range(n))
+    assert len(sizes) == min(n, k) and (not sizes or sizes[-1] - sizes[0] <= 1)

@@ -137,3 +137,49 @@ def test_unmeasurable_vectors_raise(spark, vec):
     ):
         with pytest.raises(PointSetError):
             run()
+
+
+def test_sample_border_beyond_the_margin_is_found_by_counting(spark, monkeypatch):
+    """A margin that is far too small: the same sample, from all rows."""
+    pts = tables.embedding_points(spark, SF)
+    want = sorted(r.id for r in geometry.sample_points(pts, 100).collect())
+    monkeypatch.setattr(geometry, "RANK_RANGE", 1 << 40)
+    assert sorted(r.id for r in geometry.sample_points(pts, 100).collect()) == want
+    monkeypatch.undo()
+    monkeypatch.setattr(geometry, "DRIVER_RANKS", 3)
+    assert sorted(r.id for r in geometry.sample_points(pts, 100).collect()) == want
+
+
+def test_sample_and_rest_share_the_rows_for_any_k(spark, make_points):
+    pts = make_points([(i, (i, 0)) for i in range(40)])
+    for k in (0, 1, 39, 40, 100):
+        inside, outside = geometry.sample_points(pts, k), geometry.sample_rest(pts, k)
+        assert inside.count() == min(k, 40) and outside.count() == 40 - min(k, 40)
+        assert inside.join(outside, "id").count() == 0
+
+
+@pytest.mark.parametrize("k", [1, 2, 7, 60])
+def test_sampled_diameter_skips_rows_that_cannot_win(spark, k):
+    """Equal to comparing all rows with the sample; on prices most rows need not be."""
+    pts = tables.lineitem_points(spark, SF)
+    sample = {r.id: list(r.vec) for r in geometry.sample_points(pts, k).collect()}
+    rest = [list(r.vec) for r in pts.collect() if r.id not in sample]
+    best, rows, compared = geometry.sampled_search(pts, k)
+    assert math.isclose(best, max(math.dist(x, s) for x in rest for s in sample.values()), rel_tol=1e-12)
+    assert rows == len(rest) and compared < rows / 2
+
+
+def test_mixed_dimensions_outside_the_sample_raise(make_points):
+    pts = make_points([(i, (1, 2)) for i in range(50)] + [(50, (1, 2, 3))])
+    with pytest.raises(PointSetError):
+        geometry.sampled_diameter(pts, 2)
+
+
+def test_distances_to_center_without_broadcast(spark):
+    pts = tables.embedding_points(spark, SF).withColumn("g", F.col("id") % 3)
+    want = sorted(map(tuple, geometry.distances_to_center(pts, "g").collect()))
+    spark.conf.set(BROADCAST_CONF, "0")
+    try:
+        assert sorted(map(tuple, geometry.distances_to_center(pts, "g").collect())) == want
+    finally:
+        spark.conf.unset(BROADCAST_CONF)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import PySparkException
 
-from spreadkit.sources import parse_labelled, parse_points, read_lines
+from spreadkit.sources import numbered_lines, parse_labelled, parse_points, read_lines
 
 
 def lines(spark, values):
@@ -97,3 +97,40 @@ def test_point_file_source(spark, tmp_path):
     pts = parse_points(numbered, id_col="id")
     assert pts.count() == 6
     assert sorted(len(r.vec) for r in pts.collect()) == [2] * 6
+
+
+@pytest.mark.parametrize("broadcast", ["", "0"])
+def test_numbered_lines_follow_files_and_places(spark, tmp_path, broadcast):
+    """Several files, each of several splits, blank lines and all line ends."""
+    from spreadkit.runtime import BROADCAST_CONF
+
+    want = []
+    for f in range(4):
+        own = [f"file {f} line {i} " + "x" * (i % 37) for i in range(400)] + ["", "é", ""]
+        end = ["\n", "\r\n", "\n", "\r"][f]
+        (tmp_path / f"part-{f}.txt").write_text(end.join(own) + end, newline="", encoding="utf-8")
+        want += own
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    if broadcast:
+        spark.conf.set(BROADCAST_CONF, broadcast)
+    try:
+        df = numbered_lines(spark, str(tmp_path))
+        got = sorted(map(tuple, df.collect()))
+        assert df.rdd.getNumPartitions() > 1 and read_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset(BROADCAST_CONF)
+    assert got == list(enumerate(want))
+
+
+def test_numbered_lines_of_nothing(spark, tmp_path):
+    (tmp_path / "empty.txt").write_text("")
+    assert numbered_lines(spark, str(tmp_path)).collect() == []
+
+
+def test_points_of_a_file_without_ids(spark, tmp_path):
+    (tmp_path / "points.csv").write_text("1,2\n3,4.5,\n-1,1e3\n")
+    rows = parse_points(numbered_lines(spark, str(tmp_path)), id_col="line_id").collect()
+    assert sorted(map(tuple, rows)) == [(0, [1.0, 2.0]), (1, [3.0, 4.5]), (2, [-1.0, 1000.0])]
