@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 import xxhash
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    r"<!--(?:-?>|.*?(?:-->|\Z))|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
@@ -48,7 +48,10 @@ OTHERS = frozenset("comment comments disqus reply replies related recommended".s
 HEAD_TAGS = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 UNNAMED = frozenset("html body h1 h2 h3 h4 h5 h6".split())  # side by their tag at most
 MAIN_TAGS = frozenset(("article", "main"))
-ANCESTORS = 8
+WHOLE = frozenset(("#", "html", "body"))  # hold all of a page, so are no branch to remove
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+# names in a branch; what is nested deeper belongs to the branch of that depth
+MAX_DEPTH = 256
 
 
 @dataclass
@@ -58,14 +61,15 @@ class Element:
     side: bool
     main: int  # number of the outermost article or main around it, or 0
     number: int = 0
-    named: frozenset[str] = frozenset()  # its names of a side element
+    named: frozenset[str] = frozenset()  # its names of a side element, its tag if that is one
+    heading: bool = False  # in the header of an article, whose headings are main text
     children: list[str] = field(default_factory=list)
 
 
 @dataclass
 class Block:
     text: str
-    chain: tuple[int, ...]  # keys of the nearest elements, outermost first
+    chain: tuple[int, ...]  # keys of the elements around it, outermost first; not of the whole page's
     side: bool
     main: int
 
@@ -73,15 +77,20 @@ class Block:
 def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block], list[tuple[int, int]]]:
     """Blocks of text in page order, and for each element its branch and a hash
     of its children's names (its presentation). A name makes a side element only
-    as a whole, and not of an element that holds an article or main (the numbers
-    ``holders``); what is called comments or related may, if the page has an
-    article or main of its own."""
+    as a whole, and neither a name nor a tag does of an element that holds an
+    article or main (the numbers ``holders``): pages stand in forms, and headers
+    are left open. If the page has an article or main elsewhere, what is called
+    comments or related, or is a side element by its tag, stays one. Headings in
+    the header of an article are main text. Time is linear in the page, whatever
+    its markup."""
     stack = [Element("#", 0, False, 0)]
     blocks: list[Block] = []
     styles: list[tuple[int, int]] = []
     pieces: list[str] = []
     held: dict[int, frozenset[str]] = {}  # named side elements around an article or main
     number, outside = 0, False
+    places: dict[str, list[int]] = {}  # of open elements in the stack, by tag
+    bounds: list[int] = []
 
     def flush() -> None:
         if pieces:
@@ -89,7 +98,8 @@ def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block],
             pieces.clear()
             if text:
                 top = stack[-1]
-                blocks.append(Block(text, tuple(e.key for e in stack[-ANCESTORS:]), top.side, top.main))
+                inner = [e.key for e in stack[:MAX_DEPTH] if e.tag not in WHOLE]
+                blocks.append(Block(text, tuple(inner) or (top.key,), top.side, top.main))
 
     def close(n: int) -> None:
         """Close elements until ``n`` are open."""
@@ -99,9 +109,21 @@ def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block],
                 flush()
             styles.append((top.key, xxhash.xxh64_intdigest("/".join(top.children)) >> 1))
             stack.pop()
-
-    at = 0
-    for m in _TOKEN.finditer(page):
+            places[top.tag].pop()
+            if top.tag in BOUNDARY:
+                bounds.pop()
+
+    def imply_ends(tag: str) -> None:
+        """A block ends an open paragraph, an item the item before it, unless a
+        boundary lies between."""
+        for ended in (("p",), CLOSES.get(tag, ())):
+            last = max((places[t][-1] for t in ended if places.get(t)), default=-1)
+            if last > (bounds[-1] if bounds else 0):
+                close(last)
+
+    at, open_comment = 0, False
+    stop = page.rfind(">") + 1  # no tag ends behind it
+    for m in _TOKEN.finditer(page, 0, stop):
         if m.start() < at:
             continue
         if m.start() > at:
@@ -111,23 +133,21 @@ def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block],
         at = m.end()
         tag = m[2] or m[5]
         if not tag:
+            open_comment = at == stop and m[0].startswith("<!--") and not m[0].endswith(("-->", "<!-->", "<!--->"))
             continue
         tag = tag.lower()
         if m[1] or m[4]:
-            for n in range(len(stack) - 1, 0, -1):
-                if stack[n].tag == tag:
-                    close(n)
-                    break
-            else:
-                if tag in BLOCK:
-                    flush()
+            if places.get(tag):
+                close(places[tag][-1])
+            elif tag in BLOCK:
+                flush()
             continue
         if stack[-1].tag == "head" and tag not in HEAD_TAGS:
             close(len(stack) - 1)
         if tag in BLOCK:
             flush()
             if tag != "html":
-                _imply_ends(stack, tag, close)
+                imply_ends(tag)
         top = stack[-1]
         names = _names(m[3] or m[6] or "")
         label = tag + "".join("." + x for x in names)
@@ -142,19 +162,29 @@ def read(page: str, holders: frozenset[int] = frozenset()) -> tuple[list[Block],
             continue
         key = xxhash.xxh64_intdigest(label, seed=top.key & 0xFFFFFFFF) >> 1
         number += 1
-        named = frozenset() if tag in UNNAMED or tag in MAIN_TAGS or number in holders else _side_names(names)
-        side = top.side or tag in SIDE_TAGS or bool(named)
+        named = frozenset()
+        if number not in holders and tag not in MAIN_TAGS and tag not in UNNAMED:
+            named = _side_names(names) | ({tag} & SIDE_TAGS)
+        heading = (not top.side and tag == "header" and top.main > 0) or (top.heading and not named)
+        side = (top.side and not (heading and tag in HEADINGS)) or bool(named)
         if tag in MAIN_TAGS:
             outside |= not side
             held.update((e.number, e.named) for e in stack if e.named)
-        stack.append(Element(tag, key, side, top.main or number * (tag in MAIN_TAGS), number, named))
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BOUNDARY:
+            bounds.append(len(stack))
+        stack.append(Element(tag, key, side, top.main or number * (tag in MAIN_TAGS), number, named, heading))
+    if open_comment:
+        at = len(page)
+    comment = page.find("<!--", max(at, stop))
+    page = page[: max(comment, at)] if comment >= 0 else page  # one that nothing ends
     if at < len(page):
         if stack[-1].tag == "head" and page[at:].strip():
             close(len(stack) - 1)
         pieces.append(page[at:])
     flush()
     close(1)
-    found = frozenset(n for n, names in held.items() if not (outside and names <= OTHERS))
+    found = frozenset(n for n, names in held.items() if not (outside and names <= OTHERS | SIDE_TAGS))
     return read(page, holders | found) if found else (blocks, styles)
 
 
@@ -172,19 +202,3 @@ def _names(attributes: str) -> list[str]:
         return []
     found = [(a or b or c).lower() for _, a, b, c in _ATTRIBUTE.findall(attributes)]
     return sorted({x for value in found for x in value.split()})
-
-
-def _imply_ends(stack: list[Element], tag: str, close) -> None:
-    for n in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-        if stack[n].tag == "p":
-            close(n)
-            break
-        if stack[n].tag in BOUNDARY:
-            break
-    ends = CLOSES.get(tag, ())
-    for n in range(len(stack) - 1, 0, -1) if ends else ():
-        if stack[n].tag in ends:
-            close(n)
-            break
-        if stack[n].tag in BOUNDARY:
-            break
