@@ -26,8 +26,8 @@ add hits; the alignment compares whole code points.
 
 Null and empty texts have no findings. Items shorter than q are found where they
 stand word for word, without edits (anywhere in the text if they have q bytes or a
-script without spaces). Items with equal texts are found separately;
-rows with equal or null doc_id are searched one by one and their findings on one
+script without spaces). Items with equal texts are one entry of the index and
+are each reported; rows with equal or null doc_id are searched one by one and their findings on one
 item merged under that id.
 """
 
@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spreadkit.llm.textarrays import mix, ragged, windows
+from spreadkit.llm.workers import lean
 
 Q = 12
 EDIT_PERCENT = 5
@@ -53,6 +54,7 @@ BAND = 16
 INDEX_BYTES = 2 << 20
 STRETCH_BYTES = 1 << 20
 _FILTER_BITS = 22
+_EXPANDED = 1 << 21
 
 FOUND = "doc_id bigint, item_id bigint, start bigint, stop bigint, edits bigint, windows bigint, matched bigint"
 
@@ -111,7 +113,11 @@ class Index:
     """The windows of some items, and their q-grams in order of hash."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        points, offsets = code_points([t for _, t in items])
+        ids: dict[str, dict[int, None]] = {}
+        for item, text in items:
+            ids.setdefault(text, {})[item] = None
+        self.ids = [list(own) for own in ids.values()]  # of the items with an entry's text
+        points, offsets = code_points(list(ids))
         data = folded(points)
         width = 1 + sum((points >= c).astype(np.int64) for c in (0x80, 0x800, 0x10000))
         at = np.concatenate([[0], np.cumsum(width)])
@@ -128,8 +134,7 @@ class Index:
         self.data, self.points = data, points
         self.low, self.high, self.size = lows, highs, highs - lows
         self.edges = np.cumsum([0, *map(len, families)])
-        self.item = np.array([items[i][0] for i in owner], object)
-        self.windows = np.bincount(owner, minlength=len(items))[owner] if len(owner) else np.zeros(0, np.int64)
+        self.windows = np.bincount(owner, minlength=len(ids))[owner] if len(owner) else np.zeros(0, np.int64)
         self.owner = owner
         # the budget leaves at least one shared q-gram
         self.budget = np.maximum(np.minimum(self.size * EDIT_PERCENT // 100, (self.size - Q) // Q), 0)
@@ -140,7 +145,8 @@ class Index:
         order = np.argsort(keys[place], kind="stable")
         self.place = place[order].astype(np.int32)
         self.keys, self.begins, self.places = np.unique(keys[self.place], return_index=True, return_counts=True)
-        self.counts = np.add.reduceat(many[self.place], self.begins) if len(self.begins) else np.zeros(0, np.int64)
+        self.sums = np.concatenate([[0], np.cumsum(many[self.place])])  # windows around the places before each
+        self.entries = offsets
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
         self.seen[(self.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         # short items, with a space where a word has to begin or end
@@ -193,14 +199,33 @@ class Index:
         at, slot, text = at[inside], slot[inside], text[inside]
         # hits of a text stay together; texts are taken by their number of expanded hits
         edges = np.searchsorted(text, np.arange(len(offsets)))
-        weight = np.concatenate([[0], np.cumsum(self.counts[slot])])[edges]
-        for a, b in windows(weight, 1 << 21):
+        counts = self.sums[self.begins + self.places] - self.sums[self.begins]
+        weight = np.concatenate([[0], np.cumsum(counts[slot])])[edges]
+        for a, b in windows(weight, _EXPANDED):
             s = slice(edges[a], edges[b])
-            yield from self._bands(exact, offsets, at[s], slot[s], text[s])
-
-    def _bands(self, exact, offsets, at, slot, text) -> Iterator[tuple[np.ndarray, ...]]:
-        n = self.places[slot]
-        place, own = self.place[ragged(self.begins[slot], n)].astype(np.int64), np.repeat(text, n)
+            parts = -(-int(weight[b] - weight[a]) // _EXPANDED)
+            if parts > 1:  # one text with very many: some entries of the index at a time
+                yield from self._in_parts(exact, offsets, at[s], slot[s], text[s])
+            elif parts:
+                yield from self._bands(exact, offsets, at[s], slot[s], text[s], self.begins[slot[s]], self.places[slot[s]])
+
+    def _in_parts(self, exact, offsets, at, slot, text) -> Iterator[tuple[np.ndarray, ...]]:
+        """Hits of one text, for ranges of entries with some ``_EXPANDED`` hits each
+        (a single entry is not divided: its hits follow the text's length)."""
+        which = np.repeat(np.arange(len(self.keys)), self.places)
+        seen = np.bincount(slot, minlength=len(self.keys))[which] * np.diff(self.sums)
+        entry = np.searchsorted(self.entries, self.place, "right") - 1
+        load = np.concatenate([[0], np.cumsum(np.bincount(entry, weights=seen, minlength=len(self.entries) - 1).astype(np.int64))])
+        span = np.int64(len(self.data) + 1)
+        rank = which * span + self.place  # ascends
+        for a, b in windows(load, _EXPANDED):
+            lo, hi = (np.searchsorted(rank, slot * span + self.entries[k]) for k in (a, b))
+            own = np.flatnonzero(hi > lo)
+            yield from self._bands(exact, offsets, at[own], slot[own], text[own], lo[own], (hi - lo)[own])
+
+    def _bands(self, exact, offsets, at, slot, text, begins, n) -> Iterator[tuple[np.ndarray, ...]]:
+        """Occurrences for hits at ``at`` and the ``n`` places of the index from ``begins``."""
+        place, own = self.place[ragged(begins, n)].astype(np.int64), np.repeat(text, n)
         # positions from the start of the text; the shift keeps diagonals positive
         shift = np.repeat(at - offsets[:-1][text], n) - place + WINDOW
         around = list(self._around(place))
@@ -278,7 +303,7 @@ def decontaminate(
                         [ids.take(pa.array(text)), *[pa.array(x, pa.int64()) for x in rest]], NAMES
                     )
 
-        part = source.mapInArrow(search, FOUND)
+        part = source.mapInArrow(lean(search), FOUND)
         out = part if out is None else out.unionByName(part)
     if out is None:
         return docs.sparkSession.createDataFrame([], FOUND)
@@ -302,7 +327,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") ->
                     clean[[r[0] for r in rows]] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(search, docs.schema)
+        docs = docs.mapInArrow(lean(search), docs.schema)
     return docs
 
 
@@ -314,11 +339,13 @@ def indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "te
     items = benchmark.where(F.col(text_col).isNotNull()).select(
         F.col(item_col).cast("bigint").alias("item"), F.col(text_col).alias("text")
     )
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    texts = items.groupBy("text").agg(F.sort_array(F.collect_set("item")).alias("items"), F.count_if(F.col("item").isNull()).alias("nulls"))
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = -(-total // INDEX_BYTES)
     for b in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).orderBy("item", "text").collect()
-        yield Index([(r.item, r.text) for r in own])
+        own = texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
+        own.sort(key=lambda r: (r["items"][:1], r.text))
+        yield Index([(x, r.text) for r in own for x in [*r["items"], *[None] * bool(r.nulls)]])
 
 
 def findings(index: Index, texts: list[str | None]) -> Iterator[list[tuple]]:
@@ -338,8 +365,9 @@ def findings(index: Index, texts: list[str | None]) -> Iterator[list[tuple]]:
                 row[:3] = min(row[0], start), max(row[1], stop), min(row[2], edits)
                 row[4].add(window)
         rows = [
-            (i + text, index.item[w], start, stop, edits, int(index.windows[w]), len(own))
-            for (text, _), (start, stop, edits, w, own) in sorted(merged.items())
+            (i + text, item, start, stop, edits, int(index.windows[w]), len(own))
+            for (text, k), (start, stop, edits, w, own) in sorted(merged.items())
+            for item in index.ids[k]
         ]
         if rows:
             yield rows

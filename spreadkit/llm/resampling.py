@@ -5,19 +5,21 @@ target model counts the features of texts labelled as wanted, the raw model
 those of all texts. A text's log importance weight is the sum over its features
 of log p_target - log p_raw (both smoothed). A text of the target sample is left
 out of the target model that weighs it, or its own rare words would speak for it.
-Adding independent Gumbel noise and taking the k largest sums draws k texts
-without replacement in proportion to their weights. The noise is a hash of doc_id
-and a seed, so a draw repeats.
+The weight is tempered by the text's length: it is divided by the number of its
+features to the power ``TEMPER`` (a half), as sums over long texts would else be in
+the hundreds and leave nothing to chance. Adding independent Gumbel noise and
+taking the k largest draws k texts without replacement in proportion to their
+tempered weights. The noise is a hash of doc_id and a seed, so a draw repeats.
 
-k is a share of the rows: by default the share of wanted texts among the
+k is a share of the rows that can be drawn: by default the share of wanted texts among the
 labelled ones. The k-th largest score is found exactly by counting 16-bit digits
 of it over all rows (four passes over the small scored table, at most 65,536
 counts each on the driver); ties at the border are taken by ascending doc_id.
 
 The target model reads the texts of at most ``TARGET_SAMPLE`` wanted ids, the
 smallest by hash; everything else covers all rows. Rows that share a wanted id
-are all in the sample. Null and empty texts have no
-feature and weight 0. Rows with one id and one score share their fate; a null id
+are all in the sample. Null and empty texts have no feature, weight 0 and no score,
+and are never drawn. Rows with one id and one score share their fate; a null id
 never gets in. Labels that contradict each other count as not wanted. Without a
 wanted text all weights are 0 and the draw is uniform.
 """
@@ -38,6 +40,7 @@ from spreadkit.operators.select import kth_smallest
 BUCKETS = 1 << 16
 TARGET_SAMPLE = 100_000
 SEED = 41
+TEMPER = 0.5
 _UNITS = 20  # binary digits of a score behind the point
 
 
@@ -136,10 +139,10 @@ def resample(
     models = feature_counts(target, text_col), feature_counts(docs, text_col)
 
     unit = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + 0.5) / float(1 << 53)
-    score = F.floor((F.col("log_weight") - F.log(-F.log(unit))) * float(1 << _UNITS)).cast("bigint")
-    scored = stored(
-        log_weights(docs, *models, ids, id_col, text_col).withColumn("units", F.when(F.col("doc_id").isNotNull(), score)), "scored"
-    )
+    tempered = F.col("log_weight") / F.pow(F.col("n_features"), F.lit(TEMPER))
+    score = F.floor((tempered - F.log(-F.log(unit))) * float(1 << _UNITS)).cast("bigint")
+    able = F.col("doc_id").isNotNull() & (F.col("n_features") > 0)
+    scored = stored(log_weights(docs, *models, ids, id_col, text_col).withColumn("units", F.when(able, score)), "scored")
     eligible = scored.where("units is not null")
     n = eligible.count()
     k = round(n * ((wanted / total if total else 1.0) if share is None else share))

@@ -7,7 +7,8 @@ the password in an address ``scheme://user:password@host``.
 Its features are its length, its character transitions (changes of character
 class, and the mean log probability of its byte pairs under the corpus), its
 dictionary coverage (by frequent words of the corpus), its distinct characters,
-whether it looks like part of a path, and its neighbouring words.
+whether it looks like part of a path or begins like a published format, and its
+neighbouring words.
 
 The corpus statistics come from all texts: byte pairs are counted exactly; words
 of 4 to 12 letters too, in dictionaries that a task passes on when they hold
@@ -15,13 +16,18 @@ of 4 to 12 letters too, in dictionaries that a task passes on when they hold
 does not depend on partitions or batches.
 
 The forest is trained on labelled findings: given ones (``doc_id, start,
-label``), or else those that a strict rule can label: 1 for a value that is
+label``), or else two equal halves: ``MADE`` findings made from the published shapes
+of credentials and of what is taken for them (see ``made_findings``; names of
+credentials stand before both), and those of the corpus that a strict rule labels: 1 for a value that is
 assigned to a credential's name and mixed, quoted or of mixed case; 0, only where
 no credential's name stands before it, for candidates without a digit, numbers,
 parts of paths (several word-like segments, or an address or path around it), and
 values next to words for checksums and revisions. Both labels weigh the same. At most
-``SAMPLE`` findings of each label train it, the smallest by hash; with one label
-only there is nothing to learn and the rule decides alone.
+``SAMPLE`` findings of each label train it, the smallest by hash; if given findings
+have one label only there is nothing to learn and the rule decides alone.
+
+Neighbouring words are those within ``_CONTEXT`` bytes before a candidate. Values
+are never written: tables between the steps hold positions, features and hashes.
 
 Null and empty texts have no candidates. Positions are UTF-8 bytes. Rows are
 scanned on their own, so repeated and null ids only repeat in the result.
@@ -36,19 +42,23 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spreadkit.llm.made_findings import PREFIXES, made_findings
 from spreadkit.llm.tables import stored
 from spreadkit.llm.textarrays import LOWER, span_hashes, text_bytes, windows, words
+from spreadkit.llm.workers import lean
 
 MIN_LENGTH = 16
 WORDS_HELD = 1 << 18
 DICTIONARY = 5000
 SAMPLE = 20_000
-TREES, DEPTH, SEED = 20, 6, 13
+MADE = 6000
+TREES, DEPTH, SEED = 30, 9, 13
 THRESHOLD = 0.5
 REDACTED = "[SECRET]"
 STRETCH_BYTES = 2 << 20
@@ -87,10 +97,10 @@ _NEXT = re.compile(rb"[&,;][\w-]+[=:]|</")  # the value ends before another name
 _ASSIGNED = re.compile(r"(?:[=:]|[=:]>|[=:]\s*(?:bearer|basic|token))[\s\"'`]*$")
 FEATURES = [
     "length", "digits", "transitions", "pair_log", "dictionary", "distinct", "path", "assigned", "quoted", "credential",
-    "harmless", "hexadecimal", "spaces",
+    "harmless", "hexadecimal", "spaces", "published",
 ]
-_COLUMNS = ["doc_id", "start", "stop", "value", "label", *FEATURES]
-CANDIDATES = "doc_id bigint, start bigint, stop bigint, value string, label int, " + ", ".join(f"{f} double" for f in FEATURES)
+_COLUMNS = ["doc_id", "start", "stop", "hash", "label", *FEATURES]
+CANDIDATES = "doc_id bigint, start bigint, stop bigint, hash bigint, label int, " + ", ".join(f"{f} double" for f in FEATURES)
 
 
 @dataclass
@@ -140,7 +150,7 @@ def statistics(docs: DataFrame, text_col: str = "text") -> Statistics:
                     found = {}
         yield _counts(dict(enumerate(pairs.tolist())), found)
 
-    parts = stored(docs.select(F.col(text_col).alias("text")).mapInArrow(count, "pair int, word binary, n bigint"), "statistics")
+    parts = stored(docs.select(F.col(text_col).alias("text")).mapInArrow(lean(count), "pair int, word binary, n bigint"), "statistics")
     table = np.zeros(1 << 16)
     for r in parts.where("pair is not null").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 65,536 rows
         table[r.pair] = r.n
@@ -251,6 +261,7 @@ def describe(data: np.ndarray, lo: int, hi: int, start: int, end: int, corpus: S
         float(any(w in HARMLESS for w in near)),
         float(re.fullmatch(r"[0-9a-f]+", value) is not None),
         float(len(value.split()) - 1),
+        float(body[:12].tobytes().decode("latin-1").startswith(PREFIXES)),
     ]
 
 
@@ -289,12 +300,13 @@ def candidates(docs: DataFrame, corpus: Statistics, id_col: str = "doc_id", text
             if found:
                 text, start, stop, value, x = zip(*found)
                 columns = [batch.column(0).take(pa.array(text)), pa.array(start, pa.int64()), pa.array(stop, pa.int64())]
-                columns += [pa.array(value), pa.array([rule(f) for f in x], pa.int32())]
+                hashes = [xxhash.xxh64_intdigest(v, SEED) >> 1 for v in value]
+                columns += [pa.array(hashes, pa.int64()), pa.array([rule(f) for f in x], pa.int32())]
                 columns += [pa.array(f, pa.float64()) for f in zip(*x)]
                 yield pa.RecordBatch.from_arrays(columns, _COLUMNS)
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(find, CANDIDATES)
+    return source.mapInArrow(lean(find), CANDIDATES)
 
 
 @dataclass
@@ -315,19 +327,37 @@ class Forest:
         return total / len(self.trees)
 
 
-def train(found: DataFrame, findings: DataFrame | None = None) -> Forest:
-    """A forest from labelled rows of the candidates ``found``."""
+def made(corpus: Statistics) -> list[tuple[int, list[float]]]:
+    """Label and features of the candidates in made texts; what else than the value
+    is found in them is no secret."""
+    texts, values, labels = zip(*made_findings([w.decode() for w in corpus.dictionary[:2000]], MADE, SEED))
+    out = []
+    for t, _, _, found, x in described(pa.array(texts), corpus):
+        inside = found in values[t] or values[t] in found
+        out.append((labels[t] * inside, x))
+    return out
+
+
+def train(found: DataFrame, corpus: Statistics, findings: DataFrame | None = None) -> Forest:
+    """A forest from labelled rows of the candidates ``found``, and from made ones
+    if no ``findings`` are given."""
+    spark = found.sparkSession
     if findings is not None:
         given = findings.select("doc_id", "start", F.col("label").cast("int").alias("given"))
         found = found.join(given, ["doc_id", "start"]).withColumn("label", F.col("given"))
     labelled = found.where("label in (0, 1)")
-    order = [F.xxhash64("value", F.lit(SEED)), F.col("doc_id"), F.col("start")]
+    order = ["hash", "doc_id", "start"]
     samples = [labelled.where(F.col("label") == v).orderBy(*order).limit(SAMPLE) for v in (0, 1)]
-    rows = stored(samples[0].unionByName(samples[1]).select("label", *FEATURES), "labelled")
-    sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
-    if len(sizes) < 2:
+    rows = samples[0].unionByName(samples[1]).select("label", *FEATURES, F.lit(0).alias("made"))
+    if findings is None:
+        schema = "label int, " + ", ".join(f"{f} double" for f in FEATURES) + ", made int"
+        rows = rows.unionByName(spark.createDataFrame([(y, *x, 1) for y, x in made(corpus)], schema))
+    rows = stored(rows, "labelled")
+    sizes = {(r.label, r.made): r["count"] for r in rows.groupBy("label", "made").count().collect()}
+    if len({label for label, _ in sizes}) < 2:
         return Forest([])
-    weight = F.when(F.col("label") == 1, sizes[0] / sizes[1]).otherwise(1.0).alias("weight")
+    total = sum(sizes.values())
+    weight = F.coalesce(*[F.when((F.col("label") == y) & (F.col("made") == m), total / n) for (y, m), n in sizes.items()]).alias("weight")
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("label", "features", weight)
     model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight").fit(assembled.coalesce(1))
 
@@ -345,20 +375,22 @@ def scan(
     docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id, start, stop, value, probability, is_secret`` of each candidate."""
-    found = stored(candidates(docs, statistics(docs, text_col), id_col, text_col), "candidates")
-    forest = docs.sparkSession.sparkContext.broadcast(train(found, findings))
+    corpus = statistics(docs, text_col)
+    forest = train(stored(candidates(docs, corpus, id_col, text_col), "candidates"), corpus, findings)
+    shared = docs.sparkSession.sparkContext.broadcast((corpus, forest))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        corpus, forest = shared.value
         for batch in batches:
-            x = zip(*[c.to_pylist() for c in batch.columns[4:]])
-            p = [forest.value.probability(list(row)) for row in x]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(p, pa.float64())], ["doc_id", "start", "stop", "value", "probability"]
-            )
-
-    judged = found.select("doc_id", "start", "stop", "value", *FEATURES).mapInArrow(
-        judge, "doc_id bigint, start bigint, stop bigint, value string, probability double"
-    )
+            found = list(described(batch.column(1), corpus))
+            if found:
+                text, start, stop, value, x = zip(*found)
+                columns = [batch.column(0).take(pa.array(text)), pa.array(start, pa.int64()), pa.array(stop, pa.int64()), pa.array(value)]
+                p = pa.array([forest.probability(f) for f in x], pa.float64())
+                yield pa.RecordBatch.from_arrays([*columns, p], ["doc_id", "start", "stop", "value", "probability"])
+
+    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    judged = source.mapInArrow(lean(judge), "doc_id bigint, start bigint, stop bigint, value string, probability double")
     return judged.withColumn("is_secret", F.col("probability") > THRESHOLD)
 
 
@@ -368,7 +400,7 @@ def redact(
     """``docs`` with every secret in its texts replaced by ``[SECRET]``; other
     columns stay, null texts too."""
     corpus = statistics(docs, text_col)
-    forest = train(stored(candidates(docs, corpus, id_col, text_col), "candidates"), findings)
+    forest = train(stored(candidates(docs, corpus, id_col, text_col), "candidates"), corpus, findings)
     shared = docs.sparkSession.sparkContext.broadcast((corpus, forest))
     at = docs.columns.index(text_col)
 
@@ -389,4 +421,4 @@ def redact(
                 texts = pa.array(new, texts.type)
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], texts, *batch.columns[at + 1 :]], batch.schema.names)
 
-    return docs.mapInArrow(replace, docs.schema)
+    return docs.mapInArrow(lean(replace), docs.schema)

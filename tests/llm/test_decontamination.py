@@ -113,3 +113,21 @@ def test_unicode_punctuation_and_code_points():
     assert found(chinese[:9] + "狗" + chinese[10:]) == {3} and found("我說你好嗎") == {4} and found("你好"[::-1]) == set()
     # folded alike, yet other letters
     assert found("".join(chr(ord(c) + 128) for c in chinese)) == set()
+
+
+def test_equal_items_are_one_entry_and_all_reported(spark):
+    passage = "the quick brown fox of the benchmark jumps over seventeen lazy dogs at noon and sleeps"
+    items = spark.createDataFrame([(i, passage) for i in range(300)] + [(300, "another passage that no text of these ever holds, not one")], "item_id bigint, text string")
+    texts = ["intro " + (passage + " and so on ") * 20, "a clean text of some length that has nothing of it", passage]
+    rows = decontaminate(docs(spark, texts), items).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(d, i) for d in (0, 2) for i in range(300)}
+    assert sum(len(index.ids) for index in indexes(items)) == 2
+
+
+def test_one_text_with_very_many_hits_is_counted_in_parts(monkeypatch):
+    base = "a passage of the benchmark that many items share almost word for word, but not quite"
+    items = [(i, f"{base} {i} ending") for i in range(400)]
+    texts = ["x " + (base + " 7 ending. ") * 15, "nothing here", base + " 399 ending"]
+    want = [sorted(r) for r in findings(Index(items), texts)]
+    monkeypatch.setattr(decontamination, "_EXPANDED", 500)
+    assert [sorted(r) for r in findings(Index(items), texts)] == want and len(want[0]) >= 400

@@ -52,5 +52,5 @@ def test_stages_keep_the_columns_of_documents(spark):
 
 def test_every_operator_and_the_pipeline_are_registered():
     numbers = sorted(int(m[1]) for q in entry.queries() if (m := re.match(r"op(\d+)_", q)))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
     assert 4 <= len(corpus_pipeline.STAGES) <= 5

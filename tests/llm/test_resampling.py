@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spreadkit.llm import queries
-from spreadkit.llm.resampling import BUCKETS, feature_counts, features, log_weights, resample
+from spreadkit.llm.resampling import BUCKETS, TEMPER, feature_counts, features, log_weights, resample
 from spreadkit.llm.textarrays import text_bytes
 
 from support import ODD, SF, WORD, docs, empty
@@ -60,7 +60,7 @@ def test_top_k_is_exact(spark, share):
 
 def test_noise_is_gumbel(spark):
     rows = resample(docs(spark, ["same text"] * 4000), spark.createDataFrame([], LABELS), share=0.5).collect()
-    noise = np.array([r.score - r.log_weight for r in rows])
+    noise = np.array([r.score - r.log_weight / r.n_features**TEMPER for r in rows])
     assert abs(noise.mean() - 0.5772) < 0.1 and abs(noise.std() - math.pi / math.sqrt(6)) < 0.1
 
 
@@ -79,6 +79,27 @@ def test_nulls_contradictions_clashes_and_empty(spark):
     rows = resample(df, labels.selectExpr("*", "1 as text")).collect()
     assert len(rows) == 3 * len(ODD)
     assert not any(r.kept for r in rows if r.doc_id is None)
+    assert not any(r.kept for r in rows if not r.n_features)  # nothing to judge
     for d in range(len(ODD)):  # equal rows share their fate
         assert len({r.kept for r in rows if r.doc_id == d}) == 1
     assert resample(empty(spark), labels).collect() == []
+
+
+def test_empty_texts_are_not_eligible(spark):
+    """200 empty texts beside good and bad ones: none is kept, nor do they take a place."""
+    texts = ["good words of a clean text here"] * 60 + ["bad spam junk noise of it all"] * 60 + [""] * 200
+    labels = spark.createDataFrame([(i, int(i < 60), 0) for i in range(0, 120, 2)], LABELS)
+    rows = {r.doc_id: r for r in resample(docs(spark, texts), labels).collect()}
+    assert sum(r.kept for r in rows.values()) == 60 and not any(rows[i].kept or rows[i].score for i in range(120, 320))
+
+
+def test_noise_decides_between_texts_of_like_weight(spark):
+    """Long texts of one kind: the draw is no cut by weight."""
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(50)]
+    texts = [" ".join(rng.choice(words, n)) for n in rng.integers(50, 2000, 300)]
+    labels = spark.createDataFrame([(i, int(i % 2), 0) for i in range(100)], LABELS)
+    rows = resample(docs(spark, texts), labels, share=0.5).collect()
+    by_weight = sorted(rows, key=lambda r: r.log_weight / r.n_features**TEMPER)[150:]
+    same = {r.doc_id for r in rows if r.kept} & {r.doc_id for r in by_weight}
+    assert 75 < len(same) < 150  # the draw is neither the weight alone nor the noise alone
