@@ -1,19 +1,23 @@
 """Memory of Python workers, which Spark keeps alive between tasks.
 
 ``held`` keeps one large object (an encoder with its cache) for the tasks of one
-operator; the next operator's first task drops it. ``lean`` gives what a task has
-freed back to the system when the task ends, which neither malloc nor Arrow does
-by itself: several operators in one application would otherwise add up.
+operator; the next operator's first task drops it. ``lean`` gives what a task of a
+large worker has freed back to the system when the task ends, which neither malloc
+nor Arrow does by itself: several operators in one application would else add up.
 """
 
 from __future__ import annotations
 
 import ctypes
 import gc
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
+# a worker smaller than this keeps what it has: small tasks should stay cheap
+KEPT_BYTES = 256 << 20
+
 _held: dict = {}
 
 
@@ -26,7 +30,19 @@ def held(key: tuple, build: Callable):
     return _held[key]
 
 
+def resident() -> int:
+    """Bytes of memory this process holds (0 where the system does not say)."""
+    try:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+    except OSError:
+        return 0
+
+
 def trim() -> None:
+    """Give freed memory back, if there may be much."""
+    if 0 < resident() < KEPT_BYTES:
+        return
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
