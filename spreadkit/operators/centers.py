@@ -12,8 +12,10 @@ Every point carries its squared distance to the nearest center so far. A round
 joins the one new center of each group (broadcast when the counted size fits,
 else copied over salts and shuffled), lowers the distances, takes the largest
 per group in a hash aggregate, and the smallest id among the points that have
-it. The new centers are written to the shared folder; nothing but counts and the
-point checks reaches the driver.
+it. As long as all centers fit the broadcast cap, a round's few rows go through
+the driver, as a broadcast does, and from there into the next plan without a job
+of their own; beyond it they are written to the shared folder, and nothing but
+counts and the point checks reaches the driver.
 
 The state of a round replaces that of the round before in executor memory. Every
 ``checkpoint_every`` rounds ``(g, id, d2)`` is written to the shared folder, the
@@ -23,13 +25,15 @@ bounds what a lost executor makes others compute again.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spreadkit.functions.vectors import sqdist
 from spreadkit.operators.pairs import check_point_stats, point_checks, with_group_row
-from spreadkit.runtime import cached, fits_broadcast, remove_path, vector_row_bytes, work_path
+from spreadkit.runtime import cached, fits_broadcast, here, remove_path, vector_row_bytes, work_path
 
 CHOSEN = -1.0  # the distance of a point that is a center
 
@@ -61,16 +65,25 @@ def farthest_first(
     try:
         groups, largest_group, dim = _checked(pts)
         small = fits_broadcast(spark, groups, vector_row_bytes(dim, 3))
+        local = fits_broadcast(spark, groups * min(k, max(largest_group, 1)), vector_row_bytes(dim, 4))
         schema = pts.select("g", "id", "vec", F.lit(None).cast("double").alias("d2")).schema
+        steps: list[DataFrame] = []
+
+        def keep(rows: DataFrame) -> None:
+            """The centers of the next step."""
+            if local:
+                steps.append(here(rows.select("g", "id", "vec", "d2")))
+            else:
+                path = f"{folder}/step={len(steps)}"
+                rows.write.parquet(path)
+                steps.append(spark.read.schema(schema).parquet(path))
 
         first = pts.groupBy("g").agg(F.min("id").alias("first"))
         chosen = with_group_row(pts, first, small).where("id = first")
-        chosen.select("g", "id", "vec", F.lit(None).cast("double").alias("d2")).write.parquet(f"{folder}/step=0")
+        keep(chosen.select("g", "id", "vec", F.lit(None).cast("double").alias("d2")))
         state = pts.withColumn("d2", F.lit(float("inf")))
         for step in range(1, min(k, largest_group)):  # then every group has run out of points
-            new = spark.read.schema(schema).parquet(f"{folder}/step={step - 1}").select(
-                "g", F.col("id").alias("center"), F.col("vec").alias("cvec")
-            )
+            new = steps[-1].select("g", F.col("id").alias("center"), F.col("vec").alias("cvec"))
             lowered = with_group_row(state, new, small).select(
                 "g", "id", "vec",
                 F.when(F.col("id") == F.col("center"), F.lit(CHOSEN))
@@ -78,10 +91,11 @@ def farthest_first(
             )
             before, state = state, cached(lowered)
             largest = state.groupBy("g").agg(F.max("d2").alias("largest")).where("largest >= 0")
+            largest = here(largest) if local else largest
             best = with_group_row(state, largest, small).where("d2 = largest").groupBy("g").agg(
                 F.min("id").alias("id"), F.min_by("vec", "id").alias("vec"), F.max("d2").alias("d2")
             )
-            best.write.parquet(f"{folder}/step={step}")
+            keep(best)
             if before is not pts:
                 before.unpersist()
             if step % checkpoint_every == 0:
@@ -98,7 +112,11 @@ def farthest_first(
         pts.unpersist()
         if saved:
             remove_path(spark, saved)
-    result = spark.read.schema(schema.add("step", T.IntegerType())).parquet(folder)
+    if local:
+        numbered = [df.withColumn("step", F.lit(step)) for step, df in enumerate(steps)]
+        result = here(reduce(DataFrame.unionByName, numbered))
+    else:
+        result = spark.read.schema(schema.add("step", T.IntegerType())).parquet(folder)
     return result.select(*([F.col("g").alias(group)] if group else []), "step", "id", "vec", "d2")
 
 

@@ -97,3 +97,9 @@ def cached(df: DataFrame) -> DataFrame:
     loss; callers unpersist when their loop ends.
     """
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def here(df: DataFrame) -> DataFrame:
+    """``df`` computed now and held as a local relation: for a few rows whose size
+    has been checked, which the next plans then read without a job."""
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
