@@ -22,7 +22,8 @@ exact; the search ends when no phrase has reached the threshold in the last cycl
   buckets of bounded size; a bucket's blocks are merged by sorting. No task holds
   a language.
 * A phrase with a total of ``least`` has ``least / SHARDS`` in some scan. Only phrases
-  that may have (a second filter) become rows that are summed over the scans.
+  that may have (a second filter) become rows that are summed over a cycle. The
+  counts of a scan are removed when no later sum reads them.
 
 Frequent phrases stay distributed. Cuts, containment and ranks are joins and
 aggregates; a language's first rows are taken in two steps over salts.
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 from spreadkit.llm.tables import stored, work_path
 from spreadkit.llm.textarrays import LOWER, mix, ragged, span_hashes, text_bytes, windows
 from spreadkit.llm.workers import lean
-from spreadkit.runtime import fits_broadcast
+from spreadkit.runtime import fits_broadcast, remove_path
 
 LEAST = 100
 MOST_WORDS = 5
@@ -351,7 +352,7 @@ def frequent_phrases(source: DataFrame, least: int, most: int, shards: int) -> t
     spark = source.sparkSession
     path = work_path(spark, "shards")
     dealt = tokenised(source).withColumn("shard", F.floor(F.rand(20240611) * shards).cast("int"))
-    dealt.write.option("compression", "none").partitionBy("shard").parquet(path)
+    dealt.write.option("compression", "zstd").partitionBy("shard").parquet(path)
     rows = spark.read.schema(f"{TOKENS}, shard int").parquet(path)
     sizes = stored(rows.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
     words = sizes.agg(F.sum("n")).first()[0] or 0
@@ -360,20 +361,31 @@ def frequent_phrases(source: DataFrame, least: int, most: int, shards: int) -> t
     buckets = max(32, words // BUCKET_WORDS + 1)
 
     # filters[t]: the phrases that had reached the threshold before scan t
-    filters, parts, heavy = [np.zeros(size, np.uint64)], [], []
+    filters, parts, heavy, found = [np.zeros(size, np.uint64)], [], [], []
     while True:
-        t = len(parts)
+        t = len(found)
         now, before = filters[t], filters[t - shards] if t >= shards else None
         if t >= shards and np.array_equal(now, before):
             break
-        shard = rows.where(F.col("shard") == t % shards)
-        parts.append(stored(scan(shard, now, before, t < shards, most, buckets), "scan"))
-        heavy.append(heavy_bits(parts[-1], -(-least // shards), size))
-        window = totals(parts[-shards:], np.bitwise_or.reduce(heavy[-shards:]), least)
-        filters.append(now | key_bits(window.where(f"octet_length(key) < {8 * most}"), size))
+        part = work_path(spark, "scan")
+        counted = scan(rows.where(F.col("shard") == t % shards), now, before, t < shards, most, buckets)
+        counted.write.option("compression", "zstd").parquet(part)
+        parts.append(part)
+        tables = [spark.read.schema(counted.schema).parquet(x) for x in parts]
+        heavy.append(heavy_bits(tables[-1], -(-least // shards), size))
+        found.append(stored(totals(tables, np.bitwise_or.reduce(heavy), least), "reached"))
+        filters.append(now | key_bits(found[-1].where(f"octet_length(key) < {8 * most}"), size))
         if t >= shards:
             filters[t - shards] = None
-    return stored(totals(parts, np.bitwise_or.reduce(heavy), least), "frequent"), sizes, size
+        if len(parts) == shards:  # no later sum reads the oldest
+            remove_path(spark, parts.pop(0))
+            heavy.pop(0)
+        # Spark removes a shuffle's files once the driver's JVM has collected it
+        spark._jvm.System.gc()
+    remove_path(spark, path)
+    # the scans of a phrase's own cycle give its total, others a part of it
+    every = reduce(DataFrame.unionByName, found).groupBy("lang", "key").agg(F.max("n").alias("n"))
+    return stored(every, "frequent"), sizes, size
 
 
 def spelled(source: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -381,10 +393,16 @@ def spelled(source: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     shared = source.sparkSession.sparkContext.broadcast(key_bits(wanted.select("lang", F.col("part").alias("key")), size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[str, np.ndarray] = {}  # of this task: no more than are wanted
         for lang, own, starts, ends, _ in _cut(batches):
             words, first = np.unique(span_hashes(own, starts, ends) & ~_GOES_ON, return_index=True)
             at = holds([shared.value], prints(lang_seed(lang), [words]))[0]
             words, first = words[at], first[at]
+            at = ~np.isin(words, sent.get(lang, words[:0]))
+            words, first = words[at], first[at]
+            if not len(words):
+                continue
+            sent[lang] = np.concatenate([sent.get(lang, words[:0]), words])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang] * len(words), pa.string()), pa.array([w.astype("<u8").tobytes() for w in words], pa.binary()),
@@ -446,7 +464,18 @@ def collocations(
         F.col("longer").isNull() | (100 * F.col("longer").cast("decimal(38,0)") < ABSORB_PERCENT * F.col("a").cast("decimal(38,0)"))
     ).drop("longer")
 
+    # spelled out are only those that can be among the first: score and a decide,
+    # but for rows that equal the last
     kept = stored(kept, "kept")
+    lead = [F.desc("score"), F.desc("a")]
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS))
+    some = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang", salt).orderBy(*lead))).where(F.col("rank") <= top)
+    last = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*lead))).where(F.col("rank") == top)
+    last = last.select("lang", F.col("score").alias("last_score"), F.col("a").alias("last_a"))
+    kept = kept.join(last, "lang", "left").where(
+        "last_score IS NULL OR score > last_score OR (score = last_score AND a >= last_a)"
+    ).drop("last_score", "last_a")
+    kept = stored(kept, "first")
     parts = kept.select("lang", "key", F.posexplode(_words_of("key")).alias("pos", "part"))
     text = spelled(source, stored(parts.select("lang", "part").distinct(), "parts"), size)
     phrase = parts.join(text, ["lang", "part"]).groupBy("lang", "key").agg(
