@@ -110,3 +110,25 @@ def test_diameter_by_the_tree_equals_the_other_way(spark, pivots):
 def test_decimal_and_negative_ids(spark):
     pts = spark.range(40).select((F.col("id") - 20).cast("decimal(38,0)").alias("id"), F.array(F.col("id").cast("double"), F.lit(0.0)).alias("vec"))
     assert metric_tree.farthest_pair(pts, 2, leaf_rows=3)[0] == 39.0
+
+
+def test_nodes_are_not_split_where_bounds_do_not_help(make_points, monkeypatch):
+    """All pairs of random points are compared: as parts of a few nodes, in blocks."""
+    monkeypatch.setattr(metric_tree, "FEW_PAIRS", 256)
+    monkeypatch.setattr(metric_tree, "PART_BYTES", 10 * 8 * 32)  # nodes are several parts
+    rng = random.Random(6)
+    rows = [(i, [1e6 + rng.random() for _ in range(32)]) for i in range(500)]
+    tree = metric_tree.Tree(make_points(rows), 32, leaf_rows=4)
+    distance, compared = longest(tree)
+    tree.close()
+    assert math.isclose(distance, brute(rows), rel_tol=1e-12)
+    assert len(tree.nodes) == 2 and 500 * 499 // 2 * 0.9 < compared <= 500 * 499 // 2
+
+
+def test_a_grown_tree_is_searched_above_its_leaves(make_points, monkeypatch):
+    monkeypatch.setattr(metric_tree, "FEW_PAIRS", 256)
+    rng = random.Random(7)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(40)]) for i in range(300)]
+    tree = build(make_points(rows), 40, leaf_rows=16, fanout=4)
+    assert len(tree.nodes) > 3
+    assert math.isclose(longest(tree)[0], brute(rows), rel_tol=1e-12)
