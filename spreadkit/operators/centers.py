@@ -20,7 +20,8 @@ counts and the point checks reaches the driver.
 The state of a round replaces that of the round before in executor memory. Every
 ``checkpoint_every`` rounds ``(g, id, d2)`` is written to the shared folder, the
 previous such table removed, and the state rebuilt from it and the points, which
-bounds what a lost executor makes others compute again.
+bounds what a lost executor makes others compute again; not where fewer rounds than
+that are left, which cost less than to write and join the whole set again.
 """
 
 from __future__ import annotations
@@ -82,7 +83,8 @@ def farthest_first(
         chosen = with_group_row(pts, first, small).where("id = first")
         keep(chosen.select("g", "id", "vec", F.lit(None).cast("double").alias("d2")))
         state = pts.withColumn("d2", F.lit(float("inf")))
-        for step in range(1, min(k, largest_group)):  # then every group has run out of points
+        last = min(k, largest_group) - 1  # then every group has run out of points
+        for step in range(1, last + 1):
             new = steps[-1].select("g", F.col("id").alias("center"), F.col("vec").alias("cvec"))
             lowered = with_group_row(state, new, small).select(
                 "g", "id", "vec",
@@ -98,7 +100,7 @@ def farthest_first(
             keep(best)
             if before is not pts:
                 before.unpersist()
-            if step % checkpoint_every == 0:
+            if step % checkpoint_every == 0 and last - step >= checkpoint_every:
                 path = work_path(spark, "distances")
                 state.select("g", "id", "d2").write.parquet(path)
                 state.unpersist()

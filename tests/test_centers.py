@@ -97,3 +97,16 @@ def test_independent_of_input_order(spark):
 def test_k_must_be_positive(make_points):
     with pytest.raises(ValueError):
         centers.farthest_first(make_points(FIXTURE_C), 0)
+
+
+def test_no_checkpoint_before_the_last_rounds(make_points, monkeypatch):
+    """A checkpoint writes and joins all points: only if as many rounds follow."""
+    written = []
+    path = centers.work_path
+    monkeypatch.setattr(centers, "work_path", lambda spark, label: written.append(label) or path(spark, label))
+    rng = random.Random(5)
+    pts = make_points([(i, (rng.random(), rng.random())) for i in range(60)])
+    assert centers.farthest_first(pts, 7, checkpoint_every=4).count() == 7
+    assert "distances" not in written
+    assert centers.farthest_first(pts, 9, checkpoint_every=4).count() == 9
+    assert written.count("distances") == 1
