@@ -20,8 +20,8 @@ counts and the point checks reaches the driver.
 The state of a round replaces that of the round before in executor memory. Every
 ``checkpoint_every`` rounds ``(g, id, d2)`` is written to the shared folder, the
 previous such table removed, and the state rebuilt from it and the points, which
-bounds what a lost executor makes others compute again; not where fewer rounds than
-that are left, which cost less than to write and join the whole set again.
+bounds what a lost executor makes others compute again. Short vectors
+are written too, as to join them again costs more than their room.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from spreadkit.operators.pairs import check_point_stats, point_checks, with_grou
 from spreadkit.runtime import cached, fits_broadcast, here, remove_path, vector_row_bytes, work_path
 
 CHOSEN = -1.0  # the distance of a point that is a center
+SHORT_DIM = 8  # vectors up to here are written with the distances
 
 
 class GroupError(ValueError):
@@ -83,8 +84,7 @@ def farthest_first(
         chosen = with_group_row(pts, first, small).where("id = first")
         keep(chosen.select("g", "id", "vec", F.lit(None).cast("double").alias("d2")))
         state = pts.withColumn("d2", F.lit(float("inf")))
-        last = min(k, largest_group) - 1  # then every group has run out of points
-        for step in range(1, last + 1):
+        for step in range(1, min(k, largest_group)):  # then every group has run out of points
             new = steps[-1].select("g", F.col("id").alias("center"), F.col("vec").alias("cvec"))
             lowered = with_group_row(state, new, small).select(
                 "g", "id", "vec",
@@ -100,12 +100,13 @@ def farthest_first(
             keep(best)
             if before is not pts:
                 before.unpersist()
-            if step % checkpoint_every == 0 and last - step >= checkpoint_every:
+            if step % checkpoint_every == 0:
                 path = work_path(spark, "distances")
-                state.select("g", "id", "d2").write.parquet(path)
+                columns = ["g", "id", "vec", "d2"] if dim <= SHORT_DIM else ["g", "id", "d2"]
+                state.select(columns).write.parquet(path)
                 state.unpersist()
-                distances = spark.read.schema(state.select("g", "id", "d2").schema).parquet(path)
-                state = pts.join(distances, ["g", "id"]).select("g", "id", "vec", "d2")
+                read = spark.read.schema(state.select(columns).schema).parquet(path)
+                state = read if dim <= SHORT_DIM else pts.join(read, ["g", "id"]).select("g", "id", "vec", "d2")
                 if saved:
                     remove_path(spark, saved)
                 saved = path

@@ -99,14 +99,13 @@ def test_k_must_be_positive(make_points):
         centers.farthest_first(make_points(FIXTURE_C), 0)
 
 
-def test_no_checkpoint_before_the_last_rounds(make_points, monkeypatch):
-    """A checkpoint writes and joins all points: only if as many rounds follow."""
-    written = []
-    path = centers.work_path
-    monkeypatch.setattr(centers, "work_path", lambda spark, label: written.append(label) or path(spark, label))
+@pytest.mark.parametrize("dim,joined", [(2, False), (9, True)])
+def test_a_checkpoint_of_short_vectors_needs_no_join(spark, make_points, monkeypatch, dim, joined):
+    joins = []
+    join = type(spark.range(1)).join
+    monkeypatch.setattr(type(spark.range(1)), "join", lambda self, other, on=None, how=None: joins.append(on) or join(self, other, on, how))
     rng = random.Random(5)
-    pts = make_points([(i, (rng.random(), rng.random())) for i in range(60)])
-    assert centers.farthest_first(pts, 7, checkpoint_every=4).count() == 7
-    assert "distances" not in written
-    assert centers.farthest_first(pts, 9, checkpoint_every=4).count() == 9
-    assert written.count("distances") == 1
+    pts = make_points([(i, [rng.random() for _ in range(dim)]) for i in range(60)])
+    got = ids(centers.farthest_first(pts, 9, checkpoint_every=4))
+    assert (["g", "id"] in joins) == joined
+    assert got == ids(centers.farthest_first(pts, 9, checkpoint_every=100))
