@@ -183,3 +183,16 @@ def test_distances_to_center_without_broadcast(spark):
         assert sorted(map(tuple, geometry.distances_to_center(pts, "g").collect())) == want
     finally:
         spark.conf.unset(BROADCAST_CONF)
+
+
+@pytest.mark.parametrize("pivots", [1, 4])
+def test_diameter_of_random_points_makes_no_row_of_a_pair(make_points, monkeypatch, pivots):
+    """Where no bound helps, the pairs of points are compared inside the tasks."""
+    from spreadkit.operators import metric_tree
+
+    monkeypatch.setattr(metric_tree, "FEW_PAIRS", 256)
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(32)]) for i in range(300)]
+    want = max(math.dist(a, b) for _, a in rows for _, b in rows)
+    got = geometry.diameter(make_points(rows), pivots=pivots, tree_rows=0, leaf_rows=16).first()[0]
+    assert math.isclose(got, want, rel_tol=1e-12)
