@@ -21,13 +21,16 @@ bounds are compared first, then those that still can win; a point takes part in
 pair only if its own distance to its center allows it.
 
 Comparing: nodes (in parts, if large) are dealt into blocks by hash, and a task
-gets two blocks, the parts of them that occur in pairs, and these pairs. It
-compares part with part by a matrix product, of which no more than a tile is
-held, and measures the tile's best pair again from its coordinates.
+gets two blocks, the parts of them that occur in pairs, and these pairs. There are
+more tasks than pairs of blocks, whatever the session's number of partitions, so
+that few get several. A task compares part with part by a matrix product in single
+precision, of which no more than a tile is held; rows of the tile that reach the
+best, with room for its rounding, are multiplied again in double precision, and
+the best pair of those is measured from its coordinates.
 
 Points, nodes and pairs stay distributed; the driver holds the best distance,
 counts and the first point. On data where distances concentrate no bound helps,
-and all pairs of points are compared: the definition's own work, then some 10^8
+and all pairs of points are compared: the definition's own work, then some 3 * 10^8
 pairs a second and core in 64 dimensions, with no pair ever a row.
 """
 
@@ -60,6 +63,8 @@ POINT_PAIRS = 64
 PART_BYTES = 1 << 20
 BLOCK_BYTES = 24 << 20
 MIN_BLOCKS = 8
+# Tasks for each pair of blocks, as hashing deals several pairs to some and none to others.
+TASKS_A_PAIR = 2
 TILE = (256, 4096)
 # relative slack of a bound, above the rounding of a distance
 SLACK = 1e-9
@@ -248,19 +253,27 @@ def _at_level(tree: Tree, level: int) -> Column:
 
 def _compare(tree: Tree, pairs: DataFrame, level: int, low: float) -> tuple[float, int]:
     """The best distance after comparing the points of pairs of nodes."""
-    dim = tree.dim
     ends = [pairs.select(F.col(f"node_{s}").alias("node"), F.col(f"n_{s}").alias("n")) for s in "ij"]
     used = stored(ends[0].unionByName(ends[1]).distinct(), "compared-nodes")
     size = used.agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("n")).first()
     if not size["nodes"]:
         return low, 0
+    found = _compared(tree, pairs, used, size["nodes"], size["n"], level, low)
+    row = found.agg(F.max("best").alias("best"), F.sum("compared").alias("n")).first()
+    return max(low, row["best"] if row["best"] is not None else low), row["n"] or 0
+
+
+def _compared(tree: Tree, pairs: DataFrame, used: DataFrame, n_used: int, n: int, level: int, low: float) -> DataFrame:
+    """``best, compared`` of every pair of blocks; ``used``: the pairs' nodes, of ``n`` points."""
+    dim = tree.dim
     part_rows = max(1, PART_BYTES // (8 * max(dim, 1)))
-    blocks = max(MIN_BLOCKS, math.ceil(size["n"] * 8 * dim / BLOCK_BYTES))
+    blocks = max(MIN_BLOCKS, math.ceil(n * 8 * dim / BLOCK_BYTES))
+    tasks = TASKS_A_PAIR * blocks * (blocks + 1) // 2
     parts = lambda n: F.ceil(F.col(n) / F.lit(part_rows)).cast("int")
     block = lambda node, part: F.pmod(F.xxhash64(node, part), F.lit(blocks)).cast("int")
 
     # a part is one row; a place has one point
-    points = tree.members.withColumn("node", _at_level(tree, level)).join(_small(used, size["nodes"], 0), "node")
+    points = tree.members.withColumn("node", _at_level(tree, level)).join(_small(used, n_used, 0), "node")
     rows = points.select("node", F.pmod(F.xxhash64("id", "vec"), parts("n")).cast("int").alias("part"), "vec").groupBy(
         "node", "part"
     ).agg(F.flatten(F.collect_list("vec")).alias("points"))
@@ -277,11 +290,10 @@ def _compare(tree: Tree, pairs: DataFrame, level: int, low: float) -> tuple[floa
         for s in "ij"
     ]).distinct()
     sent = sent.join(rows, ["node", "part"]).withColumn("block", block("node", "part"))
-    found = sent.groupBy("to_a", "to_b").cogroup(
-        dealt.select("a", "b", "node_i", "part_i", "node_j", "part_j", "apart", "radius_i", "radius_j").groupBy("a", "b")
+    dealt = dealt.select("a", "b", "node_i", "part_i", "node_j", "part_j", "apart", "radius_i", "radius_j")
+    return sent.repartition(tasks, "to_a", "to_b").groupBy("to_a", "to_b").cogroup(
+        dealt.repartition(tasks, "a", "b").groupBy("a", "b")
     ).applyInArrow(_farthest_of_blocks(dim, low), "best double, compared bigint")
-    row = found.agg(F.max("best").alias("best"), F.sum("compared").alias("n")).first()
-    return max(low, row["best"] if row["best"] is not None else low), row["n"] or 0
 
 
 def _farthest_of_blocks(dim: int, low: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -312,7 +324,10 @@ def _farthest_of_blocks(dim: int, low: float) -> Callable[[pa.Table, pa.Table],
         scale = np.abs(z).max() or 1.0
         z /= scale
         sq = (z * z).sum(axis=1)
-        left, right = np.hstack([-2 * z, np.ones((len(z), 1))]), np.hstack([z, sq[:, None]])
+        left = np.hstack([-2 * z, np.ones((len(z), 1))]).astype(np.float32)
+        right = np.hstack([z, sq[:, None]]).astype(np.float32)
+        # above the rounding of a square in single precision, 3 (dim + 8) / 2^24 of the largest |x|^2
+        room = (dim + 8) * 2.0**-22 * sq.max()
         best, compared = low, 0
         first, ends = np.unique(i, return_index=True)
         for u, s, e in zip(first, ends, [*ends[1:], len(i)]):
@@ -330,7 +345,10 @@ def _farthest_of_blocks(dim: int, low: float) -> Callable[[pa.Table, pa.Table],
                 other = (right[cols[0] : cols[-1] + 1] if whole else right[cols]).T
                 for k in range(0, len(own), TILE[0]):
                     some = own[k : k + TILE[0]]
-                    tile = left[some] @ other
+                    some = some[(left[some] @ other).max(axis=1) + sq[some] > (best / scale) ** 2 - room]
+                    if not len(some):
+                        continue
+                    tile = sq[cols] - 2 * (z[some] @ z[cols].T)
                     most = tile.max(axis=1) + sq[some]
                     top = int(most.argmax())
                     if most[top] > (best / scale) ** 2:

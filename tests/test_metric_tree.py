@@ -132,3 +132,35 @@ def test_a_grown_tree_is_searched_above_its_leaves(make_points, monkeypatch):
     tree = build(make_points(rows), 40, leaf_rows=16, fanout=4)
     assert len(tree.nodes) > 3
     assert math.isclose(longest(tree)[0], brute(rows), rel_tol=1e-12)
+
+
+def test_pairs_of_blocks_are_dealt_to_enough_tasks(spark, make_points, monkeypatch):
+    """However few partitions the session has, no task gets a large share of the pairs."""
+    monkeypatch.setattr(metric_tree, "PART_BYTES", 4 * 8 * 8)
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(400)]
+    found = []
+    compared = metric_tree._compared
+    monkeypatch.setattr(metric_tree, "_compared", lambda *a: found.append(compared(*a)) or found[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        assert math.isclose(farthest_pair(make_points(rows), 8, leaf_rows=400)[0], brute(rows), rel_tol=1e-12)
+        dealt = [r.n for r in found[0].groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(dealt) == 36 and max(dealt) <= 6
+
+
+@pytest.mark.parametrize("far", [1.0, 1e150, 1e-150])
+def test_distances_closer_than_single_precision(make_points, far):
+    """Many pairs differ by less than the first product's rounding; the best is found."""
+    rng = random.Random(10)
+    rows = []
+    for i in range(150):
+        angle = rng.random() * math.tau
+        length = far * (1 + 1e-9 * rng.random())
+        rows += [(2 * i, [length * math.cos(angle), length * math.sin(angle), 0.0]),
+                 (2 * i + 1, [-length * math.cos(angle), -length * math.sin(angle), 0.0])]
+    distance, _ = farthest_pair(make_points(rows), 3, leaf_rows=300)
+    assert math.isclose(distance, brute(rows), rel_tol=1e-14)
